@@ -5,15 +5,20 @@ Tags are cut at their angle brackets: an attribute value must not hold a raw
 end tags are tolerated for table rows and cells, where HTML lets them be left out.
 """
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_NOISE = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+from offerlens.functions.parse import trim
+
+_NOISE = r"(?is)<(?:!--.*?-->|script\b.*?</script\s*>|style\b.*?</style\s*>)"
 _OTHER = r"[^>]*?\s"
 _REST = r"[^>]*>"
+_NEAR_TAGS = 64
+_ENTITY = r"^&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
 
 @dataclass(frozen=True)
@@ -58,29 +63,43 @@ def has_element(html: Column, selector: Selector) -> Column:
     return html.rlike(_tag_insensitive(selector))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)``, with ``value`` computed once however often ``body`` names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+# ``split`` compiles its pattern for every row and the positions of ``regexp_instr``
+# count UTF-16 units, so single cuts are made by extracting and replacing.
+
+
+def _after_tag(html: Column, opening: str) -> Column:
+    """The text behind the first opening tag that matches; NULL where there is none."""
+    from_tag = F.nullif(F.regexp_extract(html, rf"(?s){opening}.*", 0), F.lit(""))
+    return _let(from_tag, lambda text: F.substr(text, F.instr(text, ">") + 1))
+
+
+def _up_to(html: Column, pattern: str) -> Column:
+    """The text before the first match, or all of it."""
+    return F.regexp_replace(html, rf"(?is)(?:{pattern}).*", "")
+
+
 def inner_html(html: Column, selector: Selector) -> Column:
     """What lies inside the first matching element; NULL where there is none."""
-    opening = _tag_insensitive(selector)
-    rest = F.when(html.rlike(opening), F.regexp_extract(html, rf"(?s){opening}(.*)", 1))
-    return _until_closed(rest, selector.tag)
+    tag = selector.tag
 
+    def inside(rest: Column) -> Column:
+        def checked(content: Column) -> Column:
+            next_tag = F.lower(F.substr(rest, F.length(content) + 1, F.lit(len(tag) + 1)))
+            return F.when(next_tag == f"<{tag}", _until_balanced(rest, tag)).otherwise(content)
 
-def _until_closed(rest: Column, tag: str) -> Column:
-    """The text up to the end tag that closes an element already open."""
-    pieces = F.split(rest, rf"(?i)(?=<{tag}[\s>])|(?=</{tag}[\s>])")
-    # depth before each piece; the element ends at the piece that brings it to zero
-    state = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("kept"))
+        return _let(_up_to(rest, rf"</?{tag}[\s>]"), checked)
+
+    return _let(_after_tag(html, _tag_insensitive(selector)), inside)
 
-    def step(acc: Column, piece: Column) -> Column:
-        depth = acc["depth"] + _depth_change(piece, tag)
-        still_open = (acc["depth"] > 0) & (depth > 0)
-        return F.struct(
-            F.when(acc["depth"] > 0, depth).otherwise(0).alias("depth"),
-            F.when(still_open, acc["kept"] + 1).otherwise(acc["kept"]).alias("kept"),
-        )
 
-    kept = F.aggregate(pieces, state, step)["kept"]
-    return F.array_join(F.slice(pieces, F.lit(1), kept), "")
+def _split_at(html: Column, tag: str, limit: int = -1) -> Column:
+    """Pieces that each begin with a start or end tag of the name, but for the first."""
+    return F.split(html, rf"(?i)(?=</?{tag}[\s>])", limit)
 
 
 def _depth_change(piece: Column, tag: str) -> Column:
@@ -88,61 +107,98 @@ def _depth_change(piece: Column, tag: str) -> Column:
     return F.when(start == f"</{tag}", -1).when(start.startswith(f"<{tag}"), 1).otherwise(0)
 
 
+def _until_balanced(rest: Column, tag: str) -> Column:
+    """The text up to the end tag of an element that is open where ``rest`` begins."""
+    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("kept"))
+
+    def step(acc: Column, change: Column) -> Column:
+        depth = F.when(acc["depth"] > 0, acc["depth"] + change).otherwise(0)
+        return F.struct(
+            depth.alias("depth"),
+            (acc["kept"] + (depth > 0).cast("int")).alias("kept"),
+        )
+
+    def closed_part(pieces: Column, whole: bool) -> Column:
+        changes = F.transform(pieces, lambda piece: _depth_change(piece, tag))
+        end = F.aggregate(changes, start, step)
+        text = _let(end, lambda end: F.when((end["depth"] == 0) | F.lit(whole), F.slice(pieces, F.lit(1), end["kept"])))
+        return F.array_join(text, "")
+
+    # Most elements end soon; the rest of the page is cut up only for those that do not.
+    near = _let(_split_at(rest, tag, _NEAR_TAGS), lambda pieces: closed_part(pieces, False))
+    far = _let(_split_at(rest, tag), lambda pieces: closed_part(pieces, True))
+    return F.coalesce(near, far)
+
+
+_LINK = r"(?i)<a(?:\s[^>]*)?>"
+_HREF = r"(?i)\shref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
+
+
 def first_links(grid: Column, item: Selector) -> Column:
     """Per matching item of a grid, in order, the ``href`` of its first link.
 
     An item without a link, or whose first link has no ``href``, gives NULL.
     """
-    pieces = F.split(grid, rf"(?i)(?=<{item.tag}[\s>])|(?=</{item.tag}[\s>])")
     opening = rf"^{_tag_insensitive(item)}"
-    state = F.struct(
+    tags = F.transform(
+        _split_at(grid, item.tag),
+        lambda piece: F.struct(
+            _depth_change(piece, item.tag).alias("change"),
+            piece.rlike(opening).alias("is_item"),
+            F.nullif(F.regexp_extract(piece, _LINK, 0), F.lit("")).alias("link"),
+        ),
+    )
+    start = F.struct(
         F.lit(0).alias("depth"),
         F.lit(-1).alias("item_depth"),
         F.lit(False).alias("linked"),
         F.array().cast("array<string>").alias("links"),
     )
 
-    def step(acc: Column, piece: Column) -> Column:
-        depth = acc["depth"] + _depth_change(piece, item.tag)
+    def step(acc: Column, tag: Column) -> Column:
+        depth = acc["depth"] + tag["change"]
         in_item = acc["item_depth"] >= 0
-        opens = ~in_item & piece.rlike(opening)
-        inside = opens | (in_item & (depth > acc["item_depth"]))
-        has_link = inside & (opens | ~acc["linked"]) & piece.rlike(_LINK)
+        opens = ~in_item & tag["is_item"]
         closes = in_item & (depth <= acc["item_depth"])
-        links = F.when(has_link, F.concat(acc["links"], F.array(_href(piece)))).when(
-            closes & ~acc["linked"], F.concat(acc["links"], F.array(F.lit(None).cast("string")))
-        ).otherwise(acc["links"])
+        waiting = opens | (in_item & ~closes & ~acc["linked"])
+        found = waiting & tag["link"].isNotNull()
+        missed = closes & ~acc["linked"]
         return F.struct(
             depth.alias("depth"),
             F.when(opens, acc["depth"]).when(closes, -1).otherwise(acc["item_depth"]).alias("item_depth"),
-            F.when(opens, has_link).otherwise(~closes & (acc["linked"] | has_link)).alias("linked"),
-            links.alias("links"),
+            F.when(opens | closes, found).otherwise(acc["linked"] | found).alias("linked"),
+            F.when(found | missed, F.concat(acc["links"], F.array(F.when(found, tag["link"]))))
+            .otherwise(acc["links"])
+            .alias("links"),
         )
 
-    return F.aggregate(pieces, state, step, lambda acc: acc["links"])
+    return F.transform(F.aggregate(tags, start, step, lambda acc: acc["links"]), _href)
 
 
-_LINK = r"(?i)<a(?:\s[^>]*)?>"
+def _href(link: Column) -> Column:
+    def value(attribute: Column) -> Column:
+        quoted = F.regexp_extract(attribute, _HREF, 1)
+        return F.when(quoted != "", quoted).otherwise(
+            F.concat(F.regexp_extract(attribute, _HREF, 2), F.regexp_extract(attribute, _HREF, 3))
+        )
 
+    attribute = F.nullif(F.regexp_extract(link, _HREF, 0), F.lit(""))
+    return _let(attribute, lambda found: F.when(found.isNotNull(), decode_entities(value(found))))
 
-def _href(piece: Column) -> Column:
-    link = F.regexp_extract(piece, _LINK, 0)
-    pattern = r"(?i)\shref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
-    value = F.concat(*[F.regexp_extract(link, pattern, i) for i in (1, 2, 3)])
-    return decode_entities(F.when(link.rlike(pattern), value))
 
+def labelled_cell(table: Column, row: Selector, label: str) -> Column:
+    """The text of the second cell of the first matching row, if its first cell is ``label``."""
+    in_row = _up_to(_after_tag(table, _tag_insensitive(row)), r"</?tr[\s>]|</table[\s>]")
+    cell = r"<td(?:\s[^>]*)?>"
 
-def row_cells(table: Column, row: Selector) -> Column:
-    """The texts of the cells of the first matching row; NULL where there is none."""
-    opening = _tag_insensitive(row)
-    inner = F.when(
-        table.rlike(opening),
-        F.regexp_extract(table, rf"(?s){opening}(.*?)(?=<(?i:tr)[\s>]|</(?i:tr|table)[\s>]|$)", 1),
-    )
-    cells = F.regexp_extract_all(
-        inner, F.lit(r"(?is)<td(?:\s[^>]*)?>(.*?)(?=<td[\s>]|</td[\s>]|$)"), F.lit(1)
-    )
-    return F.transform(cells, text_of)
+    def text(from_cell: Column) -> Column:
+        return text_of(_up_to(from_cell, r"</?td[\s>]"))
+
+    def labelled(first: Column) -> Column:
+        second = _after_tag(first, rf"(?i){cell}")
+        return F.when(trim(text(first)) == label, text(second))
+
+    return _let(_after_tag(in_row, rf"(?i){cell}"), labelled)
 
 
 def text_of(fragment: Column) -> Column:
@@ -152,21 +208,34 @@ def text_of(fragment: Column) -> Column:
 
 def decode_entities(text: Column) -> Column:
     """Numeric and HTML 4 named entities, each decoded once."""
-    decoded = F.array_join(F.transform(F.split(text, "(?=&)"), _decode_head), "")
-    return F.when(text.contains("&"), decoded).otherwise(text)
+
+    def decoded(text: Column) -> Column:
+        pieces = F.transform(F.split(text, "(?=&)"), _decode_head)
+        return F.when(text.contains("&"), F.array_join(pieces, "")).otherwise(text)
+
+    return _let(text, decoded)
 
 
 def _decode_head(piece: Column) -> Column:
-    name = F.regexp_extract(piece, r"^&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
-    code = (
-        F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 8), 16, 10).cast("int"))
-        .when(name.startswith("#"), F.substring(name, 2, 8).try_cast("int"))
-        .otherwise(F.try_element_at(_named_entities(), name))
-    )
-    valid = F.when(code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF), code).otherwise(0xFFFD)
-    character = F.decode(F.unhex(F.lpad(F.hex(valid), 8, "0")), "UTF-32")
-    rest = F.substr(piece, F.length(name) + 3)
-    return F.when(code.isNull(), piece).otherwise(F.concat(character, rest))
+    """Decodes the entity a piece starts with; any other piece is left as it is."""
+
+    def code_point(name: Column) -> Column:
+        return (
+            F.when(name == "", None)
+            .when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 8), 16, 10).cast("int"))
+            .when(name.startswith("#"), F.substring(name, 2, 8).try_cast("int"))
+            .otherwise(F.try_element_at(_named_entities(), name))
+        )
+
+    def character(code: Column) -> Column:
+        valid = F.when(code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF), code).otherwise(0xFFFD)
+        return F.decode(F.unhex(F.lpad(F.hex(valid), 8, "0")), "UTF-32")
+
+    def replaced(name: Column) -> Column:
+        rest = F.substr(piece, F.length(name) + 3)
+        return _let(code_point(name), lambda code: F.when(code.isNull(), piece).otherwise(F.concat(character(code), rest)))
+
+    return _let(F.regexp_extract(piece, _ENTITY, 1), replaced)
 
 
 def _named_entities() -> Column:

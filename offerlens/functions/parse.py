@@ -17,27 +17,32 @@ WHITESPACE = (
 MHZ_PER_GHZ = 1000.0
 GB_PER_MB = 0.001
 
-# What Python's float() accepts, after trimming. Spark's own cast also takes "1d",
-# "1f" and hexadecimal, which must count as bad cells.
+# What Python's float() accepts between white space. Spark's own cast also takes
+# "1d", "1f" and hexadecimal, which must count as bad cells.
 _DIGITS = r"[0-9]+(?:_[0-9]+)*"
-_FLOAT = (
-    rf"^[+-]?(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
-    r"|(?i:inf|infinity|nan))$"
+_NUMBER = (
+    rf"[+-]?(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
+    r"|(?i:inf|infinity|nan))"
 )
+_FLOAT = rf"^[{WHITESPACE}]*({_NUMBER})[{WHITESPACE}]*$"
 
 
 def trim(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
+def _without(text: Column, part: str) -> Column:
+    return F.replace(text, F.lit(part), F.lit(""))
+
+
 def is_py_float(text: Column) -> Column:
-    return trim(text).rlike(_FLOAT)
+    return text.rlike(_FLOAT)
 
 
 def py_float(text: Column) -> Column:
     """``float(text)``; NULL for NaN and for text that Python would reject."""
-    trimmed = trim(text)
-    number = F.when(trimmed.rlike(_FLOAT), F.translate(trimmed, "_", "").try_cast("double"))
+    # No match gives "", which the cast turns into NULL.
+    number = _without(F.regexp_extract(text, _FLOAT, 1), "_").try_cast("double")
     return F.nanvl(number, F.lit(None).cast("double"))
 
 
@@ -50,11 +55,15 @@ def nan_to_null(value: Column) -> Column:
 
 
 def _price_digits(text: Column) -> Column:
-    return F.translate(text, ".,", "")
+    return _without(_without(text, "."), ",")
 
 
-def _without(text: Column, unit: str) -> Column:
-    return F.replace(text, F.lit(unit), F.lit(""))
+def _first_unit_removed(lowered: Column, units: list[str]) -> Column:
+    return reduce(
+        lambda rest, unit: F.when(lowered.contains(unit), _without(lowered, unit)).otherwise(rest),
+        reversed(units),
+        lowered,
+    )
 
 
 def price_usd(text: Column) -> Column:
@@ -63,46 +72,35 @@ def price_usd(text: Column) -> Column:
 
 
 def clock_mhz(text: Column) -> Column:
+    """Megahertz; a bare number is taken as megahertz."""
     lowered = F.lower(text)
-    return (
-        F.when(lowered.contains("ghz"), py_float(_without(lowered, "ghz")) * MHZ_PER_GHZ)
-        .when(lowered.contains("mhz"), py_float(_without(lowered, "mhz")))
-        .otherwise(py_float(lowered))
-    )
+    factor = F.when(lowered.contains("ghz"), MHZ_PER_GHZ).otherwise(1.0)
+    return py_float(_first_unit_removed(lowered, ["ghz", "mhz"])) * factor
 
 
 def ram_gb(text: Column) -> Column:
+    """Decimal gigabytes; a bare number is taken as gigabytes."""
     lowered = F.lower(text)
-    return (
-        F.when(lowered.contains("mb"), py_float(_without(lowered, "mb")) * GB_PER_MB)
-        .when(lowered.contains("gb"), py_float(_without(lowered, "gb")))
-        .otherwise(py_float(lowered))
-    )
+    factor = F.when(lowered.contains("mb"), GB_PER_MB).otherwise(1.0)
+    return py_float(_first_unit_removed(lowered, ["mb", "gb"])) * factor
 
 
-def _rejected(text: Column) -> Column:
-    return (text != SENTINEL) & ~is_py_float(text)
+def _rejected(number_text: Column, whole_text: Column) -> Column:
+    """The sentinel is no bad cell, but only where it is the whole text."""
+    return F.coalesce(~is_py_float(number_text) & (whole_text != SENTINEL), F.lit(False))
 
 
 def bad_price(text: Column) -> Column:
     """True where the price text would make the cleaning of its batch fail."""
-    return F.coalesce(_rejected(_price_digits(text)), F.lit(False))
+    digits = _price_digits(text)
+    return _rejected(digits, digits)
 
 
 def bad_clock(text: Column) -> Column:
-    return _bad_with_units(text, ["ghz", "mhz"])
+    lowered = F.lower(text)
+    return _rejected(_first_unit_removed(lowered, ["ghz", "mhz"]), lowered)
 
 
 def bad_ram(text: Column) -> Column:
-    return _bad_with_units(text, ["mb", "gb"])
-
-
-def _bad_with_units(text: Column, units: list[str]) -> Column:
     lowered = F.lower(text)
-    # The first unit found is removed; the sentinel counts only where no unit is.
-    verdict = reduce(
-        lambda rest, unit: F.when(lowered.contains(unit), ~is_py_float(_without(lowered, unit))).otherwise(rest),
-        reversed(units),
-        _rejected(lowered),
-    )
-    return F.coalesce(verdict, F.lit(False))
+    return _rejected(_first_unit_removed(lowered, ["mb", "gb"]), lowered)

@@ -39,14 +39,16 @@ def _residue(digest: Column, first: int) -> Column:
     return F.conv(F.substring(digest, first, 15), 16, 10).cast("long") % P
 
 
-def _fifth_power(x: Column) -> Column:
-    square = x * x % P
-    return square * square % P * x % P
-
-
-def uniform(seed: Column, replicate: Column) -> Column:
-    """Pseudo-random residue in [0, P) for a row seed and a replicate number."""
-    return _fifth_power((seed + replicate * _STRIDE) % P)
+def with_uniform(df: DataFrame, name: str, seed: str) -> DataFrame:
+    """Adds a pseudo-random residue in [0, P) for a row seed and a ``replicate`` number."""
+    # One column per step: the optimiser keeps a projection whose result is used twice.
+    return (
+        df.withColumn("_x", (F.col(seed) + F.col("replicate") * _STRIDE) % P)
+        .withColumn("_square", F.col("_x") * F.col("_x") % P)
+        .withColumn("_fourth", F.col("_square") * F.col("_square") % P)
+        .withColumn(name, F.col("_fourth") * F.col("_x") % P)
+        .drop("_x", "_square", "_fourth")
+    )
 
 
 def poisson_one(u: Column) -> Column:
@@ -64,7 +66,7 @@ def poisson_many(n: Column, u: Column, v: Column) -> Column:
 def resample(cells: DataFrame, replicates: int = REPLICATES, unit_copies: int = UNIT_COPIES) -> DataFrame:
     """Adds ``replicate`` and ``weight``; ``cells`` hold distinct rows and their count ``n``.
 
-    Draws of weight zero are left out. Numbers enter the row key with six decimals.
+    Numbers enter the row key with six decimals.
     """
     values = [F.format_string("%.6f", c) if t == "double" else F.col(c).cast("string")
               for c, t in cells.dtypes if c != "n"]
@@ -77,13 +79,12 @@ def resample(cells: DataFrame, replicates: int = REPLICATES, unit_copies: int =
     seeded = units.withColumn("digest", digest).select(
         *cells.columns, "copy", _residue(F.col("digest"), 1).alias("seed"), _residue(F.col("digest"), 16).alias("seed2")
     )
-    drawn = (
-        seeded.withColumn("replicate", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(replicates).cast("long"))))
-        .withColumn("u", uniform(F.col("seed"), F.col("replicate")))
+    replicate = F.explode(F.sequence(F.lit(1).cast("long"), F.lit(replicates).cast("long")))
+    drawn = with_uniform(with_uniform(seeded.withColumn("replicate", replicate), "u", "seed"), "v", "seed2")
+    weight = F.when(F.col("copy") > 0, poisson_one(F.col("u"))).otherwise(
+        poisson_many(F.col("n"), F.col("u"), F.col("v"))
     )
-    heavy = poisson_many(F.col("n"), F.col("u"), uniform(F.col("seed2"), F.col("replicate")))
-    weight = F.when(F.col("copy") > 0, poisson_one(F.col("u"))).otherwise(heavy)
-    return drawn.withColumn("weight", weight).where(F.col("weight") > 0).select(*cells.columns, "replicate", "weight")
+    return drawn.withColumn("weight", weight).select(*cells.columns, "replicate", "weight")
 
 
 def _cells(df: DataFrame, *columns: str) -> DataFrame:
@@ -111,7 +112,7 @@ def price_clock_band(unique: DataFrame, replicates: int = REPLICATES, points: in
         F.sum(w * dx * dx).alias("sxx"), F.sum(w * dx * y).alias("sxy"),
     )
     slope = F.expr("try_divide(n * sxy - sx * sy, n * sxx - sx * sx)")
-    lines = sums.withColumn("slope", slope).withColumn("base", F.expr("(sy - slope * sx) / n"))
+    lines = sums.withColumn("slope", slope).withColumn("base", F.expr("try_divide(sy - slope * sx, n)"))
     step = (high - low) / (points - 1)
     at = F.when(F.col("point") == points - 1, F.lit(high)).otherwise(F.col("point") * step + low)
     grid = lines.select("replicate", "slope", "base", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
@@ -129,7 +130,7 @@ def price_by_category_ci(categorised: DataFrame, replicates: int = REPLICATES) -
         cells.select("category_no", PRICE, "n", F.lit(0).cast("long").alias("replicate"), F.col("n").alias("weight"))
     )
     means = drawn.groupBy("category_no", "replicate").agg(
-        F.sum("weight").alias("n"), (F.sum(F.col("weight") * F.col(PRICE)) / F.sum("weight")).alias("mean")
+        F.sum("weight").alias("n"), F.try_divide(F.sum(F.col("weight") * F.col(PRICE)), F.sum("weight")).alias("mean")
     )
     original = F.col("replicate") == 0
     lowest, highest = _interval(F.when(~original, F.col("mean")))

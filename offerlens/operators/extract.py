@@ -4,7 +4,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from offerlens.functions import html as H
-from offerlens.functions.parse import trim
 from offerlens.schema import BRAND, CLOCK, MODEL, PRICE, RAM, SENTINEL
 
 # The layout of the pages.
@@ -34,9 +33,8 @@ def offer_links(
     """The first link of every offer in the first grid: ``keys``, ``pos`` and ``url``."""
     body = pages.select(*keys, H.without_noise(F.col("html")).alias("html"))
     in_grid = body.select(*keys, H.inner_html(F.col("html"), grid).alias("grid"))
-    found = in_grid.where(F.col("grid").isNotNull()).select(
-        *keys, F.posexplode(H.first_links(F.col("grid"), item)).alias("pos", "href")
-    )
+    # A page without a grid has no links, so it gives no rows.
+    found = in_grid.select(*keys, F.posexplode(H.first_links(F.col("grid"), item)).alias("pos", "href"))
     return found.where(F.col("href").isNotNull()).select(
         *keys, "pos", F.concat(F.lit(host), F.col("href")).alias("url")
     )
@@ -45,15 +43,14 @@ def offer_links(
 def offer_attributes(offers: DataFrame, keys: list[str]) -> DataFrame:
     """The five attribute texts of every offer page that has a specification table."""
     body = offers.select(*keys, H.without_noise(F.col("html")).alias("html"))
-    parts = body.select(
-        *keys,
-        H.inner_html(F.col("html"), SPEC_TABLE).alias("specs"),
-        H.text_of(H.inner_html(F.col("html"), PRICE_TEXT)).alias(PRICE),
-    ).where(F.col("specs").isNotNull())
-    return parts.select(
+    # The explode drops pages without a table and, unlike a filter, reads the page once.
+    specs = F.array_compact(F.array(H.inner_html(F.col("html"), SPEC_TABLE)))
+    with_table = body.select(*keys, "html", F.explode(specs).alias("specs"))
+    price = H.text_of(H.inner_html(F.col("html"), PRICE_TEXT))
+    return with_table.select(
         *keys,
         _spec(MODEL),
-        F.coalesce(PRICE, F.lit(SENTINEL)).alias(PRICE),
+        F.coalesce(price, F.lit(SENTINEL)).alias(PRICE),
         _spec(BRAND),
         _spec(RAM),
         _spec(CLOCK),
@@ -62,10 +59,4 @@ def offer_attributes(offers: DataFrame, keys: list[str]) -> DataFrame:
 
 def _spec(name: str) -> Column:
     row, label = SPEC_ROWS[name]
-    cells = H.row_cells(F.col("specs"), row)
-    return _labelled(cells, label).alias(name)
-
-
-def _labelled(cells: Column, label: str) -> Column:
-    value = F.when(trim(F.get(cells, F.lit(0))) == label, F.get(cells, F.lit(1)))
-    return F.coalesce(value, F.lit(SENTINEL))
+    return F.coalesce(H.labelled_cell(F.col("specs"), row, label), F.lit(SENTINEL)).alias(name)

@@ -8,6 +8,7 @@ import tempfile
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _CONF = "spark.checkpoint.dir"
 
@@ -42,12 +43,25 @@ def stage_observed(df: DataFrame, label: str, *metrics: Column) -> tuple[DataFra
     return staged, observation.get
 
 
+def _cores(df: DataFrame) -> int:
+    return df.sparkSession.sparkContext.defaultParallelism
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Hash-partition over every core, for a step that multiplies its few input rows.
 
     The adaptive planner sizes partitions by bytes and would hand such input to a
     task or two. Keys must be distinct rows, so that no partition is hot.
     """
-    spark = df.sparkSession
-    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return df.repartition(tasks, *keys)
+    tasks = max(_cores(df), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # Plain keys would be merged into the shuffle of a preceding aggregation.
+    return df.repartition(tasks, F.xxhash64(*keys))
+
+
+def fill_cores(scan: DataFrame) -> DataFrame:
+    """Spread a scan that has fewer splits than there are cores.
+
+    A small file of one row group is one task, whatever the work behind it. A
+    large table has many splits and is returned as it is, without a shuffle.
+    """
+    return scan.repartition(_cores(scan)) if scan.rdd.getNumPartitions() < _cores(scan) else scan

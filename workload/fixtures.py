@@ -6,14 +6,17 @@ from pyspark.sql import functions as F
 from offerlens.functions.html import Selector
 from offerlens.operators.extract import GRID, GRID_ITEM, LINK_HOST, SPEC_ROWS, SPEC_TABLE
 from offerlens.schema import BRAND, CLOCK, DATE, MODEL, OFFER_COLUMNS, PRICE, RAM, SENTINEL
+from offerlens.staging import fill_cores
 
 # Where the links of the ``pages`` table are.
 NAV = Selector("nav")
 NAV_ITEM = Selector("li")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """The named columns, or all, of a given table."""
+    scan = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return fill_cores(scan.select(*columns) if columns else scan)
 
 
 def _every(key: Column, *periods: int) -> Column:
@@ -32,10 +35,10 @@ def _with_comma(dollars: Column) -> Column:
 
 
 def _keyed_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate"
+    lineitem = table(
+        spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate"
     )
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_name", "p_brand", "p_size")
     sold = lineitem.join(part, F.col("l_partkey") == F.col("p_partkey")).withColumn(
         "h", F.expr("l_orderkey * 7 + l_linenumber * 3 + l_partkey")
     )
@@ -125,7 +128,7 @@ def _href(run: Column, page: Column, pos: Column) -> Column:
 
 def _crawled_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every part is a listing page; runs have 40 pages and pages one to five offers."""
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size", "p_retailprice")
+    part = table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_size", "p_retailprice")
     return part.select(
         "*",
         F.floor(F.col("p_partkey") / 40).cast("int").alias("run_no"),

@@ -90,9 +90,9 @@ specs as (
 
 # Poisson(1) weights: cumulative probabilities times the prime, rounded down.
 _WEIGHT = """case when copy > 0 then
-    case when u < 790015084 then 0 when u < 1580030168 then 1 when u < 1975037710 then 2 when u < 2106706891 then 3
-    when u < 2139624187 then 4 when u < 2146207646 then 5 when u < 2147304889 then 6 when u < 2147461638 then 7
-    when u < 2147481231 then 8 when u < 2147483408 then 9 when u < 2147483626 then 10 when u < 2147483646 then 11 else 12 end
+    case when u < 790015083 then 0 when u < 1580030167 then 1 when u < 1975037709 then 2 when u < 2106706890 then 3
+    when u < 2139624185 then 4 when u < 2146207644 then 5 when u < 2147304887 then 6 when u < 2147461637 then 7
+    when u < 2147481230 then 8 when u < 2147483407 then 9 when u < 2147483625 then 10 when u < 2147483645 then 11 else 12 end
   else greatest(0, round(n + sqrt(n) * sqrt(-2 * ln((u + 1) / 2147483648.0::double)) * cos(2 * pi() * v / 2147483647.0::double))) end"""
 
 

@@ -34,12 +34,17 @@ def _offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_offers(fixtures.offers_raw(spark, sf_dir))
 
 
+def _stored_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Analysis reads the offers from the table they were loaded into."""
+    return stage(_offers(spark, sf_dir), "offers")
+
+
 def _funnel(spark: SparkSession, sf_dir: str) -> Funnel:
-    return Funnel(_offers(spark, sf_dir))
+    return Funnel(_stored_offers(spark, sf_dir))
 
 
 def _eligible(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return funnel.min_present(funnel.drop_null_model(funnel.null_missing(_offers(spark, sf_dir))))
+    return funnel.min_present(funnel.drop_null_model(funnel.null_missing(_stored_offers(spark, sf_dir))))
 
 
 def _rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
@@ -168,7 +173,7 @@ def clock_category(spark, sf_dir):
 
 @_query
 def drop_null_model(spark, sf_dir):
-    return funnel.drop_null_model(funnel.null_missing(_offers(spark, sf_dir)))
+    return funnel.drop_null_model(funnel.null_missing(_stored_offers(spark, sf_dir)))
 
 
 @_query
@@ -198,7 +203,7 @@ def iqr_clock(spark, sf_dir):
 
 @_query
 def iqr_events(spark, sf_dir):
-    events = fixtures.table(spark, sf_dir, "events").select("event_id", "value")
+    events = fixtures.table(spark, sf_dir, "events", "event_id", "value")
     return events.where(funnel.Fence(*exact_quantiles(events, "value", [0.25, 0.75])).holds("value"))
 
 
