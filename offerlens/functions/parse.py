@@ -24,7 +24,9 @@ _NUMBER = (
     rf"[+-]?(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
     r"|(?i:inf|infinity|nan))"
 )
-_FLOAT = rf"^[{WHITESPACE}]*({_NUMBER})[{WHITESPACE}]*$"
+# float() leaves the four separator controls alone, unlike strip().
+_FLOAT_SPACE = "".join(c for c in WHITESPACE if not "\x1c" <= c <= "\x1f")
+_FLOAT = rf"^[{_FLOAT_SPACE}]*({_NUMBER})[{_FLOAT_SPACE}]*$"
 
 
 def trim(text: Column) -> Column:

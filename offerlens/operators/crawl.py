@@ -51,17 +51,11 @@ def run_stops(pages: DataFrame, grid: H.Selector = GRID) -> DataFrame:
     return first.select(*RUN, F.col("stop.page_no").alias("stop_page"), F.col("stop.event").alias("event"))
 
 
-def admit_pages(pages: DataFrame, grid: H.Selector = GRID) -> DataFrame:
-    """The answered pages before the first bad page of their run."""
-    return _before_stop(pages, run_stops(pages, grid)).where(_answered())
-
-
-def _before_stop(rows: DataFrame, stops: DataFrame) -> DataFrame:
-    return (
-        rows.join(stops.select(*RUN, "stop_page"), RUN, "left")
-        .where(F.col("stop_page").isNull() | (F.col("page_no") < F.col("stop_page")))
-        .drop("stop_page")
-    )
+def admit_pages(pages: DataFrame, stops: DataFrame) -> DataFrame:
+    """The answered pages before the stop of their run, if it has one."""
+    joined = pages.where(_answered()).join(stops.select(*RUN, "stop_page"), RUN, "left")
+    before = F.col("stop_page").isNull() | (F.col("page_no") < F.col("stop_page"))
+    return joined.where(before).drop("stop_page")
 
 
 def page_blocks(offers: DataFrame) -> DataFrame:
@@ -77,11 +71,9 @@ def admit_offers(offers: DataFrame) -> DataFrame:
     return ahead.drop("block_pos").where(_answered())
 
 
-def page_events(pages: DataFrame, grid: H.Selector = GRID) -> DataFrame:
-    """How the runs ended: ``run_date, stage, event, n``."""
-    return run_stops(pages, grid).groupBy(*RUN, "event").agg(F.count(F.lit(1)).alias("n")).select(
-        *RUN, F.lit("page").alias("stage"), "event", "n"
-    )
+def page_events(stops: DataFrame) -> DataFrame:
+    """How the stopped runs ended: ``run_date, stage, event, n``."""
+    return stops.select(*RUN, F.lit("page").alias("stage"), "event", F.lit(1).cast("long").alias("n"))
 
 
 def offer_events(offers: DataFrame) -> DataFrame:

@@ -2,39 +2,48 @@
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerlens.operators.clean import batch_verdict, clean_offers, stamp_date
-from offerlens.operators.crawl import RUN, admit_offers, admit_pages, load_events, offer_events, page_events
+from offerlens.operators.crawl import RUN, admit_offers, admit_pages, load_events, offer_events, page_events, run_stops
 from offerlens.operators.extract import offer_attributes, offer_links
 from offerlens.schema import DATE, OFFER_COLUMNS
 from offerlens.sources.sinks import QUARANTINE_SUFFIX, append_csv, append_offers
 from offerlens.staging import stage
 
 
-def visited_offers(pages: DataFrame, fetched: DataFrame) -> DataFrame:
+def visited_offers(pages: DataFrame, stops: DataFrame, fetched: DataFrame) -> DataFrame:
     """The fetched offer pages behind the links of the admitted listing pages."""
-    links = offer_links(admit_pages(pages), [*RUN, "page_no"])
+    links = offer_links(admit_pages(pages, stops), [*RUN, "page_no"])
     return links.join(fetched, [*RUN, "page_no", "url"])
 
 
-def raw_offers(pages: DataFrame, fetched: DataFrame) -> DataFrame:
-    """The raw offers of all runs in the crawl, each stamped with its run date."""
-    admitted = admit_offers(stage(visited_offers(pages, fetched), "visited"))
-    return offer_attributes(admitted, RUN).withColumnRenamed("run_date", DATE).select(*OFFER_COLUMNS)
+@dataclass(frozen=True)
+class Crawl:
+    """A stored crawl with its frames that more than one step reads, staged."""
+
+    stops: DataFrame
+    visited: DataFrame
+
+    @classmethod
+    def read(cls, pages: DataFrame, fetched: DataFrame) -> "Crawl":
+        stops = stage(run_stops(pages), "run-stops")
+        return cls(stops, stage(visited_offers(pages, stops, fetched), "visited"))
+
+    def raw_offers(self) -> DataFrame:
+        """The raw offers of all runs, each stamped with its run date."""
+        extracted = offer_attributes(admit_offers(self.visited), RUN)
+        return extracted.withColumnRenamed("run_date", DATE).select(*OFFER_COLUMNS)
+
+    def events(self) -> DataFrame:
+        return page_events(self.stops).unionByName(offer_events(self.visited))
 
 
-def crawl_report(pages: DataFrame, visited: DataFrame, raw: DataFrame) -> DataFrame:
+def crawl_report(crawl: Crawl, runs: DataFrame, raw: DataFrame) -> DataFrame:
     """Events of every run from its pages, offers, cleaning and loading."""
     verdicts = batch_verdict(raw, [DATE]).withColumnRenamed(DATE, "run_date")
-    runs = pages.select(*RUN).distinct()
-    return (
-        page_events(pages)
-        .unionByName(offer_events(visited))
-        .unionByName(load_events(runs, verdicts))
-        .select("run_date", "stage", "event", F.col("n").cast("long").alias("n"))
-    )
+    return crawl.events().unionByName(load_events(runs, verdicts))
 
 
 @dataclass(frozen=True)
@@ -50,7 +59,8 @@ def load_batch(raw: DataFrame, table_path: str) -> LoadResult:
     """Clean and append one batch, whole or not at all.
 
     One cell that cannot be parsed sends the raw batch to the quarantine table. A
-    batch that cannot be written to its table goes to the CSV fallback.
+    batch that cannot be written to its table goes to the CSV fallback. ``raw`` is
+    read twice, so pass a stored or staged frame.
     """
     verdict = batch_verdict(raw).first()
     rows = verdict["n_rows"]
@@ -67,14 +77,14 @@ def load_batch(raw: DataFrame, table_path: str) -> LoadResult:
 
 
 def load_runs(raw: DataFrame, table_path: str) -> None:
-    """Append many runs at once, each judged as its own batch by its date."""
+    """Append many stored runs at once, each judged as its own batch by its date."""
     verdicts = stage(batch_verdict(raw, [DATE]), "verdicts").select(DATE, "is_clean")
     judged = raw.join(verdicts, DATE)
     append_offers(clean_offers(judged.where("is_clean")), table_path)
     append_offers(judged.where("not is_clean"), f"{table_path}{QUARANTINE_SUFFIX}")
 
 
-def run_report(result: LoadResult, run_date: str, spark) -> DataFrame:
+def run_report(result: LoadResult, run_date: str, spark: SparkSession) -> DataFrame:
     """The load part of the report of a single run."""
     events = {
         "nothing": [("clean", "no_data", 1)],
@@ -88,10 +98,7 @@ def run_report(result: LoadResult, run_date: str, spark) -> DataFrame:
 
 def run_etl(pages: DataFrame, fetched: DataFrame, table_path: str, run_date: str) -> tuple[LoadResult, DataFrame]:
     """Extract, clean and load one run; returns where it went and its report."""
-    visited = stage(visited_offers(pages, fetched), "visited")
-    raw = stage(
-        stamp_date(offer_attributes(admit_offers(visited), []), run_date), "raw-offers"
-    )
+    crawl = Crawl.read(pages, fetched)
+    raw = stage(stamp_date(crawl.raw_offers(), run_date), "raw-offers")
     result = load_batch(raw, table_path)
-    report = page_events(pages).unionByName(offer_events(visited)).unionByName(run_report(result, run_date, raw.sparkSession))
-    return result, report
+    return result, crawl.events().unionByName(run_report(result, run_date, raw.sparkSession))

@@ -14,19 +14,29 @@ _CONF = "spark.checkpoint.dir"
 
 
 def stage_root(spark: SparkSession) -> str:
-    """The checkpoint folder of the session; a temporary one only in local mode."""
-    root = spark.conf.get(_CONF, "") or spark.sparkContext.getCheckpointDir()
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {_CONF} to a folder that every executor can reach")
-    root = tempfile.mkdtemp(prefix="offerlens-stage-")
-    spark.conf.set(_CONF, root)
-    return root
+    """The folder of this application below the checkpoint folder of the session.
+
+    Where no checkpoint folder is set, local mode gets a temporary one; a cluster
+    must name a folder that every executor can reach.
+    """
+    context = spark.sparkContext
+    root = spark.conf.get(_CONF, "") or context.getCheckpointDir()
+    if not root:
+        if not context.master.startswith("local"):
+            raise RuntimeError(f"set {_CONF} to a folder that every executor can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="offerlens-stage-"))
+        root = context.getCheckpointDir()
+    return f"{root.rstrip('/')}/offerlens/{context.applicationId}"
 
 
 def new_stage_path(spark: SparkSession, label: str) -> str:
-    return f"{stage_root(spark)}/offerlens/{label}-{uuid4().hex}"
+    return f"{stage_root(spark)}/{label}-{uuid4().hex}"
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Delete everything this application staged; frames that read it become invalid."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stage_root(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -59,9 +69,12 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def fill_cores(scan: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer splits than there are cores.
+    """Spread a scan that has fewer splits than there are cores, by row content.
 
     A small file of one row group is one task, whatever the work behind it. A
     large table has many splits and is returned as it is, without a shuffle.
     """
-    return scan.repartition(_cores(scan)) if scan.rdd.getNumPartitions() < _cores(scan) else scan
+    cores = _cores(scan)
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores, F.xxhash64(*scan.columns))

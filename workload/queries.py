@@ -65,13 +65,14 @@ def listing_window(spark, sf_dir):
 @_query
 def crawl_prefix(spark, sf_dir):
     pages = fixtures.nav_pages(spark, sf_dir)
-    return crawl.admit_pages(pages, fixtures.NAV).select("run_date", "page_no", "status")
+    stops = crawl.run_stops(pages, fixtures.NAV)
+    return crawl.admit_pages(pages, stops).select("run_date", "page_no", "status")
 
 
 @_query
 def crawl_prefix_grid(spark, sf_dir):
     pages = fixtures.part_pages(spark, sf_dir)
-    return crawl.admit_pages(pages).select("run_date", "page_no", "status")
+    return crawl.admit_pages(pages, crawl.run_stops(pages)).select("run_date", "page_no", "status")
 
 
 @_query
@@ -101,7 +102,7 @@ def offer_extract(spark, sf_dir):
 
 @_query
 def crawl_raw_offers(spark, sf_dir):
-    return etl.raw_offers(fixtures.part_pages(spark, sf_dir), fixtures.part_offers(spark, sf_dir))
+    return etl.Crawl.read(fixtures.part_pages(spark, sf_dir), fixtures.part_offers(spark, sf_dir)).raw_offers()
 
 
 @_query
@@ -353,7 +354,6 @@ def load_routing(spark, sf_dir):
 
 @_query
 def run_report(spark, sf_dir):
-    pages, fetched = fixtures.part_pages(spark, sf_dir), fixtures.part_offers(spark, sf_dir)
-    visited = stage(etl.visited_offers(pages, fetched), "visited")
-    raw = extract.offer_attributes(crawl.admit_offers(visited), crawl.RUN).withColumnRenamed("run_date", DATE)
-    return etl.crawl_report(pages, visited, raw)
+    pages = fixtures.part_pages(spark, sf_dir)
+    made = etl.Crawl.read(pages, fixtures.part_offers(spark, sf_dir))
+    return etl.crawl_report(made, pages.select(*crawl.RUN).distinct(), made.raw_offers())
