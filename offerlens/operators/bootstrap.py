@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from offerlens.operators.distribution import CATEGORY_LABELS, all_categories, value_range
 from offerlens.schema import CLOCK, PRICE
-from offerlens.staging import spread
+from offerlens.staging import spread, stage
 
 REPLICATES = 1000
 GRID_POINTS = 100
@@ -91,23 +91,27 @@ def _cells(df: DataFrame, *columns: str) -> DataFrame:
     return df.na.drop(subset=list(columns)).groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _with_original(drawn: DataFrame, cells: DataFrame) -> DataFrame:
+    """The draws and, as replicate 0, the rows they were drawn from."""
+    return drawn.unionByName(cells.withColumns({"replicate": F.lit(0).cast("long"), "weight": F.col("n")}))
+
+
 def _interval(value: Column) -> tuple[Column, Column]:
     return tuple(F.percentile(value, p) for p in INTERVAL)
 
 
 def price_clock_band(unique: DataFrame, replicates: int = REPLICATES, points: int = GRID_POINTS) -> DataFrame:
     """Fitted line and its 95% band on an even grid of clock values."""
-    pairs = unique.na.drop(subset=[CLOCK, PRICE])
-    limits = value_range(pairs, CLOCK)
+    cells = stage(_cells(unique, CLOCK, PRICE), "pairs")
+    limits = value_range(cells, CLOCK)
     if limits is None:
         return unique.sparkSession.createDataFrame([], "point int, clock double, fit double, low double, high double")
     low, high = limits
     x, y, w = F.col(CLOCK), F.col(PRICE), F.col("weight")
-    drawn = resample(_cells(unique, CLOCK, PRICE), replicates)
-    cells = _cells(unique, CLOCK, PRICE).select(CLOCK, PRICE, F.lit(0).cast("long").alias("replicate"), F.col("n").alias("weight"))
+    drawn = _with_original(resample(cells, replicates), cells)
     # Clocks are measured from the lowest, which keeps the squared sums small.
     dx = x - F.lit(low)
-    sums = drawn.select(CLOCK, PRICE, "replicate", "weight").unionByName(cells).groupBy("replicate").agg(
+    sums = drawn.groupBy("replicate").agg(
         F.sum(w).alias("n"), F.sum(w * dx).alias("sx"), F.sum(w * y).alias("sy"),
         F.sum(w * dx * dx).alias("sxx"), F.sum(w * dx * y).alias("sxy"),
     )
@@ -125,10 +129,8 @@ def price_clock_band(unique: DataFrame, replicates: int = REPLICATES, points: in
 
 def price_by_category_ci(categorised: DataFrame, replicates: int = REPLICATES) -> DataFrame:
     """Mean price per category with its 95% interval, in category order."""
-    cells = _cells(categorised, "category_no", PRICE)
-    drawn = resample(cells, replicates).unionByName(
-        cells.select("category_no", PRICE, "n", F.lit(0).cast("long").alias("replicate"), F.col("n").alias("weight"))
-    )
+    cells = stage(_cells(categorised, "category_no", PRICE), "category-prices")
+    drawn = _with_original(resample(cells, replicates), cells)
     means = drawn.groupBy("category_no", "replicate").agg(
         F.sum("weight").alias("n"), F.try_divide(F.sum(F.col("weight") * F.col(PRICE)), F.sum("weight")).alias("mean")
     )

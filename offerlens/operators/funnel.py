@@ -2,8 +2,10 @@
 
 Every step needs a number about the whole frame that the step before left over.
 Those numbers are few and bounded (k keys, two fences), so they are fetched and
-become literals of the next filter. The offers are scanned twice, whatever the
-number of steps: once to count (brand, model), once to keep the popular models.
+become literals of the next filter. Two scans find them all: one counts (brand,
+model), one counts (brand, price, clock) of the popular models. Statistics that
+keep copies read the second count; the rows themselves are a third scan with every
+filter pushed into it.
 """
 
 from dataclasses import dataclass
@@ -128,21 +130,25 @@ class Funnel:
         return min_present(drop_null_model(null_missing(self.offers)), self._least)
 
     def of_top_brands(self) -> DataFrame:
-        return self._select_rows(F.col(BRAND).isin(self.brands))
+        return self._rows_where(F.col(BRAND).isin(self.brands))
 
     def of_top_models(self) -> DataFrame:
-        return self._select_rows(F.col(BRAND).isin(self.brands) & F.col(MODEL).isin(self.models))
+        return self._rows_where(self._is_popular())
 
-    def _select_rows(self, keep: Column) -> DataFrame:
-        # The key filters name stored columns and literals, so they reach the scan.
+    def _is_popular(self) -> Column:
+        return F.col(BRAND).isin(self.brands) & F.col(MODEL).isin(self.models)
+
+    def _rows_where(self, keep: Column) -> DataFrame:
+        # Filters that compare stored columns with literals reach the scan. None of
+        # them holds for a sentinel or for NaN, so they may come before null_missing.
         return min_present(drop_null_model(null_missing(self.offers.where(keep))), self._least)
 
     @cached_property
-    def _popular(self) -> tuple[DataFrame, dict]:
-        """Distinct offers of the top models with their copies; the second scan."""
-        distinct = self.of_top_models().groupBy(*OFFER_COLUMNS).agg(F.count(F.lit(1)).alias("n"))
+    def _cells(self) -> tuple[DataFrame, dict]:
+        """Rows of the top models counted by brand, price and clock; the second scan."""
+        counted = self.of_top_models().groupBy(BRAND, PRICE, CLOCK).agg(F.count(F.lit(1)).alias("n"))
         return stage_observed(
-            distinct,
+            counted,
             "popular",
             F.approx_count_distinct(PRICE).alias("prices"),
             F.approx_count_distinct(CLOCK).alias("clocks"),
@@ -150,35 +156,41 @@ class Funnel:
 
     @property
     def popular(self) -> DataFrame:
-        return self._popular[0]
+        return self._cells[0]
 
     @cached_property
     def price_fence(self) -> Fence:
-        quartiles = exact_quantiles(self.popular, PRICE, [0.25, 0.75], F.col("n"), self._popular[1]["prices"])
+        quartiles = exact_quantiles(self.popular, PRICE, [0.25, 0.75], F.col("n"), self._cells[1]["prices"])
         return Fence(*quartiles, self._whisker)
 
     @cached_property
     def clock_fence(self) -> Fence:
         """Taken after the price fence."""
         inside = self.popular.where(self.price_fence.holds(PRICE))
-        quartiles = exact_quantiles(inside, CLOCK, [0.25, 0.75], F.col("n"), self._popular[1]["clocks"])
+        quartiles = exact_quantiles(inside, CLOCK, [0.25, 0.75], F.col("n"), self._cells[1]["clocks"])
         return Fence(*quartiles, self._whisker)
 
     def inside_price(self) -> DataFrame:
         """Rows, copies included, after the price fence."""
-        return self.of_top_models().where(self.price_fence.holds(PRICE))
+        return self._rows_where(self._is_popular() & self.price_fence.holds(PRICE))
+
+    def _in_fences(self) -> Column:
+        return self.price_fence.holds(PRICE) & self.clock_fence.holds(CLOCK)
 
     def rows(self) -> DataFrame:
         """Rows, copies included, after the whole funnel."""
-        return self.inside_price().where(self.clock_fence.holds(CLOCK))
+        return self._rows_where(self._is_popular() & self._in_fences())
 
-    @cached_property
     def weighted(self) -> DataFrame:
-        """The same rows as distinct offers with a copy count ``n``."""
-        return self.popular.where(self.price_fence.holds(PRICE) & self.clock_fence.holds(CLOCK))
+        """The same rows counted by brand, price and clock, with the count ``n``.
+
+        Enough for every statistic that keeps copies, at a fraction of the rows.
+        """
+        return self.popular.where(self._in_fences())
 
     def unique(self) -> DataFrame:
-        return self.weighted.select(*OFFER_COLUMNS)
+        """The distinct rows; stage it where more than one step reads it."""
+        return self.rows().distinct()
 
     def counts(self) -> DataFrame:
         """Rows left after each step, in order."""
@@ -189,16 +201,20 @@ class Funnel:
             F.sum(F.when(F.col(BRAND).isin(self.brands), F.col("n"))).alias("top_brands"),
         )
         in_price = self.price_fence.holds(PRICE)
-        in_both = in_price & self.clock_fence.holds(CLOCK)
         popular = self.popular.agg(
             F.sum("n").alias("top_models"),
             F.sum(F.when(F.col(PRICE).isNotNull(), F.col("n"))).alias("price_present"),
             F.sum(F.when(in_price, F.col("n"))).alias("price_fence"),
             F.sum(F.when(in_price & F.col(CLOCK).isNotNull(), F.col("n"))).alias("clock_present"),
-            F.sum(F.when(in_both, F.col("n"))).alias("clock_fence"),
-            F.count_if(in_both).alias("distinct"),
+            F.sum(F.when(self._in_fences(), F.col("n"))).alias("clock_fence"),
         )
-        return _numbered_steps(pairs, 0).unionByName(_numbered_steps(popular, len(pairs.columns)))
+        distinct = self.unique().agg(F.count(F.lit(1)).alias("distinct"))
+        first = 0
+        steps = []
+        for one_row in (pairs, popular, distinct):
+            steps.append(_numbered_steps(one_row, first))
+            first += len(one_row.columns)
+        return steps[0].unionByName(steps[1]).unionByName(steps[2])
 
 
 def _numbered_steps(one_row: DataFrame, first: int) -> DataFrame:

@@ -5,12 +5,13 @@ from pyspark.sql import DataFrame
 from offerlens.operators import bootstrap, distribution, metrics
 from offerlens.operators.funnel import Funnel
 from offerlens.schema import CLOCK
+from offerlens.staging import stage
 
 
 def dashboard(offers: DataFrame, replicates: int = bootstrap.REPLICATES) -> dict[str, DataFrame]:
-    """One frame per chart; the funnel behind them is staged once and shared."""
+    """One frame per chart; the funnel behind them is computed once and shared."""
     funnel = Funnel(offers)
-    unique, weighted = funnel.unique(), funnel.weighted
+    unique, weighted = stage(funnel.unique(), "unique"), funnel.weighted()
     categorised = distribution.with_clock_category(unique, distribution.value_range(weighted, CLOCK))
     return {
         "price_by_model": metrics.mean_price_by_model(unique),

@@ -161,7 +161,7 @@ def usd_per_100mhz(spark, sf_dir):
 
 
 def _categorised(made: Funnel) -> DataFrame:
-    return distribution.with_clock_category(made.unique(), distribution.value_range(made.weighted, CLOCK))
+    return distribution.with_clock_category(made.unique(), distribution.value_range(made.weighted(), CLOCK))
 
 
 @_query
@@ -250,7 +250,7 @@ def dedup_offers(spark, sf_dir):
 
 @_query
 def brand_share(spark, sf_dir):
-    return _rounded(metrics.brand_share(_funnel(spark, sf_dir).weighted), 1, "percent")
+    return _rounded(metrics.brand_share(_funnel(spark, sf_dir).weighted()), 1, "percent")
 
 
 @_query
@@ -278,22 +278,22 @@ def price_by_category_ci(spark, sf_dir):
 
 @_query
 def price_box(spark, sf_dir):
-    return distribution.box_stats(_funnel(spark, sf_dir).weighted)
+    return distribution.box_stats(_funnel(spark, sf_dir).weighted())
 
 
 @_query
 def price_box_outliers(spark, sf_dir):
-    return distribution.box_outliers(_funnel(spark, sf_dir).weighted)
+    return distribution.box_outliers(_funnel(spark, sf_dir).weighted())
 
 
 @_query
 def price_histogram(spark, sf_dir):
-    return _rounded(distribution.histogram(_funnel(spark, sf_dir).weighted), 6, "bin_low", "bin_high")
+    return _rounded(distribution.histogram(_funnel(spark, sf_dir).weighted()), 6, "bin_low", "bin_high")
 
 
 @_query
 def price_kde(spark, sf_dir):
-    curve = distribution.density(_funnel(spark, sf_dir).weighted)
+    curve = distribution.density(_funnel(spark, sf_dir).weighted())
     return _rounded(_rounded(curve, 6, "x", "count_scaled"), 12, "density")
 
 
