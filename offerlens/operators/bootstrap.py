@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from offerlens.operators.distribution import CATEGORY_LABELS, all_categories, value_range
+from offerlens.operators.distribution import all_categories, value_range
 from offerlens.schema import CLOCK, PRICE
 from offerlens.staging import spread, stage
 

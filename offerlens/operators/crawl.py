@@ -24,7 +24,7 @@ def listing_window(pages: DataFrame, base_url: str, start: int = 1, count: int =
     return chosen.withColumn("url", F.concat(F.lit(f"{base_url}&page="), F.col("page_no").cast("string")))
 
 
-def _answered() -> Column:
+def answered() -> Column:
     """Response codes between 101 and 299."""
     return (F.col("status") > 100) & (F.col("status") < 300) & F.col("error").isNull()
 
@@ -40,7 +40,7 @@ def page_stop_event(grid: H.Selector = GRID) -> Column:
     grid_found = F.coalesce(H.has_element(H.without_noise(F.col("html")), grid), F.lit(False))
     return F.coalesce(
         _fetch_error(),
-        F.when(refused, "request_error").when(_answered() & ~grid_found, "no_grid"),
+        F.when(refused, "request_error").when(answered() & ~grid_found, "no_grid"),
     )
 
 
@@ -53,9 +53,13 @@ def run_stops(pages: DataFrame, grid: H.Selector = GRID) -> DataFrame:
 
 def admit_pages(pages: DataFrame, stops: DataFrame) -> DataFrame:
     """The answered pages before the stop of their run, if it has one."""
-    joined = pages.where(_answered()).join(stops.select(*RUN, "stop_page"), RUN, "left")
-    before = F.col("stop_page").isNull() | (F.col("page_no") < F.col("stop_page"))
-    return joined.where(before).drop("stop_page")
+    return before_stop(pages.where(answered()), stops)
+
+
+def before_stop(rows: DataFrame, stops: DataFrame) -> DataFrame:
+    """The rows whose ``page_no`` lies before the stop of their run."""
+    joined = rows.join(stops.select(*RUN, "stop_page"), RUN, "left")
+    return joined.where(F.col("stop_page").isNull() | (F.col("page_no") < F.col("stop_page"))).drop("stop_page")
 
 
 def page_blocks(offers: DataFrame) -> DataFrame:
@@ -68,7 +72,7 @@ def admit_offers(offers: DataFrame) -> DataFrame:
     """The answered offers in front of the first block of their page."""
     reached = offers.join(page_blocks(offers), [*RUN, "page_no"], "left")
     ahead = reached.where(F.col("block_pos").isNull() | (F.col("pos") < F.col("block_pos")))
-    return ahead.drop("block_pos").where(_answered())
+    return ahead.drop("block_pos").where(answered())
 
 
 def page_events(stops: DataFrame) -> DataFrame:

@@ -1,5 +1,7 @@
 """Stored listing and offer pages to links and raw offers."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,13 +44,26 @@ def offer_links(
 
 def offer_attributes(offers: DataFrame, keys: list[str]) -> DataFrame:
     """The five attribute texts of every offer page that has a specification table."""
+    return _attributes(offers, keys, F.explode).drop("has_specs")
+
+
+def read_offer_pages(offers: DataFrame, keys: list[str]) -> DataFrame:
+    """The attribute texts in place of the page, and whether it has a specification table.
+
+    Reading before any join keeps the pages themselves out of every shuffle.
+    """
+    return _attributes(offers, keys, F.explode_outer)
+
+
+def _attributes(offers: DataFrame, keys: list[str], explode: Callable[[Column], Column]) -> DataFrame:
     body = offers.select(*keys, H.without_noise(F.col("html")).alias("html"))
-    # The explode drops pages without a table and, unlike a filter, reads the page once.
+    # The explode drops or marks pages without a table and, unlike a filter, reads the page once.
     specs = F.array_compact(F.array(H.inner_html(F.col("html"), SPEC_TABLE)))
-    with_table = body.select(*keys, "html", F.explode(specs).alias("specs"))
+    with_table = body.select(*keys, "html", explode(specs).alias("specs"))
     price = H.text_of(H.inner_html(F.col("html"), PRICE_TEXT))
     return with_table.select(
         *keys,
+        F.col("specs").isNotNull().alias("has_specs"),
         _spec(MODEL),
         F.coalesce(price, F.lit(SENTINEL)).alias(PRICE),
         _spec(BRAND),

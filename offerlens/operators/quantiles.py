@@ -1,6 +1,7 @@
 """Exact, linearly interpolated quantiles of weighted values."""
 
 import math
+from functools import reduce
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
@@ -56,18 +57,26 @@ def _ranged_quantiles(counts: DataFrame, value: str, probabilities: list[float])
     positions = [p * (total - 1) for p in probabilities]
     ranks = sorted({f(x) for x in positions for f in (math.floor, math.ceil)})
 
-    wanted = {}
+    # Where each rank lies: its slice, and how many rows of the slice come before it.
+    places = {}
     for rank in ranks:
         at = next(i for i, end in enumerate(ends) if rank < end)
-        wanted.setdefault(totals[at]["slice"], []).append((rank, rank - (ends[at] - totals[at]["n"])))
+        places[rank] = (totals[at]["slice"], rank - (ends[at] - totals[at]["n"]))
     # Only the slices that hold a wanted rank are sorted, each in its own task.
     running = Window.partitionBy("slice").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = slices.where(F.col("slice").isin(list(wanted))).withColumn("end", F.sum("n").over(running))
-    found = {}
-    for at, offsets in wanted.items():
-        for rank, offset in offsets:
-            hit = ranked.where((F.col("slice") == at) & (F.col("end") > offset) & (F.col("end") - F.col("n") <= offset))
-            found[rank] = hit.first()[value]
+    sorted_slices = slices.where(F.col("slice").isin([s for s, _ in places.values()])).withColumn(
+        "end", F.sum("n").over(running)
+    )
+    hit = reduce(
+        lambda a, b: a | b,
+        [(F.col("slice") == s) & (F.col("end") > k) & (F.col("end") - F.col("n") <= k) for s, k in places.values()],
+    )
+    # At most one row per rank.
+    hits = sorted_slices.where(hit).collect()
+    found = {
+        rank: next(h[value] for h in hits if h["slice"] == s and h["end"] - h["n"] <= k < h["end"])
+        for rank, (s, k) in places.items()
+    }
 
     def at_position(x: float) -> float:
         low, high = math.floor(x), math.ceil(x)

@@ -6,17 +6,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerlens.operators.clean import batch_verdict, clean_offers, stamp_date
-from offerlens.operators.crawl import RUN, admit_offers, admit_pages, load_events, offer_events, page_events, run_stops
-from offerlens.operators.extract import offer_attributes, offer_links
+from offerlens.operators.crawl import (
+    RUN,
+    admit_offers,
+    answered,
+    before_stop,
+    load_events,
+    offer_events,
+    page_events,
+    run_stops,
+)
+from offerlens.operators.extract import offer_links, read_offer_pages
 from offerlens.schema import DATE, OFFER_COLUMNS
 from offerlens.sources.sinks import QUARANTINE_SUFFIX, append_csv, append_offers
 from offerlens.staging import stage
 
 
 def visited_offers(pages: DataFrame, stops: DataFrame, fetched: DataFrame) -> DataFrame:
-    """The fetched offer pages behind the links of the admitted listing pages."""
-    links = offer_links(admit_pages(pages, stops), [*RUN, "page_no"])
-    return links.join(fetched, [*RUN, "page_no", "url"])
+    """The offers behind the links of the admitted listing pages, already read.
+
+    Links and attributes are extracted where the pages lie, so that the joins move
+    a few short columns per offer and no page.
+    """
+    page = [*RUN, "page_no"]
+    links = before_stop(offer_links(pages.where(answered()), page), stops)
+    body = F.when(answered(), F.col("html")).alias("html")
+    offers = read_offer_pages(fetched.select(*page, "url", "status", "error", body), [*page, "url", "status", "error"])
+    return links.join(offers, [*page, "url"])
 
 
 @dataclass(frozen=True)
@@ -33,8 +49,8 @@ class Crawl:
 
     def raw_offers(self) -> DataFrame:
         """The raw offers of all runs, each stamped with its run date."""
-        extracted = offer_attributes(admit_offers(self.visited), RUN)
-        return extracted.withColumnRenamed("run_date", DATE).select(*OFFER_COLUMNS)
+        offers = admit_offers(self.visited).where("has_specs")
+        return offers.withColumnRenamed("run_date", DATE).select(*OFFER_COLUMNS)
 
     def events(self) -> DataFrame:
         return page_events(self.stops).unionByName(offer_events(self.visited))
@@ -67,21 +83,26 @@ def load_batch(raw: DataFrame, table_path: str) -> LoadResult:
     if rows == 0:
         return LoadResult("nothing", 0)
     clean = verdict["is_clean"]
-    batch = clean_offers(raw) if clean else raw
-    try:
-        append_offers(batch, table_path if clean else f"{table_path}{QUARANTINE_SUFFIX}")
-    except Exception as failure:  # any failed load falls back, as long as the CSV can be written
-        append_csv(batch, f"{table_path}.csv")
-        return LoadResult("csv", rows, str(failure))
-    return LoadResult("table" if clean else "quarantine", rows)
+    error = _append(clean_offers(raw) if clean else raw, table_path, clean, one_date=True)
+    return LoadResult("csv" if error else "table" if clean else "quarantine", rows, error)
 
 
 def load_runs(raw: DataFrame, table_path: str) -> None:
     """Append many stored runs at once, each judged as its own batch by its date."""
     verdicts = stage(batch_verdict(raw, [DATE]), "verdicts").select(DATE, "is_clean")
     judged = raw.join(verdicts, DATE)
-    append_offers(clean_offers(judged.where("is_clean")), table_path)
-    append_offers(judged.where("not is_clean"), f"{table_path}{QUARANTINE_SUFFIX}")
+    _append(clean_offers(judged.where("is_clean")), table_path, clean=True, one_date=False)
+    _append(judged.where("not is_clean"), table_path, clean=False, one_date=False)
+
+
+def _append(batch: DataFrame, table_path: str, clean: bool, one_date: bool) -> str:
+    """Append to the table or to quarantine; to the CSV fallback, with the error, if that fails."""
+    try:
+        append_offers(batch, table_path if clean else f"{table_path}{QUARANTINE_SUFFIX}", one_date)
+    except Exception as failure:  # whatever keeps the table from taking the batch
+        append_csv(batch, f"{table_path}.csv")
+        return str(failure)
+    return ""
 
 
 def run_report(result: LoadResult, run_date: str, spark: SparkSession) -> DataFrame:

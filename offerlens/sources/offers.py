@@ -1,17 +1,18 @@
 """Reading stored offers."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from offerlens.schema import OFFER, OFFER_COLUMNS
 
 
-def read_offers(spark: SparkSession, path: str, source: str = "parquet") -> DataFrame:
+def read_offers(spark: SparkSession, path: str, source: str = "parquet", schema: StructType = OFFER) -> DataFrame:
     """The six offer columns of a stored table; only they are read.
 
     ``source`` is any file source of Spark. A CSV fallback file is read with the
-    missing text it was written with.
+    missing text it was written with. Quarantined offers have the raw schema.
     """
-    reader = spark.read.schema(OFFER)
+    reader = spark.read.schema(schema)
     if source == "csv":
         reader = reader.option("header", True).option("nullValue", "NaN")
     return reader.format(source).load(path).select(*OFFER_COLUMNS)

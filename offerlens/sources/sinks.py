@@ -7,13 +7,15 @@ from offerlens.schema import DATE, OFFER_COLUMNS
 QUARANTINE_SUFFIX = "_uncleaned"
 
 
-def append_offers(batch: DataFrame, table_path: str) -> None:
+def append_offers(batch: DataFrame, table_path: str, one_date: bool = False) -> None:
     """Append a batch, partitioned by date; the table is made when missing.
 
-    A batch carries few dates, each possibly very large. The rebalance keeps the
-    files at the advisory size: small dates share a task and large ones are split.
+    The rows of a single run carry one date and are written where they are. A batch
+    of many dates is rebalanced first, or every task would write a file per date:
+    small dates then share a task and a large one is split over several.
     """
-    batch.select(*OFFER_COLUMNS).hint("rebalance", DATE).write.mode("append").partitionBy(DATE).parquet(table_path)
+    rows = batch.select(*OFFER_COLUMNS)
+    (rows if one_date else rows.hint("rebalance", DATE)).write.mode("append").partitionBy(DATE).parquet(table_path)
 
 
 def append_jdbc(batch: DataFrame, url: str, table: str, **options: str) -> None:

@@ -3,21 +3,21 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from offerlens.plans.etl import load_batch
+from offerlens.plans.etl import load_runs
 from offerlens.schema import RAW_OFFER
 from offerlens.staging import stage
 
 
 def load_new_offers(spark: SparkSession, raw_folder: str, table_path: str, checkpoint: str) -> StreamingQuery:
-    """Load all new Parquet files of raw offers as one batch, then stop.
+    """Load the runs in all new Parquet files of raw offers, then stop.
 
     Start it from any scheduler. The checkpoint remembers which files were loaded.
-    A run that dies between its append and its checkpoint entry is loaded again
-    by the next one.
+    Files whose loading dies between the append and its checkpoint entry are loaded
+    again the next time.
     """
 
     def load(batch: DataFrame, _: int) -> None:
-        load_batch(stage(batch, "new-offers"), table_path)
+        load_runs(stage(batch, "new-offers"), table_path)
 
     arrivals = spark.readStream.schema(RAW_OFFER).parquet(raw_folder)
     writer = arrivals.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)

@@ -8,7 +8,7 @@ from offerlens.operators.clean import batch_verdict, clean_offers, stamp_date
 from offerlens.operators.extract import GRID, GRID_ITEM, LINK_HOST, SPEC_ROWS, SPEC_TABLE
 from offerlens.plans import etl
 from offerlens.plans.dashboard import dashboard, save_dashboard
-from offerlens.schema import BRAND, CLOCK, CRAWL_PAGE, DATE, FETCHED_OFFER, MODEL, OFFER_COLUMNS, PRICE, RAM
+from offerlens.schema import BRAND, CLOCK, CRAWL_PAGE, DATE, FETCHED_OFFER, MODEL, OFFER_COLUMNS, RAM
 from offerlens.sources.offers import read_offers
 from offerlens.sources.sinks import append_csv, append_offers
 from offerlens.staging import drop_stages, stage, stage_root

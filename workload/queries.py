@@ -11,7 +11,7 @@ from offerlens.operators.clean import batch_verdict, clean_offers, stamp_date
 from offerlens.operators.funnel import Funnel
 from offerlens.operators.quantiles import exact_quantiles
 from offerlens.plans import etl
-from offerlens.schema import BRAND, CLOCK, DATE, MODEL, OFFER_COLUMNS, PRICE, RAM
+from offerlens.schema import BRAND, CLOCK, DATE, MODEL, OFFER, OFFER_COLUMNS, PRICE, RAM, RAW_OFFER
 from offerlens.sources.offers import read_offers
 from offerlens.sources.sinks import QUARANTINE_SUFFIX, append_csv, append_offers
 from offerlens.staging import new_stage_path, stage
@@ -321,7 +321,7 @@ def append_batches(spark, sf_dir):
     """Two appended batches accumulate, also where they hold equal rows."""
     path = new_stage_path(spark, "offers")
     for run_date in ("2023-01-01", "2023-02-01", "2023-02-01"):
-        append_offers(stamp_date(_offers(spark, sf_dir), run_date), path)
+        append_offers(stamp_date(_offers(spark, sf_dir), run_date), path, one_date=True)
     return _by_date(read_offers(spark, path))
 
 
@@ -342,12 +342,12 @@ def load_routing(spark, sf_dir):
     """Rows that reach the offer table and the quarantine table."""
     path = new_stage_path(spark, "offers")
     etl.load_runs(fixtures.offers_dirty(spark, sf_dir), path)
-    targets = [("table", path), ("quarantine", f"{path}{QUARANTINE_SUFFIX}")]
+    targets = [("table", path, OFFER), ("quarantine", f"{path}{QUARANTINE_SUFFIX}", RAW_OFFER)]
     counted = [
-        spark.read.parquet(where).agg(
+        read_offers(spark, where, schema=schema).agg(
             F.lit(name).alias("target"), F.count(F.lit(1)).alias("n_rows"), F.count_distinct(DATE).alias("n_batches")
         )
-        for name, where in targets
+        for name, where, schema in targets
     ]
     return counted[0].unionByName(counted[1])
 
