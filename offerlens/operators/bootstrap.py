@@ -23,7 +23,7 @@ from offerlens.staging import spread, stage
 REPLICATES = 1000
 GRID_POINTS = 100
 INTERVAL = (0.025, 0.975)
-UNIT_COPIES = 64
+UNIT_COPIES = 16
 
 # Draws are x -> x^5 modulo this prime, which permutes the residues (5 does not divide P - 1).
 P = 2**31 - 1
@@ -52,15 +52,17 @@ def with_uniform(df: DataFrame, name: str, seed: str) -> DataFrame:
 
 
 def poisson_one(u: Column) -> Column:
+    """Poisson(1) from a uniform residue."""
     weight = F.when(u < _poisson_thresholds()[0], 0)
     for k, bound in enumerate(_poisson_thresholds()[1:], start=1):
         weight = weight.when(u < bound, k)
-    return weight.otherwise(len(_poisson_thresholds()))
+    return weight.otherwise(len(_poisson_thresholds())).cast("long")
 
 
 def poisson_many(n: Column, u: Column, v: Column) -> Column:
+    """Nearly Poisson(n) from two uniform residues: a rounded normal of the same mean and variance."""
     normal = F.sqrt(-2 * F.log((u + 1) / (P + 1.0))) * F.cos(2 * math.pi * v / P)
-    return F.greatest(F.lit(0), F.round(n + F.sqrt(n) * normal)).cast("long")
+    return F.greatest(F.lit(0), F.round(n + F.sqrt(n - 1 / 12) * normal)).cast("long")
 
 
 def resample(cells: DataFrame, replicates: int = REPLICATES, unit_copies: int = UNIT_COPIES) -> DataFrame:
@@ -70,21 +72,26 @@ def resample(cells: DataFrame, replicates: int = REPLICATES, unit_copies: int =
     """
     values = [F.format_string("%.6f", c) if t == "double" else F.col(c).cast("string")
               for c, t in cells.dtypes if c != "n"]
-    copies = F.when(F.col("n") <= unit_copies, F.sequence(F.lit(1).cast("long"), F.col("n"))).otherwise(
-        F.array(F.lit(0).cast("long"))
+    few = F.col("n") <= unit_copies
+    light = _seeded(cells.where(few), values, F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))), replicates)
+    heavy = _seeded(cells.where(~few), values, F.lit(0).cast("long"), replicates)
+    drawn_light = with_uniform(light, "u", "seed").withColumn("weight", poisson_one(F.col("u")))
+    drawn_heavy = with_uniform(with_uniform(heavy, "u", "seed"), "v", "seed2").withColumn(
+        "weight", poisson_many(F.col("n"), F.col("u"), F.col("v"))
     )
+    kept = [*cells.columns, "replicate", "weight"]
+    return drawn_light.select(*kept).unionByName(drawn_heavy.select(*kept))
+
+
+def _seeded(cells: DataFrame, values: list[Column], copy: Column, replicates: int) -> DataFrame:
+    """One row per copy and replicate, with two residues that depend on content and copy."""
     keys = [c for c in cells.columns if c != "n"]
-    units = spread(cells, *keys).withColumn("copy", F.explode(copies))
+    units = spread(cells, *keys).withColumn("copy", copy)
     digest = F.md5(F.concat_ws("|", *values, F.col("copy").cast("string")))
     seeded = units.withColumn("digest", digest).select(
-        *cells.columns, "copy", _residue(F.col("digest"), 1).alias("seed"), _residue(F.col("digest"), 16).alias("seed2")
-    )
-    replicate = F.explode(F.sequence(F.lit(1).cast("long"), F.lit(replicates).cast("long")))
-    drawn = with_uniform(with_uniform(seeded.withColumn("replicate", replicate), "u", "seed"), "v", "seed2")
-    weight = F.when(F.col("copy") > 0, poisson_one(F.col("u"))).otherwise(
-        poisson_many(F.col("n"), F.col("u"), F.col("v"))
+        *cells.columns, _residue(F.col("digest"), 1).alias("seed"), _residue(F.col("digest"), 16).alias("seed2")
     )
-    return drawn.withColumn("weight", weight).select(*cells.columns, "replicate", "weight")
+    return seeded.withColumn("replicate", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(replicates).cast("long"))))
 
 
 def _cells(df: DataFrame, *columns: str) -> DataFrame:

@@ -60,9 +60,9 @@ def with_clock_category(unique: DataFrame, limits: tuple[float, float] | None, i
 
 def all_categories(df: DataFrame) -> DataFrame:
     """The four categories in order, as a frame on the session of ``df``."""
-    return df.sparkSession.createDataFrame(
-        list(enumerate(CATEGORY_LABELS)), "category_no int, category string"
-    )
+    number = F.col("id").cast("int")
+    rows = df.sparkSession.range(0, len(CATEGORY_LABELS), 1, 1)
+    return rows.select(number.alias("category_no"), category_label(number).alias("category"))
 
 
 def mean_price_by_category(categorised: DataFrame) -> DataFrame:
@@ -135,8 +135,9 @@ def histogram(weighted: DataFrame, column: str = PRICE, bins: int = HISTOGRAM_BI
     if low == high:
         low, high = low - 0.5, high + 0.5
     cuts = edges(low, high, bins)
-    spine = spark.createDataFrame(
-        [(i, cuts[i], cuts[i + 1]) for i in range(bins)], "bin int, bin_low double, bin_high double"
+    number, all_cuts = F.col("id").cast("int"), F.array(*[F.lit(cut) for cut in cuts])
+    spine = spark.range(0, bins, 1, 1).select(
+        number.alias("bin"), F.get(all_cuts, number).alias("bin_low"), F.get(all_cuts, number + 1).alias("bin_high")
     )
     chosen = F.when(F.col(column) < cuts[1], 0)
     for i, cut in enumerate(cuts[2:-1], start=1):

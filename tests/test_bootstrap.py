@@ -37,7 +37,7 @@ def test_replicates_are_not_correlated(spark):
     assert abs(by_row).mean() < 2 / np.sqrt(200) and abs(by_row.mean()) < 0.01
 
 
-@pytest.mark.parametrize("unit_copies", [64, 2])
+@pytest.mark.parametrize("unit_copies", [64, 16])
 def test_spread_of_means_is_the_standard_error(spark, unit_copies):
     """Also where cells are too large to draw for every copy."""
     rng = random.Random(3)

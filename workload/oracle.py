@@ -93,7 +93,7 @@ _WEIGHT = """case when copy > 0 then
     case when u < 790015083 then 0 when u < 1580030167 then 1 when u < 1975037709 then 2 when u < 2106706890 then 3
     when u < 2139624185 then 4 when u < 2146207644 then 5 when u < 2147304887 then 6 when u < 2147461637 then 7
     when u < 2147481230 then 8 when u < 2147483407 then 9 when u < 2147483625 then 10 when u < 2147483645 then 11 else 12 end
-  else greatest(0, round(n + sqrt(n) * sqrt(-2 * ln((u + 1) / 2147483648.0::double)) * cos(2 * pi() * v / 2147483647.0::double))) end"""
+  else greatest(0, round(n + sqrt(n - 1/12.0::double) * sqrt(-2 * ln((u + 1) / 2147483648.0::double)) * cos(2 * pi() * v / 2147483647.0::double))) end"""
 
 
 def _resampled(key: str) -> str:
@@ -103,7 +103,7 @@ def _resampled(key: str) -> str:
     v = fifth.format(x="s2")
     return f"""
 units as (
-  select *, unnest(case when n <= 64 then range(1, n + 1) else [0::bigint] end) as copy from cells),
+  select *, unnest(case when n <= 16 then range(1, n + 1) else [0::bigint] end) as copy from cells),
 seeds as (
   select *, ('0x' || substr(d, 1, 15))::bigint % 2147483647 as k1, ('0x' || substr(d, 16, 15))::bigint % 2147483647 as k2
   from (select *, md5(concat_ws('|', {key}, copy::varchar)) as d from units)),
