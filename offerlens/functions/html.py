@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 from offerlens.functions.parse import trim
 
 _NOISE = r"(?is)<(?:!--.*?-->|script\b.*?</script\s*>|style\b.*?</style\s*>)"
-_OTHER = r"[^>]*?\s"
-_REST = r"[^>]*>"
 _NEAR_TAGS = 64
 _ENTITY = r"^&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
@@ -43,7 +41,7 @@ class Selector:
         else:
             listed = r"\s+".join(names)
             value = rf"(?:\"\s*{listed}\s*\"|'\s*{listed}\s*')"
-        return rf"<{self.tag}{_OTHER}(?i:class)\s*=\s*{value}{_REST}"
+        return rf"<{self.tag}\s(?:[^>]*?\s)?(?i:class)\s*=\s*{value}[^>]*>"
 
 
 def _literal(text: str) -> str:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from offerlens.operators.quantiles import exact_quantiles, value_counts
 from offerlens.schema import CLOCK, PRICE
-from offerlens.staging import spread
+from offerlens.staging import spread, stage
 
 # Fixed values of the charts.
 CATEGORY_LABELS = ["very low", "low", "moderate", "high"]
@@ -182,7 +182,7 @@ def density(
     The bandwidth follows Scott's rule. Each distinct value meets the fixed grid
     once, and the sums collapse to ``points`` rows before anything is shuffled.
     """
-    counts = value_counts(weighted, column, F.col("n"))
+    counts = stage(value_counts(weighted, column, F.col("n")), "value-counts")
     moments = _moments(counts, column)
     if moments is None:
         return weighted.sparkSession.createDataFrame([], "point int, x double, density double, count_scaled double")

@@ -57,15 +57,16 @@ def _cores(df: DataFrame) -> int:
     return df.sparkSession.sparkContext.defaultParallelism
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-partition over every core, for a step that multiplies its few input rows.
+def spread(staged: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition a staged frame over every core, for a step that multiplies its rows.
 
-    The adaptive planner sizes partitions by bytes and would hand such input to a
-    task or two. Keys must be distinct rows, so that no partition is hot.
+    Partitions are sized by bytes, so a frame that is small before it is multiplied
+    would be left to a task or two. Keys must be distinct rows, so that no partition
+    is hot.
     """
-    tasks = max(_cores(df), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    tasks = max(2 * _cores(staged), staged.rdd.getNumPartitions())
     # Plain keys would be merged into the shuffle of a preceding aggregation.
-    return df.repartition(tasks, F.xxhash64(*keys))
+    return staged.repartition(tasks, F.xxhash64(*keys))
 
 
 def fill_cores(scan: DataFrame) -> DataFrame:

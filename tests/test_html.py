@@ -46,6 +46,12 @@ def test_several_classes_must_be_the_whole_attribute(spark):
         assert one(spark, f'<table class="{classes}">x</table>', H.inner_html, selector) is None
 
 
+def test_longer_tag_and_attribute_names_do_not_match(spark):
+    selector = H.Selector("tr", "x")
+    html = "<track class=x>0</track><tr data-class=x><td>1</tr><tr\nid=a\tclass = x><td>2</tr>"
+    assert one(spark, html, H.inner_html, selector) == "<td>2"
+
+
 def test_nested_elements_are_balanced(spark):
     div = H.Selector("div", "x")
     assert one(spark, "<div class=x>a<div>b<div>c</div></div>d</div>e", H.inner_html, div) == "a<div>b<div>c</div></div>d"
