@@ -12,8 +12,6 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from offerlens.functions.parse import trim
-
 _NOISE = r"(?is)<(?:!--.*?-->|script\b.*?</script\s*>|style\b.*?</style\s*>)"
 _NEAR_TAGS = 64
 _ENTITY = r"^&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
@@ -184,19 +182,15 @@ def _href(link: Column) -> Column:
     return _let(attribute, lambda found: F.when(found.isNotNull(), decode_entities(value(found))))
 
 
-def labelled_cell(table: Column, row: Selector, label: str) -> Column:
-    """The text of the second cell of the first matching row, if its first cell is ``label``."""
+def first_two_cells(table: Column, row: Selector) -> Column:
+    """What lies inside the first two cells of the first matching row, NULL for what is missing."""
     in_row = _up_to(_after_tag(table, _tag_insensitive(row)), r"</?tr[\s>]|</table[\s>]")
-    cell = r"<td(?:\s[^>]*)?>"
-
-    def text(from_cell: Column) -> Column:
-        return text_of(_up_to(from_cell, r"</?td[\s>]"))
+    cell, cell_end = r"(?i)<td(?:\s[^>]*)?>", r"</?td[\s>]"
 
-    def labelled(first: Column) -> Column:
-        second = _after_tag(first, rf"(?i){cell}")
-        return F.when(trim(text(first)) == label, text(second))
+    def two(first: Column) -> Column:
+        return F.array(_up_to(first, cell_end), _up_to(_after_tag(first, cell), cell_end))
 
-    return _let(_after_tag(in_row, rf"(?i){cell}"), labelled)
+    return _let(_after_tag(in_row, cell), two)
 
 
 def text_of(fragment: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from offerlens.functions import html as H
+from offerlens.functions.parse import trim
 from offerlens.schema import BRAND, CLOCK, MODEL, PRICE, RAM, SENTINEL
 
 # The layout of the pages.
@@ -60,18 +61,17 @@ def _attributes(offers: DataFrame, keys: list[str], explode: Callable[[Column],
     # The explode drops or marks pages without a table and, unlike a filter, reads the page once.
     specs = F.array_compact(F.array(H.inner_html(F.col("html"), SPEC_TABLE)))
     with_table = body.select(*keys, "html", explode(specs).alias("specs"))
-    price = H.text_of(H.inner_html(F.col("html"), PRICE_TEXT))
-    return with_table.select(
-        *keys,
-        F.col("specs").isNotNull().alias("has_specs"),
-        _spec(MODEL),
-        F.coalesce(price, F.lit(SENTINEL)).alias(PRICE),
-        _spec(BRAND),
-        _spec(RAM),
-        _spec(CLOCK),
-    )
+    fragments = [H.first_two_cells(F.col("specs"), row) for row, _ in SPEC_ROWS.values()]
+    price = H.inner_html(F.col("html"), PRICE_TEXT)
+    # All texts go through one expression, which keeps the plan small.
+    texts = F.transform(F.array_append(F.flatten(F.array(*fragments)), price), H.text_of)
+    read = with_table.select(*keys, F.col("specs").isNotNull().alias("has_specs"), texts.alias("texts"))
 
+    def text(at: int) -> Column:
+        return F.get("texts", F.lit(at))
 
-def _spec(name: str) -> Column:
-    row, label = SPEC_ROWS[name]
-    return F.coalesce(H.labelled_cell(F.col("specs"), row, label), F.lit(SENTINEL)).alias(name)
+    values = {PRICE: text(2 * len(SPEC_ROWS))}
+    for at, (name, (_, label)) in enumerate(SPEC_ROWS.items()):
+        values[name] = F.when(trim(text(2 * at)) == label, text(2 * at + 1))
+    named = [F.coalesce(values[name], F.lit(SENTINEL)).alias(name) for name in (MODEL, PRICE, BRAND, RAM, CLOCK)]
+    return read.select(*keys, "has_specs", *named)

@@ -7,6 +7,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.cache.maxEntries": "1000",
     "spark.ui.enabled": "false",
 }
 

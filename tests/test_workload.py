@@ -39,5 +39,8 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", contract.queries())
 def test_query_agrees_with_sql(spark, engine, name):
     found = contract.queries()[name](spark, str(SCALE))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas"):
+        assert unwanted not in plan
     expected = engine.sql(contract.oracle_sql()[name])
     assert comparable(found.columns, found.collect()) == comparable(expected.columns, expected.fetchall())
