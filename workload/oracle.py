@@ -51,7 +51,7 @@ _SIX = "model, price_USD, brand, ram_GB, gpu_clock_speed_MHz, date"
 
 _CLEAN = f"{_RAW},\noffers as materialized (select {_clean_columns()} from offers_raw)"
 
-_FUNNEL = f"""{_CLEAN},
+_STEPS = """
 missing as (
   select nullif(model, 'unknown') as model, price_USD, nullif(brand, 'unknown') as brand, ram_GB, gpu_clock_speed_MHz, date
   from offers),
@@ -75,6 +75,8 @@ df as materialized (
   select f5.* from f5, cq where gpu_clock_speed_MHz < q3 + (q3-q1)*1.5 and gpu_clock_speed_MHz > q1 - (q3-q1)*1.5),
 du as materialized (select distinct * from df)"""
 
+_FUNNEL = f"{_CLEAN},{_STEPS}"
+
 _CATEGORY = f"""{_FUNNEL},
 span as (select min(gpu_clock_speed_MHz) as lo, max(gpu_clock_speed_MHz) as hi, (max(gpu_clock_speed_MHz) - min(gpu_clock_speed_MHz))/4 as w from df),
 cat as materialized (
@@ -88,6 +90,19 @@ _SPECS = f"""{_FUNNEL},
 specs as (
   select model, avg(price_USD) as price, avg(ram_GB) as ram, avg(gpu_clock_speed_MHz) as clock from du group by model)"""
 
+_FUNNEL_COUNTS = """
+select step::int as step, stage, n::bigint as n from (
+  select 0 as step, 'raw' as stage, count(*) as n from offers
+  union all select 1, 'model_present', count(*) from f1
+  union all select 2, 'min_present', count(*) from f2
+  union all select 3, 'top_brands', count(*) from f3
+  union all select 4, 'top_models', count(*) from f4
+  union all select 5, 'price_present', count(price_USD) from f4
+  union all select 6, 'price_fence', count(*) from f5
+  union all select 7, 'clock_present', count(gpu_clock_speed_MHz) from f5
+  union all select 8, 'clock_fence', count(*) from df
+  union all select 9, 'distinct', count(*) from du)"""
+
 # Poisson(1) weights: cumulative probabilities times the prime, rounded down.
 _WEIGHT = """case when copy > 0 then
     case when u < 790015083 then 0 when u < 1580030167 then 1 when u < 1975037709 then 2 when u < 2106706890 then 3
@@ -165,6 +180,13 @@ kept as (
   select v.* from visited v left join blocks b on v.run_date = b.run_date and v.page_no = b.page_no
   where (block_pos is null or pos < block_pos) and status = 200 and error is null and h % 19 <> 0)"""
 
+# The crawled runs whose cells can all be parsed, cleaned; a no-break space is white space.
+_CRAWLED = f"""{_PARTS},
+loaded as (
+  select model, price_USD, brand, replace(ram_GB, chr(160), ' ') as ram_GB, gpu_clock_speed_MHz, run_date as date
+  from kept where run_date not in (select run_date from kept where gpu_clock_speed_MHz = '1,800 MHz')),
+offers as materialized (select {_clean_columns()} from loaded),{_STEPS}"""
+
 _DIRTY = f"""{_RAW},
 dirty as materialized (
   select model, case when q and h%1013=0 then '$1,299.' else price_USD end as price_USD, brand,
@@ -325,18 +347,7 @@ def all_oracles() -> dict[str, str]:
               from grid, prices, s group by point, x)""", """
             select cast(point as int) as point, round(x, 6) as x, round(d, 12) as density, round(d*scale, 6) as count_scaled
             from curve"""),
-        "funnel_counts": _with(_FUNNEL, """
-            select step::int as step, stage, n::bigint as n from (
-              select 0 as step, 'raw' as stage, count(*) as n from offers
-              union all select 1, 'model_present', count(*) from f1
-              union all select 2, 'min_present', count(*) from f2
-              union all select 3, 'top_brands', count(*) from f3
-              union all select 4, 'top_models', count(*) from f4
-              union all select 5, 'price_present', count(price_USD) from f4
-              union all select 6, 'price_fence', count(*) from f5
-              union all select 7, 'clock_present', count(gpu_clock_speed_MHz) from f5
-              union all select 8, 'clock_fence', count(*) from df
-              union all select 9, 'distinct', count(*) from du)"""),
+        "funnel_counts": _with(_FUNNEL, _FUNNEL_COUNTS),
         "load_clean_count": _with(_CLEAN, """
             select cast(date_trunc('month', date) as date) as date, count(*)::bigint as n, sum(price_USD) as price_sum
             from offers group by 1"""),
@@ -350,6 +361,8 @@ def all_oracles() -> dict[str, str]:
             select case when bad_price + bad_ram + bad_clock = 0 then 'table' else 'quarantine' end as target,
               sum(n_rows)::bigint as n_rows, count(*)::bigint as n_batches
             from verdicts group by 1"""),
+        "crawl_to_price_by_model": _with(_CRAWLED, "select model, round(avg(price_USD), 6) as price from du group by model"),
+        "crawl_to_funnel_counts": _with(_CRAWLED, _FUNNEL_COUNTS),
         "run_report": _with(f"""{_PARTS},
             runs as (
               select p.run_date, count(k.h) as n_rows, count_if(k.gpu_clock_speed_MHz = '1,800 MHz') as bad

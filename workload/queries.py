@@ -357,3 +357,21 @@ def run_report(spark, sf_dir):
     pages = fixtures.part_pages(spark, sf_dir)
     made = etl.Crawl.read(pages, fixtures.part_offers(spark, sf_dir))
     return etl.crawl_report(made, pages.select(*crawl.RUN).distinct(), made.raw_offers())
+
+
+def _crawled_funnel(spark: SparkSession, sf_dir: str) -> Funnel:
+    """Stored pages to the offer table, and the analysis of what was loaded."""
+    path = new_stage_path(spark, "offers")
+    crawled = etl.Crawl.read(fixtures.part_pages(spark, sf_dir), fixtures.part_offers(spark, sf_dir))
+    etl.load_runs(crawled.raw_offers(), path)
+    return Funnel(read_offers(spark, path))
+
+
+@_query
+def crawl_to_price_by_model(spark, sf_dir):
+    return _rounded(metrics.mean_price_by_model(_crawled_funnel(spark, sf_dir).unique()), 6, "price")
+
+
+@_query
+def crawl_to_funnel_counts(spark, sf_dir):
+    return _crawled_funnel(spark, sf_dir).counts()
