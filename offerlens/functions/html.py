@@ -30,33 +30,30 @@ class Selector:
 
     @property
     def open_tag(self) -> str:
+        """Pattern of the start tag: the tag name in any case, class names as they are."""
+        tag = rf"<(?i:{self.tag})"
         names = [_literal(c) for c in self.classes.split()]
         if not names:
-            return rf"<{self.tag}(?:\s[^>]*)?>"
+            return rf"{tag}(?:\s[^>]*)?>"
         if len(names) == 1:
             # Quoted lists may hold other names around it; a bare value is one name.
             value = rf"(?:\"(?:[^\">]*\s)?{names[0]}(?:\s[^\">]*)?\"|'(?:[^'>]*\s)?{names[0]}(?:\s[^'>]*)?'|{names[0]}(?=[\s>]))"
         else:
             listed = r"\s+".join(names)
             value = rf"(?:\"\s*{listed}\s*\"|'\s*{listed}\s*')"
-        return rf"<{self.tag}\s(?:[^>]*?\s)?(?i:class)\s*=\s*{value}[^>]*>"
+        return rf"{tag}\s(?:[^>]*?\s)?(?i:class)\s*=\s*{value}[^>]*>"
 
 
 def _literal(text: str) -> str:
     return "".join(c if c.isalnum() else rf"\{c}" for c in text)
 
 
-def _tag_insensitive(selector: Selector) -> str:
-    """The open tag pattern with the tag name, but not the class, free in case."""
-    return selector.open_tag.replace(f"<{selector.tag}", f"<(?i:{selector.tag})", 1)
-
-
 def without_noise(html: Column) -> Column:
     return F.regexp_replace(html, _NOISE, "")
 
 
 def has_element(html: Column, selector: Selector) -> Column:
-    return html.rlike(_tag_insensitive(selector))
+    return html.rlike(selector.open_tag)
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -70,8 +67,13 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def _after_tag(html: Column, opening: str) -> Column:
     """The text behind the first opening tag that matches; NULL where there is none."""
-    from_tag = F.nullif(F.regexp_extract(html, rf"(?s){opening}.*", 0), F.lit(""))
-    return _let(from_tag, lambda text: F.substr(text, F.instr(text, ">") + 1))
+    from_tag = F.regexp_extract(html, rf"(?s){opening}.*", 0)
+    return _let(from_tag, lambda text: F.when(text != "", F.substr(text, F.instr(text, ">") + 1)))
+
+
+def _first(html: Column, pattern: str) -> Column:
+    """The first match; NULL where there is none."""
+    return _let(F.regexp_extract(html, pattern, 0), lambda text: F.when(text != "", text))
 
 
 def _up_to(html: Column, pattern: str) -> Column:
@@ -90,7 +92,7 @@ def inner_html(html: Column, selector: Selector) -> Column:
 
         return _let(_up_to(rest, rf"</?{tag}[\s>]"), checked)
 
-    return _let(_after_tag(html, _tag_insensitive(selector)), inside)
+    return _let(_after_tag(html, selector.open_tag), inside)
 
 
 def _split_at(html: Column, tag: str, limit: int = -1) -> Column:
@@ -135,13 +137,13 @@ def first_links(grid: Column, item: Selector) -> Column:
 
     An item without a link, or whose first link has no ``href``, gives NULL.
     """
-    opening = rf"^{_tag_insensitive(item)}"
+    opening = rf"^{item.open_tag}"
     tags = F.transform(
         _split_at(grid, item.tag),
         lambda piece: F.struct(
             _depth_change(piece, item.tag).alias("change"),
             piece.rlike(opening).alias("is_item"),
-            F.nullif(F.regexp_extract(piece, _LINK, 0), F.lit("")).alias("link"),
+            _first(piece, _LINK).alias("link"),
         ),
     )
     start = F.struct(
@@ -178,13 +180,12 @@ def _href(link: Column) -> Column:
             F.concat(F.regexp_extract(attribute, _HREF, 2), F.regexp_extract(attribute, _HREF, 3))
         )
 
-    attribute = F.nullif(F.regexp_extract(link, _HREF, 0), F.lit(""))
-    return _let(attribute, lambda found: F.when(found.isNotNull(), decode_entities(value(found))))
+    return _let(_first(link, _HREF), lambda found: F.when(found.isNotNull(), decode_entities(value(found))))
 
 
 def first_two_cells(table: Column, row: Selector) -> Column:
     """What lies inside the first two cells of the first matching row, NULL for what is missing."""
-    in_row = _up_to(_after_tag(table, _tag_insensitive(row)), r"</?tr[\s>]|</table[\s>]")
+    in_row = _up_to(_after_tag(table, row.open_tag), r"</?tr[\s>]|</table[\s>]")
     cell, cell_end = r"(?i)<td(?:\s[^>]*)?>", r"</?td[\s>]"
 
     def two(first: Column) -> Column:

@@ -89,8 +89,8 @@ def load_batch(raw: DataFrame, table_path: str) -> LoadResult:
 
 def load_runs(raw: DataFrame, table_path: str) -> None:
     """Append many stored runs at once, each judged as its own batch by its date."""
-    verdicts = stage(batch_verdict(raw, [DATE]), "verdicts").select(DATE, "is_clean")
-    judged = raw.join(verdicts, DATE)
+    verdicts = stage(batch_verdict(raw, [DATE]), "verdicts").select(F.col(DATE).alias("batch"), "is_clean")
+    judged = raw.join(verdicts, F.col(DATE).eqNullSafe(F.col("batch")))
     _append(clean_offers(judged.where("is_clean")), table_path, clean=True, one_date=False)
     _append(judged.where("not is_clean"), table_path, clean=False, one_date=False)
 

@@ -88,6 +88,12 @@ def test_runs_are_judged_one_by_one(spark, raw_offers, tmp_path):
     assert {r[DATE] for r in spark.read.parquet(f"{path}_uncleaned").collect()} == {date(2023, 2, 1)}
 
 
+def test_rows_without_a_date_are_kept(spark, raw_offers, tmp_path):
+    path = str(tmp_path / "offers")
+    etl.load_runs(raw_offers([(*GOOD[0], None), (*GOOD[0], date(2023, 1, 1))]), path)
+    assert {r[DATE] for r in read_offers(spark, path).collect()} == {None, date(2023, 1, 1)}
+
+
 def test_table_is_partitioned_by_date(raw_offers, tmp_path):
     path = tmp_path / "offers"
     append_offers(stamp_date(clean_offers(raw_offers(GOOD)), "2023-05-01"), str(path))
