@@ -16,9 +16,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from offerlens.operators.distribution import all_categories, value_range
+from offerlens.operators.distribution import all_categories
 from offerlens.schema import CLOCK, PRICE
-from offerlens.staging import spread, stage
+from offerlens.staging import spread, stage_observed
 
 REPLICATES = 1000
 GRID_POINTS = 100
@@ -65,22 +65,27 @@ def poisson_many(n: Column, u: Column, v: Column) -> Column:
     return F.greatest(F.lit(0), F.round(n + F.sqrt(n - 1 / 12) * normal)).cast("long")
 
 
-def resample(cells: DataFrame, replicates: int = REPLICATES, unit_copies: int = UNIT_COPIES) -> DataFrame:
+def resample(
+    cells: DataFrame, replicates: int = REPLICATES, unit_copies: int = UNIT_COPIES, most_copies: int | None = None
+) -> DataFrame:
     """Adds ``replicate`` and ``weight``; ``cells`` hold distinct rows and their count ``n``.
 
-    Numbers enter the row key with six decimals.
+    Numbers enter the row key with six decimals. ``most_copies`` is the largest
+    ``n`` where the caller knows it.
     """
     values = [F.format_string("%.6f", c) if t == "double" else F.col(c).cast("string")
               for c, t in cells.dtypes if c != "n"]
+    kept = [*cells.columns, "replicate", "weight"]
     few = F.col("n") <= unit_copies
     light = _seeded(cells.where(few), values, F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))), replicates)
+    drawn = with_uniform(light, "u", "seed").withColumn("weight", poisson_one(F.col("u"))).select(*kept)
+    if most_copies is not None and most_copies <= unit_copies:
+        return drawn
     heavy = _seeded(cells.where(~few), values, F.lit(0).cast("long"), replicates)
-    drawn_light = with_uniform(light, "u", "seed").withColumn("weight", poisson_one(F.col("u")))
     drawn_heavy = with_uniform(with_uniform(heavy, "u", "seed"), "v", "seed2").withColumn(
         "weight", poisson_many(F.col("n"), F.col("u"), F.col("v"))
     )
-    kept = [*cells.columns, "replicate", "weight"]
-    return drawn_light.select(*kept).unionByName(drawn_heavy.select(*kept))
+    return drawn.unionByName(drawn_heavy.select(*kept))
 
 
 def _seeded(cells: DataFrame, values: list[Column], copy: Column, replicates: int) -> DataFrame:
@@ -103,19 +108,29 @@ def _with_original(drawn: DataFrame, cells: DataFrame) -> DataFrame:
     return drawn.unionByName(cells.withColumns({"replicate": F.lit(0).cast("long"), "weight": F.col("n")}))
 
 
-def _interval(value: Column) -> tuple[Column, Column]:
-    return tuple(F.percentile(value, p) for p in INTERVAL)
+def _interval(value: Column) -> Column:
+    """Array of the two ends."""
+    return F.percentile(value, list(INTERVAL))
+
+
+def _ends() -> list[Column]:
+    return [F.get("ends", F.lit(i)).alias(name) for i, name in enumerate(("low", "high"))]
 
 
 def price_clock_band(unique: DataFrame, replicates: int = REPLICATES, points: int = GRID_POINTS) -> DataFrame:
     """Fitted line and its 95% band on an even grid of clock values."""
-    cells = stage(_cells(unique, CLOCK, PRICE), "pairs")
-    limits = value_range(cells, CLOCK)
-    if limits is None:
+    cells, seen = stage_observed(
+        _cells(unique, CLOCK, PRICE),
+        "pairs",
+        F.min(CLOCK).alias("low"),
+        F.max(CLOCK).alias("high"),
+        F.max("n").alias("most_copies"),
+    )
+    if seen["low"] is None:
         return unique.sparkSession.createDataFrame([], "point int, clock double, fit double, low double, high double")
-    low, high = limits
+    low, high = seen["low"], seen["high"]
     x, y, w = F.col(CLOCK), F.col(PRICE), F.col("weight")
-    drawn = _with_original(resample(cells, replicates), cells)
+    drawn = _with_original(resample(cells, replicates, most_copies=seen["most_copies"]), cells)
     # Clocks are measured from the lowest, which keeps the squared sums small.
     dx = x - F.lit(low)
     sums = drawn.groupBy("replicate").agg(
@@ -128,30 +143,31 @@ def price_clock_band(unique: DataFrame, replicates: int = REPLICATES, points: in
     at = F.when(F.col("point") == points - 1, F.lit(high)).otherwise(F.col("point") * step + low)
     grid = lines.select("replicate", "slope", "base", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
     estimates = grid.withColumn("clock", at).withColumn("estimate", F.expr("base") + F.col("slope") * (F.col("clock") - low))
-    lowest, highest = _interval(F.when(F.col("replicate") > 0, F.col("estimate")))
-    return estimates.groupBy("point", "clock").agg(
-        F.max(F.when(F.col("replicate") == 0, F.col("estimate"))).alias("fit"), lowest.alias("low"), highest.alias("high")
-    ).orderBy("point")
+    banded = estimates.groupBy("point", "clock").agg(
+        F.max(F.when(F.col("replicate") == 0, F.col("estimate"))).alias("fit"),
+        _interval(F.when(F.col("replicate") > 0, F.col("estimate"))).alias("ends"),
+    )
+    return banded.select("point", "clock", "fit", *_ends()).orderBy("point")
 
 
 def price_by_category_ci(categorised: DataFrame, replicates: int = REPLICATES) -> DataFrame:
     """Mean price per category with its 95% interval, in category order."""
-    cells = stage(_cells(categorised, "category_no", PRICE), "category-prices")
-    drawn = _with_original(resample(cells, replicates), cells)
+    cells, seen = stage_observed(
+        _cells(categorised, "category_no", PRICE), "category-prices", F.max("n").alias("most_copies")
+    )
+    drawn = _with_original(resample(cells, replicates, most_copies=seen["most_copies"]), cells)
     means = drawn.groupBy("category_no", "replicate").agg(
         F.sum("weight").alias("n"), F.try_divide(F.sum(F.col("weight") * F.col(PRICE)), F.sum("weight")).alias("mean")
     )
     original = F.col("replicate") == 0
-    lowest, highest = _interval(F.when(~original, F.col("mean")))
     found = means.groupBy("category_no").agg(
         F.max(F.when(original, F.col("n"))).alias("n"),
         F.max(F.when(original, F.col("mean"))).alias("price"),
-        lowest.alias("low"),
-        highest.alias("high"),
+        _interval(F.when(~original, F.col("mean"))).alias("ends"),
     )
     return (
         all_categories(categorised)
         .join(found, "category_no", "left")
-        .select("category_no", "category", F.coalesce("n", F.lit(0).cast("long")).alias("n"), "price", "low", "high")
+        .select("category_no", "category", F.coalesce("n", F.lit(0).cast("long")).alias("n"), "price", *_ends())
         .orderBy("category_no")
     )
