@@ -4,7 +4,6 @@ A staged frame is a Parquet table: it survives the loss of executors, cuts the
 lineage, and later scans still get column pruning and filter pushdown.
 """
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -16,16 +15,11 @@ _CONF = "spark.checkpoint.dir"
 def stage_root(spark: SparkSession) -> str:
     """The folder of this application below the checkpoint folder of the session.
 
-    Where no checkpoint folder is set, local mode gets a temporary one; a cluster
-    must name a folder that every executor can reach.
+    Without ``spark.checkpoint.dir`` the warehouse takes its place; like the checkpoint
+    folder, a cluster keeps it where every executor can reach it.
     """
     context = spark.sparkContext
-    root = spark.conf.get(_CONF, "") or context.getCheckpointDir()
-    if not root:
-        if not context.master.startswith("local"):
-            raise RuntimeError(f"set {_CONF} to a folder that every executor can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="offerlens-stage-"))
-        root = context.getCheckpointDir()
+    root = spark.conf.get(_CONF, "") or context.getCheckpointDir() or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/offerlens/{context.applicationId}"
 
 
@@ -39,6 +33,15 @@ def drop_stages(spark: SparkSession) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def drop_stage(staged: DataFrame) -> None:
+    """Delete the table behind one staged frame, once nothing reads it any more."""
+    files = staged.inputFiles()
+    if files:
+        context = staged.sparkSession.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return a frame that reads it back."""
     path = new_stage_path(df.sparkSession, label)
