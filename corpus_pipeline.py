@@ -4,10 +4,10 @@ Each stage takes (spark, docs, sf_dir) and works on all that the stage before ke
 writes what each stage returns to the shared folder and reads it again for the next one.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from offerlens.llm import decontam, mixing, quality, sharding
+from offerlens.llm import decontam, jaccard, mixing, quality, sharding
 from offerlens.llm import words as W
 from offerlens.staging import drop_stage, stage
 
@@ -18,6 +18,25 @@ def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return judged.where("kept").select("__row.*")
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one whose id names the group, once."""
+    found = jaccard.near_copies(docs)
+    stay = stage(
+        found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "text_key", "n_shingles"),
+        "pipeline-stay",
+    )
+    # Texts without words are linked with nothing: each of their rows stays. So does an id
+    # that repeats with texts of different groups.
+    keyed = docs.withColumn("__text_key", F.xxhash64(W.text_of(F.col("text"))))
+    wanted = stay.groupBy("doc_id", "text_key").agg(F.max("n_shingles").alias("__n")).withColumnsRenamed(
+        {"doc_id": "__id", "text_key": "__key"}
+    )
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__text_key") == F.col("__key"))
+    kept = keyed.join(wanted, same)
+    first = F.row_number().over(Window.partitionBy("__id", "__text_key").orderBy(F.lit(1)))
+    return kept.withColumn("__no", first).where("__no = 1 or __n = 0").select(*docs.columns)
+
+
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated with the benchmark."""
     return decontam.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -43,6 +62,7 @@ def pack_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality_rules", reject_low_quality),
+    ("near_copies", drop_near_copies),
     ("decontamination", remove_contaminated),
     ("source_mixing", mix_sources),
     ("vector_sharding", pack_shards),

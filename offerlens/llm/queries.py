@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlens.llm import decontam, mixing, quality, sharding
+from offerlens.llm import decontam, jaccard, mixing, quality, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,10 @@ def op2_quality_rules(spark, sf_dir):
     )
 
 
+def op5_jaccard_join(spark, sf_dir):
+    return jaccard.near_copies(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op9_vector_sharding(spark, sf_dir):
     return sharding.shard(_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -43,5 +47,5 @@ def op10_decontaminate(spark, sf_dir):
 
 
 LLM_QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_source_mixing, op2_quality_rules, op9_vector_sharding, op10_decontaminate)
+    f.__name__: f for f in (op1_source_mixing, op2_quality_rules, op5_jaccard_join, op9_vector_sharding, op10_decontaminate)
 }
