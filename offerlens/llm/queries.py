@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlens.llm import decontam, jaccard, mixing, quality, sharding
+from offerlens.llm import decontam, jaccard, main_text, mixing, pii, quality, secret_scan, sharding, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,10 +27,31 @@ def op2_quality_rules(spark, sf_dir):
     )
 
 
+def op3_personal_data(spark, sf_dir):
+    return pii.find_personal_data(_table(spark, sf_dir, "documents"))
+
+
+def op4_main_text(spark, sf_dir):
+    pages = _table(spark, sf_dir, "pages")
+    texts = main_text.extract(pages, main_text.fit_on(pages))
+    return texts.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op5_jaccard_join(spark, sf_dir):
     return jaccard.near_copies(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op6_token_counts(spark, sf_dir):
+    """Tokens of every sentence of every document."""
+    counts = token_counts.section_counts(_table(spark, sf_dir, "documents"))
+    return counts.withColumn("n_tokens", F.col("n_tokens").cast("long"))
+
+
+def op7_secret_scan(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return secret_scan.scan(docs, secret_scan.fit_on(docs))
+
+
 def op9_vector_sharding(spark, sf_dir):
     return sharding.shard(_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -47,5 +68,8 @@ def op10_decontaminate(spark, sf_dir):
 
 
 LLM_QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_source_mixing, op2_quality_rules, op5_jaccard_join, op9_vector_sharding, op10_decontaminate)
+    f.__name__: f for f in (
+        op1_source_mixing, op2_quality_rules, op3_personal_data, op4_main_text, op5_jaccard_join, op6_token_counts,
+        op7_secret_scan, op9_vector_sharding, op10_decontaminate,
+    )
 }
