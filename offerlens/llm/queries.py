@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlens.llm import decontam, jaccard, main_text, mixing, pii, quality, secret_scan, sharding, token_counts
+from offerlens.llm import decontam, jaccard, lm_score, main_text, mixing, pii, quality, secret_scan, sharding, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,6 +52,10 @@ def op7_secret_scan(spark, sf_dir):
     return secret_scan.scan(docs, secret_scan.fit_on(docs))
 
 
+def op8_context_mixing(spark, sf_dir):
+    return lm_score.score(_table(spark, sf_dir, "documents"))
+
+
 def op9_vector_sharding(spark, sf_dir):
     return sharding.shard(_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -70,6 +74,6 @@ def op10_decontaminate(spark, sf_dir):
 LLM_QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_source_mixing, op2_quality_rules, op3_personal_data, op4_main_text, op5_jaccard_join, op6_token_counts,
-        op7_secret_scan, op9_vector_sharding, op10_decontaminate,
+        op7_secret_scan, op8_context_mixing, op9_vector_sharding, op10_decontaminate,
     )
 }
