@@ -1,7 +1,6 @@
 """Elements, links and text of stored HTML, as native expressions.
 
-Tags are cut at their angle brackets: an attribute value must not hold a raw
-``>``. Comments, scripts and styles are removed first. Elements may nest; missing
+A tag ends at the first ``>`` outside the quotes of its attributes. Comments, scripts and styles are removed first. Elements may nest; missing
 end tags are tolerated for table rows and cells, where HTML lets them be left out.
 """
 
@@ -12,9 +11,10 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: The attributes of a tag; a ``>`` between quotes is part of a value.
+_ATTRIBUTES = r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+"
 _NOISE = r"(?is)<(?:!--.*?-->|script\b.*?</script\s*>|style\b.*?</style\s*>)"
-_NEAR_TAGS = 64
-_ENTITY = r"^&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+_ENTITY = r"^&(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
 
 
 @dataclass(frozen=True)
@@ -34,14 +34,15 @@ class Selector:
         tag = rf"<(?i:{self.tag})"
         names = [_literal(c) for c in self.classes.split()]
         if not names:
-            return rf"{tag}(?:\s[^>]*)?>"
+            return rf"{tag}(?:\s{_ATTRIBUTES})?>"
         if len(names) == 1:
             # Quoted lists may hold other names around it; a bare value is one name.
             value = rf"(?:\"(?:[^\">]*\s)?{names[0]}(?:\s[^\">]*)?\"|'(?:[^'>]*\s)?{names[0]}(?:\s[^'>]*)?'|{names[0]}(?=[\s>]))"
         else:
             listed = r"\s+".join(names)
             value = rf"(?:\"\s*{listed}\s*\"|'\s*{listed}\s*')"
-        return rf"{tag}\s(?:[^>]*?\s)?(?i:class)\s*=\s*{value}[^>]*>"
+        before = r"(?:[^>\"']|\"[^\"]*+\"|'[^']*+')*?"
+        return rf"{tag}(?=\s){before}(?<=[\s\"'])(?i:class)\s*=\s*{value}{_ATTRIBUTES}>"
 
 
 def _literal(text: str) -> str:
@@ -68,7 +69,7 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 def _after_tag(html: Column, opening: str) -> Column:
     """The text behind the first opening tag that matches; NULL where there is none."""
     from_tag = F.regexp_extract(html, rf"(?s){opening}.*", 0)
-    return _let(from_tag, lambda text: F.when(text != "", F.substr(text, F.instr(text, ">") + 1)))
+    return _let(from_tag, lambda text: F.when(text != "", F.regexp_replace(text, rf"^(?:{opening})", "")))
 
 
 def _first(html: Column, pattern: str) -> Column:
@@ -95,9 +96,9 @@ def inner_html(html: Column, selector: Selector) -> Column:
     return _let(_after_tag(html, selector.open_tag), inside)
 
 
-def _split_at(html: Column, tag: str, limit: int = -1) -> Column:
+def _split_at(html: Column, tag: str) -> Column:
     """Pieces that each begin with a start or end tag of the name, but for the first."""
-    return F.split(html, rf"(?i)(?=</?{tag}[\s>])", limit)
+    return F.split(html, rf"(?i)(?=</?{tag}[\s>])")
 
 
 def _depth_change(piece: Column, tag: str) -> Column:
@@ -116,19 +117,15 @@ def _until_balanced(rest: Column, tag: str) -> Column:
             (acc["kept"] + (depth > 0).cast("int")).alias("kept"),
         )
 
-    def closed_part(pieces: Column, whole: bool) -> Column:
+    def closed_part(pieces: Column) -> Column:
         changes = F.transform(pieces, lambda piece: _depth_change(piece, tag))
         end = F.aggregate(changes, start, step)
-        text = _let(end, lambda end: F.when((end["depth"] == 0) | F.lit(whole), F.slice(pieces, F.lit(1), end["kept"])))
-        return F.array_join(text, "")
+        return F.array_join(F.slice(pieces, F.lit(1), end["kept"]), "")
 
-    # Most elements end soon; the rest of the page is cut up only for those that do not.
-    near = _let(_split_at(rest, tag, _NEAR_TAGS), lambda pieces: closed_part(pieces, False))
-    far = _let(_split_at(rest, tag), lambda pieces: closed_part(pieces, True))
-    return F.coalesce(near, far)
+    return _let(_split_at(rest, tag), closed_part)
 
 
-_LINK = r"(?i)<a(?:\s[^>]*)?>"
+_LINK = rf"(?i)<a(?:\s{_ATTRIBUTES})?>"
 _HREF = r"(?i)\shref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
 
 
@@ -186,7 +183,7 @@ def _href(link: Column) -> Column:
 def first_two_cells(table: Column, row: Selector) -> Column:
     """What lies inside the first two cells of the first matching row, NULL for what is missing."""
     in_row = _up_to(_after_tag(table, row.open_tag), r"</?tr[\s>]|</table[\s>]")
-    cell, cell_end = r"(?i)<td(?:\s[^>]*)?>", r"</?td[\s>]"
+    cell, cell_end = rf"(?i)<td(?:\s{_ATTRIBUTES})?>", r"</?td[\s>]"
 
     def two(first: Column) -> Column:
         return F.array(_up_to(first, cell_end), _up_to(_after_tag(first, cell), cell_end))
@@ -196,7 +193,7 @@ def first_two_cells(table: Column, row: Selector) -> Column:
 
 def text_of(fragment: Column) -> Column:
     """The text without tags, with entities decoded."""
-    return decode_entities(F.regexp_replace(fragment, r"<[^>]*>", ""))
+    return decode_entities(F.regexp_replace(fragment, rf"<{_ATTRIBUTES}>", ""))
 
 
 def decode_entities(text: Column) -> Column:
@@ -212,11 +209,15 @@ def decode_entities(text: Column) -> Column:
 def _decode_head(piece: Column) -> Column:
     """Decodes the entity a piece starts with; any other piece is left as it is."""
 
+    def number(digits: Column, base: int) -> Column:
+        # No code point has more than seven digits.
+        return F.when(F.length(digits) > 7, -1).when(digits == "", 0).otherwise(F.conv(digits, base, 10).cast("int"))
+
     def code_point(name: Column) -> Column:
         return (
             F.when(name == "", None)
-            .when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 8), 16, 10).cast("int"))
-            .when(name.startswith("#"), F.substring(name, 2, 8).try_cast("int"))
+            .when(name.rlike("^#[xX]"), number(F.regexp_extract(name, "^#[xX]0*(.*)$", 1), 16))
+            .when(name.startswith("#"), number(F.regexp_extract(name, "^#0*(.*)$", 1), 10))
             .otherwise(F.try_element_at(_named_entities(), name))
         )
 

@@ -5,34 +5,51 @@ rows when the rows are spread over many machines. A draw depends only on the
 content of the row and on the replicate number, so results do not change with the
 partitioning or when a lost task runs again.
 
-Equal rows are counted first and resampled together, so the cost follows the
-number of distinct (x, y) cells. A cell of up to ``UNIT_COPIES`` copies draws
-once per copy; a larger one draws its Poisson(n) total at once, from the normal
-curve, which at that size differs from it by less than the resampling noise.
+Equal rows are counted first and resampled together, so the cost follows the number
+of distinct (x, y) cells. A cell of n copies draws its Poisson(n) total exactly, as a
+sum: n is written in base 16, and each unit of a digit draws from Poisson(1),
+Poisson(16) or Poisson(256); higher digits are drawn in units of 256.
 """
 
-import math
+from decimal import Decimal, localcontext
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from offerlens.operators.distribution import all_categories
 from offerlens.schema import CLOCK, PRICE
-from offerlens.staging import spread, stage_observed
+from offerlens.staging import spread, stage, stage_observed
 
 REPLICATES = 1000
 GRID_POINTS = 100
 INTERVAL = (0.025, 0.975)
-UNIT_COPIES = 16
+# Means of the draws that make up a total, by level.
+MEANS = (1, 16, 256)
 
-# Draws are x -> x^5 modulo this prime, which permutes the residues (5 does not divide P - 1).
+# A draw has two residues modulo this prime, 62 bits of state. Each goes x -> x^5, which
+# permutes the residues (5 does not divide P - 1).
 P = 2**31 - 1
 _STRIDE = 1640531527
 
 
-def _poisson_thresholds() -> list[int]:
-    cdf = [sum(math.exp(-1) / math.factorial(i) for i in range(k + 1)) for k in range(12)]
-    return [int(c * P) for c in cdf]
+@cache
+def poisson_bounds(mean: int) -> tuple[int, list[int]]:
+    """(k, bounds): Poisson(mean) is k plus the number of bounds not above a uniform draw in [0, P * P).
+
+    The bounds are the cumulative probabilities, as far as a draw can tell them from 0 and 1.
+    """
+    with localcontext() as context:
+        context.prec = 60
+        whole, term = Decimal(P) * P, (-Decimal(mean)).exp()
+        total, k, bounds = term, 0, []
+        while not bounds or bounds[-1] < P * P - 1 and term * whole > Decimal("1e-3") or k < mean:
+            bounds.append(int(total * whole))
+            k += 1
+            term = term * mean / k
+            total += term
+    first = sum(bound == 0 for bound in bounds)
+    return first, bounds[first:]
 
 
 def _residue(digest: Column, first: int) -> Column:
@@ -51,50 +68,48 @@ def with_uniform(df: DataFrame, name: str, seed: str) -> DataFrame:
     )
 
 
-def poisson_one(u: Column) -> Column:
-    """Poisson(1) from a uniform residue."""
-    weight = F.when(u < _poisson_thresholds()[0], 0)
-    for k, bound in enumerate(_poisson_thresholds()[1:], start=1):
-        weight = weight.when(u < bound, k)
-    return weight.otherwise(len(_poisson_thresholds())).cast("long")
+def poisson(mean: int, u: Column) -> Column:
+    """Poisson(mean) from a uniform draw in [0, P * P), by halving the list of bounds."""
+    first, bounds = poisson_bounds(mean)
 
+    def search(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(first + low).cast("long")
+        middle = (low + high) // 2
+        return F.when(u < bounds[middle], search(low, middle)).otherwise(search(middle + 1, high))
 
-def poisson_many(n: Column, u: Column, v: Column) -> Column:
-    """Nearly Poisson(n) from two uniform residues: a rounded normal of the same mean and variance."""
-    normal = F.sqrt(-2 * F.log((u + 1) / (P + 1.0))) * F.cos(2 * math.pi * v / P)
-    return F.greatest(F.lit(0), F.round(n + F.sqrt(n - 1 / 12) * normal)).cast("long")
+    return search(0, len(bounds))
 
 
-def resample(
-    cells: DataFrame, replicates: int = REPLICATES, unit_copies: int = UNIT_COPIES, most_copies: int | None = None
-) -> DataFrame:
+def resample(cells: DataFrame, replicates: int = REPLICATES) -> DataFrame:
     """Adds ``replicate`` and ``weight``; ``cells`` hold distinct rows and their count ``n``.
 
-    Numbers enter the row key with six decimals. ``most_copies`` is the largest
-    ``n`` where the caller knows it.
+    A cell gives several rows per replicate, one for each draw; its weight is their sum.
+    Numbers enter the row key with six decimals.
     """
     values = [F.format_string("%.6f", c) if t == "double" else F.col(c).cast("string")
               for c, t in cells.dtypes if c != "n"]
     kept = [*cells.columns, "replicate", "weight"]
-    few = F.col("n") <= unit_copies
-    light = _seeded(cells.where(few), values, F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))), replicates)
-    drawn = with_uniform(light, "u", "seed").withColumn("weight", poisson_one(F.col("u"))).select(*kept)
-    if most_copies is not None and most_copies <= unit_copies:
-        return drawn
-    heavy = _seeded(cells.where(~few), values, F.lit(0).cast("long"), replicates)
-    drawn_heavy = with_uniform(with_uniform(heavy, "u", "seed"), "v", "seed2").withColumn(
-        "weight", poisson_many(F.col("n"), F.col("u"), F.col("v"))
-    )
-    return drawn.unionByName(drawn_heavy.select(*kept))
-
-
-def _seeded(cells: DataFrame, values: list[Column], copy: Column, replicates: int) -> DataFrame:
-    """One row per copy and replicate, with two residues that depend on content and copy."""
-    keys = [c for c in cells.columns if c != "n"]
-    units = spread(cells, *keys).withColumn("copy", copy)
-    digest = F.md5(F.concat_ws("|", *values, F.col("copy").cast("string")))
-    seeded = units.withColumn("digest", digest).select(
-        *cells.columns, _residue(F.col("digest"), 1).alias("seed"), _residue(F.col("digest"), 16).alias("seed2")
+    drawn = None
+    for level, mean in enumerate(MEANS):
+        last = level == len(MEANS) - 1
+        digit = F.floor(F.col("n") / mean) if last else F.floor(F.col("n") / mean) % MEANS[1]
+        units = cells.withColumn("copies", digit).where("copies > 0")
+        seeded = _seeded(units, values, level, replicates)
+        uniform = with_uniform(with_uniform(seeded, "u", "seed"), "v", "seed2")
+        weighed = uniform.withColumn("uv", F.col("u") * P + F.col("v")).withColumn("weight", poisson(mean, F.col("uv")))
+        drawn = weighed.select(*kept) if drawn is None else drawn.unionByName(weighed.select(*kept))
+    return drawn
+
+
+def _seeded(units: DataFrame, values: list[Column], level: int, replicates: int) -> DataFrame:
+    """One row per copy and replicate, with two residues that depend on content, level and copy."""
+    kept = [c for c in units.columns if c != "copies"]
+    keys = [c for c in kept if c != "n"]
+    copied = spread(units, *keys).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    digest = F.md5(F.concat_ws("|", *values, F.lit(str(level)), F.col("copy").cast("string")))
+    seeded = copied.withColumn("digest", digest).select(
+        *kept, _residue(F.col("digest"), 1).alias("seed"), _residue(F.col("digest"), 16).alias("seed2")
     )
     return seeded.withColumn("replicate", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(replicates).cast("long"))))
 
@@ -124,13 +139,12 @@ def price_clock_band(unique: DataFrame, replicates: int = REPLICATES, points: in
         "pairs",
         F.min(CLOCK).alias("low"),
         F.max(CLOCK).alias("high"),
-        F.max("n").alias("most_copies"),
     )
     if seen["low"] is None:
         return unique.sparkSession.createDataFrame([], "point int, clock double, fit double, low double, high double")
     low, high = seen["low"], seen["high"]
     x, y, w = F.col(CLOCK), F.col(PRICE), F.col("weight")
-    drawn = _with_original(resample(cells, replicates, most_copies=seen["most_copies"]), cells)
+    drawn = _with_original(resample(cells, replicates), cells)
     # Clocks are measured from the lowest, which keeps the squared sums small.
     dx = x - F.lit(low)
     sums = drawn.groupBy("replicate").agg(
@@ -150,24 +164,28 @@ def price_clock_band(unique: DataFrame, replicates: int = REPLICATES, points: in
     return banded.select("point", "clock", "fit", *_ends()).orderBy("point")
 
 
-def price_by_category_ci(categorised: DataFrame, replicates: int = REPLICATES) -> DataFrame:
-    """Mean price per category with its 95% interval, in category order."""
-    cells, seen = stage_observed(
-        _cells(categorised, "category_no", PRICE), "category-prices", F.max("n").alias("most_copies")
-    )
-    drawn = _with_original(resample(cells, replicates, most_copies=seen["most_copies"]), cells)
-    means = drawn.groupBy("category_no", "replicate").agg(
-        F.sum("weight").alias("n"), F.try_divide(F.sum(F.col("weight") * F.col(PRICE)), F.sum("weight")).alias("mean")
+def group_mean_ci(df: DataFrame, group: str, value: str, replicates: int = REPLICATES) -> DataFrame:
+    """Mean of ``value`` per group with its 95% interval: group, ``n``, ``mean``, ``low``, ``high``."""
+    cells = stage(_cells(df, group, value), "group-values")
+    drawn = _with_original(resample(cells, replicates), cells)
+    means = drawn.groupBy(group, "replicate").agg(
+        F.sum("weight").alias("n"), F.try_divide(F.sum(F.col("weight") * F.col(value)), F.sum("weight")).alias("mean")
     )
     original = F.col("replicate") == 0
-    found = means.groupBy("category_no").agg(
+    found = means.groupBy(group).agg(
         F.max(F.when(original, F.col("n"))).alias("n"),
-        F.max(F.when(original, F.col("mean"))).alias("price"),
+        F.max(F.when(original, F.col("mean"))).alias("mean"),
         _interval(F.when(~original, F.col("mean"))).alias("ends"),
     )
+    return found.select(group, "n", "mean", *_ends())
+
+
+def price_by_category_ci(categorised: DataFrame, replicates: int = REPLICATES) -> DataFrame:
+    """Mean price per category with its 95% interval, in category order."""
+    found = group_mean_ci(categorised, "category_no", PRICE, replicates).withColumnRenamed("mean", "price")
     return (
         all_categories(categorised)
         .join(found, "category_no", "left")
-        .select("category_no", "category", F.coalesce("n", F.lit(0).cast("long")).alias("n"), "price", *_ends())
+        .select("category_no", "category", F.coalesce("n", F.lit(0).cast("long")).alias("n"), "price", "low", "high")
         .orderBy("category_no")
     )

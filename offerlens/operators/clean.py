@@ -19,10 +19,6 @@ def clean_offers(raw: DataFrame) -> DataFrame:
     )
 
 
-def is_bad_row() -> Column:
-    return parse.bad_price(F.col(PRICE)) | parse.bad_ram(F.col(RAM)) | parse.bad_clock(F.col(CLOCK))
-
-
 def batch_verdict(raw: DataFrame, batch: list[str] | None = None) -> DataFrame:
     """Rows, bad cells and verdict per batch; one bad cell fails the whole batch.
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from offerlens.functions import html as H
-from offerlens.operators.extract import GRID
+from offerlens.operators.extract import GRID, link_urls
 
 RUN = ["run_date"]
 # The kinds of failed request, as stored in ``error``.
@@ -18,9 +18,14 @@ FETCH_ERRORS = ["connection", "timeout", "request"]
 BLOCKED = [401, 403]
 
 
+def in_window(pages: DataFrame, start: int = 1, count: int = 40) -> DataFrame:
+    """The pages ``start`` to ``start + count - 1``."""
+    return pages.where(F.col("page_no").between(start, start + count - 1))
+
+
 def listing_window(pages: DataFrame, base_url: str, start: int = 1, count: int = 40) -> DataFrame:
     """The pages ``start`` to ``start + count - 1`` with their listing address."""
-    chosen = pages.where(F.col("page_no").between(start, start + count - 1))
+    chosen = in_window(pages, start, count)
     return chosen.withColumn("url", F.concat(F.lit(f"{base_url}&page="), F.col("page_no").cast("string")))
 
 
@@ -34,19 +39,38 @@ def _fetch_error() -> Column:
     return F.when(F.col("error").isNotNull(), F.concat(kind, F.lit("_error")))
 
 
-def page_stop_event(grid: H.Selector = GRID) -> Column:
-    """The event that ends a run at this page, NULL for a page that does not."""
+def _stop_event(grid_found: Column) -> Column:
     refused = F.col("error").isNull() & (F.col("status") >= 400) & (F.col("status") < 600)
-    grid_found = F.coalesce(H.has_element(H.without_noise(F.col("html")), grid), F.lit(False))
     return F.coalesce(
         _fetch_error(),
         F.when(refused, "request_error").when(answered() & ~grid_found, "no_grid"),
     )
 
 
+def page_stop_event(grid: H.Selector = GRID) -> Column:
+    """The event that ends a run at this page, NULL for a page that does not."""
+    return _stop_event(F.coalesce(H.has_element(H.without_noise(F.col("html")), grid), F.lit(False)))
+
+
+def read_listing(pages: DataFrame) -> DataFrame:
+    """What a run needs of its listing pages: ``event`` and, of answered ones, the ``links``.
+
+    Every page is cut once; the pages themselves go no further.
+    """
+    body = F.when(answered(), H.without_noise(F.col("html")))
+    gridded = pages.withColumn("grid", H.inner_html(body, GRID))
+    return gridded.select(
+        *RUN, "page_no", _stop_event(F.col("grid").isNotNull()).alias("event"), link_urls(F.col("grid")).alias("links")
+    )
+
+
 def run_stops(pages: DataFrame, grid: H.Selector = GRID) -> DataFrame:
     """The page and event at which each run stopped; runs without a bad page are absent."""
-    bad = pages.select(*RUN, "page_no", page_stop_event(grid).alias("event")).where(F.col("event").isNotNull())
+    return first_stops(pages.select(*RUN, "page_no", page_stop_event(grid).alias("event")))
+
+
+def first_stops(events: DataFrame) -> DataFrame:
+    bad = events.where(F.col("event").isNotNull())
     first = bad.groupBy(*RUN).agg(F.min(F.struct("page_no", "event")).alias("stop"))
     return first.select(*RUN, F.col("stop.page_no").alias("stop_page"), F.col("stop.event").alias("event"))
 
@@ -93,21 +117,23 @@ def offer_events(offers: DataFrame) -> DataFrame:
     )
 
 
-def load_events(runs: DataFrame, verdicts: DataFrame) -> DataFrame:
+def load_events(runs: DataFrame, outcomes: DataFrame) -> DataFrame:
     """What cleaning and loading reported for every run.
 
-    ``verdicts`` holds one row per run with data, as ``batch_verdict`` gives it.
+    ``outcomes`` holds one row per run with data: ``n_rows``, ``is_clean`` and the ``target``
+    that took the rows (``table``, ``quarantine`` or ``csv``).
     """
-    joined = runs.join(verdicts, RUN, "left")
-    nothing, clean = F.col("n_rows").isNull(), F.col("is_clean")
+    joined = runs.join(outcomes, RUN, "left")
     one = F.lit(1).cast("long")
 
     def event(stage: str, name: str, n: Column) -> Column:
         return F.struct(F.lit(stage).alias("stage"), F.lit(name).alias("event"), n.alias("n"))
 
-    events = (
-        F.when(nothing, F.array(event("clean", "no_data", one)))
-        .when(clean, F.array(event("load", "rows_loaded", F.col("n_rows"))))
-        .otherwise(F.array(event("clean", "failed", one), event("load", "rows_quarantined", F.col("n_rows"))))
+    cleaned = F.when(F.col("n_rows").isNull(), event("clean", "no_data", one)).when(
+        ~F.col("is_clean"), event("clean", "failed", one)
     )
-    return joined.select(*RUN, F.inline(events))
+    loaded = F.coalesce(*[
+        F.when(F.col("target") == target, event("load", name, F.col("n_rows")))
+        for target, name in (("table", "rows_loaded"), ("quarantine", "rows_quarantined"), ("csv", "rows_to_csv"))
+    ])
+    return joined.select(*RUN, F.inline(F.array_compact(F.array(cleaned, loaded))))

@@ -43,6 +43,11 @@ def offer_links(
     )
 
 
+def link_urls(grid: Column, item: H.Selector = GRID_ITEM, host: str = LINK_HOST) -> Column:
+    """The address of every offer of a grid, in order; NULL for an offer without a link."""
+    return F.transform(H.first_links(grid, item), lambda href: F.concat(F.lit(host), href))
+
+
 def offer_attributes(offers: DataFrame, keys: list[str]) -> DataFrame:
     """The five attribute texts of every offer page that has a specification table."""
     return _attributes(offers, keys, F.explode).drop("has_specs")

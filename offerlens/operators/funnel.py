@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from offerlens.functions.parse import nan_to_null, sentinel_to_null
 from offerlens.operators.quantiles import exact_quantiles
 from offerlens.schema import BRAND, CLOCK, MODEL, OFFER_COLUMNS, PRICE, RAM
-from offerlens.staging import stage, stage_observed
+from offerlens.staging import stage
 
 # Fixed values of the analysis.
 TOP_BRANDS = 10
@@ -144,30 +144,21 @@ class Funnel:
         return min_present(drop_null_model(null_missing(self.offers.where(keep))), self._least)
 
     @cached_property
-    def _cells(self) -> tuple[DataFrame, dict]:
+    def popular(self) -> DataFrame:
         """Rows of the top models counted by brand, price and clock; the second scan."""
         counted = self.of_top_models().groupBy(BRAND, PRICE, CLOCK).agg(F.count(F.lit(1)).alias("n"))
-        return stage_observed(
-            counted,
-            "popular",
-            F.approx_count_distinct(PRICE).alias("prices"),
-            F.approx_count_distinct(CLOCK).alias("clocks"),
-        )
-
-    @property
-    def popular(self) -> DataFrame:
-        return self._cells[0]
+        return stage(counted, "popular")
 
     @cached_property
     def price_fence(self) -> Fence:
-        quartiles = exact_quantiles(self.popular, PRICE, [0.25, 0.75], F.col("n"), self._cells[1]["prices"])
+        quartiles = exact_quantiles(self.popular, PRICE, [0.25, 0.75], F.col("n"))
         return Fence(*quartiles, self._whisker)
 
     @cached_property
     def clock_fence(self) -> Fence:
         """Taken after the price fence."""
         inside = self.popular.where(self.price_fence.holds(PRICE))
-        quartiles = exact_quantiles(inside, CLOCK, [0.25, 0.75], F.col("n"), self._cells[1]["clocks"])
+        quartiles = exact_quantiles(inside, CLOCK, [0.25, 0.75], F.col("n"))
         return Fence(*quartiles, self._whisker)
 
     def inside_price(self) -> DataFrame:

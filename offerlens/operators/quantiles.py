@@ -8,10 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from offerlens.staging import stage
-
-# Up to this many distinct values one task can hold the value counts in memory.
-IN_MEMORY_DISTINCT = 1_000_000
+from offerlens.staging import drop_stage, stage
 
 
 def value_counts(df: DataFrame, value: str, weight: Column | None = None) -> DataFrame:
@@ -21,36 +18,22 @@ def value_counts(df: DataFrame, value: str, weight: Column | None = None) -> Dat
 
 
 def exact_quantiles(
-    df: DataFrame,
-    value: str,
-    probabilities: list[float],
-    weight: Column | None = None,
-    distinct: int | None = None,
-    in_memory: int = IN_MEMORY_DISTINCT,
+    df: DataFrame, value: str, probabilities: list[float], weight: Column | None = None
 ) -> list[float | None]:
     """The quantiles of ``value``, each row counted ``weight`` times; None without rows.
 
     Copies of a value are counted before anything is gathered, so a value that
-    holds most rows costs no more than another. ``distinct`` is the (approximate)
-    number of distinct values where the caller knows it; above ``in_memory`` the
-    counts are range-partitioned instead of being handed to one task.
+    holds most rows costs no more than another. The counts are range-partitioned:
+    the totals of the partitions locate the wanted ranks.
     """
-    if distinct is None:
-        distinct = df.agg(F.approx_count_distinct(value)).first()[0]
     counts = value_counts(df, value, weight)
-    if distinct > in_memory:
-        return _ranged_quantiles(counts, value, probabilities)
-    row = counts.agg(F.percentile(value, probabilities, F.col("n")).alias("q")).first()
-    return list(row["q"]) if row["q"] is not None else [None] * len(probabilities)
-
-
-def _ranged_quantiles(counts: DataFrame, value: str, probabilities: list[float]) -> list[float | None]:
     slices = stage(
         counts.repartitionByRange(F.col(value)).withColumn("slice", F.spark_partition_id()), "value-counts"
     )
     # One row per range partition: bounded by the number of partitions.
     totals = slices.groupBy("slice").agg(F.sum("n").alias("n")).orderBy("slice").collect()
     if not totals:
+        drop_stage(slices)
         return [None] * len(probabilities)
     ends = list(accumulate(row["n"] for row in totals))
     total = ends[-1]
@@ -73,6 +56,7 @@ def _ranged_quantiles(counts: DataFrame, value: str, probabilities: list[float])
     )
     # At most one row per rank.
     hits = sorted_slices.where(hit).collect()
+    drop_stage(slices)
     found = {
         rank: next(h[value] for h in hits if h["slice"] == s and h["end"] - h["n"] <= k < h["end"])
         for rank, (s, k) in places.items()

@@ -5,34 +5,39 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlens.operators.clean import batch_verdict, clean_offers, stamp_date
+from offerlens.operators.clean import batch_verdict, clean_offers
 from offerlens.operators.crawl import (
     RUN,
     admit_offers,
     answered,
     before_stop,
+    first_stops,
+    in_window,
     load_events,
     offer_events,
     page_events,
-    run_stops,
+    read_listing,
 )
-from offerlens.operators.extract import offer_links, read_offer_pages
-from offerlens.schema import DATE, OFFER_COLUMNS
-from offerlens.sources.sinks import QUARANTINE_SUFFIX, append_csv, append_offers
-from offerlens.staging import stage
+from offerlens.operators.extract import read_offer_pages
+from offerlens.plans.dashboard import dashboard, save_dashboard
+from offerlens.schema import DATE, OFFER_COLUMNS, RUN_REPORT
+from offerlens.sources.sinks import Target, append_csv, target_of
+from offerlens.staging import drop_stage, drop_stages, stage
 
 
-def visited_offers(pages: DataFrame, stops: DataFrame, fetched: DataFrame) -> DataFrame:
+def visited_offers(listing: DataFrame, stops: DataFrame, fetched: DataFrame) -> DataFrame:
     """The offers behind the links of the admitted listing pages, already read.
 
     Links and attributes are extracted where the pages lie, so that the joins move
     a few short columns per offer and no page.
     """
     page = [*RUN, "page_no"]
-    links = before_stop(offer_links(pages.where(answered()), page), stops)
+    places = listing.where("links is not null").select(*page, F.posexplode("links").alias("pos", "url"))
+    links = before_stop(places.where("url is not null"), stops)
     body = F.when(answered(), F.col("html")).alias("html")
-    offers = read_offer_pages(fetched.select(*page, "url", "status", "error", body), [*page, "url", "status", "error"])
-    return links.join(offers, [*page, "url"])
+    answers = fetched.select(*page, "pos", "status", "error", body)
+    offers = read_offer_pages(answers, [*page, "pos", "status", "error"])
+    return links.join(offers, [*page, "pos"])
 
 
 @dataclass(frozen=True)
@@ -44,8 +49,12 @@ class Crawl:
 
     @classmethod
     def read(cls, pages: DataFrame, fetched: DataFrame) -> "Crawl":
-        stops = stage(run_stops(pages), "run-stops")
-        return cls(stops, stage(visited_offers(pages, stops, fetched), "visited"))
+        """Every listing page and every offer page is read once."""
+        listing = stage(read_listing(pages), "listing")
+        stops = stage(first_stops(listing), "run-stops")
+        crawl = cls(stops, stage(visited_offers(listing, stops, fetched), "visited"))
+        drop_stage(listing)
+        return crawl
 
     def raw_offers(self) -> DataFrame:
         """The raw offers of all runs, each stamped with its run date."""
@@ -56,10 +65,9 @@ class Crawl:
         return page_events(self.stops).unionByName(offer_events(self.visited))
 
 
-def crawl_report(crawl: Crawl, runs: DataFrame, raw: DataFrame) -> DataFrame:
+def crawl_report(crawl: Crawl, runs: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Events of every run from its pages, offers, cleaning and loading."""
-    verdicts = batch_verdict(raw, [DATE]).withColumnRenamed(DATE, "run_date")
-    return crawl.events().unionByName(load_events(runs, verdicts))
+    return crawl.events().unionByName(load_events(runs, outcomes))
 
 
 @dataclass(frozen=True)
@@ -69,9 +77,10 @@ class LoadResult:
     target: str
     rows: int
     error: str = ""
+    is_clean: bool = True
 
 
-def load_batch(raw: DataFrame, table_path: str) -> LoadResult:
+def load_batch(raw: DataFrame, where: str | Target) -> LoadResult:
     """Clean and append one batch, whole or not at all.
 
     One cell that cannot be parsed sends the raw batch to the quarantine table. A
@@ -79,28 +88,38 @@ def load_batch(raw: DataFrame, table_path: str) -> LoadResult:
     read twice, so pass a stored or staged frame.
     """
     verdict = batch_verdict(raw).first()
-    rows = verdict["n_rows"]
+    rows, clean = verdict["n_rows"], verdict["is_clean"]
     if rows == 0:
         return LoadResult("nothing", 0)
-    clean = verdict["is_clean"]
-    error = _append(clean_offers(raw) if clean else raw, table_path, clean, one_date=True)
-    return LoadResult("csv" if error else "table" if clean else "quarantine", rows, error)
+    error = _append(clean_offers(raw) if clean else raw, target_of(where), clean, one_date=True)
+    return LoadResult("csv" if error else "table" if clean else "quarantine", rows, error, clean)
 
 
-def load_runs(raw: DataFrame, table_path: str) -> None:
-    """Append many stored runs at once, each judged as its own batch by its date."""
-    verdicts = stage(batch_verdict(raw, [DATE]), "verdicts").select(F.col(DATE).alias("batch"), "is_clean")
-    judged = raw.join(verdicts, F.col(DATE).eqNullSafe(F.col("batch")))
-    _append(clean_offers(judged.where("is_clean")), table_path, clean=True, one_date=False)
-    _append(judged.where("not is_clean"), table_path, clean=False, one_date=False)
+def load_runs(raw: DataFrame, where: str | Target) -> DataFrame:
+    """Append many runs at once, each judged as its own batch by its date.
 
-
-def _append(batch: DataFrame, table_path: str, clean: bool, one_date: bool) -> str:
+    Returns what became of every run with rows: ``run_date, n_rows, is_clean, target``.
+    """
+    target = target_of(where)
+    raw = stage(raw, "raw-runs")
+    verdicts = stage(batch_verdict(raw, [DATE]).withColumnRenamed(DATE, "batch"), "verdicts")
+    judged = raw.join(verdicts.select("batch", "is_clean"), F.col(DATE).eqNullSafe(F.col("batch")))
+    took = {}
+    for clean in (row["is_clean"] for row in verdicts.select("is_clean").distinct().collect()):  # two rows at most
+        batch = judged.where(F.col("is_clean") == clean)
+        error = _append(clean_offers(batch) if clean else batch, target, clean, one_date=False)
+        took[clean] = "csv" if error else "table" if clean else "quarantine"
+    drop_stage(raw)
+    place = F.when(F.col("is_clean"), F.lit(took.get(True))).otherwise(F.lit(took.get(False)))
+    return verdicts.select(F.col("batch").alias("run_date"), "n_rows", "is_clean", place.cast("string").alias("target"))
+
+
+def _append(batch: DataFrame, target: Target, clean: bool, one_date: bool) -> str:
     """Append to the table or to quarantine; to the CSV fallback, with the error, if that fails."""
     try:
-        append_offers(batch, table_path if clean else f"{table_path}{QUARANTINE_SUFFIX}", one_date)
+        target.append(batch, clean, one_date)
     except Exception as failure:  # whatever keeps the table from taking the batch
-        append_csv(batch, f"{table_path}.csv")
+        append_csv(batch, target.csv_folder(clean))
         return str(failure)
     return ""
 
@@ -110,16 +129,36 @@ def run_report(result: LoadResult, run_date: str, spark: SparkSession) -> DataFr
     events = {
         "nothing": [("clean", "no_data", 1)],
         "table": [("load", "rows_loaded", result.rows)],
-        "quarantine": [("clean", "failed", 1), ("load", "rows_quarantined", result.rows)],
+        "quarantine": [("load", "rows_quarantined", result.rows)],
         "csv": [("load", "rows_to_csv", result.rows)],
     }[result.target]
+    if not result.is_clean:
+        events.insert(0, ("clean", "failed", 1))
     frame = spark.createDataFrame(events, "stage string, event string, n long")
-    return frame.select(F.lit(run_date).cast("date").alias("run_date"), "stage", "event", "n")
+    return frame.select(F.lit(run_date).cast("date").alias("run_date"), "stage", "event", "n").to(RUN_REPORT)
+
 
+def run_etl(
+    pages: DataFrame, fetched: DataFrame, where: str | Target, run_date: str, start: int = 1, count: int = 40
+) -> tuple[LoadResult, DataFrame]:
+    """Extract, clean and load one run of a store of crawls, its listing pages from ``start`` on.
 
-def run_etl(pages: DataFrame, fetched: DataFrame, table_path: str, run_date: str) -> tuple[LoadResult, DataFrame]:
-    """Extract, clean and load one run; returns where it went and its report."""
-    crawl = Crawl.read(pages, fetched)
-    raw = stage(stamp_date(crawl.raw_offers(), run_date), "raw-offers")
-    result = load_batch(raw, table_path)
+    Returns where the run went and its report.
+    """
+    mine = F.col("run_date") == F.lit(run_date).cast("date")
+    crawl = Crawl.read(in_window(pages.where(mine), start, count), fetched.where(mine))
+    raw = stage(crawl.raw_offers(), "raw-offers")
+    result = load_batch(raw, where)
+    drop_stage(raw)
     return result, crawl.events().unionByName(run_report(result, run_date, raw.sparkSession))
+
+
+def run_all(
+    pages: DataFrame, fetched: DataFrame, where: str | Target, run_date: str, folder: str, start: int = 1, count: int = 40
+) -> LoadResult:
+    """Load one run, then save its report and the dashboard of the whole table below ``folder``."""
+    result, report = run_etl(pages, fetched, where, run_date, start, count)
+    report.write.mode("append").parquet(f"{folder}/report")
+    save_dashboard(dashboard(target_of(where).read(pages.sparkSession)), folder)
+    drop_stages(pages.sparkSession)
+    return result

@@ -39,10 +39,12 @@ CRAWL_PAGE = T.StructType([
     T.StructField("html", T.StringType()),
 ])
 
-# One fetched offer page, stored under the link that led to it.
+# One fetched offer page, stored under the place of the link that led to it: a page may
+# list one address twice.
 FETCHED_OFFER = T.StructType([
     T.StructField("run_date", T.DateType()),
     T.StructField("page_no", T.IntegerType()),
+    T.StructField("pos", T.IntegerType()),
     T.StructField("url", T.StringType()),
     T.StructField("status", T.IntegerType()),
     T.StructField("error", T.StringType()),

@@ -5,6 +5,9 @@ from pyspark.sql.types import StructType
 
 from offerlens.schema import OFFER, OFFER_COLUMNS
 
+# CSV texts keep their padding, quotes and line breaks.
+CSV_TEXT = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
 
 def read_offers(spark: SparkSession, path: str, source: str = "parquet", schema: StructType = OFFER) -> DataFrame:
     """The six offer columns of a stored table; only they are read.
@@ -14,7 +17,7 @@ def read_offers(spark: SparkSession, path: str, source: str = "parquet", schema:
     """
     reader = spark.read.schema(schema)
     if source == "csv":
-        reader = reader.option("header", True).option("nullValue", "NaN")
+        reader = reader.options(header=True, nullValue="NaN", multiLine=True, **CSV_TEXT)
     return reader.format(source).load(path).select(*OFFER_COLUMNS)
 
 

@@ -1,8 +1,11 @@
 """Appending batches to the offer table, the quarantine table and the CSV fallback."""
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 
 from offerlens.schema import DATE, OFFER_COLUMNS
+from offerlens.sources.offers import CSV_TEXT, read_offers, read_offers_jdbc
 
 QUARANTINE_SUFFIX = "_uncleaned"
 
@@ -24,6 +27,51 @@ def append_jdbc(batch: DataFrame, url: str, table: str, **options: str) -> None:
 
 
 def append_csv(batch: DataFrame, folder: str) -> None:
-    """Missing values as ``NaN``. Every part file has its own header line."""
+    """Texts as they are; missing values as ``NaN``. Every part file has its own header line."""
     writer = batch.select(*OFFER_COLUMNS).write.mode("append")
-    writer.option("header", True).option("nullValue", "NaN").csv(folder)
+    writer.options(header=True, nullValue="NaN", **CSV_TEXT).csv(folder)
+
+
+@dataclass(frozen=True)
+class ParquetTarget:
+    """Offer table, its quarantine beside it, and CSV folders for what neither takes."""
+
+    path: str
+    csv: str = ""
+
+    def append(self, batch: DataFrame, clean: bool, one_date: bool) -> None:
+        append_offers(batch, self.path if clean else f"{self.path}{QUARANTINE_SUFFIX}", one_date)
+
+    def csv_folder(self, clean: bool) -> str:
+        """Raw and clean rows have different types, so each has a folder."""
+        return f"{self.csv or self.path}{'' if clean else QUARANTINE_SUFFIX}.csv"
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return read_offers(spark, self.path)
+
+
+@dataclass(frozen=True)
+class JdbcTarget:
+    """The same as database tables; ``csv`` names the fallback folder."""
+
+    url: str
+    table: str
+    csv: str
+    options: tuple[tuple[str, str], ...] = ()
+
+    def append(self, batch: DataFrame, clean: bool, one_date: bool) -> None:
+        append_jdbc(batch, self.url, self.table if clean else f"{self.table}{QUARANTINE_SUFFIX}", **dict(self.options))
+
+    def csv_folder(self, clean: bool) -> str:
+        return f"{self.csv}{'' if clean else QUARANTINE_SUFFIX}.csv"
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return read_offers_jdbc(spark, self.url, self.table, **dict(self.options))
+
+
+Target = ParquetTarget | JdbcTarget
+
+
+def target_of(where: "str | Target") -> Target:
+    """A path stands for a Parquet table."""
+    return ParquetTarget(where) if isinstance(where, str) else where

@@ -26,24 +26,52 @@ def test_weights_look_like_poisson_one(spark):
     assert row["m"] == pytest.approx(1, abs=0.02) and row["v"] == pytest.approx(1, abs=0.03)
 
 
+@pytest.mark.parametrize("n", [1, 7, 16, 40, 300, 5000])
+def test_totals_have_mean_and_variance_of_their_copies(spark, n):
+    drawn = bt.resample(cells(spark, [(v, n) for v in range(40)]), 250)
+    totals = drawn.groupBy(PRICE, "replicate").agg(F.sum("weight").alias("w"))
+    row = totals.agg(F.avg("w").alias("m"), F.var_samp("w").alias("v"), F.count("w").alias("n")).first()
+    assert row["n"] == 10_000
+    assert row["m"] == pytest.approx(n, abs=5 * (n / 10_000) ** 0.5) and row["v"] == pytest.approx(n, rel=0.08)
+
+
+def test_bounds_are_the_distribution_function():
+    from math import exp, lgamma, log
+
+    for mean in bt.MEANS:
+        first, bounds = bt.poisson_bounds(mean)
+        total = sum(exp(k * log(mean) - mean - lgamma(k + 1)) for k in range(first + 1))
+        for k, bound in enumerate(bounds, start=first):
+            assert bound / bt.P**2 == pytest.approx(total, abs=1e-12)
+            total += exp((k + 1) * log(mean) - mean - lgamma(k + 2))
+        assert bounds == sorted(bounds) and bounds[-1] >= bt.P**2 - 2 and all(b > 0 for b in bounds)
+
+
+def test_copies_and_cells_give_the_same_interval(spark):
+    """n equal rows are one cell, whether they arrive as rows or spread over files."""
+    rows = spark.range(3000).selectExpr("'g' as g", "cast(id % 5 as double) as v")
+    once = bt.group_mean_ci(rows.coalesce(1), "g", "v", 100).collect()
+    assert once == bt.group_mean_ci(rows.repartition(9), "g", "v", 100).collect()
+
+
 def test_replicates_are_not_correlated(spark):
     drawn = bt.resample(cells(spark, [(v, 1) for v in range(300)]), 200).collect()
     weights = np.zeros((300, 201))
     for r in drawn:
-        weights[int(r[PRICE]), r["replicate"]] = r["weight"]
+        weights[int(r[PRICE]), r["replicate"]] += r["weight"]
     by_replicate = np.corrcoef(weights[:, 1:].T) - np.eye(200)
     by_row = np.corrcoef(weights[:, 1:]) - np.eye(300)
     assert abs(by_replicate).mean() < 2 / np.sqrt(300) and abs(by_replicate.mean()) < 0.01
     assert abs(by_row).mean() < 2 / np.sqrt(200) and abs(by_row.mean()) < 0.01
 
 
-@pytest.mark.parametrize("unit_copies", [64, 16])
-def test_spread_of_means_is_the_standard_error(spark, unit_copies):
-    """Also where cells are too large to draw for every copy."""
+@pytest.mark.parametrize("low,high", [(1, 3), (50, 60), (900, 1100)])
+def test_spread_of_means_is_the_standard_error(spark, low, high):
+    """For copies of one, two and three digits."""
     rng = random.Random(3)
-    values = [(v, rng.randint(50, 60)) for v in range(30)]
+    values = [(v, rng.randint(low, high)) for v in range(30)]
     expanded = np.array([v for v, n in values for _ in range(n)])
-    means = replicate_means(spark, values, replicates=1500, unit_copies=unit_copies)
+    means = replicate_means(spark, values, replicates=1500)
     error = expanded.std() / np.sqrt(len(expanded))
     assert means.mean() == pytest.approx(expanded.mean(), abs=4 * error / np.sqrt(1500))
     assert means.std() == pytest.approx(error, rel=0.08)

@@ -74,8 +74,11 @@ def test_a_block_drops_the_rest_of_its_page_only(spark):
 def test_load_events(spark):
     days = [date(2023, 1, d) for d in (1, 2, 3)]
     runs = spark.createDataFrame([(d,) for d in days], "run_date date")
-    verdicts = spark.createDataFrame([(days[0], 5, True), (days[1], 4, False)], "run_date date, n_rows long, is_clean boolean")
-    events = crawl.load_events(runs, verdicts).select(F.dayofmonth("run_date"), "stage", "event", "n").collect()
+    outcomes = spark.createDataFrame(
+        [(days[0], 5, True, "table"), (days[1], 4, False, "quarantine")],
+        "run_date date, n_rows long, is_clean boolean, target string",
+    )
+    events = crawl.load_events(runs, outcomes).select(F.dayofmonth("run_date"), "stage", "event", "n").collect()
     assert sorted(tuple(e) for e in events) == [
         (1, "load", "rows_loaded", 5),
         (2, "clean", "failed", 1),

@@ -8,11 +8,10 @@ from offerlens.operators.clean import batch_verdict, clean_offers, stamp_date
 from offerlens.operators.extract import GRID, GRID_ITEM, LINK_HOST, SPEC_ROWS, SPEC_TABLE
 from offerlens.plans import etl
 from offerlens.plans.dashboard import dashboard, save_dashboard
-from offerlens.schema import BRAND, CLOCK, CRAWL_PAGE, DATE, FETCHED_OFFER, MODEL, OFFER_COLUMNS, RAM
+from offerlens.schema import BRAND, CLOCK, CRAWL_PAGE, DATE, FETCHED_OFFER, MODEL, OFFER_COLUMNS, RAM, RAW_OFFER
 from offerlens.sources.offers import read_offers
-from offerlens.sources.sinks import append_csv, append_offers
+from offerlens.sources.sinks import ParquetTarget, append_csv, append_offers
 from offerlens.staging import drop_stages, stage, stage_root
-from offerlens.streaming.ingest import load_new_offers
 
 GOOD = [("A ", "1,299.", " b", "8 GB", "1.8 GHz"), ("unknown", "unknown", "unknown", "unknown", "unknown")]
 BAD = ("A", "10.", "b", "8 GB", "1,800 MHz")
@@ -41,7 +40,7 @@ def test_clean_batch_goes_to_the_table(spark, raw_offers, tmp_path):
 
 def test_one_bad_cell_quarantines_the_whole_raw_batch(spark, raw_offers, tmp_path):
     path = str(tmp_path / "offers")
-    assert etl.load_batch(raw_offers([*GOOD, BAD]), path) == etl.LoadResult("quarantine", 3)
+    assert etl.load_batch(raw_offers([*GOOD, BAD]), path) == etl.LoadResult("quarantine", 3, is_clean=False)
     assert rows(spark.read.parquet(f"{path}_uncleaned")) == expected([*GOOD, BAD])
     assert not Path(path).exists()
 
@@ -57,14 +56,11 @@ def test_empty_batch_is_only_reported(spark, raw_offers, tmp_path):
 def test_failed_load_falls_back_to_csv(spark, raw_offers, tmp_path):
     blocked = tmp_path / "file"
     blocked.write_text("not a folder")
-    path = str(blocked / "offers")
-    # the fallback stands beside the table, so give it a folder of its own
-    with pytest.MonkeyPatch.context() as patch:
-        patch.setattr(etl, "append_csv", lambda batch, _: append_csv(batch, str(tmp_path / "offers.csv")))
-        for _ in range(2):
-            result = etl.load_batch(raw_offers(GOOD), path)
+    target = ParquetTarget(str(blocked / "offers"), str(tmp_path / "fallback"))
+    for _ in range(2):
+        result = etl.load_batch(raw_offers(GOOD), target)
     assert result.target == "csv" and result.rows == 2 and result.error
-    assert rows(read_offers(spark, str(tmp_path / "offers.csv"), "csv")) == expected(CLEANED * 2)
+    assert rows(read_offers(spark, target.csv_folder(True), "csv")) == expected(CLEANED * 2)
 
 
 def test_csv_missing_text_and_headers(spark, raw_offers, tmp_path):
@@ -118,7 +114,10 @@ def crawl(spark, day=date(2023, 1, 1), clock="1.8 GHz"):
     ]
     return (
         spark.createDataFrame(pages, CRAWL_PAGE),
-        spark.createDataFrame([(day, 3 if u == "/9" else 1, LINK_HOST + u, s, e, h) for u, s, e, h in fetched], FETCHED_OFFER),
+        spark.createDataFrame(
+            [(day, 3 if u == "/9" else 1, 0 if u == "/9" else int(u[1]) - 1, LINK_HOST + u, s, e, h) for u, s, e, h in fetched],
+            FETCHED_OFFER,
+        ),
     )
 
 
@@ -139,16 +138,61 @@ def test_whole_run_with_a_bad_cell(spark, tmp_path):
     assert {("clean", "failed", 1), ("load", "rows_quarantined", 1)} <= {tuple(r)[1:] for r in report.collect()}
 
 
-def test_recurring_run_loads_only_what_is_new(spark, raw_offers, tmp_path):
-    arrivals, path, checkpoint = (str(tmp_path / n) for n in ("raw", "offers", "checkpoint"))
-    for batch, total in [(GOOD, 2), (GOOD[:1], 3)]:
-        raw_offers(batch).write.mode("append").parquet(arrivals)
-        load_new_offers(spark, arrivals, path, checkpoint).awaitTermination()
-        assert read_offers(spark, path).count() == total
-    raw_offers([BAD]).write.mode("append").parquet(arrivals)
-    load_new_offers(spark, arrivals, path, checkpoint).awaitTermination()
-    assert read_offers(spark, path).count() == 3
-    assert spark.read.parquet(f"{path}_uncleaned").count() == 1
+def test_runs_in_one_store_are_loaded_one_by_one(spark, tmp_path):
+    pages, fetched = crawl(spark)
+    later, later_fetched = crawl(spark, date(2023, 2, 1), clock="2 GHz")
+    path = str(tmp_path / "offers")
+    for day in ("2023-01-01", "2023-02-01"):
+        result, report = etl.run_etl(pages.union(later), fetched.union(later_fetched), path, day)
+        assert result == etl.LoadResult("table", 1)
+        assert {str(r["run_date"]) for r in report.collect()} == {day}
+    loaded = {(r[DATE], r[CLOCK]) for r in read_offers(spark, path).collect()}
+    assert loaded == {(date(2023, 1, 1), 1800.0), (date(2023, 2, 1), 2000.0)}
+
+
+def test_page_window_of_a_run(spark, tmp_path):
+    path = str(tmp_path / "offers")
+    assert etl.run_etl(*crawl(spark), path, "2023-01-01", start=3)[0] == etl.LoadResult("table", 1)
+    assert etl.run_etl(*crawl(spark), path, "2023-01-01", start=4)[0] == etl.LoadResult("nothing", 0)
+
+
+def test_one_address_listed_twice_gives_two_offers(spark, tmp_path):
+    pages, fetched = crawl(spark)
+    html = F.replace("html", F.lit("href=/4"), F.lit("href=/1"))
+    doubled = pages.withColumn("html", F.when(F.col("page_no") == 1, html).otherwise(F.col("html")))
+    ahead = fetched.where("status = 200 and page_no = 1")
+    result, _ = etl.run_etl(doubled, ahead, str(tmp_path / "offers"), "2023-01-01")
+    assert result.rows == 2
+
+
+def test_csv_keeps_raw_texts(spark, raw_offers, tmp_path):
+    odd = [(' A\n "RTX" ', " 1,299.", "b,c", "8 GB ", "\t1.8 GHz"), ("", "unknown", '"', "unknown", "unknown")]
+    append_csv(raw_offers(odd), str(tmp_path / "raw.csv"))
+    assert rows(read_offers(spark, str(tmp_path / "raw.csv"), "csv", RAW_OFFER)) == expected(odd)
+
+
+def test_dirty_batch_in_csv_reports_both(spark, raw_offers, tmp_path):
+    blocked = tmp_path / "file"
+    blocked.write_text("not a folder")
+    target = ParquetTarget(str(blocked / "offers"), str(tmp_path / "fallback"))
+    result = etl.load_batch(raw_offers([BAD]), target)
+    events = {tuple(r)[1:] for r in etl.run_report(result, "2023-01-01", spark).collect()}
+    assert events == {("clean", "failed", 1), ("load", "rows_to_csv", 1)}
+    assert rows(read_offers(spark, target.csv_folder(False), "csv", RAW_OFFER)) == expected([BAD])
+    outcome = etl.load_runs(raw_offers([BAD]), target).first()
+    assert (outcome["n_rows"], outcome["is_clean"], outcome["target"]) == (1, False, "csv")
+
+
+def test_no_rows_write_nothing(raw_offers, tmp_path):
+    assert etl.load_runs(raw_offers([]), str(tmp_path / "offers")).count() == 0
+    assert list(tmp_path.iterdir()) == []
+
+
+def test_one_job_loads_and_draws(spark, tmp_path):
+    result = etl.run_all(*crawl(spark), str(tmp_path / "offers"), "2023-01-01", str(tmp_path / "out"))
+    assert result.target == "table"
+    assert spark.read.parquet(str(tmp_path / "out" / "report")).count() == 4
+    assert spark.read.parquet(str(tmp_path / "out" / "price_by_category")).count() == 4
 
 
 def test_dashboard_is_saved(spark, tmp_path):

@@ -17,20 +17,18 @@ def weighted(spark, values, brand="b"):
     return spark.createDataFrame(rows, f"{BRAND} string, {PRICE} double, n long")
 
 
-@pytest.mark.parametrize("in_memory", [10**6, 0])
 @pytest.mark.parametrize("seed", range(3))
-def test_quantiles_agree_with_numpy(spark, in_memory, seed):
+def test_quantiles_agree_with_numpy(spark, seed):
     rng = random.Random(seed)
     values = [(rng.choice([rng.random() * 100, rng.randint(0, 9)]), rng.randint(1, 4)) for _ in range(rng.randint(1, 300))]
     values.append((5, 1000))  # most rows hold one value
     expanded = [v for v, n in values for _ in range(n)]
-    found = exact_quantiles(weighted(spark, values).repartition(5), PRICE, PROBABILITIES, F.col("n"), in_memory=in_memory)
+    found = exact_quantiles(weighted(spark, values).repartition(5), PRICE, PROBABILITIES, F.col("n"))
     assert found == pytest.approx(list(np.quantile(expanded, PROBABILITIES)), rel=1e-12)
 
 
-@pytest.mark.parametrize("in_memory", [10**6, 0])
-def test_quantiles_of_nothing(spark, in_memory):
-    assert exact_quantiles(weighted(spark, []), PRICE, [0.25, 0.5], F.col("n"), in_memory=in_memory) == [None, None]
+def test_quantiles_of_nothing(spark):
+    assert exact_quantiles(weighted(spark, []), PRICE, [0.25, 0.5], F.col("n")) == [None, None]
 
 
 def test_quantiles_skip_missing_values(spark):

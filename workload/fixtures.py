@@ -123,7 +123,9 @@ def _tag(selector: Selector, inner: Column, quote: str = '"') -> Column:
 
 
 def _href(run: Column, page: Column, pos: Column) -> Column:
-    return F.concat(F.lit("/dp/"), run.cast("string"), F.lit("-"), page.cast("string"), F.lit("?pos="), pos.cast("string"))
+    """On some pages the second offer has the address of the first."""
+    shown = F.when((F.col("p_partkey") % 53 == 52) & (pos == 1), 0).otherwise(pos)
+    return F.concat(F.lit("/dp/"), run.cast("string"), F.lit("-"), page.cast("string"), F.lit("?pos="), shown.cast("string"))
 
 
 def _crawled_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,7 +144,7 @@ def part_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("p_partkey")
 
     def item(pos: Column) -> Column:
-        link = F.concat(F.lit("<h2><a class=t href='"), _href(F.col("run_no"), F.col("page_no"), pos), F.lit("&amp;s=1'>x</a></h2>"))
+        link = F.concat(F.lit("<h2><a class=t title=\"RAM > 8 GB\" href='"), _href(F.col("run_no"), F.col("page_no"), pos), F.lit("&amp;s=1'>x</a></h2>"))
         body = F.concat(F.lit("<div><div>"), F.when(pos == 3, F.lit("sold out")).otherwise(link), F.lit("</div><a href='/help'>?</a></div>"))
         return _tag(GRID_ITEM, F.when(pos == 3, F.lit("<div>sold out</div>")).otherwise(body))
 
@@ -168,7 +170,7 @@ def part_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     dollars = F.floor("p_retailprice") + pos * 10
     price = F.concat(F.lit("<span class='a-price a-price-whole'>"), _with_comma(dollars), F.lit("<span class=d>.</span></span><span>99</span>"))
     values = {
-        MODEL: F.concat(F.lit("<span> "), "p_name", F.lit(" &amp; "), pos.cast("string"), F.lit(" </span>")),
+        MODEL: F.concat(F.lit("<span title='a > b'> "), "p_name", F.lit(" &#0000000038; "), pos.cast("string"), F.lit(" </span>")),
         BRAND: F.col("p_brand"),
         RAM: F.when(h % 2 == 0, F.concat((size * 512).cast("string"), F.lit(" MB"))).otherwise(F.concat(size.cast("string"), F.lit("&nbsp;GB"))),
         CLOCK: F.when(h % 1201 == 1200, F.lit("1,800 MHz"))
@@ -188,6 +190,7 @@ def part_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return offers.where(pos != 3).select(
         "run_date",
         "page_no",
+        "pos",
         F.concat(F.lit(LINK_HOST), _href(F.col("run_no"), F.col("page_no"), pos), F.lit("&s=1")).alias("url"),
         F.when(h % 23 == 0, 403).when(h % 29 == 0, 500).otherwise(200).alias("status"),
         F.when(h % 31 == 0, F.lit("timeout")).alias("error"),

@@ -1,5 +1,7 @@
 """The registered queries stated independently, as SQL for a second engine."""
 
+from offerlens.operators.bootstrap import poisson_bounds
+
 _RAW = """
 b as (
   select l_orderkey*7 + l_linenumber*3 + l_partkey as h, p_name, p_brand, p_size, l_quantity, l_shipdate,
@@ -103,30 +105,36 @@ select step::int as step, stage, n::bigint as n from (
   union all select 8, 'clock_fence', count(*) from df
   union all select 9, 'distinct', count(*) from du)"""
 
-# Poisson(1) weights: cumulative probabilities times the prime, rounded down.
-_WEIGHT = """case when copy > 0 then
-    case when u < 790015083 then 0 when u < 1580030167 then 1 when u < 1975037709 then 2 when u < 2106706890 then 3
-    when u < 2139624185 then 4 when u < 2146207644 then 5 when u < 2147304887 then 6 when u < 2147461637 then 7
-    when u < 2147481230 then 8 when u < 2147483407 then 9 when u < 2147483625 then 10 when u < 2147483645 then 11 else 12 end
-  else greatest(0, round(n + sqrt(n - 1/12.0::double) * sqrt(-2 * ln((u + 1) / 2147483648.0::double)) * cos(2 * pi() * v / 2147483647.0::double))) end"""
+def _poisson(mean: int) -> str:
+    """Poisson(mean) from ``uv``: the bounds as one CASE per value, halved to keep it flat."""
+    first, bounds = poisson_bounds(mean)
+
+    def search(low: int, high: int) -> str:
+        if low == high:
+            return str(first + low)
+        middle = (low + high) // 2
+        return f"case when uv < {bounds[middle]} then {search(low, middle)} else {search(middle + 1, high)} end"
+
+    return search(0, len(bounds))
 
 
 def _resampled(key: str) -> str:
     """Weights of 1000 replicates for the rows of ``cells(..., n)``."""
     fifth = "((({x})*({x})%2147483647)*(({x})*({x})%2147483647)%2147483647)*({x})%2147483647"
-    u = fifth.format(x="s1")
-    v = fifth.format(x="s2")
     return f"""
 units as (
-  select *, unnest(case when n <= 16 then range(1, n + 1) else [0::bigint] end) as copy from cells),
+  select *, 0 as level, unnest(range(1, n % 16 + 1)) as copy from cells
+  union all select *, 1, unnest(range(1, n // 16 % 16 + 1)) from cells
+  union all select *, 2, unnest(range(1, n // 256 + 1)) from cells),
 seeds as (
   select *, ('0x' || substr(d, 1, 15))::bigint % 2147483647 as k1, ('0x' || substr(d, 16, 15))::bigint % 2147483647 as k2
-  from (select *, md5(concat_ws('|', {key}, copy::varchar)) as d from units)),
+  from (select *, md5(concat_ws('|', {key}, level::varchar, copy::varchar)) as d from units)),
 shifted as (
   select seeds.*, g.i as replicate, (k1 + g.i*1640531527) % 2147483647 as s1, (k2 + g.i*1640531527) % 2147483647 as s2
   from seeds, range(1, 1001) g(i)),
-mixed as (select *, {u} as u, {v} as v from shifted),
-drawn as (select *, {_WEIGHT} as w from mixed)"""
+mixed as (select *, ({fifth.format(x="s1")}) * 2147483647 + {fifth.format(x="s2")} as uv from shifted),
+drawn as (
+  select *, case level when 0 then {_poisson(1)} when 1 then {_poisson(16)} else {_poisson(256)} end as w from mixed)"""
 
 
 _NAV_PAGES = """
@@ -136,7 +144,7 @@ nav_pages as (
     case when page_id % 67 = 66 then 'timeout' end as error, html
   from pages)"""
 
-_PARTS = """
+_PARTS_OF = """
 parts as (
   select *, date '2020-01-01' + cast(p_partkey // 40 as int) as run_date, cast(p_partkey % 40 + 1 as int) as page_no
   from part),
@@ -145,7 +153,7 @@ part_pages as (
     case when p_partkey % 97 = 96 then 403 when p_partkey % 79 = 78 then 304 else 200 end as status,
     case when p_partkey % 83 = 82 then 'timeout' end as error,
     p_partkey % 89 = 88 as no_grid
-  from parts),
+  from parts where page_no between {first} and {last}),
 page_event as (
   select *, case when error is not null then 'timeout_error' when status = 403 then 'request_error'
                  when status = 200 and no_grid then 'no_grid' end as event
@@ -156,7 +164,8 @@ admitted as (
   where (stop_page is null or page_no < stop_page) and status = 200 and error is null),
 part_links as (
   select p_partkey, run_date, page_no, no_grid, pos,
-    'https://amazon.com/dp/' || (p_partkey // 40) || '-' || page_no || '?pos=' || pos || '&s=1' as url
+    'https://amazon.com/dp/' || (p_partkey // 40) || '-' || page_no || '?pos='
+      || (case when p_partkey % 53 = 52 and pos = 1 then 0 else pos end) || '&s=1' as url
   from (select *, unnest(range(0, p_partkey % 5 + 1)) as pos from page_event) where pos <> 3),
 part_offers as (
   select run_date, page_no, pos, url, h,
@@ -180,6 +189,8 @@ kept as (
   select v.* from visited v left join blocks b on v.run_date = b.run_date and v.page_no = b.page_no
   where (block_pos is null or pos < block_pos) and status = 200 and error is null and h % 19 <> 0)"""
 
+_PARTS = _PARTS_OF.format(first=1, last=40)
+
 # The crawled runs whose cells can all be parsed, cleaned; a no-break space is white space.
 _CRAWLED = f"""{_PARTS},
 loaded as (
@@ -223,7 +234,7 @@ def all_oracles() -> dict[str, str]:
             from (select page_id, {_LINKS} from pages)""",
         "grid_offer_links": _with(_PARTS, """
             select l.run_date, l.page_no, cast(pos as int) as pos, url from part_links l join part_pages p using (p_partkey)
-            where p.error is null and not p.no_grid"""),
+            where not p.no_grid"""),
         "offer_admission": _with(_NAV_PAGES, f""",
             offers as (
               select *, (dayofyear(run_date)*7 + page_no*31 + pos) % 17 as kind
@@ -234,6 +245,8 @@ def all_oracles() -> dict[str, str]:
               where b.run_date = o.run_date and b.page_no = o.page_no and b.pos <= o.pos and b.kind = 0)"""),
         "offer_extract": _with(_PARTS, """
             select url, model, price_USD, brand, ram_GB, gpu_clock_speed_MHz from part_offers where h % 19 <> 0"""),
+        "crawl_window_offers": _with(_PARTS_OF.format(first=3, last=22), """
+            select model, price_USD, brand, ram_GB, gpu_clock_speed_MHz, run_date as date from kept"""),
         "crawl_raw_offers": _with(_PARTS, """
             select model, price_USD, brand, ram_GB, gpu_clock_speed_MHz, run_date as date from kept"""),
         "scan_project": _with(_CLEAN, f"select {_SIX} from offers"),
@@ -314,6 +327,20 @@ def all_oracles() -> dict[str, str]:
               round(any_value(low), 4) as low, round(any_value(high), 4) as high
             from labels4 l left join cat using (category_no) left join bounds using (category_no)
             group by l.category_no, l.category"""),
+        "value_mean_ci": _with(f"""
+            cells as materialized (
+              select l_returnflag as c, l_quantity as y, count(*) as n from lineitem
+              where l_returnflag is not null and l_quantity is not null group by all),
+            {_resampled("c, format('{:.6f}', y::double)").strip()},
+            means as (select c, replicate, sum(w*y::double)/sum(w) as m from drawn where w > 0 group by c, replicate),
+            bounds as (select c, quantile_cont(m, 0.025) as low, quantile_cont(m, 0.975) as high from means group by c)""", """
+            select l_returnflag, count(*)::bigint as n, round(avg(l_quantity), 6) as mean, round(any_value(low), 6) as low,
+              round(any_value(high), 6) as high
+            from lineitem join bounds on l_returnflag = c where l_quantity is not null group by l_returnflag"""),
+        "events_box_outliers": """
+            with q as (select quantile_cont(value, 0.25) as q1, quantile_cont(value, 0.75) as q3 from events)
+            select value, count(*)::bigint as n from events, q
+            where value < q1 - 1.5*(q3-q1) or value > q3 + 1.5*(q3-q1) group by value""",
         "price_box": _with(f"""{_FUNNEL},
             q as (
               select quantile_cont(price_USD, 0.25) as q1, quantile_cont(price_USD, 0.5) as med, quantile_cont(price_USD, 0.75) as q3
@@ -355,6 +382,22 @@ def all_oracles() -> dict[str, str]:
             select run.d as date, count(*)::bigint as n, sum(price_USD) as price_sum
             from offers, (values (date '2023-01-01'), (date '2023-02-01'), (date '2023-02-01')) run(d) group by run.d"""),
         "load_csv_fallback": _with(_CLEAN, f"select {_SIX} from offers"),
+        "load_csv_raw": _with(_RAW, f"""
+            select ' "' || coalesce(model, '') || '",' || chr(10) || ' ' as model, {", ".join(_SIX.split(", ")[1:])}
+            from offers_raw"""),
+        "empty_batch": _with(_PARTS, """
+            select distinct run_date, 'clean' as stage, 'no_data' as event, 1::bigint as n from part_pages"""),
+        "run_report_csv": _with(f"""{_PARTS},
+            runs as (
+              select p.run_date, count(k.h) as n_rows, count_if(k.gpu_clock_speed_MHz = '1,800 MHz') as bad
+              from (select distinct run_date from part_pages) p left join kept k on k.run_date = p.run_date group by p.run_date)""", """
+            select run_date, stage, event, n::bigint as n from (
+              select run_date, 'clean' as stage, 'no_data' as event, 1 as n from runs where n_rows = 0
+              union all select run_date, 'clean', 'failed', 1 from runs where bad > 0
+              union all select run_date, 'load', 'rows_to_csv', n_rows from runs where n_rows > 0)"""),
+        "pipeline_to_dashboard": _with(_CRAWLED, """
+            select brand, round(avg(p), 6) as price
+            from (select brand, model, avg(price_USD) as p from du group by brand, model) group by brand"""),
         "batch_verdict": _with(_DIRTY, """
             select date, n_rows, bad_price, bad_ram, bad_clock, bad_price + bad_ram + bad_clock = 0 as is_clean from verdicts"""),
         "load_routing": _with(_DIRTY, """

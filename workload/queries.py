@@ -9,11 +9,11 @@ from offerlens.functions import parse
 from offerlens.operators import bootstrap, crawl, distribution, extract, funnel, metrics
 from offerlens.operators.clean import batch_verdict, clean_offers, stamp_date
 from offerlens.operators.funnel import Funnel
-from offerlens.operators.quantiles import exact_quantiles
+from offerlens.operators.quantiles import exact_quantiles, value_counts
 from offerlens.plans import etl
 from offerlens.schema import BRAND, CLOCK, DATE, MODEL, OFFER, OFFER_COLUMNS, PRICE, RAM, RAW_OFFER
 from offerlens.sources.offers import read_offers
-from offerlens.sources.sinks import QUARANTINE_SUFFIX, append_csv, append_offers
+from offerlens.sources.sinks import QUARANTINE_SUFFIX, ParquetTarget, append_csv, append_offers
 from offerlens.staging import new_stage_path, stage
 from workload import fixtures
 
@@ -44,7 +44,7 @@ def _funnel(spark: SparkSession, sf_dir: str) -> Funnel:
 
 
 def _eligible(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return funnel.min_present(funnel.drop_null_model(funnel.null_missing(_stored_offers(spark, sf_dir))))
+    return funnel.min_present(funnel.drop_null_model(funnel.null_missing(_offers(spark, sf_dir))))
 
 
 def _rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
@@ -65,14 +65,14 @@ def listing_window(spark, sf_dir):
 @_query
 def crawl_prefix(spark, sf_dir):
     pages = fixtures.nav_pages(spark, sf_dir)
-    stops = crawl.run_stops(pages, fixtures.NAV)
+    stops = stage(crawl.run_stops(pages, fixtures.NAV), "run-stops")
     return crawl.admit_pages(pages, stops).select("run_date", "page_no", "status")
 
 
 @_query
 def crawl_prefix_grid(spark, sf_dir):
     pages = fixtures.part_pages(spark, sf_dir)
-    return crawl.admit_pages(pages, crawl.run_stops(pages)).select("run_date", "page_no", "status")
+    return crawl.admit_pages(pages, stage(crawl.run_stops(pages), "run-stops")).select("run_date", "page_no", "status")
 
 
 @_query
@@ -83,7 +83,7 @@ def offer_links(spark, sf_dir):
 
 @_query
 def grid_offer_links(spark, sf_dir):
-    pages = fixtures.part_pages(spark, sf_dir).where(F.col("error").isNull())
+    pages = fixtures.part_pages(spark, sf_dir)
     return extract.offer_links(pages, crawl.RUN + ["page_no"])
 
 
@@ -105,6 +105,13 @@ def crawl_raw_offers(spark, sf_dir):
     return etl.Crawl.read(fixtures.part_pages(spark, sf_dir), fixtures.part_offers(spark, sf_dir)).raw_offers()
 
 
+@_query
+def crawl_window_offers(spark, sf_dir):
+    """All runs, but of each only the pages 3 to 22."""
+    pages = crawl.in_window(fixtures.part_pages(spark, sf_dir), 3, 20)
+    return etl.Crawl.read(pages, fixtures.part_offers(spark, sf_dir)).raw_offers()
+
+
 @_query
 def scan_project(spark, sf_dir):
     path = new_stage_path(spark, "offers")
@@ -286,6 +293,20 @@ def price_box_outliers(spark, sf_dir):
     return distribution.box_outliers(_funnel(spark, sf_dir).weighted())
 
 
+@_query
+def events_box_outliers(spark, sf_dir):
+    events = fixtures.table(spark, sf_dir, "events", "value")
+    return distribution.box_outliers(stage(value_counts(events, "value"), "event-values"), "value")
+
+
+@_query
+def value_mean_ci(spark, sf_dir):
+    """Large cells: some hundred rows and more share each quantity."""
+    items = fixtures.table(spark, sf_dir, "lineitem", "l_returnflag", "l_quantity")
+    values = items.withColumn("l_quantity", F.col("l_quantity").cast("double"))
+    return _rounded(bootstrap.group_mean_ci(values, "l_returnflag", "l_quantity"), 6, "mean", "low", "high")
+
+
 @_query
 def price_histogram(spark, sf_dir):
     return _rounded(distribution.histogram(_funnel(spark, sf_dir).weighted()), 6, "bin_low", "bin_high")
@@ -332,6 +353,23 @@ def load_csv_fallback(spark, sf_dir):
     return read_offers(spark, path, "csv")
 
 
+def _no_table(spark: SparkSession) -> ParquetTarget:
+    """A target whose table cannot be written: its parent is a file."""
+    file = stage(spark.range(1), "no-folder").inputFiles()[0]
+    return ParquetTarget(f"{file}/offers", new_stage_path(spark, "fallback"))
+
+
+@_query
+def load_csv_raw(spark, sf_dir):
+    """Raw texts with padding, quotes and line breaks through a load that fails."""
+    model = F.concat(F.lit(' "'), F.coalesce(MODEL, F.lit("")), F.lit('",\n '))
+    raw = fixtures.offers_raw(spark, sf_dir).withColumn(MODEL, model)
+    spoiled = raw.unionByName(raw.limit(1).withColumn(PRICE, F.lit("$1")))
+    target = _no_table(spark)
+    etl.load_batch(stage(spoiled, "raw-texts"), target)
+    return read_offers(spark, target.csv_folder(False), "csv", RAW_OFFER).where(~F.col(PRICE).eqNullSafe("$1"))
+
+
 @_query
 def batch_verdict_query(spark, sf_dir):
     return batch_verdict(fixtures.offers_dirty(spark, sf_dir), [DATE])
@@ -352,11 +390,31 @@ def load_routing(spark, sf_dir):
     return counted[0].unionByName(counted[1])
 
 
+def _part_crawl(spark, sf_dir):
+    pages = fixtures.part_pages(spark, sf_dir)
+    return etl.Crawl.read(pages, fixtures.part_offers(spark, sf_dir)), pages.select(*crawl.RUN).distinct()
+
+
 @_query
 def run_report(spark, sf_dir):
+    made, runs = _part_crawl(spark, sf_dir)
+    return etl.crawl_report(made, runs, etl.load_runs(made.raw_offers(), new_stage_path(spark, "offers")))
+
+
+@_query
+def run_report_csv(spark, sf_dir):
+    """Cleaning and loading where no table takes the rows."""
+    made, runs = _part_crawl(spark, sf_dir)
+    return crawl.load_events(runs, etl.load_runs(made.raw_offers(), _no_table(spark)))
+
+
+@_query
+def empty_batch(spark, sf_dir):
+    """All offers are blocked: nothing is written, and every run reports it."""
     pages = fixtures.part_pages(spark, sf_dir)
-    made = etl.Crawl.read(pages, fixtures.part_offers(spark, sf_dir))
-    return etl.crawl_report(made, pages.select(*crawl.RUN).distinct(), made.raw_offers())
+    blocked = fixtures.part_offers(spark, sf_dir).withColumns({"status": F.lit(403), "error": F.lit(None).cast("string")})
+    raw = etl.Crawl.read(pages, blocked).raw_offers()
+    return crawl.load_events(pages.select(*crawl.RUN).distinct(), etl.load_runs(raw, new_stage_path(spark, "offers")))
 
 
 def _crawled_funnel(spark: SparkSession, sf_dir: str) -> Funnel:
@@ -375,3 +433,9 @@ def crawl_to_price_by_model(spark, sf_dir):
 @_query
 def crawl_to_funnel_counts(spark, sf_dir):
     return _crawled_funnel(spark, sf_dir).counts()
+
+
+@_query
+def pipeline_to_dashboard(spark, sf_dir):
+    """Stored pages to the offer table, and a series of the dashboard over it."""
+    return _rounded(metrics.mean_price_by_brand(_crawled_funnel(spark, sf_dir).unique()), 6, "price")
