@@ -22,9 +22,10 @@ the rest; it stays indexed under all.
 Links are found in rounds. At first the sets of a key are compared with the smallest one of
 them only; verified pairs give components. Then those outside the largest component of a key
 are compared with one member of it, another one for each key and round. Last, what is still
-apart is looked up exhaustively: of two components the smaller one asks. A family of
-thousands of near copies thus costs a few comparisons per copy, and no link between
-components is lost. Every candidate is verified on its whole sets.
+apart is looked up exhaustively: of two components the smaller one asks. Pairs under keys of
+few sets are listed; sets under keys of many are compared block by block, without a row for
+each pair. A family of thousands of near copies thus costs a few comparisons per copy, and no
+link between components is lost. Every candidate is verified on its whole sets.
 
 Sets are first reduced to classes of equal sets, so exact copies never enter the join.
 Components are found by label hooking on the links, staged in the shared folder.
@@ -38,6 +39,7 @@ and ``text`` are ignored.
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,7 +55,11 @@ PEELINGS = 2
 #: Rows of a key held at a time.
 HELD = 32
 #: Rounds of comparisons with single members of the largest component.
-STAR_ROUNDS = 3
+STAR_ROUNDS = 1
+#: Sets of a key beyond which they are compared in blocks, and sets of a block.
+LISTED, BLOCK = 32, 256
+#: Most bits of the map of classes whose sets are needed.
+BITMAP = 1 << 27
 #: Smaller bands also index one-deletion neighbourhoods.
 DELETIONS_BELOW = 64
 
@@ -226,56 +232,90 @@ def _shared_batch(rows: np.ndarray) -> pa.RecordBatch:
     )
 
 
-_SETS = "set_class long, shingles array<long>"
+_SETS = "doc_id long, text_key long, set_class long, shingles array<long>"
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        names, sets, size = [], [], 0
-        for _, found in shingle_sets(batch.column(1)):
-            if len(found):
-                names.append(set_class(found))
-                sets.append(found.view(np.int64))
+def _survivors(kept: DataFrame, texts: DataFrame, known: DataFrame) -> DataFrame:
+    """(set_class, shingles) of all sets in ``kept``, built once from the texts, staged.
+
+    A bitmap of the classes' low bits, of a size bounded by ``BITMAP``, lets the scan skip
+    most other texts; the join that follows is exact. Texts are not shuffled.
+    """
+    classes = stage(
+        kept.select("set_class").distinct().join(known.select("set_class", "doc_id", "text_key"), "set_class"),
+        "jaccard-survivors",
+    )
+    bits = min(BITMAP, 1 << max(16, (16 * classes.count()).bit_length()))
+    place = F.col("set_class").bitwiseAND(F.lit(bits - 1))
+    words = classes.groupBy(F.shiftright(place, 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(set_class & 63 as int))")).alias("bits")
+    ).toArrow()
+    bitmap = np.zeros(bits // 64, dtype=np.int64)
+    bitmap[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    shared_bitmap = kept.sparkSession.sparkContext.broadcast(bitmap.view(np.uint64))
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = shared_bitmap.value
+        seen: set[tuple] = set()
+        for batch in batches:
+            rows, names, found_sets, size = [], [], [], 0
+            for row, found in shingle_sets(batch.column(1)):
+                if not len(found):
+                    continue
+                name = set_class(found)
+                if not int(bitmap[(name & (bits - 1)) >> 6]) >> (name & 63) & 1:
+                    continue
+                key = (batch.column(0)[row].as_py(), batch.column(2)[row].as_py())
+                if key in seen:
+                    continue
+                seen.add(key)
+                rows.append(row)
+                names.append(name)
+                found_sets.append(found.view(np.int64))
                 size += len(found)
-            if size > 500_000:
-                yield _set_batch(names, sets)
-                names, sets, size = [], [], 0
-        if names:
-            yield _set_batch(names, sets)
+                if size > 500_000:
+                    yield _set_batch(batch, rows, names, found_sets)
+                    rows, names, found_sets, size = [], [], [], 0
+            if rows:
+                yield _set_batch(batch, rows, names, found_sets)
+
+    made = texts.select("doc_id", "text", "text_key").mapInArrow(sets, _SETS)
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_key") == F.col("__key"))
+    first = classes.select("set_class", F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
+    result = stage(
+        made.join(first.withColumnRenamed("set_class", "__class"), (F.col("set_class") == F.col("__class")) & same, "left_semi")
+        .select("set_class", "shingles"), "jaccard-sets",
+    )
+    shared_bitmap.unpersist()
+    return result
 
 
-def _set_batch(names: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
+def _set_batch(batch: pa.RecordBatch, rows: list[int], names: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
     bounds = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
     lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(sets)))
-    return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), lists], names=["set_class", "shingles"])
-
+    at = pa.array(rows)
+    return pa.RecordBatch.from_arrays(
+        [batch.column(0).take(at), batch.column(2).take(at), pa.array(names, pa.int64()), lists],
+        names=["doc_id", "text_key", "set_class", "shingles"],
+    )
 
-def _verified(pairs: DataFrame, texts: DataFrame, known: DataFrame) -> DataFrame:
-    """The (a, b) of ``pairs`` whose sets are similar, staged.
 
-    Sizes rule out most others before any set is built; the sets of the rest are built again
-    from the texts of one document per class.
-    """
-    a = known.select(F.col("set_class").alias("a"), F.col("n_shingles").alias("n_a"), F.col("doc_id").alias("doc_a"),
-                     F.col("text_key").alias("key_a"))
-    b = known.select(F.col("set_class").alias("b"), F.col("n_shingles").alias("n_b"), F.col("doc_id").alias("doc_b"),
-                     F.col("text_key").alias("key_b"))
+def _verified(pairs: DataFrame, sets: DataFrame, known: DataFrame) -> DataFrame:
+    """The (a, b) of ``pairs`` whose sets are similar, staged. Sizes rule out most others first."""
+    sizes = known.select("set_class", "n_shingles")
+    a, b = (sizes.withColumnsRenamed({"set_class": name, "n_shingles": f"n_{name}"}) for name in "ab")
     sized = stage(
-        pairs.join(a, "a").join(b, "b").where((100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b"))),
-        "jaccard-pairs",
+        pairs.join(a, "a").join(b, "b").where(100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b"))
+        .select("a", "b"), "jaccard-pairs",
     )
-    wanted = sized.select(F.col("doc_a").alias("__id"), F.col("key_a").alias("__key")).union(
-        sized.select("doc_b", "key_b")
-    ).distinct()
-    chosen = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_key") == F.col("__key")), "left_semi")
-    sets = stage(chosen.select("doc_id", "text").mapInArrow(_sets, _SETS).dropDuplicates(["set_class"]), "jaccard-sets")
-    with_b = sized.select("a", "b").join(sets.select(F.col("set_class").alias("b"), F.col("shingles").alias("of_b")), "b")
-    both = with_b.join(sets.select(F.col("set_class").alias("a"), F.col("shingles").alias("of_a")), "a")
+    with_b = sized.join(sets.withColumnsRenamed({"set_class": "b", "shingles": "of_b"}), "b")
+    both = with_b.join(sets.withColumnsRenamed({"set_class": "a", "shingles": "of_a"}), "a")
     common = F.size(F.array_intersect("of_a", "of_b"))
     union = F.size("of_a") + F.size("of_b") - common
-    links = stage(both.where(100 * common >= PERCENT * union).select("a", "b"), "jaccard-links")
-    for done in (sized, sets):
-        drop_stage(done)
+    # The sets travel with the row no further than this generator; see words.computed_once.
+    judged = both.select("a", "b", F.inline(F.array(F.struct(common.alias("common"), union.alias("whole")))))
+    links = stage(judged.where(100 * F.col("common") >= PERCENT * F.col("whole")).select("a", "b"), "jaccard-links")
+    drop_stage(sized)
     return links
 
 
@@ -332,16 +372,19 @@ def near_copies(docs: DataFrame, text: str = "text") -> DataFrame:
     kept = _allocated(shared, known)
     drop_stage(shared)
 
-    links = _verified(_ordered(_stars(kept)), keyed, known)
+    sets = _survivors(kept, keyed, known)
+    links = _verified(_ordered(_stars(kept)), sets, known)
     found = components(links)
     for number in range(STAR_ROUNDS):
         open_keys = _open_keys(kept, found)
-        more = _verified(_ordered(_stars(open_keys, number)), keyed, known)
+        more = _verified(_ordered(_stars(open_keys, number)), sets, known)
         if not more.limit(1).count():
             break
         links = links.union(more)
         found = components(links)
-    more = _verified(_ordered(_lookups(_open_keys(kept, found))), keyed, known)
+    rest = _open_keys(kept, found)
+    listed, large = _by_members(rest)
+    more = _verified(_ordered(_lookups(listed)), sets, known).union(_links_of_blocks(large, sets))
     if more.limit(1).count():
         found = components(links.union(more))
 
@@ -420,6 +463,73 @@ def _stars(rows: DataFrame, number: int | None = None) -> DataFrame:
     return rows.join(leaders, "key").where(apart).select("a", F.col("set_class").alias("b"))
 
 
+def _by_members(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` of keys with few and with many sets, the latter with the largest component of
+    their key as ``family``."""
+    keys = rows.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.struct("size", "component")).getField("component").alias("family")
+    )
+    rows = rows.join(keys, "key")
+    return rows.where(f"n <= {LISTED}"), rows.where(f"n > {LISTED}")
+
+
+def _links_of_blocks(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) of the sets that ask under keys of many sets, staged.
+
+    Whoever shares such a key belongs to the key's family. In each family the sets that ask
+    are compared with all others, cut into blocks of some ``BLOCK`` sets by a hash.
+    """
+    others = stage(rows.select("family", "set_class", "component").distinct(), "jaccard-family")
+    askers = stage(
+        rows.where("asks and component != family").select("family", "set_class", "component").distinct(), "jaccard-askers"
+    )
+    def blocks_of(sides: DataFrame, name: str) -> DataFrame:
+        return sides.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias(name))
+
+    cuts = blocks_of(askers, "nx").join(blocks_of(others, "ny"), "family")
+
+    def side(sets_of: DataFrame, asks: bool, own: str, other: str) -> DataFrame:
+        cut = sets_of.join(cuts, "family").join(sets, "set_class")
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1))
+        return cut.select(
+            "family", F.lit(asks).alias("asks"), "set_class", "component", "shingles",
+            F.pmod(F.xxhash64("set_class"), F.col(own)).alias(own), every.alias(other),
+        ).select("family", "nx", "ny", "asks", "set_class", "component", "shingles")
+
+    both = side(askers, True, "nx", "ny").unionByName(side(others, False, "ny", "nx"))
+    links = both.groupBy("family", "nx", "ny").applyInPandas(_compare_block, "a long, b long")
+    return stage(_ordered(links), "jaccard-links")
+
+
+def _compare_block(block: pd.DataFrame) -> pd.DataFrame:
+    """Similar sets of different components, one of them asking: (a, b)."""
+    x, y = block[block.asks], block[~block.asks]
+    if not len(x) or not len(y):
+        return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+    sizes_x, sizes_y = (np.array([len(s) for s in side.shingles]) for side in (x, y))
+    of_x, of_y = np.concatenate(list(x.shingles)), np.concatenate(list(y.shingles))
+    shared = np.intersect1d(of_x, of_y)
+    common = np.zeros((len(x), len(y)), dtype=np.float32)
+    # Shared shingles, some thousands at a time, as columns of two 0/1 matrices.
+    places = []
+    for values, sizes in ((of_x, sizes_x), (of_y, sizes_y)):
+        at = np.minimum(np.searchsorted(shared, values), max(len(shared) - 1, 0))
+        there = shared[at] == values if len(shared) else np.zeros(len(values), dtype=bool)
+        places.append((np.repeat(np.arange(len(sizes)), sizes)[there], at[there]))
+    for start in range(0, len(shared), 4096):
+        parts = []
+        for (row, column), side in zip(places, (x, y), strict=True):
+            mine = (column >= start) & (column < start + 4096)
+            part = np.zeros((len(side), 4096), dtype=np.float32)
+            part[row[mine], column[mine] - start] = 1
+            parts.append(part)
+        common += parts[0] @ parts[1].T
+    union = sizes_x[:, None] + sizes_y[None, :] - common
+    similar = (100 * common >= PERCENT * union) & (x.component.to_numpy()[:, None] != y.component.to_numpy()[None, :])
+    i, j = np.nonzero(similar)
+    return pd.DataFrame({"a": x.set_class.to_numpy()[i], "b": y.set_class.to_numpy()[j]})
+
+
 def _lookups(rows: DataFrame) -> DataFrame:
     """(a, b): pairs of a key across components; the set in the smaller component asks."""
     x, y = rows.where("asks").alias("x"), rows.alias("y")
