@@ -105,7 +105,6 @@ def contamination(
     shingles = per_width[0]
     for more in per_width[1:]:
         shingles = shingles.unionAll(more)
-    shingles = stage(shingles, "bench-shingles")
 
     texts = docs.select(_doc_id(docs), W.text_of(F.col(text)).alias("__text"))
     wanted = stage(shingles.select("width", "gram").distinct(), "bench-grams")
@@ -123,11 +122,9 @@ def contamination(
     # Order the shingles by rarity; a window with a shingle that no document has cannot occur.
     often = matches.groupBy("width", "gram").agg(F.count(F.lit(1)).alias("often"))
     rarest = F.min(F.struct(F.coalesce("often", F.lit(0)).alias("often"), "gram", "offset")).alias("prefix")
-    prefixes = stage(
-        shingles.join(often, ["width", "gram"], "left").groupBy("words", "n", "width").agg(rarest)
-        .where("prefix.often > 0")
-        .select("words", "n", "width", "prefix.gram", "prefix.offset"), "bench-prefixes",
-    )
+    prefixes = shingles.join(often, ["width", "gram"], "left").groupBy("words", "n", "width").agg(rarest).where(
+        "prefix.often > 0"
+    ).select("words", "n", "width", "prefix.gram", "prefix.offset")
     start = F.col("pos") - F.col("offset")
     in_near = F.slice("near", start - F.col("near_from") + 1, F.col("n"))
     hits = stage(
