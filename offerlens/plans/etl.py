@@ -22,7 +22,7 @@ from offerlens.operators.extract import read_offer_pages
 from offerlens.plans.dashboard import dashboard, save_dashboard
 from offerlens.schema import DATE, OFFER_COLUMNS, RUN_REPORT
 from offerlens.sources.sinks import Target, append_csv, target_of
-from offerlens.staging import drop_stage, drop_stages, stage
+from offerlens.staging import drop_stage, stage, stage_scope
 
 
 def visited_offers(listing: DataFrame, stops: DataFrame, fetched: DataFrame) -> DataFrame:
@@ -157,8 +157,9 @@ def run_all(
     pages: DataFrame, fetched: DataFrame, where: str | Target, run_date: str, folder: str, start: int = 1, count: int = 40
 ) -> LoadResult:
     """Load one run, then save its report and the dashboard of the whole table below ``folder``."""
-    result, report = run_etl(pages, fetched, where, run_date, start, count)
-    report.write.mode("append").parquet(f"{folder}/report")
-    save_dashboard(dashboard(target_of(where).read(pages.sparkSession)), folder)
-    drop_stages(pages.sparkSession)
+    spark = pages.sparkSession
+    with stage_scope(spark):
+        result, report = run_etl(pages, fetched, where, run_date, start, count)
+        report.write.mode("append").parquet(f"{folder}/report")
+        save_dashboard(dashboard(target_of(where).read(spark)), folder)
     return result

@@ -4,12 +4,15 @@ A staged frame is a Parquet table: it survives the loss of executors, cuts the
 lineage, and later scans still get column pruning and filter pushdown.
 """
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _CONF = "spark.checkpoint.dir"
+_scopes: list[str] = []
 
 
 def stage_root(spark: SparkSession) -> str:
@@ -24,22 +27,39 @@ def stage_root(spark: SparkSession) -> str:
 
 
 def new_stage_path(spark: SparkSession, label: str) -> str:
-    return f"{stage_root(spark)}/{label}-{uuid4().hex}"
+    return "/".join([stage_root(spark), *_scopes, f"{label}-{uuid4().hex}"])
+
+
+def _delete(spark: SparkSession, folder) -> None:
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _folder(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
 
 
 def drop_stages(spark: SparkSession) -> None:
     """Delete everything this application staged; frames that read it become invalid."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stage_root(spark))
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    _delete(spark, _folder(spark, stage_root(spark)))
 
 
 def drop_stage(staged: DataFrame) -> None:
     """Delete the table behind one staged frame, once nothing reads it any more."""
     files = staged.inputFiles()
     if files:
-        context = staged.sparkSession.sparkContext
-        folder = context._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
-        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+        _delete(staged.sparkSession, _folder(staged.sparkSession, files[0]).getParent())
+
+
+@contextmanager
+def stage_scope(spark: SparkSession) -> Iterator[None]:
+    """Whatever is staged inside is deleted at the end; store results outside before."""
+    _scopes.append(f"scope-{uuid4().hex}")
+    path = "/".join([stage_root(spark), *_scopes])
+    try:
+        yield
+    finally:
+        _scopes.pop()
+        _delete(spark, _folder(spark, path))
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -70,15 +90,3 @@ def spread(staged: DataFrame, *keys: str) -> DataFrame:
     tasks = max(2 * _cores(staged), staged.rdd.getNumPartitions())
     # Plain keys would be merged into the shuffle of a preceding aggregation.
     return staged.repartition(tasks, F.xxhash64(*keys))
-
-
-def fill_cores(scan: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer splits than there are cores, by row content.
-
-    A small file of one row group is one task, whatever the work behind it. A
-    large table has many splits and is returned as it is, without a shuffle.
-    """
-    cores = _cores(scan)
-    if scan.rdd.getNumPartitions() >= cores:
-        return scan
-    return scan.repartition(cores, F.xxhash64(*scan.columns))

@@ -96,6 +96,11 @@ def test_table_is_partitioned_by_date(raw_offers, tmp_path):
     assert [p.name for p in path.glob("date=*")] == ["date=2023-05-01"]
 
 
+def staged_tables(spark):
+    root = Path(stage_root(spark).removeprefix("file:"))
+    return sorted(p.name for p in root.iterdir()) if root.exists() else []
+
+
 def crawl(spark, day=date(2023, 1, 1), clock="1.8 GHz"):
     def item(inner):
         return f'<div class="{GRID_ITEM.classes}">{inner}</div>'
@@ -189,10 +194,12 @@ def test_no_rows_write_nothing(raw_offers, tmp_path):
 
 
 def test_one_job_loads_and_draws(spark, tmp_path):
+    before = staged_tables(spark)
     result = etl.run_all(*crawl(spark), str(tmp_path / "offers"), "2023-01-01", str(tmp_path / "out"))
     assert result.target == "table"
     assert spark.read.parquet(str(tmp_path / "out" / "report")).count() == 4
     assert spark.read.parquet(str(tmp_path / "out" / "price_by_category")).count() == 4
+    assert staged_tables(spark) == before
 
 
 def test_dashboard_is_saved(spark, tmp_path):

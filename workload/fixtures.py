@@ -6,13 +6,24 @@ from pyspark.sql import functions as F
 from offerlens.functions.html import Selector
 from offerlens.operators.extract import GRID, GRID_ITEM, LINK_HOST, SPEC_ROWS, SPEC_TABLE
 from offerlens.schema import BRAND, CLOCK, DATE, MODEL, OFFER_COLUMNS, PRICE, RAM, SENTINEL
-from offerlens.staging import fill_cores
 
 # Where the links of the ``pages`` table are.
 NAV = Selector("nav")
 NAV_ITEM = Selector("li")
 
 
+def fill_cores(scan: DataFrame) -> DataFrame:
+    """Spread a scan that has fewer splits than there are cores, by row content.
+
+    A small file of one row group is one task, whatever the work behind it. A
+    large table has many splits and is returned as it is, without a shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores, F.xxhash64(*scan.columns))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """The named columns, or all, of a given table."""
     scan = spark.read.parquet(f"{sf_dir}/{name}.parquet")
