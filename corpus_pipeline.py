@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from offerlens.llm import decontam, jaccard, mixing, quality, sharding
 from offerlens.llm import words as W
-from offerlens.staging import drop_stage, stage
+from offerlens.staging import drop_stage, new_stage_path, stage, stage_scope
 
 
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,10 +72,12 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for number, (name, step) in enumerate(STAGES):
-        result = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+        path = new_stage_path(spark, f"pipeline-{name}")
+        with stage_scope(spark):  # what the operators stage goes when their result is stored
+            step(spark, docs, sf_dir).write.parquet(path)
         if number:
             drop_stage(docs)
-        docs = result
+        docs = spark.read.parquet(path)
     return docs
 
 
