@@ -18,6 +18,10 @@ FETCH_ERRORS = ["connection", "timeout", "request"]
 BLOCKED = [401, 403]
 
 
+def _no_page() -> Column:
+    return F.lit(None).cast("int").alias("page_no")
+
+
 def in_window(pages: DataFrame, start: int = 1, count: int = 40) -> DataFrame:
     """The pages ``start`` to ``start + count - 1``."""
     return pages.where(F.col("page_no").between(start, start + count - 1))
@@ -100,20 +104,43 @@ def admit_offers(offers: DataFrame) -> DataFrame:
 
 
 def page_events(stops: DataFrame) -> DataFrame:
-    """How the stopped runs ended: ``run_date, stage, event, n``."""
-    return stops.select(*RUN, F.lit("page").alias("stage"), "event", F.lit(1).cast("long").alias("n"))
+    """How the stopped runs ended, and at which page."""
+    return stops.select(
+        *RUN, F.lit("page").alias("stage"), "event", F.lit(1).cast("long").alias("n"), F.col("stop_page").alias("page_no")
+    )
 
 
-def offer_events(offers: DataFrame) -> DataFrame:
-    """Failed and blocked requests among the offers that were reached."""
+def failed_offers(offers: DataFrame) -> DataFrame:
+    """Failed and blocked requests among the offers that were reached: ``page_no, pos, url, event``."""
     reached = offers.join(page_blocks(offers), [*RUN, "page_no"], "left").where(
         F.col("block_pos").isNull() | (F.col("pos") <= F.col("block_pos"))
     )
     blocked = F.when(F.col("status").isin(BLOCKED), F.concat(F.lit("blocked_"), F.col("status").cast("string")))
     event = F.coalesce(_fetch_error(), blocked)
-    counted = reached.select(*RUN, event.alias("event")).where(F.col("event").isNotNull())
-    return counted.groupBy(*RUN, "event").agg(F.count(F.lit(1)).alias("n")).select(
-        *RUN, F.lit("offer").alias("stage"), "event", "n"
+    return reached.select(*RUN, "page_no", "pos", "url", event.alias("event")).where(F.col("event").isNotNull())
+
+
+def offer_events(offers: DataFrame) -> DataFrame:
+    """The failed and blocked requests of each run, counted."""
+    return _counted(failed_offers(offers), "offer")
+
+
+def unlinked_offers(listing: DataFrame, stops: DataFrame) -> DataFrame:
+    """Offers of the admitted pages that have no link: ``page_no, pos, event``."""
+    places = listing.where("links is not null").select(*RUN, "page_no", F.posexplode("links").alias("pos", "url"))
+    return before_stop(places.where("url is null"), stops).select(
+        *RUN, "page_no", "pos", F.lit("missing_link").alias("event")
+    )
+
+
+def link_events(unlinked: DataFrame) -> DataFrame:
+    """The offers of each run that have no link, counted."""
+    return _counted(unlinked, "offer")
+
+
+def _counted(events: DataFrame, stage: str) -> DataFrame:
+    return events.groupBy(*RUN, "event").agg(F.count(F.lit(1)).alias("n")).select(
+        *RUN, F.lit(stage).alias("stage"), "event", "n", _no_page()
     )
 
 
@@ -136,4 +163,4 @@ def load_events(runs: DataFrame, outcomes: DataFrame) -> DataFrame:
         F.when(F.col("target") == target, event("load", name, F.col("n_rows")))
         for target, name in (("table", "rows_loaded"), ("quarantine", "rows_quarantined"), ("csv", "rows_to_csv"))
     ])
-    return joined.select(*RUN, F.inline(F.array_compact(F.array(cleaned, loaded))))
+    return joined.select(*RUN, F.inline(F.array_compact(F.array(cleaned, loaded))), _no_page())

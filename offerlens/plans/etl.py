@@ -11,12 +11,15 @@ from offerlens.operators.crawl import (
     admit_offers,
     answered,
     before_stop,
+    failed_offers,
     first_stops,
     in_window,
+    link_events,
     load_events,
     offer_events,
     page_events,
     read_listing,
+    unlinked_offers,
 )
 from offerlens.operators.extract import read_offer_pages
 from offerlens.plans.dashboard import dashboard, save_dashboard
@@ -46,13 +49,15 @@ class Crawl:
 
     stops: DataFrame
     visited: DataFrame
+    unlinked: DataFrame
 
     @classmethod
     def read(cls, pages: DataFrame, fetched: DataFrame) -> "Crawl":
         """Every listing page and every offer page is read once."""
         listing = stage(read_listing(pages), "listing")
         stops = stage(first_stops(listing), "run-stops")
-        crawl = cls(stops, stage(visited_offers(listing, stops, fetched), "visited"))
+        visited = stage(visited_offers(listing, stops, fetched), "visited")
+        crawl = cls(stops, visited, stage(unlinked_offers(listing, stops), "unlinked"))
         drop_stage(listing)
         return crawl
 
@@ -62,7 +67,13 @@ class Crawl:
         return offers.withColumnRenamed("run_date", DATE).select(*OFFER_COLUMNS)
 
     def events(self) -> DataFrame:
-        return page_events(self.stops).unionByName(offer_events(self.visited))
+        """Events of pages and offers, as ``RUN_REPORT``."""
+        offers = offer_events(self.visited).unionByName(link_events(self.unlinked))
+        return page_events(self.stops).unionByName(offers)
+
+    def failures(self) -> DataFrame:
+        """The single offers behind the counts of ``events``, with their page, place and address."""
+        return failed_offers(self.visited).unionByName(self.unlinked, allowMissingColumns=True)
 
 
 def crawl_report(crawl: Crawl, runs: DataFrame, outcomes: DataFrame) -> DataFrame:
@@ -135,7 +146,8 @@ def run_report(result: LoadResult, run_date: str, spark: SparkSession) -> DataFr
     if not result.is_clean:
         events.insert(0, ("clean", "failed", 1))
     frame = spark.createDataFrame(events, "stage string, event string, n long")
-    return frame.select(F.lit(run_date).cast("date").alias("run_date"), "stage", "event", "n").to(RUN_REPORT)
+    named = frame.select(F.lit(run_date).cast("date").alias("run_date"), "stage", "event", "n")
+    return named.withColumn("page_no", F.lit(None).cast("int")).to(RUN_REPORT)
 
 
 def run_etl(

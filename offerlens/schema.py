@@ -51,9 +51,11 @@ FETCHED_OFFER = T.StructType([
     T.StructField("html", T.StringType()),
 ])
 
+# What happened in a run; ``page_no`` is where a run stopped.
 RUN_REPORT = T.StructType([
     T.StructField("run_date", T.DateType()),
     T.StructField("stage", T.StringType()),
     T.StructField("event", T.StringType()),
     T.StructField("n", T.LongType()),
+    T.StructField("page_no", T.IntegerType()),
 ])

@@ -50,7 +50,7 @@ def test_empty_batch_is_only_reported(spark, raw_offers, tmp_path):
     result = etl.load_batch(raw_offers([]), path)
     assert result == etl.LoadResult("nothing", 0) and list(tmp_path.iterdir()) == []
     report = etl.run_report(result, "2023-01-01", spark).collect()
-    assert [tuple(r)[1:] for r in report] == [("clean", "no_data", 1)]
+    assert [tuple(r)[1:4] for r in report] == [("clean", "no_data", 1)]
 
 
 def test_failed_load_falls_back_to_csv(spark, raw_offers, tmp_path):
@@ -132,7 +132,8 @@ def test_whole_run(spark, tmp_path):
     assert result == etl.LoadResult("table", 1)
     assert [tuple(r) for r in read_offers(spark, path).collect()] == [("A", 99.0, "b", 8.0, 1800.0, date(2023, 1, 1))]
     assert sorted(tuple(r)[1:] for r in report.collect()) == [
-        ("load", "rows_loaded", 1), ("offer", "blocked_403", 1), ("offer", "timeout_error", 1), ("page", "no_grid", 1)
+        ("load", "rows_loaded", 1, None), ("offer", "blocked_403", 1, None), ("offer", "timeout_error", 1, None),
+        ("page", "no_grid", 1, 2),
     ]
 
 
@@ -140,7 +141,7 @@ def test_whole_run_with_a_bad_cell(spark, tmp_path):
     path = str(tmp_path / "offers")
     result, report = etl.run_etl(*crawl(spark, clock="fast"), path, "2023-01-01")
     assert result.target == "quarantine"
-    assert {("clean", "failed", 1), ("load", "rows_quarantined", 1)} <= {tuple(r)[1:] for r in report.collect()}
+    assert {("clean", "failed", 1), ("load", "rows_quarantined", 1)} <= {tuple(r)[1:4] for r in report.collect()}
 
 
 def test_runs_in_one_store_are_loaded_one_by_one(spark, tmp_path):
@@ -181,7 +182,7 @@ def test_dirty_batch_in_csv_reports_both(spark, raw_offers, tmp_path):
     blocked.write_text("not a folder")
     target = ParquetTarget(str(blocked / "offers"), str(tmp_path / "fallback"))
     result = etl.load_batch(raw_offers([BAD]), target)
-    events = {tuple(r)[1:] for r in etl.run_report(result, "2023-01-01", spark).collect()}
+    events = {tuple(r)[1:4] for r in etl.run_report(result, "2023-01-01", spark).collect()}
     assert events == {("clean", "failed", 1), ("load", "rows_to_csv", 1)}
     assert rows(read_offers(spark, target.csv_folder(False), "csv", RAW_OFFER)) == expected([BAD])
     outcome = etl.load_runs(raw_offers([BAD]), target).first()

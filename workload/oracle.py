@@ -386,12 +386,12 @@ def all_oracles() -> dict[str, str]:
             select ' "' || coalesce(model, '') || '",' || chr(10) || ' ' as model, {", ".join(_SIX.split(", ")[1:])}
             from offers_raw"""),
         "empty_batch": _with(_PARTS, """
-            select distinct run_date, 'clean' as stage, 'no_data' as event, 1::bigint as n from part_pages"""),
+            select distinct run_date, 'clean' as stage, 'no_data' as event, 1::bigint as n, null::int as page_no from part_pages"""),
         "run_report_csv": _with(f"""{_PARTS},
             runs as (
               select p.run_date, count(k.h) as n_rows, count_if(k.gpu_clock_speed_MHz = '1,800 MHz') as bad
               from (select distinct run_date from part_pages) p left join kept k on k.run_date = p.run_date group by p.run_date)""", """
-            select run_date, stage, event, n::bigint as n from (
+            select run_date, stage, event, n::bigint as n, null::int as page_no from (
               select run_date, 'clean' as stage, 'no_data' as event, 1 as n from runs where n_rows = 0
               union all select run_date, 'clean', 'failed', 1 from runs where bad > 0
               union all select run_date, 'load', 'rows_to_csv', n_rows from runs where n_rows > 0)"""),
@@ -410,15 +410,22 @@ def all_oracles() -> dict[str, str]:
             runs as (
               select p.run_date, count(k.h) as n_rows, count_if(k.gpu_clock_speed_MHz = '1,800 MHz') as bad
               from (select distinct run_date from part_pages) p left join kept k on k.run_date = p.run_date group by p.run_date)""", """
-            select run_date, stage, event, n::bigint as n from (
-              select e.run_date, 'page' as stage, event, 1 as n
+            select run_date, stage, event, n::bigint as n, page_no::int as page_no from (
+              select e.run_date, 'page' as stage, event, 1 as n, e.page_no
               from page_event e join stops s on e.run_date = s.run_date and e.page_no = s.stop_page
               union all
-              select run_date, 'offer', case when error is not null then 'timeout_error' else 'blocked_403' end, count(*)
+              select run_date, 'offer', case when error is not null then 'timeout_error' else 'blocked_403' end, count(*), null
               from visited v left join blocks b using (run_date, page_no)
               where (block_pos is null or pos <= block_pos) and (error is not null or status = 403) group by 1, 2, 3
-              union all select run_date, 'clean', 'no_data', 1 from runs where n_rows = 0
-              union all select run_date, 'load', 'rows_loaded', n_rows from runs where n_rows > 0 and bad = 0
-              union all select run_date, 'clean', 'failed', 1 from runs where bad > 0
-              union all select run_date, 'load', 'rows_quarantined', n_rows from runs where bad > 0)"""),
+              union all select run_date, 'offer', 'missing_link', count(*), null from admitted where p_partkey % 5 >= 3 group by 1
+              union all select run_date, 'clean', 'no_data', 1, null from runs where n_rows = 0
+              union all select run_date, 'load', 'rows_loaded', n_rows, null from runs where n_rows > 0 and bad = 0
+              union all select run_date, 'clean', 'failed', 1, null from runs where bad > 0
+              union all select run_date, 'load', 'rows_quarantined', n_rows, null from runs where bad > 0)"""),
+        "failed_offers": _with(_PARTS, """
+            select run_date, page_no::int as page_no, pos::int as pos, url,
+              case when error is not null then 'timeout_error' else 'blocked_403' end as event
+            from visited v left join blocks b using (run_date, page_no)
+            where (block_pos is null or pos <= block_pos) and (error is not null or status = 403)
+            union all select run_date, page_no, 3, null, 'missing_link' from admitted where p_partkey % 5 >= 3"""),
     }

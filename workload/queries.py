@@ -401,6 +401,12 @@ def run_report(spark, sf_dir):
     return etl.crawl_report(made, runs, etl.load_runs(made.raw_offers(), new_stage_path(spark, "offers")))
 
 
+@_query
+def failed_offers(spark, sf_dir):
+    """The offers behind the counts of the report."""
+    return _part_crawl(spark, sf_dir)[0].failures()
+
+
 @_query
 def run_report_csv(spark, sf_dir):
     """Cleaning and loading where no table takes the rows."""
