@@ -5,7 +5,9 @@ Entities found by the fixed patterns are seeds. The words next to them are lexic
 stand in them, seeds or not, form a graph, which Spark scores in rounds: a pattern is as good
 as the mean score of its identifiers (with one bad one assumed), an identifier as good as its
 patterns together (noisy or); seeds keep 1. Identifiers that no fixed pattern covers are
-reported where their own score and that of a well-supported pattern are high.
+reported where their own score and that of a well-supported pattern are high. Words that
+mostly stand next to other things, as function words do, are no patterns: of their places in
+the texts with identifiers, a fair share must have an identifier.
 
 Texts are scanned once; what goes on is a table of identifiers and their context, a small
 part of the corpus. All joins are on pattern or identifier after both have been made
@@ -17,6 +19,7 @@ whole, and runs of any length in linear time; an empty table gives an empty one.
 """
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -31,6 +34,8 @@ KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
 #: Scores from which patterns and identifiers count, and distinct identifiers a pattern needs.
 PATTERN_SCORE, IDENTIFIER_SCORE, SUPPORT = 0.6, 0.7, 3
+#: Share of a pattern's places that have an identifier.
+SELECTIVE = 0.3
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -122,25 +127,36 @@ def kinds_like(value: str) -> list[str]:
     return out + ["card"] * (digits >= 12) + ["phone"] * (7 <= digits <= 15)
 
 
+def _plain(word: str) -> str:
+    return word.strip(_EDGE).lower() or word
+
+
 def contexts(text: str, start: int, end: int) -> list[str]:
     """Lexical patterns of a span, from at most 80 characters to either side."""
-    before = text[max(0, start - 80) : start].split()
+    before = [_plain(word) for word in text[max(0, start - 80) : start].split()[-2:]]
     after = text[end : end + 80].split()
-    clean = [w.strip(_EDGE).lower() or w for w in before[-2:]]
-    out = []
-    if clean:
-        out.append(f"1< {clean[-1]}")
-    if len(clean) == 2:
-        out.append(f"2< {clean[0]} {clean[1]}")
+    out = [f"1< {before[-1]}"] if before else []
+    if len(before) == 2:
+        out.append(f"2< {before[0]} {before[1]}")
     if after:
-        out.append(f"> {after[0].strip(_EDGE).lower() or after[0]}")
+        out.append(f"> {_plain(after[0])}")
+    return out
+
+
+def places(text: str) -> Counter:
+    """How often the words of each possible pattern occur in ``text``."""
+    words = [_plain(word) for word in text.split()]
+    single, pairs = Counter(words), Counter(zip(words, words[1:], strict=False))
+    out = Counter({f"2< {a} {b}": n for (a, b), n in pairs.items()})
+    for word, n in single.items():
+        out[f"1< {word}"] = out[f"> {word}"] = n
     return out
 
 
 _FOUND = (
     "doc_id long, text_key long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, "
     "base array<struct<start:int,end:int,kind:int>>, "
-    "seen array<struct<start:int,end:int,value:string,kinds:array<string>,seed:boolean,patterns:array<string>>>"
+    "seen array<struct<start:int,end:int,value:string,kinds:array<string>,seed:boolean,patterns:array<struct<pattern:string,times:int>>>>"
 )
 
 
@@ -150,14 +166,14 @@ def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for text in batch.text:
             base = base_spans(text)
             counts = [sum(kind == k for _, _, kind in base) for k in KINDS]
+            found = [(a, b, [kind], True) for a, b, kind in base]
+            found += [(a, b, kinds, False) for a, b in candidates(text, base) if (kinds := kinds_like(text[a:b]))]
+            times = places(text) if found else None
             seen = [
-                {"start": a, "end": b, "value": text[a:b].lower(), "kinds": [kind], "seed": True, "patterns": contexts(text, a, b)}
-                for a, b, kind in base
+                {"start": a, "end": b, "value": text[a:b].lower(), "kinds": kinds, "seed": seed,
+                 "patterns": [{"pattern": p, "times": max(times[p], 1)} for p in contexts(text, a, b)]}
+                for a, b, kinds, seed in found
             ]
-            for a, b in candidates(text, base):
-                if kinds := kinds_like(text[a:b]):
-                    seen.append({"start": a, "end": b, "value": text[a:b].lower(), "kinds": kinds, "seed": False,
-                                 "patterns": contexts(text, a, b)})
             spans = [{"start": a, "end": b, "kind": KINDS.index(kind)} for a, b, kind in base]
             out.append((*counts, sha256_of(joined(base)), spans, seen))
         made = pd.DataFrame(out, columns=["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "base", "seen"])
@@ -211,7 +227,13 @@ def find_personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     seen = seen.withColumn("kind", F.explode("kinds")).drop("kinds").distinct()
     seen = stage(seen, "pii-seen")
-    links = seen.withColumn("pattern", F.explode("patterns"))
+    links = seen.select("*", F.inline("patterns")).drop("patterns")
+    used = links.select("doc_id", "text_key", "start", "pattern").distinct().groupBy("pattern").agg(F.count(F.lit(1)).alias("used"))
+    there = links.select("doc_id", "text_key", "pattern", "times").distinct().groupBy("pattern").agg(F.sum("times").alias("there"))
+    selective = stage(
+        used.join(there, "pattern").where(F.col("used") >= SELECTIVE * F.col("there")).select("pattern"), "pii-selective"
+    )
+    links = stage(links.join(selective, "pattern"), "pii-links")
     edges = stage(links.select("pattern", "value", "kind").distinct(), "pii-edges")
     patterns, identifiers = scored(edges, seen.where("seed").select("value", "kind").distinct())
 

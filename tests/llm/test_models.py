@@ -83,6 +83,14 @@ def test_context_finds_unseen_identifiers(run, spark):
     assert all(r.spans.startswith("phone:") and r.n_phone == 1 for r in found if r.doc_id < 40)
 
 
+def test_frequent_words_are_no_patterns(run, spark):
+    """The word before every card is one that mostly stands before other words."""
+    filler = "the house and the tree and the road and the river "
+    rows = [(i, filler + f"and the 45391488034364{67 if i < 40 else 68} {'xyz'[i % 3]}{i} {filler}") for i in range(45)]
+    found = run("op3_personal_data", documents=spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sum(r.n_card for r in found) == 40 and sum(r.n_found for r in found) == 0
+
+
 def test_graph_scores_by_hand(spark):
     edges = spark.createDataFrame(
         [(p, v, "k") for p, v in [("p", "a"), ("p", "b"), ("p", "c"), ("p", "new"), ("q", "new"), ("q", "z"), ("r", "z")]],
