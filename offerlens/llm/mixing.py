@@ -12,7 +12,8 @@
 
 The number of shards of a source grows with the square root of its words, so a hot source
 is split into many tasks while quotas stay a small table. Everything is native and depends
-only on the rows and the seed. Nothing is collected.
+only on the rows and the seed. Nothing is collected. The table of sources, one row each, is
+ranked by one task: sources are the parts of a mixture, not hosts or authors.
 
 Defined results: a missing text has size 0 and takes nothing; a missing source is a source
 of its own; repeated rows are separate documents; ties of quotients go to the smaller
