@@ -15,7 +15,7 @@ a similar set could be in it.
 
 Cost-based allocation: a key that no other set has costs nothing and counts towards the
 bound. A set whose shared keys are no more than it can spare has no partner and leaves the
-index; this is repeated, as keys lose members. A set that stays drops the keys with most
+index (``PEELINGS`` times, as keys lose members). A set that stays drops the keys with most
 members (threshold -1) while the others still outnumber H, and looks its partners up under
 the rest; it stays indexed under all.
 
@@ -51,7 +51,7 @@ from offerlens.staging import drop_stage, stage
 #: Similar sets share at least this percentage of their union.
 PERCENT = 80
 #: Times that sets without a partner are taken out before candidates are made.
-PEELINGS = 2
+PEELINGS = 1
 #: Rows of a key held at a time.
 HELD = 32
 #: Rounds of comparisons with single members of the largest component.
@@ -76,7 +76,7 @@ def segments(band: int) -> int:
     top = 2 << band
     if top <= 32:
         return 64
-    share = 0.75 if top <= 128 else 0.6 if top <= 512 else 0.4 if top <= 1024 else 0.3
+    share = 0.75 if top <= 128 else 0.5 if top <= 256 else 0.4 if top <= 512 else 0.32 if top <= 1024 else 0.28
     return int(top * share)
 
 
@@ -122,70 +122,64 @@ def set_class(found: np.ndarray) -> int:
     return int(mix64(parts[:1] ^ mix64(parts[1:] + _U(len(found)))).view(np.int64)[0])
 
 
-_CLASSES = "doc_id long, n_shingles long, set_class long, spare array<int>"
+_MEMBERS = "doc_id long, text_key long, n_shingles long, set_class long"
 
 
-def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Size and class of every document, and the segments each of its bands can spare."""
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Size and class of the set of every document."""
     for batch in batches:
-        sizes, classes, spares = [], [], []
+        sizes, classes = [], []
         for _, found in shingle_sets(batch.column(1)):
             sizes.append(len(found))
             classes.append(set_class(found) if len(found) else None)
-            spare = []
-            if len(found) > 1:
-                mixed = mix64(found)
-                for band, need in bands(len(found)):
-                    keys, _, subset = subset_keys(found, mixed, band)
-                    units = len(keys) + (int((subset > 1).sum()) if (1 << band) < DELETIONS_BELOW else 0)
-                    if units < need:
-                        raise ValueError(f"{len(found)} shingles fall into {len(keys)} segments; change segments()")
-                    spare.append(units - need)
-            spares.append(spare)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()),
-             pa.array(spares, pa.list_(pa.int32()))],
-            names=["doc_id", "n_shingles", "set_class", "spare"],
+            [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64())],
+            names=["doc_id", "text_key", "n_shingles", "set_class"],
         )
 
 
-_KEYS = "key long, kind int, next int, set_class long"
+#: ``band`` packs three numbers: 1 for the next band, 2 if subsets count twice, 4 times what can be spared.
+_KEYS = "key long, kind int, band int, set_class long"
 
 
 def _index_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The keys of every set, once per task and class. ``next`` is 1 for keys in the next band."""
+    """The keys of every set, once per task and class."""
     seen: set[int] = set()
     for batch in batches:
-        keys, kinds, nexts, classes, rows = [], [], [], [], 0
+        keys, kinds, packed, classes, rows = [], [], [], [], 0
         for _, found in shingle_sets(batch.column(1)):
             if len(found) < 2 or (name := set_class(found)) in seen:
                 continue
             seen.add(name)
             mixed = mix64(found)
-            for step, (band, _) in enumerate(bands(len(found))):
-                exact, deleted, _ = subset_keys(found, mixed, band)
+            for step, (band, need) in enumerate(bands(len(found))):
+                exact, deleted, sizes = subset_keys(found, mixed, band)
+                twice = (1 << band) < DELETIONS_BELOW
+                spare = len(exact) + (int((sizes > 1).sum()) if twice else 0) - need
+                if spare < 0:
+                    raise ValueError(f"{len(found)} shingles fall into {len(exact)} segments; change segments()")
                 for kind, some in ((EXACT, exact), (DELETION, deleted)):
                     keys.append(some)
                     kinds.append(np.full(len(some), kind, np.int32))
-                    nexts.append(np.full(len(some), step, np.int32))
+                    packed.append(np.full(len(some), step + 2 * twice + 4 * spare, np.int32))
                     classes.append(np.full(len(some), name, np.int64))
                     rows += len(some)
             if rows > 200_000:
-                yield _key_batch(keys, kinds, nexts, classes)
-                keys, kinds, nexts, classes, rows = [], [], [], [], 0
+                yield _key_batch(keys, kinds, packed, classes)
+                keys, kinds, packed, classes, rows = [], [], [], [], 0
         if rows:
-            yield _key_batch(keys, kinds, nexts, classes)
+            yield _key_batch(keys, kinds, packed, classes)
 
 
-def _key_batch(keys, kinds, nexts, classes) -> pa.RecordBatch:
+def _key_batch(keys, kinds, packed, classes) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(kinds)),
-         pa.array(np.concatenate(nexts)), pa.array(np.concatenate(classes))],
-        names=["key", "kind", "next", "set_class"],
+         pa.array(np.concatenate(packed)), pa.array(np.concatenate(classes))],
+        names=["key", "kind", "band", "set_class"],
     )
 
 
-_SHARED = "key long, kind int, next int, set_class long"
+_SHARED = _KEYS
 
 
 def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,7 +222,7 @@ def _shared_batch(rows: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(rows[:, 0]), pa.array(rows[:, 1].astype(np.int32)), pa.array(rows[:, 2].astype(np.int32)),
          pa.array(rows[:, 3])],
-        names=["key", "kind", "next", "set_class"],
+        names=["key", "kind", "band", "set_class"],
     )
 
 
@@ -357,19 +351,19 @@ def near_copies(docs: DataFrame, text: str = "text") -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long"), W.text_of(F.col(text)).alias("text"))
     keyed = texts.withColumn("text_key", F.xxhash64("text"))
     members = stage(
-        keyed.select("doc_id", "text", "text_key").mapInArrow(_members, _CLASSES + ", text_key long"), "jaccard-members"
+        keyed.select("doc_id", "text", "text_key").mapInArrow(_members, _MEMBERS), "jaccard-members"
     )
     named = members.where("set_class is not null")
     known = stage(
         named.groupBy("set_class").agg(
             F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first"),
-            F.first("n_shingles").alias("n_shingles"), F.first("spare").alias("spare"),
-        ).select("set_class", "n_shingles", "spare", "first.doc_id", "first.text_key"), "jaccard-classes",
+            F.first("n_shingles").alias("n_shingles"),
+        ).select("set_class", "n_shingles", "first.doc_id", "first.text_key"), "jaccard-classes",
     )
     index = texts.mapInArrow(_index_keys, _KEYS).repartition(F.col("key")).sortWithinPartitions("key", "kind", "set_class")
     shared = stage(index.mapInArrow(_shared_keys, _SHARED), "jaccard-shared")
 
-    kept = _allocated(shared, known)
+    kept = _allocated(shared)
     drop_stage(shared)
 
     sets = _survivors(kept, keyed, known)
@@ -388,27 +382,28 @@ def near_copies(docs: DataFrame, text: str = "text") -> DataFrame:
     if more.limit(1).count():
         found = components(links.union(more))
 
-    labelled = known.select("set_class").join(found.withColumnRenamed("node", "set_class"), "set_class").select(
+    # Staged sides let the planner split a class or component that holds many rows.
+    labelled = stage(known.select("set_class").join(found.withColumnRenamed("node", "set_class"), "set_class").select(
         "set_class", "component"
-    )
+    ), "jaccard-labelled")
     linked = named.select("doc_id", "text_key", "n_shingles", "set_class").join(labelled, "set_class", "left").withColumn(
         "component", F.coalesce("component", "set_class")
     )
-    names = linked.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    names = stage(linked.groupBy("component").agg(F.min("doc_id").alias("component_id")), "jaccard-names")
     lone = members.where("set_class is null").select("doc_id", "text_key", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.join(names, "component").select("doc_id", "text_key", "n_shingles", "component_id").union(lone)
 
 
-def _allocated(shared: DataFrame, known: DataFrame) -> DataFrame:
+def _allocated(shared: DataFrame) -> DataFrame:
     """(key, kind, set_class, asks) of the sets that can have a partner.
 
     ``asks`` is false for the keys with most members, as many as the set can spare.
     """
-    small = F.floor(F.log2("n_shingles")) + F.col("next") < band_of(DELETIONS_BELOW)
     # In a band with deletions a subset counts twice.
-    units = F.when((F.col("kind") == EXACT) & small, 2).otherwise(1)
-    rows = shared.join(known.select("set_class", "n_shingles", "spare"), "set_class").select(
-        "key", "kind", "next", "set_class", units.alias("units"), F.get("spare", F.col("next")).alias("spare")
+    units = F.when((F.col("kind") == EXACT) & (F.col("band").bitwiseAND(2) > 0), 2).otherwise(1)
+    rows = shared.select(
+        "key", "kind", F.col("band").bitwiseAND(1).alias("next"), "set_class", units.alias("units"),
+        F.shiftright("band", 2).alias("spare"),
     )
     for number in range(PEELINGS):
         total = F.sum("units").over(Window.partitionBy("set_class", "next"))
@@ -441,6 +436,7 @@ def _open_keys(kept: DataFrame, found: DataFrame) -> DataFrame:
     unresolved = rows.groupBy("key").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n")
     ).where("low != high and n > 2").select("key")
+    unresolved = stage(unresolved, "jaccard-unresolved")
     return stage(rows.join(unresolved, "key"), "jaccard-open")
 
 
@@ -460,6 +456,7 @@ def _stars(rows: DataFrame, number: int | None = None) -> DataFrame:
     leaders = rows.groupBy("key").agg(best).where("best is not null").select(
         "key", F.col("best.o.set_class").alias("a"), F.col("best.component").alias("lead")
     )
+    leaders = stage(leaders, "jaccard-leaders")
     return rows.join(leaders, "key").where(apart).select("a", F.col("set_class").alias("b"))
 
 
@@ -539,11 +536,5 @@ def _lookups(rows: DataFrame) -> DataFrame:
     )
 
 
-def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        made = next(_classes(iter([batch])))
-        yield pa.RecordBatch.from_arrays([*made.columns, batch.column(2)], names=[*made.schema.names, "text_key"])
-
-
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
