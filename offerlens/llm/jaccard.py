@@ -466,7 +466,7 @@ def _by_members(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     keys = rows.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.max(F.struct("size", "component")).getField("component").alias("family")
     )
-    rows = rows.join(keys, "key")
+    rows = rows.join(stage(keys, "jaccard-key-sizes"), "key")
     return rows.where(f"n <= {LISTED}"), rows.where(f"n > {LISTED}")
 
 
