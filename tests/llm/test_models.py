@@ -12,6 +12,7 @@ from pathlib import Path
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from offerlens.llm import lm_score, main_text, pii, secret_scan, token_counts
@@ -296,3 +297,47 @@ def test_lm_edges(run, no_documents, spark):
     docs = spark.createDataFrame([(i, "a b c") for i in held], "doc_id long, text string")
     rows = run("op8_context_mixing", documents=docs)
     assert len(rows) == len(held) and all(r.n_known == 0 and r.train_tokens == 0 and math.isfinite(r.score) for r in rows)
+
+
+def test_lm_contexts_are_exact(spark, odd_documents):
+    """Counts of every context against brute force, whether it is joined or broadcast."""
+    rows = [(r.doc_id, WORD.findall((r.text or "").translate(LOWER)) + [None]) for r in odd_documents.collect()]
+    hashes = {}
+
+    def hashed(words):
+        text = " ".join(w for w in words if w)
+        _, tokens, bounds = next(lm_score.tokens_of(pa.array([text])))
+        hashes.update(zip(words, tokens.view(np.int64).tolist(), strict=True))
+        return lm_score.bucket_of(tokens)
+
+    counts, total = [Counter() for _ in range(3)], Counter()
+    for doc_id, words in rows:
+        held = crc32(str(doc_id).encode() if doc_id is not None else b"") % 10 == 0
+        ids = ["start", "start", *words]
+        for i, bucket in enumerate(hashed(words).tolist()):
+            earlier, before = ids[i], ids[i + 1]
+            total[(before, earlier, bucket)] += 1
+            for k in range(9) if not held else ():
+                for count, context in zip(counts, (before, (before, earlier), earlier), strict=True):
+                    count[(context, k, bucket >> (8 - k))] += 1
+    hashes["start"] = int(np.array(lm_score._START).view(np.int64))
+    names = {v: k for k, v in hashes.items()}
+    texts = odd_documents.selectExpr("coalesce(text, '') as text", "crc32(cast(coalesce(string(doc_id), '') as binary)) % 10 = 0 as held_out")
+    found, _, n = lm_score.context_counts(texts.repartition(5))
+    found = found.collect()
+    assert n == sum(total.values()) and len(found) == len(total)
+    for r in found:
+        before, earlier = names[r.before], names[r.earlier]
+        assert r.total == total[(before, earlier, r.bucket)]
+        for path, count, context in zip((r.by_before, r.by_both, r.by_earlier), counts, (before, (before, earlier), earlier), strict=True):
+            assert path == [count[(context, k, r.bucket >> (8 - k))] for k in range(9)]
+
+
+def test_lm_learns_contexts_of_a_large_vocabulary(run, spark):
+    """Every second word follows from the one before; there are more contexts than any table of fixed size would hold."""
+    draw = random.Random(3)
+    pairs = [f"a{i} b{draw.randrange(30_000)}" for i in range(30_000)]
+    rows = [(i, " ".join(draw.choices(pairs, k=300))) for i in range(600)]
+    scores = [r for r in run("op8_context_mixing", documents=spark.createDataFrame(rows, "doc_id long, text string")) if r.held_out]
+    gain = sum(r.score - r.base_score for r in scores) / sum(r.n_tokens for r in scores)
+    assert gain > 0.9
