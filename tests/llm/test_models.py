@@ -341,3 +341,26 @@ def test_lm_learns_contexts_of_a_large_vocabulary(run, spark):
     scores = [r for r in run("op8_context_mixing", documents=spark.createDataFrame(rows, "doc_id long, text string")) if r.held_out]
     gain = sum(r.score - r.base_score for r in scores) / sum(r.n_tokens for r in scores)
     assert gain > 0.9
+
+
+def test_lm_learns_from_every_training_token(spark):
+    """No document or token is left out: more documents, and a longer one, than any sample of fixed size."""
+    draw = random.Random(9)
+    rows = [(False, " ".join(draw.choices("abcdefgh", k=40))) for _ in range(400)] + [(True, "a b c " * 50)]
+    rows.append((False, " ".join(draw.choices("stuvwxyz", k=160_000))))
+    texts = spark.createDataFrame(rows, "held_out boolean, text string").repartition(6)
+    triples, none, _ = lm_score.context_counts(texts)
+    mixer = lm_score.Mixer.untrained([none])
+    n = sum(len(text.split()) + 1 for held, text in rows if not held)
+    seen = lm_score._summed(triples, (*mixer.refined.shape, 2), mixer.outcomes)
+    assert seen[..., 0].sum() == pytest.approx(8 * n) and none[1].sum() == n
+    slopes = lm_score._summed(triples, (*mixer.weights.shape, 5), mixer.slopes)
+    whole = np.zeros_like(slopes)
+    for r in triples.where("train > 0").collect():
+        paths = [np.array([p], dtype=np.float32) for p in (r.by_before, r.by_both, r.by_earlier)]
+        whole += mixer.slopes(np.array([r.bucket]), paths, np.array([float(r.train)]))
+    assert np.allclose(slopes, whole, rtol=1e-4, atol=1e-2)
+    learnt = lm_score.learn(triples, none)
+    after = lm_score._summed(triples, (*mixer.weights.shape, 5), learnt.slopes)
+    pull = after[:, :, 0] - lm_score.RIDGE * (learnt.weights - 0.3)
+    assert np.abs(pull).max() < 1e-2 * np.abs(slopes[:, :, 0]).max()
