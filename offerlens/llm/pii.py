@@ -7,10 +7,12 @@ as the mean score of its identifiers (with one bad one assumed), an identifier a
 patterns together (noisy or); seeds keep 1. Identifiers that no fixed pattern covers are
 reported where their own score and that of a well-supported pattern are high. Words that
 mostly stand next to other things, as function words do, are no patterns: of their places in
-the texts with identifiers, a fair share must have an identifier.
+all texts, with identifiers or without, a fair share must have an identifier.
 
-Texts are scanned once; what goes on is a table of identifiers and their context, a small
-part of the corpus. All joins are on pattern or identifier after both have been made
+Texts are scanned twice; the first scan gives a table of identifiers and their context, a
+small part of the corpus, the second the places of these contexts' words, added up within
+each task. A bitmap of bounded size lets the second scan skip most other words; the join
+that follows is exact. All joins are on pattern or identifier after both have been made
 distinct. A frequent word before many identifiers is one hot pattern: its rows are
 pre-aggregated, and the planner splits it when joining.
 
@@ -20,8 +22,10 @@ whole, and runs of any length in linear time; an empty table gives an empty one.
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from zlib import crc32
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +40,8 @@ ROUNDS = 3
 PATTERN_SCORE, IDENTIFIER_SCORE, SUPPORT = 0.6, 0.7, 3
 #: Share of a pattern's places that have an identifier.
 SELECTIVE = 0.3
+#: Bits of the bitmap of patterns, at most, and patterns that a task counts at a time.
+BITMAP, COUNTED = 1 << 27, 100_000
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -143,20 +149,28 @@ def contexts(text: str, start: int, end: int) -> list[str]:
     return out
 
 
-def places(text: str) -> Counter:
-    """How often the words of each possible pattern occur in ``text``."""
+def places(text: str, wanted: Callable[[str], bool]) -> Counter:
+    """How often the words of each wanted pattern occur in ``text``; a pattern of two words needs that of its second."""
     words = [_plain(word) for word in text.split()]
-    single, pairs = Counter(words), Counter(zip(words, words[1:], strict=False))
-    out = Counter({f"2< {a} {b}": n for (a, b), n in pairs.items()})
-    for word, n in single.items():
-        out[f"1< {word}"] = out[f"> {word}"] = n
+    out, ends = Counter(), set()
+    for word, n in Counter(words).items():
+        if wanted(f"1< {word}"):
+            out[f"1< {word}"] = n
+            ends.add(word)
+        if wanted(f"> {word}"):
+            out[f"> {word}"] = n
+    pairs = Counter(pair for pair in zip(words, words[1:], strict=False) if pair[1] in ends)
+    for (a, b), n in pairs.items():
+        if wanted(pattern := f"2< {a} {b}"):
+            out[pattern] = n
     return out
 
 
 _FOUND = (
     "doc_id long, text_key long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, "
     "base array<struct<start:int,end:int,kind:int>>, "
-    "seen array<struct<start:int,end:int,value:string,kinds:array<string>,seed:boolean,patterns:array<struct<pattern:string,times:int>>>>"
+    "beside array<string>, "
+    "seen array<struct<start:int,end:int,value:string,kinds:array<string>,seed:boolean,patterns:array<string>>>"
 )
 
 
@@ -168,20 +182,51 @@ def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             counts = [sum(kind == k for _, _, kind in base) for k in KINDS]
             found = [(a, b, [kind], True) for a, b, kind in base]
             found += [(a, b, kinds, False) for a, b in candidates(text, base) if (kinds := kinds_like(text[a:b]))]
-            times = places(text) if found else None
             seen = [
-                {"start": a, "end": b, "value": text[a:b].lower(), "kinds": kinds, "seed": seed,
-                 "patterns": [{"pattern": p, "times": max(times[p], 1)} for p in contexts(text, a, b)]}
+                {"start": a, "end": b, "value": text[a:b].lower(), "kinds": kinds, "seed": seed, "patterns": contexts(text, a, b)}
                 for a, b, kinds, seed in found
             ]
+            beside = [pattern for _, pattern in {(s["start"], pattern) for s in seen for pattern in s["patterns"]}]
             spans = [{"start": a, "end": b, "kind": KINDS.index(kind)} for a, b, kind in base]
-            out.append((*counts, sha256_of(joined(base)), spans, seen))
-        made = pd.DataFrame(out, columns=["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "base", "seen"])
+            out.append((*counts, sha256_of(joined(base)), spans, beside, seen))
+        made = pd.DataFrame(out, columns=["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "base", "beside", "seen"])
         made.insert(0, "doc_id", batch.doc_id.array)
         made.insert(1, "text_key", batch.text_key.array)
         yield made
 
 
+def _places_in(texts: DataFrame, patterns: DataFrame) -> DataFrame:
+    """(pattern, there): the places in all ``texts`` of the words of ``patterns``, which are distinct."""
+    bits = min(BITMAP, 1 << max(16, (16 * patterns.count()).bit_length()))
+    place = F.crc32(F.col("pattern").cast("binary")).bitwiseAND(F.lit(bits - 1))
+    spots = patterns.select(F.shiftright(place, 3).alias("byte"), (place % 8).cast("int").alias("bit"))
+    rows = spots.groupBy("byte").agg(F.bit_or(F.expr("shiftleft(1, bit)")).alias("bits")).toArrow()
+    bitmap = np.zeros(bits // 8, dtype=np.uint8)
+    bitmap[rows.column("byte").to_numpy()] = rows.column("bits").to_numpy()
+    shared = texts.sparkSession.sparkContext.broadcast(bitmap.tobytes())
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bitmap, counts = shared.value, Counter()
+
+        def wanted(pattern: str) -> bool:
+            at = crc32(pattern.encode()) & (bits - 1)
+            return bool(bitmap[at >> 3] >> (at & 7) & 1)
+
+        for batch in batches:
+            for text in batch.text:
+                counts.update(places(text, wanted))
+                if len(counts) > COUNTED:
+                    yield pd.DataFrame(counts.items(), columns=["pattern", "times"])
+                    counts.clear()
+        yield pd.DataFrame(counts.items(), columns=["pattern", "times"])
+
+    counted = texts.select("text").mapInPandas(count, "pattern string, times long")
+    there = counted.groupBy("pattern").agg(F.sum("times").alias("there")).join(patterns, "pattern")
+    there = stage(there, "pii-places")
+    shared.unpersist()
+    return there
+
+
 def scored(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
     """Scores of the pattern-identifier graph.
 
@@ -227,12 +272,16 @@ def find_personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     seen = seen.withColumn("kind", F.explode("kinds")).drop("kinds").distinct()
     seen = stage(seen, "pii-seen")
-    links = seen.select("*", F.inline("patterns")).drop("patterns")
-    used = links.select("doc_id", "text_key", "start", "pattern").distinct().groupBy("pattern").agg(F.count(F.lit(1)).alias("used"))
-    there = links.select("doc_id", "text_key", "pattern", "times").distinct().groupBy("pattern").agg(F.sum("times").alias("there"))
-    selective = stage(
-        used.join(there, "pattern").where(F.col("used") >= SELECTIVE * F.col("there")).select("pattern"), "pii-selective"
+    links = seen.withColumn("pattern", F.explode("patterns")).drop("patterns")
+    used = stage(
+        found.select(F.explode("beside").alias("pattern")).groupBy("pattern").agg(F.count(F.lit(1)).alias("used")), "pii-used"
     )
+    there = _places_in(texts, used.select("pattern"))
+    # Words that a cut at 80 characters has shortened have no places of their own.
+    selective = used.join(there, "pattern", "left").where(
+        F.col("used") >= SELECTIVE * F.coalesce("there", "used")
+    ).select("pattern")
+    selective = stage(selective, "pii-selective")
     links = stage(links.join(selective, "pattern"), "pii-links")
     edges = stage(links.select("pattern", "value", "kind").distinct(), "pii-edges")
     patterns, identifiers = scored(edges, seen.where("seed").select("value", "kind").distinct())
@@ -248,7 +297,7 @@ def find_personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
         .agg(F.collect_list(F.struct("start", "end", (-F.col("best.kind")).alias("kind"))).alias("new"))
     )
     none = F.array().cast("array<struct<start:int,end:int,kind:int>>")
-    both = W.join_same(found.drop("seen"), new, ["doc_id", "text_key"], "left").withColumn("new", F.coalesce("new", none))
+    both = W.join_same(found.drop("seen", "beside"), new, ["doc_id", "text_key"], "left").withColumn("new", F.coalesce("new", none))
     ordered = F.sort_array(F.transform(
         F.concat("base", "new"), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))
     ))

@@ -92,6 +92,22 @@ def test_frequent_words_are_no_patterns(run, spark):
     assert sum(r.n_card for r in found) == 40 and sum(r.n_found for r in found) == 0
 
 
+def test_words_frequent_in_other_texts_are_no_patterns(run, spark):
+    """The word before every phone number stands mostly in texts that hold no identifier."""
+    rows = [(i, f"on +1 ({i + 100}) 555-{i + 1000}") for i in range(40)] + [(100, "on 640-555-0188")]
+    found = run("op3_personal_data", documents=spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: r.n_found for r in found}[100] == 1
+    rows += [(i, "he sat on the wall and on the roof") for i in range(200, 400)]
+    found = run("op3_personal_data", documents=spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sum(r.n_phone for r in found) == 40 and sum(r.n_found for r in found) == 0
+
+
+def test_places_are_those_of_all_texts(spark):
+    texts = spark.createDataFrame([("on a wall on",), ("(On) a.",), ("",), ("wall",)] * 3, "text string")
+    patterns = spark.createDataFrame([(p,) for p in ("1< on", "> wall", "1< a", "2< on a", "2< no a")], "pattern string")
+    assert {r.pattern: r.there for r in pii._places_in(texts, patterns).collect()} == {"1< on": 9, "> wall": 6, "1< a": 6, "2< on a": 6}
+
+
 def test_graph_scores_by_hand(spark):
     edges = spark.createDataFrame(
         [(p, v, "k") for p, v in [("p", "a"), ("p", "b"), ("p", "c"), ("p", "new"), ("q", "new"), ("q", "z"), ("r", "z")]],
