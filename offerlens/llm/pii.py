@@ -27,6 +27,7 @@ from zlib import crc32
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,6 +54,11 @@ _DIGIT = re.compile(r"[0-9]")
 #: White-space words that carry a digit or an at sign; found from there, not from the start of a run.
 _MARK = re.compile(r"[0-9@]")
 _EDGE = "\"'()[]{}<>,;:!?.*#|"
+#: Digits with blanks, brackets, dashes and single dots between them, not begun within a word.
+_RUN = re.compile(r"(?<!\w)\(?[0-9](?:(?:[\x20()\[\]-]*+|\.)[0-9])*+")
+#: What may stand between two fields without a blank, and the words of contexts.
+_CUT = re.compile(r"[\"',;:]")
+_PIECE = re.compile(r"[^\s\"',;:]+")
 
 
 def luhn(digits: str) -> bool:
@@ -96,10 +102,32 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
-def candidates(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
-    """Identifier-like words outside all base spans: with an at sign, or five digits and more."""
-    out, end, spans = [], 0, iter(base)
-    span = next(spans, None)
+def _trimmed(text: str, a: int, b: int) -> tuple[int, int]:
+    while a < b and text[a] in _EDGE:
+        a += 1
+    while b > a and text[b - 1] in _EDGE:
+        b -= 1
+    return a, b
+
+
+def _runs(text: str) -> Iterator[tuple[int, int]]:
+    """Maximal runs of digits and what may stand between them, of any length; an opening bracket needs its closing one."""
+    for m in _RUN.finditer(text):
+        a, b = m.span()
+        if b < len(text) and (text[b].isalnum() or text[b] in "_@"):
+            while b > a and text[b - 1].isdigit():
+                b -= 1
+            while b > a and not text[b - 1].isdigit():
+                b -= 1
+        if a < b and text[a] == "(" and ")" not in text[a:b]:
+            a += 1
+        if a < b:
+            yield a, b
+
+
+def _words(text: str) -> Iterator[tuple[int, int]]:
+    """White-space words that carry a digit or an at sign, and their pieces between quotes, commas and colons."""
+    end = 0
     for mark in _MARK.finditer(text):
         if mark.start() < end:
             continue
@@ -108,14 +136,28 @@ def candidates(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, i
             start -= 1
         while end < len(text) and not text[end].isspace():
             end += 1
-        a, b = start, end
-        while a < b and text[a] in _EDGE:
-            a += 1
-        while b > a and text[b - 1] in _EDGE:
-            b -= 1
-        while span is not None and span[1] <= a:
+        a, b = _trimmed(text, start, end)
+        cut = _CUT.search(text, a, b)
+        if not cut or "@" not in text[a:b]:
+            yield a, b
+        if cut:
+            for m in _PIECE.finditer(text, a, b):
+                yield _trimmed(text, *m.span())
+
+
+def candidates(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+    """Identifier-like runs, words and pieces of words outside all base spans, longer ones first where they begin:
+    with an at sign, or five digits and more. Which of those that overlap is meant is left to the scores."""
+    if not _MARK.search(text):
+        return []
+    found = sorted({*_runs(text), *_words(text)}, key=lambda s: (s[0], -s[1]))
+    out, spans = [], iter(base)
+    span, last = next(spans, None), 0
+    for a, b in found:
+        while span is not None and span[0] < a:
+            last = max(last, span[1])
             span = next(spans, None)
-        if b - a > 100 or span is not None and span[0] < b:
+        if last > a or span is not None and span[0] < b:
             continue
         if "@" in text[a:b] or sum(c.isdigit() for c in text[a:b]) >= 5:
             out.append((a, b))
@@ -139,8 +181,8 @@ def _plain(word: str) -> str:
 
 def contexts(text: str, start: int, end: int) -> list[str]:
     """Lexical patterns of a span, from at most 80 characters to either side."""
-    before = [_plain(word) for word in text[max(0, start - 80) : start].split()[-2:]]
-    after = text[end : end + 80].split()
+    before = [_plain(word) for word in _PIECE.findall(text[max(0, start - 80) : start])[-2:]]
+    after = _PIECE.findall(text[end : end + 80])
     out = [f"1< {before[-1]}"] if before else []
     if len(before) == 2:
         out.append(f"2< {before[0]} {before[1]}")
@@ -151,7 +193,7 @@ def contexts(text: str, start: int, end: int) -> list[str]:
 
 def places(text: str, wanted: Callable[[str], bool]) -> Counter:
     """How often the words of each wanted pattern occur in ``text``; a pattern of two words needs that of its second."""
-    words = [_plain(word) for word in text.split()]
+    words = [_plain(word) for word in _PIECE.findall(text)]
     out, ends = Counter(), set()
     for word, n in Counter(words).items():
         if wanted(f"1< {word}"):
@@ -170,7 +212,7 @@ _FOUND = (
     "doc_id long, text_key long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, "
     "base array<struct<start:int,end:int,kind:int>>, "
     "beside array<string>, "
-    "seen array<struct<start:int,end:int,value:string,kinds:array<string>,seed:boolean,patterns:array<string>>>"
+    "seen array<struct<start:int,end:int,value:string,kinds:array<string>,seed:boolean,run:int,patterns:array<string>>>"
 )
 
 
@@ -180,11 +222,16 @@ def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for text in batch.text:
             base = base_spans(text)
             counts = [sum(kind == k for _, _, kind in base) for k in KINDS]
-            found = [(a, b, [kind], True) for a, b, kind in base]
-            found += [(a, b, kinds, False) for a, b in candidates(text, base) if (kinds := kinds_like(text[a:b]))]
+            found = [(a, b, [kind], True, a) for a, b, kind in base]
+            run = end = -1  # the start and end of the longest candidate that others overlap
+            for a, b in candidates(text, base):
+                if kinds := kinds_like(text[a:b]):
+                    run, end = (run, end) if a < end else (a, b)
+                    found.append((a, b, kinds, False, run))
             seen = [
-                {"start": a, "end": b, "value": text[a:b].lower(), "kinds": kinds, "seed": seed, "patterns": contexts(text, a, b)}
-                for a, b, kinds, seed in found
+                {"start": a, "end": b, "value": text[a:b].lower(), "kinds": kinds, "seed": seed, "run": run,
+                 "patterns": contexts(text, a, b)}
+                for a, b, kinds, seed, run in found
             ]
             beside = [pattern for _, pattern in {(s["start"], pattern) for s in seen for pattern in s["patterns"]}]
             spans = [{"start": a, "end": b, "kind": KINDS.index(kind)} for a, b, kind in base]
@@ -257,6 +304,23 @@ def scored(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> tuple[Da
     return patterns, identifiers
 
 
+def _uncovered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of candidates that overlap, by start and the longer first, those that begin within no kept one."""
+    for batch in batches:
+        rows = []
+        for doc_id, text_key, _, made in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+            end = -1
+            for s in made:
+                if s["start"] >= end:
+                    end = -s["back"]
+                    rows.append((doc_id, text_key, s["start"], end, s["kind"]))
+        columns = list(zip(*rows, strict=True)) or [()] * 5
+        types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["doc_id", "text_key", "start", "end", "kind"]
+        )
+
+
 def find_personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_found) of every row of ``docs``.
 
@@ -291,10 +355,13 @@ def find_personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
     number = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int") - 1
     new = (
         links.where("not seed").join(good, ["pattern", "kind"]).join(sure, ["value", "kind"])
-        .groupBy("doc_id", "text_key", "start", "end")
+        .groupBy("doc_id", "text_key", "run", "start", "end")
         .agg(F.max(F.struct("sure", (-number).alias("kind"))).alias("best"))
+        .groupBy("doc_id", "text_key", "run")
+        .agg(F.sort_array(F.collect_list(F.struct("start", (-F.col("end")).alias("back"), (-F.col("best.kind")).alias("kind")))).alias("made"))
+        .mapInArrow(_uncovered, "doc_id long, text_key long, start int, end int, kind int")
         .groupBy("doc_id", "text_key")
-        .agg(F.collect_list(F.struct("start", "end", (-F.col("best.kind")).alias("kind"))).alias("new"))
+        .agg(F.collect_list(F.struct("start", "end", "kind")).alias("new"))
     )
     none = F.array().cast("array<struct<start:int,end:int,kind:int>>")
     both = W.join_same(found.drop("seen", "beside"), new, ["doc_id", "text_key"], "left").withColumn("new", F.coalesce("new", none))

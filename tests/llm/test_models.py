@@ -108,6 +108,25 @@ def test_places_are_those_of_all_texts(spark):
     assert {r.pattern: r.there for r in pii._places_in(texts, patterns).collect()} == {"1< on": 9, "> wall": 6, "1< a": 6, "2< on a": 6}
 
 
+def test_context_finds_identifiers_of_several_words(run, spark):
+    rows = [(i, f"order now call me on +1 ({i + 100}) 555-{i + 1000} today") for i in range(40)]
+    texts = {100: "640 555 0188", 101: "(640) 555-0188", 102: "0049 30 1234567", 103: "640.555.0188"}
+    rows += [(i, f"please call me on {text} today") for i, text in texts.items()]
+    rows += [(i, f'{{"id":"a{i}","phone":"+1 (640) 555-{i}","name":"x"}}') for i in range(1000, 1040)]
+    rows += [(200, '{"id":"b","phone":"640-555-0188","name":"x"}')]
+    rows += [(i, f"mail to user{i}@example.com now") for i in range(2000, 2040)] + [(201, f"mail to {'x' * 120}@host now")]
+    spans = {r.doc_id: r.spans for r in run("op3_personal_data", documents=spark.createDataFrame(rows, "doc_id long, text string"))}
+    for i, text in texts.items():
+        assert spans[i] == f"phone:18:{18 + len(text)}", i
+    assert spans[200] == "phone:19:31" and spans[201] == "email:8:133"
+
+
+def test_candidates_are_whole_runs():
+    text = "x40 640 555 0188 and 12 345 678abc or (12345678), 2019. 640 555 0188; \"k\":\"1234-5678\""
+    assert {text[a:b] for a, b in pii.candidates(text, [])} >= {"640 555 0188", "12345678", "1234-5678"}
+    assert [pii.candidates("1" * 300_000, [])] == [[(0, 300_000)]]
+
+
 def test_graph_scores_by_hand(spark):
     edges = spark.createDataFrame(
         [(p, v, "k") for p, v in [("p", "a"), ("p", "b"), ("p", "c"), ("p", "new"), ("q", "new"), ("q", "z"), ("r", "z")]],
