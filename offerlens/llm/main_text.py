@@ -10,8 +10,11 @@ Training pages come from a bounded sample of the table (``TRAIN_PAGES``). Blocks
 sites mark the same parts in other ways, each training page is also used with its parts
 wrapped in other tags and classes, drawn from the lists below by the page's own hash.
 
-Defined results: a missing or empty page has an empty text; unclosed tags end with their
-parent or the page; a page cut inside a tag or comment ends there; repeated rows give equal
+Scripts, styles, templates and fields of forms are hidden, nothing else; what else is not the
+article is left to the field.
+
+Defined results: a missing or empty page has an empty text; unclosed tags, hidden ones too, end
+with their parent or the page; a page cut inside a tag or comment ends there; repeated rows give equal
 rows; other columns are ignored.
 """
 
@@ -33,7 +36,14 @@ TRAIN_PAGES, TRAIN_BLOCKS = 100, 50
 LABELS = ("other", "article")
 
 #: Elements whose text is never shown, and elements without an end tag.
-HIDDEN = frozenset("script style noscript template iframe object svg math title textarea select button".split())
+HIDDEN = frozenset("script style noscript template iframe title textarea select".split())
+#: Hidden elements whose start tag is not closed by a slash.
+RAW = frozenset("script style iframe textarea".split())
+#: Elements that run within a line whatever is in them, and the start tags that end an unclosed one.
+FOREIGN = frozenset("svg math".split())
+BREAKS = frozenset(
+    "p div h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table tr td th blockquote pre article main section aside nav header footer body form".split()
+)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that do not end a block.
 INLINE = frozenset(
@@ -73,6 +83,7 @@ OTHER_WORDS = frozenset(
 def blocks(page: str) -> list[tuple[str, tuple[tuple[str, str], ...], int]]:
     """(text, ancestors as (tag, class and id words), characters in links) of every block with text."""
     found, stack, pieces, linked, link_chars, at = [], [], [], 0, 0, 0
+    foreign, unclosed = False, set()
 
     def close() -> None:
         nonlocal pieces, link_chars
@@ -89,10 +100,25 @@ def blocks(page: str) -> list[tuple[str, tuple[tuple[str, str], ...], int]]:
         if tag[2] is None:
             continue
         name, ends = tag[2].lower(), bool(tag[1])
+        slash = bool(tag[3]) and tag[3].endswith("/")
         if name in HIDDEN and not ends:
-            end = re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            if slash and name not in RAW:
+                continue
+            end = None if name in unclosed else re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I).search(page, at)
+            if end:
+                at = end.end()
+            else:
+                unclosed.add(name)
+                parent = stack and re.compile(rf"</{re.escape(stack[-1][0])}(?=[\s/>])", re.I).search(page, at)
+                at = parent.start() if parent else len(page)
+            continue
+        if name in FOREIGN:
+            foreign = not ends and not slash
             continue
+        if foreign:
+            if not (any(tag == name for tag, _ in stack) if ends else name in BREAKS):
+                continue
+            foreign = False
         if name == "a":
             linked = int(not ends)
         if name in INLINE:

@@ -187,6 +187,17 @@ def test_main_text_of_other_layouts(spark, sf_dir, tag):
     )
 
 
+@pytest.mark.parametrize("icon", ['<svg class="icon"/>', "<math/>", '<svg><path d="M0"/><g></svg>', '<svg class="a">', "<template><p>no"])
+def test_icons_hide_no_text(icon):
+    page = f"<body><header>{icon}</header><article><p>One <svg/>and <math><mi>a</mi><mo>=</mo>b</math> two.<p>Last.</article><svg></svg>"
+    assert [text for text, _, _ in main_text.blocks(page)] == ["One and a=b two.", "Last."]
+
+
+def test_text_of_buttons_and_objects_is_left_to_the_field():
+    page = "<article><p>One.<button>Two</button><object>Three</object><script>no</script><select><option>no</select></article>"
+    assert [text for text, _, _ in main_text.blocks(page)] == ["One.", "Two", "Three"]
+
+
 def test_main_text_of_odd_pages(run, spark):
     pages = [(1, "u", None), (2, None, ""), (3, "u", "<article><p>cut off te"), (4, "u", "plain"), (5, "u", "<!-- never closed <p>a"),
              (6, "u", "<p>" * 3000 + "x" * 100_000), (None, "u", "<article><p>a</article>"), (3, "u", "<article><p>cut off te")]
