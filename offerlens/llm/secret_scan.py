@@ -1,8 +1,8 @@
 """Secret scan: fixed patterns, plus a conditional random field that tags tokens.
 
 The patterns find assignments, access keys and long hexadecimal runs. The field labels the
-tokens around anything that could carry a secret (a token with a digit, or a key word) as
-begin, inside or outside of a secret, from the shape of the token, the tokens next to it
+tokens around anything that could carry a secret (a token with a digit, a long one of mixed
+case or with symbols, or a key word) as begin, inside or outside of a secret, from the shape of the token, the tokens next to it
 and features of the text; Viterbi decodes each window. A text without such a token is
 outside throughout, whatever its length.
 
@@ -41,10 +41,14 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 
 #: Key words that make a window, in lower case.
-KEY_WORDS = ("passw", "secret", "token", "api", "bearer", "authorization", "credential", "private", "pwd", "auth_")
+KEY_WORDS = ("passw", "secret", "token", "api", "bearer", "authorization", "credential", "private", "pwd", "auth_",
+             "passphr", "access_key", "access-key")
 _TOKEN = re.compile(r"[A-Za-z0-9_+/.-]++|[^\sA-Za-z0-9_+/.-]|=")
 _CARRIER = re.compile(r"[0-9]")
-_KEYS = re.compile("|".join(KEY_WORDS))
+_KEYS = re.compile("|".join(KEY_WORDS), re.I | re.A)
+#: Long tokens, and what makes one of them a candidate: mixed case or symbols.
+_LONG = re.compile(r"[A-Za-z0-9_+/.=-]{16,}+")
+_MIXED = re.compile(r"[a-z][A-Z]|[A-Z]{2}[a-z]|[+/_=]")
 
 #: Words that other training windows put before a secret.
 OTHER_KEYS = (
@@ -66,10 +70,10 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 def windows(text: str) -> Iterator[list[tuple[int, int]]]:
     """Token bounds of the stretches of ``text`` around candidates; overlapping ones are one."""
-    lower = text.lower()
     spots = [m.start() for m in _CARRIER.finditer(text)]
-    if len(lower) == len(text) and any(word in lower for word in KEY_WORDS):
-        spots = sorted(spots + [m.start() for m in _KEYS.finditer(lower)])
+    spots += [m.start() for m in _KEYS.finditer(text)]
+    spots += [m.start() for m in _LONG.finditer(text) if _MIXED.search(text, *m.span())]
+    spots.sort()
     if not spots:
         return
     tokens, stretch_end = [], -1
@@ -87,7 +91,7 @@ def windows(text: str) -> Iterator[list[tuple[int, int]]]:
             stretch_end = token.end()
             if token.start() > spot:
                 after += 1
-                if _CARRIER.search(token[0]) or _KEYS.search(token[0].lower()):
+                if _CARRIER.search(token[0]) or _KEYS.search(token[0]):
                     after = 0
                 if after >= REACH:
                     break

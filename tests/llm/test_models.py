@@ -237,6 +237,12 @@ def test_secret_field_on_held_out_windows(spark, sf_dir):
     assert found >= 180 and wrong <= 10
 
 
+def test_secrets_without_digits_get_windows():
+    for text in ("Bearer abcdefgh", "İstanbul Bearer abcdefgh", "the passphrase = abcdefgh", "ACCESS_KEY=abcdefgh", "see QwErTyUiOpAsDfGhJk here"):
+        assert any(text[a:b] in ("abcdefgh", "QwErTyUiOpAsDfGhJk") for tokens in secret_scan.windows(text) for a, b in tokens), text
+    assert list(secret_scan.windows("plain words and an uncharacteristically long one")) == []
+
+
 # Token counts
 
 
