@@ -5,7 +5,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlens.llm import decontam, jaccard, lm_score, main_text, mixing, pii, quality, secret_scan, sharding, token_counts
+from offerlens.llm import (
+    bpe, conversation_repair, conversation_trie, decontam, jaccard, lm_score, main_text, mixing, pii, quality, secret_scan,
+    sharding, token_counts,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,9 +74,28 @@ def op10_decontaminate(spark, sf_dir):
     )
 
 
+def op11_bpe_codec(spark, sf_dir):
+    """Digests of every text's tokens, and of what they decode to."""
+    coded = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents")))
+    return coded.select(
+        "doc_id", F.expr("length(tokens) div 4").alias("n_tokens"),
+        F.sha2("tokens", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_conversation_repair(spark, sf_dir):
+    damaged = conversation_repair.damage(_table(spark, sf_dir, "conversations"))
+    return conversation_repair.repair(damaged).drop("n_rows")
+
+
+def op13_conversation_trie(spark, sf_dir):
+    return conversation_trie.prefix_trie(conversation_trie.rebuild(_table(spark, sf_dir, "conversations")))
+
+
 LLM_QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_source_mixing, op2_quality_rules, op3_personal_data, op4_main_text, op5_jaccard_join, op6_token_counts,
-        op7_secret_scan, op8_context_mixing, op9_vector_sharding, op10_decontaminate,
+        op7_secret_scan, op8_context_mixing, op9_vector_sharding, op10_decontaminate, op11_bpe_codec,
+        op12_conversation_repair, op13_conversation_trie,
     )
 }

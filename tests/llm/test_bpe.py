@@ -1,0 +1,114 @@
+"""The trie encoder against the tokenizers library."""
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from offerlens.llm import bpe
+
+ODD = [
+    "", " ", "  ", "a", " a", "a  b", "the the the", "'s'll don't I'VE", "é ß 中文 😀", "1234 ½ ²", "a\tb\n\n c \r\n", "x" * 300,
+    " " * 200, "<|endoftext|>", "a<|endoftext|>b <|endoftext|>", "<|endof", "\x00\x1c\x1d\x85  　", "͸՘ a",
+    "\U00010940\U00031350", "ᲉꟋᲉ", "\U00010d40\U00010d41 1", "é ﻿​", "====----", "thethethe" * 40,
+]
+
+
+@pytest.fixture(scope="module")
+def library():
+    found = Tokenizer.from_file(bpe.VOCABULARY)
+    found.no_truncation()
+    found.no_padding()
+    return found
+
+
+def ids(tokens):
+    return np.frombuffer(tokens, dtype="<u4").tolist()
+
+
+def test_odd_and_random_texts(library):
+    draw = random.Random(4)
+    pieces = [*ODD, *"abcdefgh", "aa", "ab", "ing", " the", "ation", "zz", "\n", "0"]
+    texts = ODD + ["".join(draw.choices(pieces, k=draw.randint(1, 12))) for _ in range(4000)]
+    coding = bpe.vocabulary(bpe.VOCABULARY)
+    for text, tokens in zip(texts, coding.encode(texts), strict=True):
+        expected = library.encode(text, add_special_tokens=False).ids
+        assert ids(tokens) == expected, text
+        assert coding.decode(tokens) == library.decode(expected, skip_special_tokens=False) == text
+
+
+def test_every_code_point_is_split_like_the_library(library):
+    coding = bpe.vocabulary(bpe.VOCABULARY)
+    codes = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for start in range(0, len(codes), 50_000):
+        text = "".join(f"a{chr(c)}1{chr(c)}! " for c in codes[start : start + 50_000])
+        spans = [span for _, span in library.pre_tokenizer.pre_tokenize_str(text)]
+        assert coding.split(text) == [text[a:b] for a, b in spans]
+
+
+def test_verdicts_on_neighbours_agree_with_merging(library):
+    draw = random.Random(6)
+    coding = bpe.vocabulary(bpe.VOCABULARY)
+    words = [i for i, t in coding.bytes_of.items() if t.isalpha()]
+    for _ in range(3000):
+        a, b = draw.choices(words, k=2)
+        whole = (coding.bytes_of[a] + coding.bytes_of[b]).decode()
+        assert coding.may_follow(a, b) == (library.encode(whole, add_special_tokens=False).ids == [a, b]), whole
+
+
+def test_trie_holds_each_word_once_and_shares_prefixes():
+    words = [b"abc", b"abd", b"ab", b"x", b"abcde", b"xyz"]
+    found, nodes = [], 0
+    todo = [(bpe.build_trie(words), b"")]
+    while todo:
+        node, before = todo.pop()
+        nodes += 1
+        path = before + node.label
+        assert all(first == child.label[0] for first, child in node.children.items())
+        if node.ends:
+            found.append(path)
+        todo += [(child, path) for child in node.children.values()]
+    assert sorted(found) == sorted(words) and nodes == 1 + len(words)
+
+
+def test_forgetting_changes_no_result(library, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 3)
+    coding = bpe.Vocabulary(bpe.VOCABULARY)
+    texts = ["one two three four five six", "two three seven", "ninety one thousand"] * 2
+    for text in texts:
+        assert ids(coding.encode([text])[0]) == library.encode(text, add_special_tokens=False).ids
+
+
+def digests(library, texts):
+    coded = [library.encode(text or "", add_special_tokens=False).ids for text in texts]
+    return [
+        (len(x), hashlib.sha256(np.array(x, dtype="<u4").tobytes()).hexdigest(),
+         hashlib.sha256(library.decode(x, skip_special_tokens=False).encode()).hexdigest())
+        for x in coded
+    ]
+
+
+def test_query_on_given_documents(run, spark, sf_dir, library):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = docs.select("doc_id", "text").collect()
+    expected = [(r.doc_id, *d) for r, d in zip(rows, digests(library, [r.text for r in rows]), strict=True)]
+    assert sorted(map(tuple, run("op11_bpe_codec", documents=docs))) == sorted(expected)
+
+
+def test_query_on_odd_documents(run, odd_documents, no_documents, library):
+    rows = odd_documents.select("doc_id", "text").collect()
+    expected = [(r.doc_id, *d) for r, d in zip(rows, digests(library, [r.text for r in rows]), strict=True)]
+    assert sorted(map(str, map(tuple, run("op11_bpe_codec", documents=odd_documents)))) == sorted(map(str, expected))
+    assert run("op11_bpe_codec", documents=no_documents) == []
+
+
+def test_long_texts_are_batches_of_their_own(spark, monkeypatch, library):
+    monkeypatch.setattr(bpe, "TOGETHER", 10)
+    texts = ["short", None, "a text of more than ten characters", "", "another long one, too", "end"]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, tokens string").coalesce(1)
+    coded = bpe.decode(bpe.encode(docs)).collect()
+    assert [(r.doc_id, ids(r.tokens), r.text) for r in coded] == [
+        (i, library.encode(t or "", add_special_tokens=False).ids, t or "") for i, t in enumerate(texts)
+    ]
