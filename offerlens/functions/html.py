@@ -1,8 +1,4 @@
-"""Elements, links and text of stored HTML, as native expressions.
-
-A tag ends at the first ``>`` outside the quotes of its attributes. Comments, scripts and styles are removed first. Elements may nest; missing
-end tags are tolerated for table rows and cells, where HTML lets them be left out.
-"""
+"""Selectors, noise and entities of stored HTML, as native expressions; ``elements`` finds elements."""
 
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -11,9 +7,8 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: The attributes of a tag; a ``>`` between quotes is part of a value.
-_ATTRIBUTES = r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+"
-_NOISE = r"(?is)<(?:!--.*?-->|script\b.*?</script\s*>|style\b.*?</style\s*>)"
+#: Comments, scripts and styles; what nothing closes reaches to the end of the page.
+_NOISE = r"(?is)<(?:!--.*?(?:-->|\z)|script\b.*?(?:</script\s*+>|\z)|style\b.*?(?:</style\s*+>|\z))"
 _ENTITY = r"^&(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
 
 
@@ -28,33 +23,10 @@ class Selector:
     tag: str
     classes: str = ""
 
-    @property
-    def open_tag(self) -> str:
-        """Pattern of the start tag: the tag name in any case, class names as they are."""
-        tag = rf"<(?i:{self.tag})"
-        names = [_literal(c) for c in self.classes.split()]
-        if not names:
-            return rf"{tag}(?:\s{_ATTRIBUTES})?>"
-        if len(names) == 1:
-            # Quoted lists may hold other names around it; a bare value is one name.
-            value = rf"(?:\"(?:[^\">]*\s)?{names[0]}(?:\s[^\">]*)?\"|'(?:[^'>]*\s)?{names[0]}(?:\s[^'>]*)?'|{names[0]}(?=[\s>]))"
-        else:
-            listed = r"\s+".join(names)
-            value = rf"(?:\"\s*{listed}\s*\"|'\s*{listed}\s*')"
-        before = r"(?:[^>\"']|\"[^\"]*+\"|'[^']*+')*?"
-        return rf"{tag}(?=\s){before}(?<=[\s\"'])(?i:class)\s*=\s*{value}{_ATTRIBUTES}>"
-
-
-def _literal(text: str) -> str:
-    return "".join(c if c.isalnum() else rf"\{c}" for c in text)
-
 
 def without_noise(html: Column) -> Column:
-    return F.regexp_replace(html, _NOISE, "")
-
-
-def has_element(html: Column, selector: Selector) -> Column:
-    return html.rlike(selector.open_tag)
+    """The page without comments, scripts and styles; bytes that are no UTF-8 are replaced."""
+    return F.regexp_replace(F.make_valid_utf8(html), _NOISE, "")
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -62,140 +34,6 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-# ``split`` compiles its pattern for every row and the positions of ``regexp_instr``
-# count UTF-16 units, so single cuts are made by extracting and replacing.
-
-
-def _after_tag(html: Column, opening: str) -> Column:
-    """The text behind the first opening tag that matches; NULL where there is none."""
-    from_tag = F.regexp_extract(html, rf"(?s){opening}.*", 0)
-    return _let(from_tag, lambda text: F.when(text != "", F.regexp_replace(text, rf"^(?:{opening})", "")))
-
-
-def _first(html: Column, pattern: str) -> Column:
-    """The first match; NULL where there is none."""
-    return _let(F.regexp_extract(html, pattern, 0), lambda text: F.when(text != "", text))
-
-
-def _up_to(html: Column, pattern: str) -> Column:
-    """The text before the first match, or all of it."""
-    return F.regexp_replace(html, rf"(?is)(?:{pattern}).*", "")
-
-
-def inner_html(html: Column, selector: Selector) -> Column:
-    """What lies inside the first matching element; NULL where there is none."""
-    tag = selector.tag
-
-    def inside(rest: Column) -> Column:
-        def checked(content: Column) -> Column:
-            next_tag = F.lower(F.substr(rest, F.length(content) + 1, F.lit(len(tag) + 1)))
-            return F.when(next_tag == f"<{tag}", _until_balanced(rest, tag)).otherwise(content)
-
-        return _let(_up_to(rest, rf"</?{tag}[\s>]"), checked)
-
-    return _let(_after_tag(html, selector.open_tag), inside)
-
-
-def _split_at(html: Column, tag: str) -> Column:
-    """Pieces that each begin with a start or end tag of the name, but for the first."""
-    return F.split(html, rf"(?i)(?=</?{tag}[\s>])")
-
-
-def _depth_change(piece: Column, tag: str) -> Column:
-    start = F.lower(F.substring(piece, 1, len(tag) + 2))
-    return F.when(start == f"</{tag}", -1).when(start.startswith(f"<{tag}"), 1).otherwise(0)
-
-
-def _until_balanced(rest: Column, tag: str) -> Column:
-    """The text up to the end tag of an element that is open where ``rest`` begins."""
-    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("kept"))
-
-    def step(acc: Column, change: Column) -> Column:
-        depth = F.when(acc["depth"] > 0, acc["depth"] + change).otherwise(0)
-        return F.struct(
-            depth.alias("depth"),
-            (acc["kept"] + (depth > 0).cast("int")).alias("kept"),
-        )
-
-    def closed_part(pieces: Column) -> Column:
-        changes = F.transform(pieces, lambda piece: _depth_change(piece, tag))
-        end = F.aggregate(changes, start, step)
-        return F.array_join(F.slice(pieces, F.lit(1), end["kept"]), "")
-
-    return _let(_split_at(rest, tag), closed_part)
-
-
-_LINK = rf"(?i)<a(?:\s{_ATTRIBUTES})?>"
-_HREF = r"(?i)\shref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
-
-
-def first_links(grid: Column, item: Selector) -> Column:
-    """Per matching item of a grid, in order, the ``href`` of its first link.
-
-    An item without a link, or whose first link has no ``href``, gives NULL.
-    """
-    opening = rf"^{item.open_tag}"
-    tags = F.transform(
-        _split_at(grid, item.tag),
-        lambda piece: F.struct(
-            _depth_change(piece, item.tag).alias("change"),
-            piece.rlike(opening).alias("is_item"),
-            _first(piece, _LINK).alias("link"),
-        ),
-    )
-    start = F.struct(
-        F.lit(0).alias("depth"),
-        F.lit(-1).alias("item_depth"),
-        F.lit(False).alias("linked"),
-        F.array().cast("array<string>").alias("links"),
-    )
-
-    def step(acc: Column, tag: Column) -> Column:
-        depth = acc["depth"] + tag["change"]
-        in_item = acc["item_depth"] >= 0
-        opens = ~in_item & tag["is_item"]
-        closes = in_item & (depth <= acc["item_depth"])
-        waiting = opens | (in_item & ~closes & ~acc["linked"])
-        found = waiting & tag["link"].isNotNull()
-        missed = closes & ~acc["linked"]
-        return F.struct(
-            depth.alias("depth"),
-            F.when(opens, acc["depth"]).when(closes, -1).otherwise(acc["item_depth"]).alias("item_depth"),
-            F.when(opens | closes, found).otherwise(acc["linked"] | found).alias("linked"),
-            F.when(found | missed, F.concat(acc["links"], F.array(F.when(found, tag["link"]))))
-            .otherwise(acc["links"])
-            .alias("links"),
-        )
-
-    return F.transform(F.aggregate(tags, start, step, lambda acc: acc["links"]), _href)
-
-
-def _href(link: Column) -> Column:
-    def value(attribute: Column) -> Column:
-        quoted = F.regexp_extract(attribute, _HREF, 1)
-        return F.when(quoted != "", quoted).otherwise(
-            F.concat(F.regexp_extract(attribute, _HREF, 2), F.regexp_extract(attribute, _HREF, 3))
-        )
-
-    return _let(_first(link, _HREF), lambda found: F.when(found.isNotNull(), decode_entities(value(found))))
-
-
-def first_two_cells(table: Column, row: Selector) -> Column:
-    """What lies inside the first two cells of the first matching row, NULL for what is missing."""
-    in_row = _up_to(_after_tag(table, row.open_tag), r"</?tr[\s>]|</table[\s>]")
-    cell, cell_end = rf"(?i)<td(?:\s{_ATTRIBUTES})?>", r"</?td[\s>]"
-
-    def two(first: Column) -> Column:
-        return F.array(_up_to(first, cell_end), _up_to(_after_tag(first, cell), cell_end))
-
-    return _let(_after_tag(in_row, cell), two)
-
-
-def text_of(fragment: Column) -> Column:
-    """The text without tags, with entities decoded."""
-    return decode_entities(F.regexp_replace(fragment, rf"<{_ATTRIBUTES}>", ""))
-
-
 def decode_entities(text: Column) -> Column:
     """Numeric and HTML 4 named entities, each decoded once."""
 

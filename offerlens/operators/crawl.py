@@ -9,8 +9,9 @@ offers is ever gathered or sorted in one task.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from offerlens.functions import html as H
-from offerlens.operators.extract import GRID, link_urls
+from offerlens.functions.elements import has_element
+from offerlens.functions.html import Selector
+from offerlens.operators.extract import GRID, grid_links
 
 RUN = ["run_date"]
 # The kinds of failed request, as stored in ``error``.
@@ -51,9 +52,9 @@ def _stop_event(grid_found: Column) -> Column:
     )
 
 
-def page_stop_event(grid: H.Selector = GRID) -> Column:
+def page_stop_event(grid: Selector = GRID) -> Column:
     """The event that ends a run at this page, NULL for a page that does not."""
-    return _stop_event(F.coalesce(H.has_element(H.without_noise(F.col("html")), grid), F.lit(False)))
+    return _stop_event(has_element(F.col("html"), grid))
 
 
 def read_listing(pages: DataFrame) -> DataFrame:
@@ -61,14 +62,11 @@ def read_listing(pages: DataFrame) -> DataFrame:
 
     Every page is cut once; the pages themselves go no further.
     """
-    body = F.when(answered(), H.without_noise(F.col("html")))
-    gridded = pages.withColumn("grid", H.inner_html(body, GRID))
-    return gridded.select(
-        *RUN, "page_no", _stop_event(F.col("grid").isNotNull()).alias("event"), link_urls(F.col("grid")).alias("links")
-    )
+    linked = grid_links(pages, [*RUN, "page_no", "status", "error"], F.when(answered(), F.col("html")))
+    return linked.select(*RUN, "page_no", _stop_event(F.col("links").isNotNull()).alias("event"), "links")
 
 
-def run_stops(pages: DataFrame, grid: H.Selector = GRID) -> DataFrame:
+def run_stops(pages: DataFrame, grid: Selector = GRID) -> DataFrame:
     """The page and event at which each run stopped; runs without a bad page are absent."""
     return first_stops(pages.select(*RUN, "page_no", page_stop_event(grid).alias("event")))
 
@@ -120,6 +118,12 @@ def failed_offers(offers: DataFrame) -> DataFrame:
     return reached.select(*RUN, "page_no", "pos", "url", event.alias("event")).where(F.col("event").isNotNull())
 
 
+def missing_cells(admitted: DataFrame) -> DataFrame:
+    """A row for each attribute that an admitted offer lacks: ``page_no, pos, url, event``."""
+    lacking = admitted.where("has_specs").select(*RUN, "page_no", "pos", "url", F.explode("missing").alias("name"))
+    return lacking.select(*RUN, "page_no", "pos", "url", F.concat(F.lit("missing_"), "name").alias("event"))
+
+
 def offer_events(offers: DataFrame) -> DataFrame:
     """The failed and blocked requests of each run, counted."""
     return _counted(failed_offers(offers), "offer")
@@ -133,9 +137,9 @@ def unlinked_offers(listing: DataFrame, stops: DataFrame) -> DataFrame:
     )
 
 
-def link_events(unlinked: DataFrame) -> DataFrame:
-    """The offers of each run that have no link, counted."""
-    return _counted(unlinked, "offer")
+def lack_events(lacking: DataFrame) -> DataFrame:
+    """The links and attributes that the offers of each run lack, counted."""
+    return _counted(lacking, "offer")
 
 
 def _counted(events: DataFrame, stage: str) -> DataFrame:

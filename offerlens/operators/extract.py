@@ -1,76 +1,95 @@
 """Stored listing and offer pages to links and raw offers."""
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from offerlens.functions import html as H
+from offerlens.functions import elements as E
+from offerlens.functions.html import Selector
 from offerlens.functions.parse import trim
 from offerlens.schema import BRAND, CLOCK, MODEL, PRICE, RAM, SENTINEL
 
 # The layout of the pages.
 LINK_HOST = "https://amazon.com"
-GRID = H.Selector("div", "s-main-slot s-result-list s-search-results sg-row")
-GRID_ITEM = H.Selector(
+GRID = Selector("div", "s-main-slot s-result-list s-search-results sg-row")
+GRID_ITEM = Selector(
     "div",
     "sg-col-20-of-24 s-result-item s-asin sg-col-0-of-12 sg-col-16-of-20 sg-col s-widget-spacing-small sg-col-12-of-16",
 )
-PRICE_TEXT = H.Selector("span", "a-price-whole")
-SPEC_TABLE = H.Selector("table", "a-normal a-spacing-micro")
+PRICE_TEXT = Selector("span", "a-price-whole")
+SPEC_TABLE = Selector("table", "a-normal a-spacing-micro")
 SPEC_ROWS = {
-    MODEL: (H.Selector("tr", "a-spacing-small po-graphics_coprocessor"), "Graphics Coprocessor"),
-    BRAND: (H.Selector("tr", "a-spacing-small po-brand"), "Brand"),
-    RAM: (H.Selector("tr", "a-spacing-small po-graphics_ram.size"), "Graphics Ram Size"),
-    CLOCK: (H.Selector("tr", "a-spacing-small po-gpu_clock_speed"), "GPU Clock Speed"),
+    MODEL: (Selector("tr", "a-spacing-small po-graphics_coprocessor"), "Graphics Coprocessor"),
+    BRAND: (Selector("tr", "a-spacing-small po-brand"), "Brand"),
+    RAM: (Selector("tr", "a-spacing-small po-graphics_ram.size"), "Graphics Ram Size"),
+    CLOCK: (Selector("tr", "a-spacing-small po-gpu_clock_speed"), "GPU Clock Speed"),
 }
 
 
-def offer_links(
-    pages: DataFrame,
-    keys: list[str],
-    grid: H.Selector = GRID,
-    item: H.Selector = GRID_ITEM,
-    host: str = LINK_HOST,
+def _cut(pages: DataFrame, keys: list[str], html: Column, *names: str) -> DataFrame:
+    """``keys``, the ``tokens`` of every page, their number, and the ``marks`` of elements ``names``."""
+    cut = pages.select(*keys, E.tokens(html).alias("tokens"))
+    return cut.select("*", E.marks(F.col("tokens"), *names).alias("marks"), F.size("tokens").alias("n"))
+
+
+def grid_links(
+    pages: DataFrame, keys: list[str], html: Column, grid: Selector = GRID, item: Selector = GRID_ITEM, host: str = LINK_HOST
 ) -> DataFrame:
-    """The first link of every offer in the first grid: ``keys``, ``pos`` and ``url``."""
-    body = pages.select(*keys, H.without_noise(F.col("html")).alias("html"))
-    in_grid = body.select(*keys, H.inner_html(F.col("html"), grid).alias("grid"))
-    # A page without a grid has no links, so it gives no rows.
-    found = in_grid.select(*keys, F.posexplode(H.first_links(F.col("grid"), item)).alias("pos", "href"))
-    return found.where(F.col("href").isNotNull()).select(
-        *keys, "pos", F.concat(F.lit(host), F.col("href")).alias("url")
+    """``keys`` and in ``links`` the address of every offer of the first grid, in order.
+
+    An offer without a link gives NULL, and so do the ``links`` of a page without a grid.
+    """
+    marks, n = F.col("marks"), F.col("n")
+    cut = _cut(pages, keys, html, grid.tag, item.tag, "a")
+    levels = cut.select(
+        *keys, "n", E.nested(marks, grid.tag).alias("of_grids"), E.nested(marks, item.tag).alias("of_items"), E.starts(marks, "a").alias("a")
     )
+    gridded = levels.select("*", E.first(E.matching(E.elements(F.col("of_grids"), grid.tag, n), grid)).alias("grid"))
+    items = E.inside(E.matching(E.elements(F.col("of_items"), item.tag, n), item), F.col("grid"))
+    listed = gridded.select(*keys, "grid", items.alias("items"), E.inside(F.col("a"), F.col("grid")).alias("anchors"))
+    urls = F.transform(E.first_links(F.col("items"), F.col("anchors")), lambda href: F.concat(F.lit(host), href))
+    return listed.select(*keys, F.when(F.col("grid").isNotNull(), urls).alias("links"))
 
 
-def link_urls(grid: Column, item: H.Selector = GRID_ITEM, host: str = LINK_HOST) -> Column:
-    """The address of every offer of a grid, in order; NULL for an offer without a link."""
-    return F.transform(H.first_links(grid, item), lambda href: F.concat(F.lit(host), href))
+def offer_links(
+    pages: DataFrame, keys: list[str], grid: Selector = GRID, item: Selector = GRID_ITEM, host: str = LINK_HOST
+) -> DataFrame:
+    """The first link of every offer in the first grid: ``keys``, ``pos`` and ``url``."""
+    linked = grid_links(pages, keys, F.col("html"), grid, item, host)
+    # The outer form has no condition on the links that would read the page a second time.
+    return linked.select(*keys, F.posexplode_outer("links").alias("pos", "url")).where(F.col("url").isNotNull())
 
 
 def offer_attributes(offers: DataFrame, keys: list[str]) -> DataFrame:
     """The five attribute texts of every offer page that has a specification table."""
-    return _attributes(offers, keys, F.explode).drop("has_specs")
+    return read_offer_pages(offers, keys).where("has_specs").drop("has_specs", "missing")
 
 
 def read_offer_pages(offers: DataFrame, keys: list[str]) -> DataFrame:
-    """The attribute texts in place of the page, and whether it has a specification table.
+    """The attribute texts in place of the page, whether it has a specification table, and what it lacks.
 
     Reading before any join keeps the pages themselves out of every shuffle.
     """
-    return _attributes(offers, keys, F.explode_outer)
+    tokens, marks, n, specs, of_tables = (F.col(name) for name in ("tokens", "marks", "n", "specs", "of_tables"))
+    cut = _cut(offers, keys, F.col("html"), SPEC_TABLE.tag, PRICE_TEXT.tag, "tr", "td").select(
+        *keys, "tokens", "n", E.nested(marks, "tr", "td").alias("of_tables"), E.nested(marks, PRICE_TEXT.tag).alias("of_texts")
+    )
+    # A table is exploded, and in the outer form, so that no filter is pushed below and reads the page again.
+    table = F.array_compact(F.array(E.first(E.matching(E.elements(of_tables, SPEC_TABLE.tag, n), SPEC_TABLE))))
+    with_table = cut.select(*keys, "tokens", "n", "of_tables", "of_texts", F.explode_outer(table).alias("specs"))
+    price = E.first(E.matching(E.elements(F.col("of_texts"), PRICE_TEXT.tag, n), PRICE_TEXT))
+    lists = with_table.select(
+        *keys, "tokens", "specs", price.alias("price"),
+        E.inside(E.elements(of_tables, "tr", n), specs).alias("rows"), E.inside(E.elements(of_tables, "td", n), specs).alias("cells"),
+    )
 
+    def two_cells(row: Selector) -> list[Column]:
+        inside = E.once(E.first(E.matching(F.col("rows"), row)), lambda r: E.inside(F.col("cells"), r))
+        return [F.get(inside, F.lit(i)) for i in range(2)]
 
-def _attributes(offers: DataFrame, keys: list[str], explode: Callable[[Column], Column]) -> DataFrame:
-    body = offers.select(*keys, H.without_noise(F.col("html")).alias("html"))
-    # The explode drops or marks pages without a table and, unlike a filter, reads the page once.
-    specs = F.array_compact(F.array(H.inner_html(F.col("html"), SPEC_TABLE)))
-    with_table = body.select(*keys, "html", explode(specs).alias("specs"))
-    fragments = [H.first_two_cells(F.col("specs"), row) for row, _ in SPEC_ROWS.values()]
-    price = H.inner_html(F.col("html"), PRICE_TEXT)
+    found = F.array(*[cell for row, _ in SPEC_ROWS.values() for cell in two_cells(row)], F.col("price"))
     # All texts go through one expression, which keeps the plan small.
-    texts = F.transform(F.array_append(F.flatten(F.array(*fragments)), price), H.text_of)
-    read = with_table.select(*keys, F.col("specs").isNotNull().alias("has_specs"), texts.alias("texts"))
+    texts = F.transform(found, lambda element: E.text_of(E.content(tokens, element)))
+    read = lists.select(*keys, specs.isNotNull().alias("has_specs"), texts.alias("texts"))
 
     def text(at: int) -> Column:
         return F.get("texts", F.lit(at))
@@ -78,5 +97,8 @@ def _attributes(offers: DataFrame, keys: list[str], explode: Callable[[Column],
     values = {PRICE: text(2 * len(SPEC_ROWS))}
     for at, (name, (_, label)) in enumerate(SPEC_ROWS.items()):
         values[name] = F.when(trim(text(2 * at)) == label, text(2 * at + 1))
-    named = [F.coalesce(values[name], F.lit(SENTINEL)).alias(name) for name in (MODEL, PRICE, BRAND, RAM, CLOCK)]
-    return read.select(*keys, "has_specs", *named)
+    named = [values[name].alias(name) for name in (MODEL, PRICE, BRAND, RAM, CLOCK)]
+    told = read.select(*keys, "has_specs", *named)
+    lacking = F.array_compact(F.array(*[F.when(F.col(name).isNull(), F.lit(name)) for name in values]))
+    filled = [F.coalesce(name, F.lit(SENTINEL)).alias(name) for name in (MODEL, PRICE, BRAND, RAM, CLOCK)]
+    return told.select(*keys, "has_specs", lacking.alias("missing"), *filled)

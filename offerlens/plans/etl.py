@@ -14,8 +14,9 @@ from offerlens.operators.crawl import (
     failed_offers,
     first_stops,
     in_window,
-    link_events,
+    lack_events,
     load_events,
+    missing_cells,
     offer_events,
     page_events,
     read_listing,
@@ -66,14 +67,19 @@ class Crawl:
         offers = admit_offers(self.visited).where("has_specs")
         return offers.withColumnRenamed("run_date", DATE).select(*OFFER_COLUMNS)
 
+    def lacking(self) -> DataFrame:
+        """What is missing of single offers: links, and attributes of pages that were read."""
+        cells = missing_cells(admit_offers(self.visited))
+        return cells.unionByName(self.unlinked, allowMissingColumns=True)
+
     def events(self) -> DataFrame:
         """Events of pages and offers, as ``RUN_REPORT``."""
-        offers = offer_events(self.visited).unionByName(link_events(self.unlinked))
+        offers = offer_events(self.visited).unionByName(lack_events(self.lacking()))
         return page_events(self.stops).unionByName(offers)
 
     def failures(self) -> DataFrame:
         """The single offers behind the counts of ``events``, with their page, place and address."""
-        return failed_offers(self.visited).unionByName(self.unlinked, allowMissingColumns=True)
+        return failed_offers(self.visited).unionByName(self.lacking())
 
 
 def crawl_report(crawl: Crawl, runs: DataFrame, outcomes: DataFrame) -> DataFrame:

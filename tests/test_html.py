@@ -1,9 +1,12 @@
 from html.parser import HTMLParser
+from itertools import accumulate
 
+import pytest
 from pyspark.sql import functions as F
 
+from offerlens.functions import elements as E
 from offerlens.functions import html as H
-from offerlens.operators.extract import GRID, GRID_ITEM, LINK_HOST, offer_attributes, offer_links
+from offerlens.operators.extract import GRID, GRID_ITEM, LINK_HOST, offer_attributes, offer_links, read_offer_pages
 from offerlens.schema import BRAND, CLOCK, MODEL, PRICE, RAM
 from workload import fixtures
 
@@ -14,6 +17,22 @@ def one(spark, html, function, *args):
     return frame.select(function(F.col("html"), *args).alias("v")).first()["v"]
 
 
+def intervals(spark, html, *names):
+    """(at, end, tag) of the elements ``names[0]``, and the tokens; ``names`` share a measure of depth."""
+    frame = spark.createDataFrame([(html,)], "html string").coalesce(1).select(E.tokens(F.col("html")).alias("tokens"))
+    frame = frame.select("tokens", E.nested(E.marks(F.col("tokens"), *names), *names).alias("nested"))
+    row = frame.select("tokens", E.elements(F.col("nested"), names[0], F.size("tokens")).alias("found")).first()
+    return row["found"], row["tokens"]
+
+
+def inner(spark, html, selector):
+    """What lies inside the first matching element."""
+    frame = spark.createDataFrame([(html,)], "html string").coalesce(1).select(E.tokens(F.col("html")).alias("tokens"))
+    found = E.elements(E.nested(E.marks(F.col("tokens"), selector.tag), selector.tag), selector.tag, F.size("tokens"))
+    frame = frame.select("tokens", E.first(E.matching(found, selector)).alias("element"))
+    return frame.select(F.array_join(E.content(F.col("tokens"), F.col("element")), "").alias("v")).first()["v"]
+
+
 def grid_page(items):
     return f'<div class="{GRID.classes}">{items}</div>'
 
@@ -35,43 +54,43 @@ def test_one_class_matches_any_member(spark):
         "<span class=a-price-whole>1</span>",
         '<span class="a-price-whole-x">0</span><span data-a="b" class="\ta-price-whole">1</span>',
     ]:
-        assert one(spark, html, H.inner_html, selector) == "1"
-    assert one(spark, '<span class="xa-price-whole">1</span>', H.inner_html, selector) is None
+        assert inner(spark, html, selector) == "1"
+    assert inner(spark, '<span class="xa-price-whole">1</span>', selector) is None
 
 
 def test_several_classes_must_be_the_whole_attribute(spark):
     selector = H.Selector("table", "a-normal a-spacing-micro")
-    assert one(spark, '<table class=" a-normal  a-spacing-micro ">x</table>', H.inner_html, selector) == "x"
+    assert inner(spark, '<table class=" a-normal  a-spacing-micro ">x</table>', selector) == "x"
     for classes in ["a-spacing-micro a-normal", "a-normal a-spacing-micro b", "a-normal"]:
-        assert one(spark, f'<table class="{classes}">x</table>', H.inner_html, selector) is None
+        assert inner(spark, f'<table class="{classes}">x</table>', selector) is None
 
 
 def test_longer_tag_and_attribute_names_do_not_match(spark):
     selector = H.Selector("tr", "x")
     html = "<track class=x>0</track><tr data-class=x><td>1</tr><tr\nid=a\tclass = x><td>2</tr>"
-    assert one(spark, html, H.inner_html, selector) == "<td>2"
+    assert inner(spark, html, selector) == "<td>2"
 
 
 def test_nested_elements_are_balanced(spark):
     div = H.Selector("div", "x")
-    assert one(spark, "<div class=x>a<div>b<div>c</div></div>d</div>e", H.inner_html, div) == "a<div>b<div>c</div></div>d"
-    assert one(spark, "<div class=x>a<div>b</div>", H.inner_html, div) == "a<div>b</div>"
-    assert one(spark, "<div class=x></div>", H.inner_html, div) == ""
+    assert inner(spark, "<div class=x>a<div>b<div>c</div></div>d</div>e", div) == "a<div>b<div>c</div></div>d"
+    assert inner(spark, "<div class=x>a<div>b</div>", div) == "a<div>b</div>"
+    assert inner(spark, "<div class=x></div>", div) == ""
     many = "<div>y</div>" * 500
-    assert one(spark, f"<div class=x>{many}</div><p>", H.inner_html, div) == many
+    assert inner(spark, f"<div class=x>{many}</div><p>", div) == many
     deep = "<div>" * 200 + "z" + "</div>" * 200
-    assert one(spark, f"<div class=x>{deep}</div><p>", H.inner_html, div) == deep
+    assert inner(spark, f"<div class=x>{deep}</div><p>", div) == deep
 
 
 def test_astral_characters_do_not_shift_cuts(spark):
     html = "😀😀<div class=x>😀a<div>😀</div>😀</div>tail"
-    assert one(spark, html, H.inner_html, H.Selector("div", "x")) == "😀a<div>😀</div>😀"
+    assert inner(spark, html, H.Selector("div", "x")) == "😀a<div>😀</div>😀"
 
 
 def test_entities_are_decoded_once(spark):
     text = "a&amp;lt; &#174;&#x20AC;&eacute;&apos;&nbsp;&nope; & &#0;&#x110000;&AMP;"
     assert one(spark, text, H.decode_entities) == "a&lt; ®€é'\xa0&nope; & ��&AMP;"
-    assert one(spark, "<b>x</b> &amp; <i>y</i>", H.text_of) == "x & y"
+    assert one(spark, "<b>x</b> &amp; <i>y</i>", lambda html: E.text_of(E.tokens(html))) == "x & y"
 
 
 def test_links_of_a_grid(spark):
@@ -168,3 +187,107 @@ def test_offer_without_specification_table_is_dropped(spark):
 def test_left_out_end_tags(spark):
     rows = '<tr class="a-spacing-small po-brand"><td>Brand<td>A<tr class="a-spacing-small po-gpu_clock_speed"><td>GPU Clock Speed<td>7'
     assert attributes(spark, spec_page(rows)) == ("unknown", "1,299.", "A", "unknown", "7")
+
+
+def test_missing_attributes_are_named(spark):
+    wrong = spec_row("brand", "Maker", "A") + spec_row("graphics_ram.size", "Graphics Ram Size", "")
+    frame = spark.createDataFrame([(1, spec_page(wrong, price="")), (2, "<p>none</p>"), (3, None)], "k int, html string")
+    found = {r["k"]: (r["has_specs"], r["missing"]) for r in read_offer_pages(frame, ["k"]).collect()}
+    assert found[1] == (True, [PRICE, MODEL, BRAND, CLOCK])
+    assert not found[2][0] and not found[3][0]
+
+
+class _Intervals(HTMLParser):
+    """Start and end of every element of a name by line position, kept on a stack of open ones."""
+
+    def __init__(self, name):
+        super().__init__()
+        self.name, self.open, self.found, self.count = name, [], [], 0
+
+    def handle_starttag(self, tag, attrs):
+        if tag == self.name:
+            self.open.append(len(self.found))
+            self.found.append([self.count, None])
+            self.count += 1
+
+    def handle_endtag(self, tag):
+        if tag == self.name and self.open:
+            self.found[self.open.pop()][1] = self.count
+            self.count += 1
+
+
+ODD_PAGES = {
+    "nested": "<div>" * 20_000 + "x" + "</div>" * 20_000,
+    "unclosed": "<div>a<div>b</div><div>c" * 3000,
+    "stray": "</div>x</div><div>a</div></div></div><div>b<div>c</div>" * 1000,
+    "attributes": "<div " + "".join(f"a{i}='>{i}' " for i in range(50_000)) + "><div>x</div></div>",
+    "long value": f"<div title=\"{'<div>' * 200_000}\"><div>x</div></div>",
+    "bare value": f"<div title={'x' * 1_000_000}><div>x</div></div><div>",
+    "spaces": f"<div{' ' * 1_000_000}><div>x</div></div>",
+}
+
+
+@pytest.mark.parametrize("kind", ODD_PAGES)
+def test_intervals_of_odd_pages_agree_with_a_parser(spark, kind):
+    html = ODD_PAGES[kind]
+    parser = _Intervals("div")
+    parser.feed(html)
+    found, tokens = intervals(spark, html, "div")
+    assert "".join(tokens) == html
+    # Places of the parser count paired tags only; those of the tokens are numbered anew to compare.
+    places = sorted({x["at"] for x in found} | {x["end"] for x in found if x["end"] < len(tokens)})
+    number = {place: i for i, place in enumerate(places)}
+    assert [[number[x["at"]], number.get(x["end"])] for x in found] == parser.found
+
+
+SELECTORS = [H.Selector("div", "x"), H.Selector("div", "x y"), H.Selector("span", "x"), H.Selector("table", "x y"), GRID, GRID_ITEM]
+LONG = {
+    "attributes": "".join(f" a{i}=b{i}" for i in range(100_000)),
+    "flags": " hidden" * 150_000,
+    "double": ' title="' + "class=q > " * 100_000 + '"',
+    "single": " title='" + "<div class=q> " * 80_000 + "'",
+    "bare": " title=" + "x" * 1_000_000,
+    "spaces": " " * 1_000_000,
+    "handler": " onclick=" + "f(1)&&" * 200_000,
+}
+
+
+@pytest.mark.parametrize("kind", LONG)
+def test_tags_of_a_million_characters(spark, kind):
+    for selector in SELECTORS:
+        tag = selector.tag
+        html = f"<{tag}{LONG[kind]}>no</{tag}><{tag}{LONG[kind]} class='{selector.classes}'{LONG[kind]}>yes</{tag}>"
+        assert inner(spark, html, selector) == "yes"
+        assert one(spark, html, E.has_element, selector)
+        assert not one(spark, f"<{tag}{LONG[kind]}>no</{tag}>", E.has_element, selector)
+
+
+def test_what_nothing_closes_reaches_to_the_end(spark):
+    div = H.Selector("div", "x")
+    for noise in ("<!--", "<script>", "<style>", "<SCRIPT a='", "<div title='", "<"):
+        assert inner(spark, f"<div class=x>a</div>{noise * 20_000}<div class=x>b</div>", div) == "a"
+    assert inner(spark, "<!doctype html><?x y?><div class=x>a<!b>c</div>", div) == "a<!b>c"
+    assert one(spark, "a<!b>c<p>d</p>e < f", lambda html: E.text_of(E.tokens(html))) == "acde < f"
+
+
+def test_cells_of_nested_tables(spark):
+    html = "<table><tr><td>1<table><tr><td>2<td>3</table>4<td>5<tr><td>6</table>7"
+    found, tokens = intervals(spark, html, "td", "tr")
+    assert ["".join(tokens[x["at"] + 1 : x["end"]]) for x in found] == ["1<table><tr><td>2<td>3</table>4", "2", "3", "5", "6"]
+    found, tokens = intervals(spark, html, "tr", "td")
+    assert ["".join(tokens[x["at"] + 1 : x["end"]]) for x in found] == [
+        "<td>1<table><tr><td>2<td>3</table>4<td>5", "<td>2<td>3", "<td>6"
+    ]
+
+
+def test_bytes_that_are_no_text(spark):
+    frame = spark.createDataFrame([(bytearray(b"<div class=x>a\xff\xfeb</div>"),)], "raw binary").select(F.col("raw").cast("string").alias("html"))
+    assert frame.select(E.has_element(F.col("html"), H.Selector("div", "x")).alias("v")).first()["v"]
+
+
+def test_running_sums(spark):
+    for n in (0, 1, 63, 64, 65, 1000):
+        values = [(i * 7) % 5 - 2 for i in range(n)]
+        frame = spark.createDataFrame([(values,)], "v array<int>")
+        sums = frame.select(E.running(F.col("v"), F.lit(0), lambda a, b: a + b).alias("s")).first()["s"]
+        assert sums == list(accumulate(values))

@@ -191,6 +191,15 @@ kept as (
 
 _PARTS = _PARTS_OF.format(first=1, last=40)
 
+# One row for each attribute that a kept offer lacks.
+_LACKING = """
+lacking as (
+  select run_date, page_no, pos, url, 'missing_' || unnest(names) as event
+  from (select *, list_filter([
+      case when model = 'unknown' then 'model' end, case when price_USD = 'unknown' then 'price_USD' end,
+      case when brand = 'unknown' then 'brand' end, case when ram_GB = 'unknown' then 'ram_GB' end,
+      case when gpu_clock_speed_MHz = 'unknown' then 'gpu_clock_speed_MHz' end], lambda x: x is not null) as names from kept))"""
+
 # The crawled runs whose cells can all be parsed, cleaned; a no-break space is white space.
 _CRAWLED = f"""{_PARTS},
 loaded as (
@@ -219,7 +228,7 @@ def _with(ctes: str, select: str) -> str:
 
 
 def all_oracles() -> dict[str, str]:
-    return {
+    found = {
         "listing_window": _with(_NAV_PAGES, """
             select run_date, page_no, 'https://shop.example/s?k=cards&page=' || page_no as url
             from nav_pages where page_no >= 3 and page_no < 23"""),
@@ -406,7 +415,7 @@ def all_oracles() -> dict[str, str]:
             from verdicts group by 1"""),
         "crawl_to_price_by_model": _with(_CRAWLED, "select model, round(avg(price_USD), 6) as price from du group by model"),
         "crawl_to_funnel_counts": _with(_CRAWLED, _FUNNEL_COUNTS),
-        "run_report": _with(f"""{_PARTS},
+        "run_report": _with(f"""{_PARTS},{_LACKING},
             runs as (
               select p.run_date, count(k.h) as n_rows, count_if(k.gpu_clock_speed_MHz = '1,800 MHz') as bad
               from (select distinct run_date from part_pages) p left join kept k on k.run_date = p.run_date group by p.run_date)""", """
@@ -418,14 +427,18 @@ def all_oracles() -> dict[str, str]:
               from visited v left join blocks b using (run_date, page_no)
               where (block_pos is null or pos <= block_pos) and (error is not null or status = 403) group by 1, 2, 3
               union all select run_date, 'offer', 'missing_link', count(*), null from admitted where p_partkey % 5 >= 3 group by 1
+              union all select run_date, 'offer', event, count(*), null from lacking group by run_date, event
               union all select run_date, 'clean', 'no_data', 1, null from runs where n_rows = 0
               union all select run_date, 'load', 'rows_loaded', n_rows, null from runs where n_rows > 0 and bad = 0
               union all select run_date, 'clean', 'failed', 1, null from runs where bad > 0
               union all select run_date, 'load', 'rows_quarantined', n_rows, null from runs where bad > 0)"""),
-        "failed_offers": _with(_PARTS, """
+        "failed_offers": _with(f"{_PARTS},{_LACKING}", """
             select run_date, page_no::int as page_no, pos::int as pos, url,
               case when error is not null then 'timeout_error' else 'blocked_403' end as event
             from visited v left join blocks b using (run_date, page_no)
             where (block_pos is null or pos <= block_pos) and (error is not null or status = 403)
-            union all select run_date, page_no, 3, null, 'missing_link' from admitted where p_partkey % 5 >= 3"""),
+            union all select run_date, page_no, 3, null, 'missing_link' from admitted where p_partkey % 5 >= 3
+            union all select run_date, page_no, pos, url, event from lacking"""),
     }
+    # Tags of any length change nothing.
+    return found | {f"{name}_long_tags": found[name] for name in ("grid_offer_links", "offer_extract")}

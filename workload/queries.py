@@ -100,6 +100,17 @@ def offer_extract(spark, sf_dir):
     return extract.offer_attributes(fixtures.part_offers(spark, sf_dir), ["url"])
 
 
+@_query
+def grid_offer_links_long_tags(spark, sf_dir):
+    pages = fixtures.with_long_tags(fixtures.part_pages(spark, sf_dir))
+    return extract.offer_links(pages, crawl.RUN + ["page_no"])
+
+
+@_query
+def offer_extract_long_tags(spark, sf_dir):
+    return extract.offer_attributes(fixtures.with_long_tags(fixtures.part_offers(spark, sf_dir)), ["url"])
+
+
 @_query
 def crawl_raw_offers(spark, sf_dir):
     return etl.Crawl.read(fixtures.part_pages(spark, sf_dir), fixtures.part_offers(spark, sf_dir)).raw_offers()
