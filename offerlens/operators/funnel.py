@@ -9,7 +9,7 @@ filter pushed into it.
 """
 
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -83,18 +83,26 @@ class Fence:
         return (F.col(column) < self.high) & (F.col(column) > self.low)
 
 
+def eligible_counts(offers: DataFrame, least: int = MIN_PRESENT) -> DataFrame:
+    """(brand, model) with all rows in ``n_rows`` and the eligible ones in ``n``."""
+    return null_missing(offers).groupBy(BRAND, MODEL).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col(MODEL).isNotNull() & _has_min_present(least)).alias("n"),
+    )
+
+
 class Funnel:
     """The staged funnel over an offers frame, each step computed once on first use."""
 
     def __init__(
         self,
-        offers: DataFrame,
+        offers: DataFrame | None,
         top_brands: int = TOP_BRANDS,
         top_models: int = TOP_MODELS,
         least_present: int = MIN_PRESENT,
         whisker: float = WHISKER,
     ):
-        self.offers = offers.select(*OFFER_COLUMNS)
+        self.offers = offers and offers.select(*OFFER_COLUMNS)
         self._k_brands = top_brands
         self._k_models = top_models
         self._least = least_present
@@ -103,11 +111,7 @@ class Funnel:
     @cached_property
     def _pairs(self) -> DataFrame:
         """(brand, model) with all rows and the eligible ones; the first scan."""
-        counted = null_missing(self.offers).groupBy(BRAND, MODEL).agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            F.count_if(F.col(MODEL).isNotNull() & _has_min_present(self._least)).alias("n"),
-        )
-        return stage(counted, "brand-model")
+        return stage(eligible_counts(self.offers, self._least), "brand-model")
 
     @cached_property
     def brands(self) -> list[str]:
@@ -183,8 +187,8 @@ class Funnel:
         """The distinct rows; stage it where more than one step reads it."""
         return self.rows().distinct()
 
-    def counts(self) -> DataFrame:
-        """Rows left after each step, in order."""
+    def _one_rows(self) -> list[DataFrame]:
+        """Rows left after each step, in order, as columns of one-row frames."""
         pairs = self._pairs.agg(
             F.sum("n_rows").alias("raw"),
             F.sum(F.when(F.col(MODEL).isNotNull(), F.col("n_rows"))).alias("model_present"),
@@ -199,13 +203,19 @@ class Funnel:
             F.sum(F.when(in_price & F.col(CLOCK).isNotNull(), F.col("n"))).alias("clock_present"),
             F.sum(F.when(self._in_fences(), F.col("n"))).alias("clock_fence"),
         )
-        distinct = self.unique().agg(F.count(F.lit(1)).alias("distinct"))
+        return [pairs, popular, *self._distinct()]
+
+    def _distinct(self) -> list[DataFrame]:
+        return [self.unique().agg(F.count(F.lit(1)).alias("distinct"))]
+
+    def counts(self) -> DataFrame:
+        """Rows left after each step, in order."""
         first = 0
         steps = []
-        for one_row in (pairs, popular, distinct):
+        for one_row in self._one_rows():
             steps.append(_numbered_steps(one_row, first))
             first += len(one_row.columns)
-        return steps[0].unionByName(steps[1]).unionByName(steps[2])
+        return reduce(DataFrame.unionByName, steps)
 
 
 def _numbered_steps(one_row: DataFrame, first: int) -> DataFrame:

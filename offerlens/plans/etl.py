@@ -25,6 +25,7 @@ from offerlens.operators.crawl import (
 from offerlens.operators.extract import read_offer_pages
 from offerlens.plans.dashboard import dashboard, save_dashboard
 from offerlens.schema import DATE, OFFER_COLUMNS, RUN_REPORT
+from offerlens.sources.ledger import LedgerTarget, fresh, new_load
 from offerlens.sources.sinks import Target, append_csv, target_of
 from offerlens.staging import drop_stage, stage, stage_scope
 
@@ -89,7 +90,7 @@ def crawl_report(crawl: Crawl, runs: DataFrame, outcomes: DataFrame) -> DataFram
 
 @dataclass(frozen=True)
 class LoadResult:
-    """Where a batch went: ``table``, ``quarantine``, ``csv`` or ``nothing``."""
+    """Where a batch went: ``table``, ``quarantine``, ``csv``, ``nothing``, or ``ledger`` if it was there before."""
 
     target: str
     rows: int
@@ -97,13 +98,19 @@ class LoadResult:
     is_clean: bool = True
 
 
-def load_batch(raw: DataFrame, where: str | Target) -> LoadResult:
+def load_batch(raw: DataFrame, where: str | Target | LedgerTarget) -> LoadResult:
     """Clean and append one batch, whole or not at all.
 
     One cell that cannot be parsed sends the raw batch to the quarantine table. A
     batch that cannot be written to its table goes to the CSV fallback. ``raw`` is
-    read twice, so pass a stored or staged frame.
+    read twice, so pass a stored or staged frame. With a ledger a batch of one date is
+    loaded once, however often it is tried.
     """
+    if isinstance(where, LedgerTarget):
+        row = publish_runs(raw, where).first()  # a batch has one date
+        if row is None:
+            return LoadResult("nothing" if raw.isEmpty() else "ledger", 0)
+        return LoadResult(row["target"], row["n_rows"], is_clean=row["is_clean"])
     verdict = batch_verdict(raw).first()
     rows, clean = verdict["n_rows"], verdict["is_clean"]
     if rows == 0:
@@ -131,6 +138,31 @@ def load_runs(raw: DataFrame, where: str | Target) -> DataFrame:
     return verdicts.select(F.col("batch").alias("run_date"), "n_rows", "is_clean", place.cast("string").alias("target"))
 
 
+def publish_runs(raw: DataFrame, target: LedgerTarget, accumulate: bool = False) -> DataFrame:
+    """Load many runs at once through a ledger: all become visible together, or none.
+
+    Runs that the ledger names are left out, unless they shall ``accumulate``. Returns what
+    became of the runs of this load: ``run_date, n_rows, is_clean, target``.
+    """
+    spark = raw.sparkSession
+    raw = stage(raw, "raw-runs")
+    while True:
+        version, load = target.version(spark), new_load()
+        ours = raw if accumulate else fresh(raw, target.published(spark, version))
+        verdicts = stage(batch_verdict(ours, [DATE]).withColumnRenamed(DATE, "run_date"), "verdicts")
+        judged = ours.join(verdicts.select("run_date", "is_clean"), F.col(DATE).eqNullSafe(F.col("run_date")))
+        place = F.lit(None).cast("string")
+        for clean in (row["is_clean"] for row in verdicts.select("is_clean").distinct().collect()):  # two rows at most
+            batch = judged.where(F.col("is_clean") == clean)
+            kind = target.write(clean_offers(batch) if clean else batch.select(*OFFER_COLUMNS), clean, load)
+            place = F.when(F.col("is_clean") == clean, F.lit(kind)).otherwise(place)
+        runs = verdicts.select("run_date", "n_rows", "is_clean", place.alias("target"), F.lit(load).alias("load"))
+        # Another load may have been published meanwhile; then its runs are looked at again.
+        if runs.isEmpty() or target.publish(runs, version + 1):
+            drop_stage(raw)
+            return runs.drop("load")
+
+
 def _append(batch: DataFrame, target: Target, clean: bool, one_date: bool) -> str:
     """Append to the table or to quarantine; to the CSV fallback, with the error, if that fails."""
     try:
@@ -148,6 +180,7 @@ def run_report(result: LoadResult, run_date: str, spark: SparkSession) -> DataFr
         "table": [("load", "rows_loaded", result.rows)],
         "quarantine": [("load", "rows_quarantined", result.rows)],
         "csv": [("load", "rows_to_csv", result.rows)],
+        "ledger": [("load", "loaded_before", 1)],
     }[result.target]
     if not result.is_clean:
         events.insert(0, ("clean", "failed", 1))
@@ -157,7 +190,7 @@ def run_report(result: LoadResult, run_date: str, spark: SparkSession) -> DataFr
 
 
 def run_etl(
-    pages: DataFrame, fetched: DataFrame, where: str | Target, run_date: str, start: int = 1, count: int = 40
+    pages: DataFrame, fetched: DataFrame, where: str | Target | LedgerTarget, run_date: str, start: int = 1, count: int = 40
 ) -> tuple[LoadResult, DataFrame]:
     """Extract, clean and load one run of a store of crawls, its listing pages from ``start`` on.
 
@@ -172,12 +205,13 @@ def run_etl(
 
 
 def run_all(
-    pages: DataFrame, fetched: DataFrame, where: str | Target, run_date: str, folder: str, start: int = 1, count: int = 40
+    pages: DataFrame, fetched: DataFrame, where: str | Target | LedgerTarget, run_date: str, folder: str, start: int = 1, count: int = 40
 ) -> LoadResult:
     """Load one run, then save its report and the dashboard of the whole table below ``folder``."""
     spark = pages.sparkSession
     with stage_scope(spark):
         result, report = run_etl(pages, fetched, where, run_date, start, count)
         report.write.mode("append").parquet(f"{folder}/report")
-        save_dashboard(dashboard(target_of(where).read(spark)), folder)
+        target = where if isinstance(where, LedgerTarget) else target_of(where)
+        save_dashboard(dashboard(target.read(spark)), folder)
     return result

@@ -9,7 +9,7 @@ from offerlens.schema import OFFER, OFFER_COLUMNS
 CSV_TEXT = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
-def read_offers(spark: SparkSession, path: str, source: str = "parquet", schema: StructType = OFFER) -> DataFrame:
+def read_offers(spark: SparkSession, path: str | list[str], source: str = "parquet", schema: StructType = OFFER) -> DataFrame:
     """The six offer columns of a stored table; only they are read.
 
     ``source`` is any file source of Spark. A CSV fallback file is read with the

@@ -1,0 +1,137 @@
+"""Loads that are whole or absent, and the funnel from their counts."""
+
+from datetime import date
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from offerlens.operators.funnel import Funnel
+from offerlens.operators.summary import SummaryFunnel
+from offerlens.plans import etl
+from offerlens.schema import DATE, RAW_OFFER
+from offerlens.sources.ledger import LedgerTarget
+from workload import fixtures
+
+JANUARY, FEBRUARY = date(2023, 1, 1), date(2023, 2, 1)
+GOOD = ("A ", "1,299.", " b", "8 GB", "1.8 GHz")
+BAD = ("A", "10.", "b", "8 GB", "fast")
+
+
+@pytest.fixture
+def target(tmp_path):
+    return LedgerTarget(str(tmp_path / "offers"))
+
+
+def dates(frame):
+    return sorted(str(r[DATE]) for r in frame.collect())
+
+
+def test_runs_go_to_one_target_each_and_once(spark, raw_offers, target):
+    batches = raw_offers([(*GOOD, JANUARY), (*GOOD, FEBRUARY), (*BAD, FEBRUARY), (*GOOD, None)])
+    outcomes = {str(r["run_date"]): (r["n_rows"], r["target"]) for r in etl.publish_runs(batches, target).collect()}
+    assert outcomes == {"2023-01-01": (1, "table"), "2023-02-01": (2, "quarantine"), "None": (1, "table")}
+    assert etl.publish_runs(batches, target).count() == 0
+    assert dates(target.read(spark)) == ["2023-01-01", "None"]
+    assert dates(target.read(spark, "quarantine")) == ["2023-02-01"] * 2
+    assert target.read(spark, "csv").count() == 0
+
+
+def test_accumulating_adds_the_rows_again(spark, raw_offers, target):
+    for _ in range(2):
+        etl.publish_runs(raw_offers([(*GOOD, JANUARY)]), target, accumulate=True)
+    assert dates(target.read(spark)) == ["2023-01-01"] * 2
+    pairs, cells = target.counts(spark)
+    assert pairs.agg(F.sum("n_rows")).first()[0] == 2 and cells.agg(F.sum("n")).first()[0] == 2
+
+
+@pytest.mark.parametrize("step", ["rows", "table", "quarantine", "entry"])
+def test_what_breaks_off_shows_nothing(spark, raw_offers, tmp_path, step):
+    target = fixtures.BreakingTarget(str(tmp_path / "offers"), step)
+    batches = raw_offers([(*GOOD, JANUARY)] * 20 + [(*BAD, FEBRUARY)])
+    with pytest.raises(ConnectionError):
+        etl.publish_runs(batches, target)
+    assert all(target.read(spark, kind).count() == 0 for kind in ("table", "quarantine", "csv"))
+    target.sweep(spark)
+    assert not [p for p in Path(target.path).rglob("*.parquet")]
+    etl.publish_runs(batches, target)
+    assert target.read(spark).count() == 20 and target.read(spark, "quarantine").count() == 1
+    target.sweep(spark)
+    assert target.read(spark).count() == 20 and target.read(spark, "quarantine").count() == 1
+
+
+def test_a_lost_answer_is_no_second_load(spark, raw_offers, tmp_path):
+    target = fixtures.BreakingTarget(str(tmp_path / "offers"), "answer")
+    batch = raw_offers([(*GOOD, JANUARY)])
+    with pytest.raises(ConnectionError):
+        etl.publish_runs(batch, target)
+    assert etl.publish_runs(batch, target).count() == 0 and target.read(spark).count() == 1
+
+
+def test_the_slower_of_two_loads_looks_again(spark, raw_offers, target, monkeypatch):
+    ours = raw_offers([(*GOOD, JANUARY), (*GOOD, FEBRUARY)])
+    publish, others = LedgerTarget.publish, [raw_offers([(*GOOD, JANUARY)])]
+
+    def overtaken(self, runs, version):
+        if others:
+            etl.publish_runs(others.pop(), self)
+        return publish(self, runs, version)
+
+    monkeypatch.setattr(LedgerTarget, "publish", overtaken)
+    outcomes = etl.publish_runs(ours, target).collect()
+    assert [r["run_date"] for r in outcomes] == [FEBRUARY]
+    assert dates(target.read(spark)) == ["2023-01-01", "2023-02-01"] and target.version(spark) == 2
+
+
+def test_fallback_is_one_target_too(spark, raw_offers, tmp_path):
+    blocked = tmp_path / "file"
+    blocked.write_text("not a folder")
+    target = LedgerTarget(str(blocked / "offers"), str(tmp_path / "fallback"), str(tmp_path / "ledger"))
+    batches = raw_offers([(*GOOD, JANUARY), (*BAD, FEBRUARY)])
+    for _ in range(2):
+        etl.publish_runs(batches, target)
+    assert dates(target.read(spark, "csv")) == ["2023-01-01"]
+    raw = target.read(spark, "csv", is_clean=False)
+    assert raw.schema == RAW_OFFER and dates(raw) == ["2023-02-01"]
+    assert target.read(spark).count() == 0
+
+
+def test_one_batch_and_its_report(spark, raw_offers, target):
+    batch = raw_offers([(*GOOD, JANUARY)])
+    assert etl.load_batch(batch, target) == etl.LoadResult("table", 1)
+    again = etl.load_batch(batch, target)
+    assert again == etl.LoadResult("ledger", 0)
+    assert [tuple(r)[1:4] for r in etl.run_report(again, "2023-01-01", spark).collect()] == [("load", "loaded_before", 1)]
+    assert etl.load_batch(batch.where("false"), target) == etl.LoadResult("nothing", 0)
+
+
+def test_empty_ledger(spark, target):
+    assert target.read(spark).count() == 0 and target.version(spark) == 0
+    funnel = SummaryFunnel(*target.counts(spark))
+    assert all(r["n"] == 0 for r in funnel.counts().collect())
+
+
+def test_counts_give_what_the_rows_give_in_any_order(spark, tmp_path):
+    raw = fixtures.monthly_offers(fixtures.offers_raw(spark, "/root/testdata/sf0.001")).persist()
+    found = []
+    for order in ([0, 1, 2], [2, 1, 0]):
+        target = LedgerTarget(str(tmp_path / f"offers-{order[0]}"))
+        for part in order:
+            etl.publish_runs(raw.where(F.month(DATE) % 3 == part), target)
+        summary = SummaryFunnel(*target.counts(spark))
+        whole = Funnel(target.read(spark))
+        assert summary.counts().collect() == whole.counts().where("step < 9").collect()
+        assert (summary.price_fence, summary.clock_fence) == (whole.price_fence, whole.clock_fence)
+        rows = [sorted(map(str, f.weighted().collect())) for f in (summary, whole)]
+        assert rows[0] == rows[1]
+        found.append(rows[0])
+    assert found[0] == found[1]
+    with pytest.raises(TypeError):
+        summary.unique()
+
+
+def test_old_months_are_not_read(spark, raw_offers, target, tmp_path):
+    etl.publish_runs(raw_offers([(*GOOD, JANUARY)]), target)
+    etl.publish_runs(raw_offers([(*GOOD, FEBRUARY)]), target)
+    for frame in target.counts(spark):
+        assert not [f for f in frame.inputFiles() if "/table/" in f]

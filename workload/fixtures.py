@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from offerlens.functions.html import Selector
 from offerlens.operators.extract import GRID, GRID_ITEM, LINK_HOST, SPEC_ROWS, SPEC_TABLE
+from offerlens.sources.ledger import LedgerTarget
+from offerlens.sources.sinks import append_offers
 from offerlens.schema import BRAND, CLOCK, DATE, MODEL, OFFER_COLUMNS, PRICE, RAM, SENTINEL
 
 # Where the links of the ``pages`` table are.
@@ -230,3 +232,29 @@ def with_long_tags(pages: DataFrame) -> DataFrame:
     body = F.concat(F.lit("<body><div onclick="), F.repeat(F.lit("f(1)"), 5000), F.lit(">x</div>"))
     html = F.replace(html, F.lit("<body>"), body)
     return pages.withColumn("html", F.when(F.col("page_no") % 10 == 0, html).otherwise(F.col("html")))
+
+
+class BreakingTarget(LedgerTarget):
+    """A ledger whose loads break off at one step, the first time that they get there."""
+
+    def __init__(self, path: str, step: str):
+        super().__init__(path)
+        object.__setattr__(self, "steps", [step])
+
+    def _break_at(self, step: str) -> None:
+        if step in self.steps:
+            self.steps.remove(step)
+            raise ConnectionError(step)
+
+    def write(self, batch, is_clean, load):
+        if "table" in self.steps:  # not even half of the rows may show
+            append_offers(batch.sample(0.5, 1), self.folder("table", load))
+            self._break_at("table")
+        self._break_at("quarantine" if not is_clean else "rows")
+        return super().write(batch, is_clean, load)
+
+    def publish(self, runs, version):
+        self._break_at("entry")
+        done = super().publish(runs, version)
+        self._break_at("answer")
+        return done

@@ -413,6 +413,11 @@ def all_oracles() -> dict[str, str]:
             select case when bad_price + bad_ram + bad_clock = 0 then 'table' else 'quarantine' end as target,
               sum(n_rows)::bigint as n_rows, count(*)::bigint as n_batches
             from verdicts group by 1"""),
+        "publish_after_failures": _with(_DIRTY, """
+            select date, case when month(date) % 6 = 5 then 'csv'
+                when bad_price + bad_ram + bad_clock = 0 then 'table' else 'quarantine' end as target, n_rows
+            from verdicts"""),
+        "summary_funnel_counts": _with(_FUNNEL, f"{_FUNNEL_COUNTS} where step < 9"),
         "crawl_to_price_by_model": _with(_CRAWLED, "select model, round(avg(price_USD), 6) as price from du group by model"),
         "crawl_to_funnel_counts": _with(_CRAWLED, _FUNNEL_COUNTS),
         "run_report": _with(f"""{_PARTS},{_LACKING},
@@ -440,5 +445,7 @@ def all_oracles() -> dict[str, str]:
             union all select run_date, page_no, 3, null, 'missing_link' from admitted where p_partkey % 5 >= 3
             union all select run_date, page_no, pos, url, event from lacking"""),
     }
+    # The counts of loads add up to those of the table.
+    found |= {f"summary_{name}": found[name] for name in ("brand_share", "price_box", "price_histogram")}
     # Tags of any length change nothing.
     return found | {f"{name}_long_tags": found[name] for name in ("grid_offer_links", "offer_extract")}

@@ -1,6 +1,7 @@
 """The registered queries: one per operator, over the whole given tables."""
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,9 +10,11 @@ from offerlens.functions import parse
 from offerlens.operators import bootstrap, crawl, distribution, extract, funnel, metrics
 from offerlens.operators.clean import batch_verdict, clean_offers, stamp_date
 from offerlens.operators.funnel import Funnel
+from offerlens.operators.summary import SummaryFunnel
 from offerlens.operators.quantiles import exact_quantiles, value_counts
 from offerlens.plans import etl
 from offerlens.schema import BRAND, CLOCK, DATE, MODEL, OFFER, OFFER_COLUMNS, PRICE, RAM, RAW_OFFER
+from offerlens.sources.ledger import LedgerTarget
 from offerlens.sources.offers import read_offers
 from offerlens.sources.sinks import QUARANTINE_SUFFIX, ParquetTarget, append_csv, append_offers
 from offerlens.staging import new_stage_path, stage
@@ -401,6 +404,61 @@ def load_routing(spark, sf_dir):
     return counted[0].unionByName(counted[1])
 
 
+#: Where the loads of ``publish_after_failures`` break off; "csv" has no table to write to.
+BREAKS = ["rows", "table", "quarantine", "entry", "answer", "csv"]
+
+
+@_query
+def publish_after_failures(spark, sf_dir):
+    """Every run once, in one target: a load for each step that can fail, tried until it ends."""
+    raw = stage(fixtures.offers_dirty(spark, sf_dir), "raw-offers")
+    path = new_stage_path(spark, "ledger")
+    for number, step in enumerate(BREAKS):
+        batch = raw.where(F.month(DATE) % len(BREAKS) == number)
+        target = fixtures.BreakingTarget(path, step)
+        if step == "csv":
+            no_table = stage(spark.range(1), "no-folder").inputFiles()[0]
+            target = LedgerTarget(f"{no_table}/offers", f"{path}/fallback", f"{path}/ledger")
+        for _ in range(3):  # the last one finds all its runs in the ledger
+            try:
+                etl.publish_runs(batch, target)
+            except ConnectionError:
+                continue
+    whole = LedgerTarget(path, f"{path}/fallback")
+    kinds = [("table", True), ("quarantine", False), ("csv", True), ("csv", False)]
+    shown = [whole.read(spark, kind, clean).select(F.lit(kind).alias("target"), DATE) for kind, clean in kinds]
+    return reduce(DataFrame.unionByName, shown).groupBy(DATE, "target").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _summary_funnel(spark: SparkSession, sf_dir: str) -> SummaryFunnel:
+    """The funnel from the counts of loads that came in three parts, the latest months first."""
+    raw = stage(fixtures.monthly_offers(fixtures.offers_raw(spark, sf_dir)), "raw-offers")
+    target = LedgerTarget(new_stage_path(spark, "ledger"))
+    for part in (2, 0, 1):
+        etl.publish_runs(raw.where(F.month(DATE) % 3 == part), target)
+    return SummaryFunnel(*target.counts(spark))
+
+
+@_query
+def summary_funnel_counts(spark, sf_dir):
+    return _summary_funnel(spark, sf_dir).counts()
+
+
+@_query
+def summary_brand_share(spark, sf_dir):
+    return _rounded(metrics.brand_share(_summary_funnel(spark, sf_dir).weighted()), 1, "percent")
+
+
+@_query
+def summary_price_box(spark, sf_dir):
+    return distribution.box_stats(_summary_funnel(spark, sf_dir).weighted())
+
+
+@_query
+def summary_price_histogram(spark, sf_dir):
+    return _rounded(distribution.histogram(_summary_funnel(spark, sf_dir).weighted()), 6, "bin_low", "bin_high")
+
+
 def _part_crawl(spark, sf_dir):
     pages = fixtures.part_pages(spark, sf_dir)
     return etl.Crawl.read(pages, fixtures.part_offers(spark, sf_dir)), pages.select(*crawl.RUN).distinct()
