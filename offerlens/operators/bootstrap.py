@@ -1,9 +1,10 @@
 """Bootstrap intervals for the regression line and for category means.
 
-Rows are resampled with Poisson(1) weights, the usual stand-in for drawing n of n
-rows when the rows are spread over many machines. A draw depends only on the
-content of the row and on the replicate number, so results do not change with the
-partitioning or when a lost task runs again.
+Rows are drawn in one of two ways. ``multinomial`` draws exactly n of n, see there; the dashboard
+does. ``poisson`` gives every row a Poisson(1) weight instead, with draws that another engine
+can repeat number by number. Either way a draw depends only on the content of the row and on the
+replicate number, so results do not change with the partitioning or when a lost task runs
+again. The rest of this text is on Poisson weights.
 
 Equal rows are counted first and resampled together, so the cost follows the number
 of distinct (x, y) cells. A cell of n copies draws its Poisson(n) total exactly, as a
@@ -18,12 +19,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from offerlens.operators.distribution import all_categories
+from offerlens.operators.multinomial import resampled_sums
 from offerlens.schema import CLOCK, PRICE
 from offerlens.staging import spread, stage, stage_observed
 
 REPLICATES = 1000
 GRID_POINTS = 100
 INTERVAL = (0.025, 0.975)
+DRAWS = ("poisson", "multinomial")
 # Means of the draws that make up a total, by level.
 MEANS = (1, 16, 256)
 
@@ -118,9 +121,20 @@ def _cells(df: DataFrame, *columns: str) -> DataFrame:
     return df.na.drop(subset=list(columns)).groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _with_original(drawn: DataFrame, cells: DataFrame) -> DataFrame:
-    """The draws and, as replicate 0, the rows they were drawn from."""
-    return drawn.unionByName(cells.withColumns({"replicate": F.lit(0).cast("long"), "weight": F.col("n")}))
+def _drawn_sums(
+    cells: DataFrame, terms: dict[str, Column], replicates: int, draws: str, group: str | None = None
+) -> DataFrame:
+    """Sums of ``terms`` and ``n`` for each group and replicate; replicate 0 are the rows themselves."""
+    if draws not in DRAWS:
+        raise ValueError(f"draws must be one of {DRAWS}")
+    drawn = cells.withColumns({"replicate": F.lit(0).cast("long"), "weight": F.col("n")})
+    if draws == "poisson":
+        drawn = resample(cells, replicates).unionByName(drawn)
+    by = [group, "replicate"] if group else ["replicate"]
+    sums = drawn.groupBy(*by).agg(
+        F.sum("weight").alias("n"), *[F.sum(F.col("weight") * term).alias(name) for name, term in terms.items()]
+    )
+    return sums if draws == "poisson" else sums.unionByName(resampled_sums(cells, terms, replicates, group))
 
 
 def _interval(value: Column) -> Column:
@@ -132,7 +146,9 @@ def _ends() -> list[Column]:
     return [F.get("ends", F.lit(i)).alias(name) for i, name in enumerate(("low", "high"))]
 
 
-def price_clock_band(unique: DataFrame, replicates: int = REPLICATES, points: int = GRID_POINTS) -> DataFrame:
+def price_clock_band(
+    unique: DataFrame, replicates: int = REPLICATES, points: int = GRID_POINTS, draws: str = "poisson"
+) -> DataFrame:
     """Fitted line and its 95% band on an even grid of clock values."""
     cells, seen = stage_observed(
         _cells(unique, CLOCK, PRICE),
@@ -143,14 +159,9 @@ def price_clock_band(unique: DataFrame, replicates: int = REPLICATES, points: in
     if seen["low"] is None:
         return unique.sparkSession.createDataFrame([], "point int, clock double, fit double, low double, high double")
     low, high = seen["low"], seen["high"]
-    x, y, w = F.col(CLOCK), F.col(PRICE), F.col("weight")
-    drawn = _with_original(resample(cells, replicates), cells)
     # Clocks are measured from the lowest, which keeps the squared sums small.
-    dx = x - F.lit(low)
-    sums = drawn.groupBy("replicate").agg(
-        F.sum(w).alias("n"), F.sum(w * dx).alias("sx"), F.sum(w * y).alias("sy"),
-        F.sum(w * dx * dx).alias("sxx"), F.sum(w * dx * y).alias("sxy"),
-    )
+    dx, y = F.col(CLOCK) - F.lit(low), F.col(PRICE)
+    sums = _drawn_sums(cells, {"sx": dx, "sy": y, "sxx": dx * dx, "sxy": dx * y}, replicates, draws)
     slope = F.expr("try_divide(n * sxy - sx * sy, n * sxx - sx * sx)")
     lines = sums.withColumn("slope", slope).withColumn("base", F.expr("try_divide(sy - slope * sx, n)"))
     step = (high - low) / (points - 1)
@@ -164,13 +175,13 @@ def price_clock_band(unique: DataFrame, replicates: int = REPLICATES, points: in
     return banded.select("point", "clock", "fit", *_ends()).orderBy("point")
 
 
-def group_mean_ci(df: DataFrame, group: str, value: str, replicates: int = REPLICATES) -> DataFrame:
+def group_mean_ci(
+    df: DataFrame, group: str, value: str, replicates: int = REPLICATES, draws: str = "poisson"
+) -> DataFrame:
     """Mean of ``value`` per group with its 95% interval: group, ``n``, ``mean``, ``low``, ``high``."""
     cells = stage(_cells(df, group, value), "group-values")
-    drawn = _with_original(resample(cells, replicates), cells)
-    means = drawn.groupBy(group, "replicate").agg(
-        F.sum("weight").alias("n"), F.try_divide(F.sum(F.col("weight") * F.col(value)), F.sum("weight")).alias("mean")
-    )
+    sums = _drawn_sums(cells, {"total": F.col(value)}, replicates, draws, group)
+    means = sums.select(group, "replicate", "n", F.try_divide("total", "n").alias("mean"))
     original = F.col("replicate") == 0
     found = means.groupBy(group).agg(
         F.max(F.when(original, F.col("n"))).alias("n"),
@@ -180,9 +191,9 @@ def group_mean_ci(df: DataFrame, group: str, value: str, replicates: int = REPLI
     return found.select(group, "n", "mean", *_ends())
 
 
-def price_by_category_ci(categorised: DataFrame, replicates: int = REPLICATES) -> DataFrame:
+def price_by_category_ci(categorised: DataFrame, replicates: int = REPLICATES, draws: str = "poisson") -> DataFrame:
     """Mean price per category with its 95% interval, in category order."""
-    found = group_mean_ci(categorised, "category_no", PRICE, replicates).withColumnRenamed("mean", "price")
+    found = group_mean_ci(categorised, "category_no", PRICE, replicates, draws).withColumnRenamed("mean", "price")
     return (
         all_categories(categorised)
         .join(found, "category_no", "left")

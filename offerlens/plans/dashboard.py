@@ -20,8 +20,8 @@ def dashboard(offers: DataFrame, replicates: int = bootstrap.REPLICATES) -> dict
         "usd_per_gb": metrics.usd_per_gb(unique),
         "usd_per_100mhz": metrics.usd_per_100mhz(unique),
         "price_clock_fit": distribution.price_clock_fit(unique),
-        "price_clock_band": bootstrap.price_clock_band(unique, replicates),
-        "price_by_category": bootstrap.price_by_category_ci(categorised, replicates),
+        "price_clock_band": bootstrap.price_clock_band(unique, replicates, draws="multinomial"),
+        "price_by_category": bootstrap.price_by_category_ci(categorised, replicates, "multinomial"),
         "price_box": distribution.box_stats(weighted),
         "price_box_outliers": distribution.box_outliers(weighted),
         "price_histogram": distribution.histogram(weighted),

@@ -127,3 +127,17 @@ def test_order_and_ratios(spark, offers):
 def test_brand_share(spark):
     frame = weighted(spark, [(1, 3)], "x").union(weighted(spark, [(1, 1)], "y")).union(weighted(spark, [(1, 9)], None))
     assert [tuple(r) for r in metrics.brand_share(frame).collect()] == [("x", 3, 75.0), ("y", 1, 25.0)]
+
+
+def test_density_of_many_values_agrees_with_the_direct_sum(spark):
+    draw = np.random.default_rng(11)
+    values = np.concatenate([draw.lognormal(5, 1.5, 20_000), draw.normal(9000, 3, 5000)])
+    frame = spark.createDataFrame([(float(v), 1) for v in values], "price_USD double, n long")
+    rows = ds.density(frame).collect()
+    width = values.std(ddof=1) * len(values) ** -0.2
+    x = np.array([r["x"] for r in rows])
+    direct = np.array([np.exp(-0.5 * ((p - values) / width) ** 2).sum() for p in x]) / (len(values) * width * np.sqrt(2 * np.pi))
+    found = np.array([r["density"] for r in rows])
+    assert abs(found - direct).max() <= 1e-12 * direct.max()
+    cells = ds._cell_moments(frame, "price_USD", values.min(), width)
+    assert cells.count() < 25_000 / 20

@@ -51,8 +51,12 @@ def comparable(names, rows):
     return [names[i] for i in order], sorted(tuple(plain(row[i]) for i in order) for row in rows)
 
 
+#: Draws of numpy's sampler; see test_multinomial.
+NO_SQL = {name for name in all_queries() if name.endswith("_multinomial")}
+
+
 def test_every_query_has_sql():
-    assert set(all_queries()) == set(all_oracles())
+    assert set(all_queries()) == set(all_oracles()) | NO_SQL and len(NO_SQL) == 3
     assert set(all_queries()) <= set(contract.queries())
 
 
@@ -60,7 +64,7 @@ def test_entry(spark):
     assert contract.entry(spark).count() == 15
 
 
-@pytest.mark.parametrize("name", all_queries())
+@pytest.mark.parametrize("name", all_oracles())
 def test_query_agrees_with_sql(spark, engine, name, stored_plans):
     found = all_queries()[name](spark, str(SCALE))
     stored_plans.append(plan_of(found))

@@ -383,6 +383,18 @@ def all_oracles() -> dict[str, str]:
               from grid, prices, s group by point, x)""", """
             select cast(point as int) as point, round(x, 6) as x, round(d, 12) as density, round(d*scale, 6) as count_scaled
             from curve"""),
+        "extended_price_kde": _with("""
+            s as (
+              select min(v) as lo, max(v) as hi, count(*)::double as n, stddev_samp(v) * pow(count(*), -0.2) as bw
+              from (select l_extendedprice::double as v from lineitem)),
+            grid as (select i as point, case when i = 199 then hi else i*((hi-lo)/199)+lo end as x from s, range(0, 200) g(i)),
+            prices as (select l_extendedprice::double as p, count(*) as c from lineitem group by 1),
+            curve as (
+              select point, x, sum(c * exp(-0.5*pow((x-p)/bw, 2))) / (any_value(n)*any_value(bw)*sqrt(2*pi())) as d,
+                any_value(n)*(any_value(hi)-any_value(lo))/7 as scale
+              from grid, prices, s group by point, x)""", """
+            select cast(point as int) as point, round(x, 6) as x, round(d, 12) as density, round(d*scale, 3) as count_scaled
+            from curve"""),
         "funnel_counts": _with(_FUNNEL, _FUNNEL_COUNTS),
         "load_clean_count": _with(_CLEAN, """
             select cast(date_trunc('month', date) as date) as date, count(*)::bigint as n, sum(price_USD) as price_sum

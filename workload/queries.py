@@ -286,6 +286,13 @@ def price_clock_band(spark, sf_dir):
     return _rounded(band, 4, "clock", "fit", "low", "high")
 
 
+@_query
+def price_clock_band_multinomial(spark, sf_dir):
+    """The band with exactly n of n rows drawn."""
+    band = bootstrap.price_clock_band(_funnel(spark, sf_dir).unique(), draws="multinomial")
+    return _rounded(band, 4, "clock", "fit", "low", "high")
+
+
 @_query
 def price_by_category(spark, sf_dir):
     return _rounded(distribution.mean_price_by_category(_categorised(_funnel(spark, sf_dir))), 6, "price")
@@ -297,6 +304,12 @@ def price_by_category_ci(spark, sf_dir):
     return _rounded(means, 4, "price", "low", "high")
 
 
+@_query
+def price_by_category_ci_multinomial(spark, sf_dir):
+    means = bootstrap.price_by_category_ci(_categorised(_funnel(spark, sf_dir)), draws="multinomial")
+    return _rounded(means, 4, "price", "low", "high")
+
+
 @_query
 def price_box(spark, sf_dir):
     return distribution.box_stats(_funnel(spark, sf_dir).weighted())
@@ -321,6 +334,14 @@ def value_mean_ci(spark, sf_dir):
     return _rounded(bootstrap.group_mean_ci(values, "l_returnflag", "l_quantity"), 6, "mean", "low", "high")
 
 
+@_query
+def value_mean_ci_multinomial(spark, sf_dir):
+    items = fixtures.table(spark, sf_dir, "lineitem", "l_returnflag", "l_quantity")
+    values = items.withColumn("l_quantity", F.col("l_quantity").cast("double"))
+    found = bootstrap.group_mean_ci(values, "l_returnflag", "l_quantity", draws="multinomial")
+    return _rounded(found, 6, "mean", "low", "high")
+
+
 @_query
 def price_histogram(spark, sf_dir):
     return _rounded(distribution.histogram(_funnel(spark, sf_dir).weighted()), 6, "bin_low", "bin_high")
@@ -332,6 +353,15 @@ def price_kde(spark, sf_dir):
     return _rounded(_rounded(curve, 6, "x", "count_scaled"), 12, "density")
 
 
+@_query
+def extended_price_kde(spark, sf_dir):
+    """Many distinct values: they meet the grid in cells."""
+    items = fixtures.table(spark, sf_dir, "lineitem", "l_extendedprice")
+    prices = items.select(F.col("l_extendedprice").cast("double").alias(PRICE), F.lit(1).cast("long").alias("n"))
+    curve = distribution.density(prices)
+    return _rounded(_rounded(_rounded(curve, 6, "x"), 3, "count_scaled"), 12, "density")
+
+
 @_query
 def funnel_counts(spark, sf_dir):
     return _funnel(spark, sf_dir).counts()
