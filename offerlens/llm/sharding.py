@@ -1,9 +1,10 @@
 """Sharding by vector bin packing: bytes, tokens and rows are balanced jointly.
 
-Groups are documents of equal text. Groups larger than a cell (a fixed fraction of the
-total) are cut into pieces by a hash of the document id; all others are dealt to cells by
-a hash of their text, so a group stays together. There are at most ``4 * CELLS`` pieces
-and cells, whatever the input: their vectors (bytes, tokens, rows) are packed one by one,
+Groups are documents of equal text, and a group stays in one shard. Small ones are dealt to
+``CELLS`` cells by a hash of their text; one that is larger than a cell is packed by itself. Only a
+group of more than ``WHOLE`` of a shard's share of all bytes is cut, into pieces of up to that
+size, or no law could keep shards near equal. There are at most ``3 * CELLS`` groups, pieces and
+cells to pack, whatever the input: their vectors (bytes, tokens, rows) are packed one by one,
 largest first, each where the dot product with the shard's residual capacity is highest.
 That small table is all the driver sees.
 
@@ -11,7 +12,8 @@ Slots count up within a shard: cells follow one another, and rows are numbered w
 parts of a cell, so no task sorts a shard.
 
 Defined results: a missing text is an empty one (size 1, as every size has one byte for
-the separator); repeated rows get slots of their own; an empty table gives an empty one.
+the separator); repeated rows get slots of their own; an empty table gives an empty one; texts of
+any length are one row's bytes, never cut; of shards with equal room the lower one is taken.
 Input columns that share a name with a column made here are replaced.
 """
 
@@ -23,6 +25,8 @@ from offerlens.llm import words as W
 from offerlens.staging import stage
 
 SHARDS, CELLS = 16, 2048
+#: Of a shard's share of all bytes: the most that a group may have and stay whole in any case.
+WHOLE = 0.5
 #: Of bytes, tokens and rows in the dot product: bytes come first.
 WEIGHTS = (16.0, 1.0, 1.0)
 #: Rows of a part of a cell, within which rows are numbered by one task.
@@ -57,23 +61,25 @@ def shard(docs: DataFrame, shards: int = SHARDS, cells: int = CELLS, text: str =
             *[c for c in docs.columns if c in carry and c not in MADE],
             (F.octet_length(whole) + 1).cast("long").alias("size"),
             W.count_words(whole).alias("tokens"), F.crc32(whole.cast("binary")).alias("text_crc32"),
-            F.xxhash64(whole).alias("__group"),
+            F.xxhash64(whole).alias("__group"), F.monotonically_increasing_id().alias("__row"),
         ), "shard-sizes",
     )
     spark = docs.sparkSession
     totals = sized.agg(F.sum("size").alias("size")).first()
     cell_bytes = max(1, -(-(totals.size or 0) // cells))
+    most = max(1, int(WHOLE * (totals.size or 0) / shards))
     # A large group has more bytes than a cell, so there are fewer of them than cells.
     large = sized.groupBy("__group").agg(F.sum("size").alias("group_bytes")).where(F.col("group_bytes") > cell_bytes)
-    large = stage(large.select("__group", F.ceil(F.col("group_bytes") / cell_bytes).alias("__pieces")), "shard-large")
-    piece = F.pmod(F.xxhash64("doc_id", "__group"), F.col("__pieces"))
+    large = stage(large.select("__group", F.ceil(F.col("group_bytes") / most).alias("__pieces")), "shard-large")
+    # Repeated rows of a group that is cut are dealt like others: each by itself.
+    piece = F.pmod(F.xxhash64("doc_id", "__group", "__row"), F.col("__pieces"))
     in_cell = F.pmod(F.col("__group"), F.lit(cells))
     celled = sized.join(large, "__group", "left").withColumn(
         "__cell", F.when(F.col("__pieces").isNotNull(), F.struct(F.col("__group").alias("g"), piece.alias("p")))
         .otherwise(F.struct(in_cell.alias("g"), F.lit(-1).cast("long").alias("p")))
     ).drop("__pieces")
     celled = stage(celled.select(*sized.columns, "__cell.g", "__cell.p"), "shard-cells")
-    # One row per cell and part: at most 4 * cells cells; parts are as many as rows ask for.
+    # One row per cell and part: at most 3 * cells of them; parts are as many as rows ask for.
     table = (
         celled.groupBy("g", "p").agg(F.sum("size").alias("size"), F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("rows"))
         .orderBy(F.desc("size"), "g", "p").collect()
@@ -85,9 +91,9 @@ def shard(docs: DataFrame, shards: int = SHARDS, cells: int = CELLS, text: str =
         plan.append((row.g, row.p, int(to), int(starts[to]), int(-(-row.rows // PART_ROWS))))
         starts[to] += row.rows
     plan = spark.createDataFrame(plan, "g long, p long, shard int, __start long, __parts long")
-    part = F.pmod(F.xxhash64("doc_id", "text_crc32"), F.col("__parts"))
+    part = F.pmod(F.xxhash64("doc_id", "__row"), F.col("__parts"))
     dealt = celled.join(plan, ["g", "p"]).withColumn("__part", part)
-    return _slots(dealt).select(*sized.columns, "shard", "slot").drop("__group")
+    return _slots(dealt).select(*sized.columns, "shard", "slot").drop("__group", "__row")
 
 
 def _slots(dealt: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Quality rules, mixing, decontamination and sharding against brute force."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 from zlib import crc32
@@ -215,5 +216,40 @@ def test_sharding_splits_a_hot_group(spark):
     assert max(r.size for r in rows) <= 1.02 * min(r.size for r in rows)
 
 
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01"])
+def test_sharding_keeps_groups_whole(spark, scale):
+    docs = spark.read.parquet(f"/root/testdata/{scale}/documents.parquet").withColumn("group", F.coalesce("text", F.lit("")))
+    rows = sharding.shard(docs, carry=("doc_id", "group")).collect()
+    shards, sizes = defaultdict(set), defaultdict(int)
+    for r in rows:
+        shards[r.group].add(r.shard)
+        sizes[r.group] += r.size
+    most = sharding.WHOLE * sum(sizes.values()) / sharding.SHARDS
+    assert any(n > 1 for n in Counter(r.group for r in rows).values())
+    assert all(len(shards[g]) == 1 for g in shards if sizes[g] <= most)
+
+
+def test_sharding_spreads_repeated_rows(spark):
+    docs = spark.createDataFrame([(None, "the same text")], "doc_id long, text string").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(20_000))))
+    found = sharding.shard(docs.repartition(8)).groupBy("shard").agg(F.count("*").alias("n"), F.countDistinct("slot").alias("slots")).collect()
+    assert len(found) == 16 and all(r.n == r.slots and 1000 < r.n < 1500 for r in found)
+
+
+def test_packing_against_loops():
+    draw = random.Random(12)
+    vectors = [[draw.randint(1, 10**draw.randint(1, 5)) for _ in range(3)] for _ in range(200)]
+    totals = [sum(v[k] for v in vectors) for k in range(3)]
+    left = [list(sharding.WEIGHTS) for _ in range(5)]
+    scaled = [[v[k] / totals[k] * 5 for k in range(3)] for v in vectors]
+    order = sorted(range(200), key=lambda i: -max(scaled[i][k] * sharding.WEIGHTS[k] ** 0.5 for k in range(3)))
+    expected = {}
+    for i in order:
+        fits = [sum(left[s][k] * scaled[i][k] for k in range(3)) for s in range(5)]
+        expected[i] = fits.index(max(fits))
+        for k in range(3):
+            left[expected[i]][k] -= scaled[i][k] * sharding.WEIGHTS[k]
+    assert sharding.pack(np.array(vectors), 5).tolist() == [expected[i] for i in range(200)]
+
+
 def test_sharding_empty(run, no_documents):
     assert run("op9_vector_sharding", documents=no_documents) == []
