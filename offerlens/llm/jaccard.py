@@ -58,7 +58,7 @@ HELD = 32
 STAR_ROUNDS = 1
 #: Sets of a key beyond which they are compared in blocks, and sets of a block.
 LISTED, BLOCK = 32, 256
-#: Most bits of the map of classes whose sets are needed.
+#: Most bits of the filter of rows whose sets are needed.
 BITMAP = 1 << 27
 #: Smaller bands also index one-deletion neighbourhoods.
 DELETIONS_BELOW = 64
@@ -226,71 +226,83 @@ def _shared_batch(rows: np.ndarray) -> pa.RecordBatch:
     )
 
 
-_SETS = "doc_id long, text_key long, set_class long, shingles array<long>"
+#: Shifts of a 64-bit name that give a row's places in the filter.
+_PROBES = (0, 18, 37)
+_SETS = "set_class long, repeated boolean, shingles array<long>"
 
 
 def _survivors(kept: DataFrame, texts: DataFrame, known: DataFrame) -> DataFrame:
     """(set_class, shingles) of all sets in ``kept``, built once from the texts, staged.
 
-    A bitmap of the classes' low bits, of a size bounded by ``BITMAP``, lets the scan skip
-    most other texts; the join that follows is exact. Texts are not shuffled.
+    Each class is built from one row, its first. A Bloom filter of those rows, of a size
+    bounded by ``BITMAP``, tells the scan which; a row that only looks like one adds a set
+    that no pair asks for, or a class twice, and neither changes a link. Of rows that
+    repeat, with one id and text, every task keeps one, and one of those is kept here.
+    Sets are shuffled for no other reason, unless there are too many classes for the filter
+    to tell rows apart: then a join keeps those that are wanted.
     """
     classes = stage(
-        kept.select("set_class").distinct().join(known.select("set_class", "doc_id", "text_key"), "set_class"),
-        "jaccard-survivors",
+        kept.select("set_class").distinct().join(
+            known.select("set_class", "doc_id", "text_key", "repeats"), "set_class"
+        ), "jaccard-survivors",
     )
-    bits = min(BITMAP, 1 << max(16, (16 * classes.count()).bit_length()))
-    place = F.col("set_class").bitwiseAND(F.lit(bits - 1))
-    words = classes.groupBy(F.shiftright(place, 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(set_class & 63 as int))")).alias("bits")
+    n_classes = classes.count()
+    bits = min(BITMAP, 1 << max(16, (16 * n_classes).bit_length()))
+    name = F.col("set_class").bitwiseXOR(F.xxhash64("doc_id", "text_key"))
+    places = F.array(*[F.shiftrightunsigned(name, shift).bitwiseAND(F.lit(bits - 1)) for shift in _PROBES])
+    placed = classes.select("repeats", F.explode(places).alias("place"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("place").bitwiseAND(F.lit(63)).cast("int"))
+    words = placed.groupBy(F.shiftright("place", 6).alias("word")).agg(
+        F.bit_or(bit).alias("wanted"), F.bit_or(F.when(F.col("repeats") > 1, bit).otherwise(0)).alias("repeated")
     ).toArrow()
-    bitmap = np.zeros(bits // 64, dtype=np.int64)
-    bitmap[words.column("word").to_numpy()] = words.column("bits").to_numpy()
-    shared_bitmap = kept.sparkSession.sparkContext.broadcast(bitmap.view(np.uint64))
+    bitmaps = np.zeros((2, bits // 64), dtype=np.int64)
+    for bitmap, column in zip(bitmaps, ("wanted", "repeated"), strict=True):
+        bitmap[words.column("word").to_numpy()] = words.column(column).to_numpy()
+    shared_bitmaps = kept.sparkSession.sparkContext.broadcast(bitmaps.view(np.uint64))
+
+    def holds(bitmap: np.ndarray, name: int) -> bool:
+        places = ((name >> shift) & (bits - 1) for shift in _PROBES)
+        return all(int(bitmap[place >> 6]) >> (place & 63) & 1 for place in places)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = shared_bitmap.value
-        seen: set[tuple] = set()
+        wanted, repeated = shared_bitmaps.value
+        seen: set[int] = set()
         for batch in batches:
-            rows, names, found_sets, size = [], [], [], 0
+            names, repeats, found_sets, size = [], [], [], 0
             for row, found in shingle_sets(batch.column(1)):
                 if not len(found):
                     continue
                 name = set_class(found)
-                if not int(bitmap[(name & (bits - 1)) >> 6]) >> (name & 63) & 1:
-                    continue
-                key = (batch.column(0)[row].as_py(), batch.column(2)[row].as_py())
-                if key in seen:
+                place = (name ^ batch.column(2)[row].as_py()) & (2**64 - 1)
+                if not holds(wanted, place) or name in seen:
                     continue
-                seen.add(key)
-                rows.append(row)
+                seen.add(name)
                 names.append(name)
+                repeats.append(holds(repeated, place))
                 found_sets.append(found.view(np.int64))
                 size += len(found)
                 if size > 500_000:
-                    yield _set_batch(batch, rows, names, found_sets)
-                    rows, names, found_sets, size = [], [], [], 0
-            if rows:
-                yield _set_batch(batch, rows, names, found_sets)
-
-    made = texts.select("doc_id", "text", "text_key").mapInArrow(sets, _SETS)
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_key") == F.col("__key"))
-    first = classes.select("set_class", F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
-    result = stage(
-        made.join(first.withColumnRenamed("set_class", "__class"), (F.col("set_class") == F.col("__class")) & same, "left_semi")
-        .select("set_class", "shingles"), "jaccard-sets",
-    )
-    shared_bitmap.unpersist()
+                    yield _set_batch(names, repeats, found_sets)
+                    names, repeats, found_sets, size = [], [], [], 0
+            if names:
+                yield _set_batch(names, repeats, found_sets)
+
+    rows = texts.select("doc_id", "text", F.xxhash64("doc_id", "text_key").alias("row_key"))
+    made = rows.mapInArrow(sets, _SETS)
+    if bits < 8 * n_classes:
+        made = made.join(classes.select("set_class"), "set_class", "left_semi")
+    made = stage(made, "jaccard-sets")
+    once = stage(made.where("repeated").dropDuplicates(["set_class"]), "jaccard-sets")
+    result = made.where("not repeated").union(once).select("set_class", "shingles")
+    shared_bitmaps.unpersist()
     return result
 
 
-def _set_batch(batch: pa.RecordBatch, rows: list[int], names: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
+def _set_batch(names: list[int], repeats: list[bool], sets: list[np.ndarray]) -> pa.RecordBatch:
     bounds = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
     lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(sets)))
-    at = pa.array(rows)
     return pa.RecordBatch.from_arrays(
-        [batch.column(0).take(at), batch.column(2).take(at), pa.array(names, pa.int64()), lists],
-        names=["doc_id", "text_key", "set_class", "shingles"],
+        [pa.array(names, pa.int64()), pa.array(repeats), lists], names=["set_class", "repeated", "shingles"]
     )
 
 
@@ -354,11 +366,14 @@ def near_copies(docs: DataFrame, text: str = "text") -> DataFrame:
         keyed.select("doc_id", "text", "text_key").mapInArrow(_members, _MEMBERS), "jaccard-members"
     )
     named = members.where("set_class is not null")
+    rows = named.groupBy("set_class", "doc_id", "text_key").agg(
+        F.first("n_shingles").alias("n_shingles"), F.count(F.lit(1)).alias("repeats")
+    )
     known = stage(
-        named.groupBy("set_class").agg(
-            F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first"),
+        rows.groupBy("set_class").agg(
+            F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "repeats")).alias("first"),
             F.first("n_shingles").alias("n_shingles"),
-        ).select("set_class", "n_shingles", "first.doc_id", "first.text_key"), "jaccard-classes",
+        ).select("set_class", "n_shingles", "first.doc_id", "first.text_key", "first.repeats"), "jaccard-classes",
     )
     index = texts.mapInArrow(_index_keys, _KEYS).repartition(F.col("key")).sortWithinPartitions("key", "kind", "set_class")
     shared = stage(index.mapInArrow(_shared_keys, _SHARED), "jaccard-shared")
@@ -381,6 +396,7 @@ def near_copies(docs: DataFrame, text: str = "text") -> DataFrame:
     more = _verified(_ordered(_lookups(listed)), sets, known).union(_links_of_blocks(large, sets))
     if more.limit(1).count():
         found = components(links.union(more))
+    drop_stage(kept)
 
     # Staged sides let the planner split a class or component that holds many rows.
     labelled = stage(known.select("set_class").join(found.withColumnRenamed("node", "set_class"), "set_class").select(
