@@ -5,8 +5,10 @@ H = (r + s) / 9 shingles. The universe of hashes is cut into m segments, m depen
 the size band; H differences touch at most H segments, so the sets agree exactly in the
 others (pigeonhole). What is indexed:
 
-* sets of 64 shingles and more: each segment subset. m is so large that the segments in
-  which a set has shingles at all outnumber H with a reserve;
+* sets of 64 shingles and more: the subsets of the first segments in which the set has
+  shingles at all, H + 1 and a reserve R that a size band shares. m is so large that there are
+  as many. Of the first H + 1 + R segments of one set at most H differ in a similar one, and the
+  others are among the first of that set as well, so the two have R + 1 keys in common;
 * smaller sets: also the one-deletion neighbourhood of each segment subset, which finds
   segments that differ by one shingle. Such a segment counts twice, so a few are enough.
 
@@ -85,6 +87,11 @@ def needed(size: int, largest: int) -> int:
     return (size + largest) * (100 - PERCENT) // (100 + PERCENT) + 1
 
 
+def reserve(band: int) -> int:
+    """Segments that sets of a band index beyond those they need, to spare hot ones; the same for all of them."""
+    return max(8, (2 << band) // 16)
+
+
 def bands(size: int) -> list[tuple[int, int]]:
     """(band, segments needed) of a set; none if only an equal set is similar to it."""
     largest = size * 100 // PERCENT
@@ -155,6 +162,8 @@ def _index_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for step, (band, need) in enumerate(bands(len(found))):
                 exact, deleted, sizes = subset_keys(found, mixed, band)
                 twice = (1 << band) < DELETIONS_BELOW
+                if not twice:
+                    exact = exact[: need + reserve(band)]
                 spare = len(exact) + (int((sizes > 1).sum()) if twice else 0) - need
                 if spare < 0:
                     raise ValueError(f"{len(found)} shingles fall into {len(exact)} segments; change segments()")
