@@ -14,6 +14,7 @@ from zlib import crc32
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from offerlens.llm import lm_score, main_text, pii, secret_scan, token_counts
 from offerlens.llm.crf import Crf
@@ -187,6 +188,48 @@ def test_main_text_of_other_layouts(spark, sf_dir, tag):
     )
 
 
+#: Start and end of the article, none of them in the lists that the field is trained with.
+LAYOUTS = {
+    "bare": ("", ""), "div": ("<div>", "</div>"), "class": ('<div class="texte">', "</div>"), "id": ('<section id="lead">', "</section>"),
+    "post": ('<div class="post">', "</div>"), "nested": ('<div><div class="c12">', "</div></div>"), "section": ("<section>", "</section>"),
+    "cell": ("<table><tr><td>", "</td></tr></table>"), "artikel": ('<div class="artikel">', "</div>"), "center": ("<center>", "</center>"),
+    "columns": ('<div class="row"><div class="col8">', "</div></div>"), "wrapper": ('<div class="wrapper"><section class="inhalt">', "</section></div>"),
+}
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_main_text_where_all_pages_have_another_layout(spark, layout):
+    """Block precision and recall, with no page to learn the layout from."""
+    start, end = LAYOUTS[layout]
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    told = pages.withColumn("html", F.replace(F.replace("html", F.lit("<article>"), F.lit(start)), F.lit("</article>"), F.lit(end)))
+    found = {r.page_id: r.text for r in main_text.extract(told, main_text.fit_on(told)).collect()}
+    hit = taken = wanted = 0
+    for page_id, page in pages.select("page_id", "html").collect():
+        article = re.search(r"<article>(.*?)</article>", page, re.S)[1]
+        blocks = (" ".join(html.unescape(re.sub(r"</?b>", "", b).replace("<br>", " ")).split()) for b in re.split(r"</?(?:p|h1)>", article))
+        right, own = Counter(filter(None, blocks)), Counter(filter(None, found[page_id].split("\n")))
+        hit, taken, wanted = hit + sum((right & own).values()), taken + sum(own.values()), wanted + sum(right.values())
+    assert hit >= 0.95 * taken and hit >= 0.95 * wanted
+
+
+def test_pages_of_any_depth_and_length(run, spark):
+    deep = "".join(f"<div class=c{i}>a" for i in range(50_000))
+    stray = "<figure>" * 100_000 + "</p>" * 100_000 + "<article><p>One.</article>"
+    long = "<article>" + "<p>Some words of a paragraph, one more time.</p>" * 25_000 + "</article>"
+    frame = spark.createDataFrame([(1, "u", deep), (2, "u", stray), (3, "u", long)], "page_id long, url string, html string")
+    texts = {r.page_id: r.text for r in run("op4_main_text", pages=frame)}
+    assert texts[3].count("\n") == 24_999 and texts[2] == "One." and 1 in texts
+
+
+def test_training_takes_both_ends_of_labelled_pages():
+    paragraphs = "".join(f"<p>Paragraph {i}.</p>" for i in range(200))
+    made = main_text.training_blocks(f"<nav>Menu</nav><article>{paragraphs}</article><footer>{'End ' * 2000}</footer>")
+    assert len(made) == main_text.TRAIN_BLOCKS and made[0][0] == "Menu" and made[0][3] == 0 and made[1][3] == 1
+    assert len(made[-1][0]) == main_text.TRAIN_CHARS and made[-1][3] == 0
+    assert main_text.training_blocks("<div><p>Nothing says where the article is.</div>") == []
+
+
 @pytest.mark.parametrize("icon", ['<svg class="icon"/>', "<math/>", '<svg><path d="M0"/><g></svg>', '<svg class="a">', "<template><p>no"])
 def test_icons_hide_no_text(icon):
     page = f"<body><header>{icon}</header><article><p>One <svg/>and <math><mi>a</mi><mo>=</mo>b</math> two.<p>Last.</article><svg></svg>"
