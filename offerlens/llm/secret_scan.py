@@ -18,6 +18,7 @@ whole, a run of characters of any length in linear time.
 import random
 import re
 from collections.abc import Iterator
+from itertools import islice, pairwise
 from zlib import crc32
 
 import pandas as pd
@@ -29,6 +30,8 @@ from offerlens.llm.spans import joined, sha256_of
 
 #: Rows that the field is trained on, those with the lowest hash of their id.
 TRAIN_DOCS = 3000
+#: Texts among them that windows are taken from: so many with a pattern match, and so many without.
+TRAIN_TEXTS = 100
 #: Tokens to both sides of a candidate that belong to its window.
 REACH = 6
 LABELS = ("O", "B", "I")
@@ -120,9 +123,17 @@ def _shape(token: str) -> str:
 
 
 def _turns(token: str) -> int:
-    """Changes between letters and digits: many in random strings."""
-    kinds = ["d" if c.isdigit() else "a" for c in token[:64]]
-    return min(sum(a != b for a, b in zip(kinds, kinds[1:], strict=False)), 4)
+    """Changes between letters and digits, up to four: many in random strings."""
+    kinds = map(str.isdigit, token)
+    return sum(1 for _ in islice((a for a, b in pairwise(kinds) if a != b), 4))
+
+
+_SIGNS = "\"':=@"
+#: How harmless strings of digits look: dates and times, versions, numbers with separators.
+_PLAIN = re.compile(
+    r"(?P<time>\d{4}-\d\d-\d\d([T_ ]?\d\d[:.]?\d\d([:.]?\d\d)?([.,]\d+)?(Z|[+-]\d\d:?\d\d)?)?|\d\d([.,]\d+)?Z|\d\d?[./]\d\d?[./]\d{2,4})"
+    r"|(?P<version>v?\d+(\.\d+)+([-+.]?[a-z]+[.\d]*)?)|(?P<number>[0-9.,+()-]+)", re.A
+)
 
 
 def features(text: str, tokens: list[tuple[int, int]], base: int) -> list[list[str]]:
@@ -130,14 +141,13 @@ def features(text: str, tokens: list[tuple[int, int]], base: int) -> list[list[s
     words = [text[a:b] for a, b in tokens]
     own = []
     for word in words:
-        name = [f"shape:{_shape(word[:200])}", f"len:{min(len(word).bit_length(), 8)}", f"turns:{_turns(word)}"]
-        lower = word[:40].lower()
-        if key := _KEYS.search(lower):
-            name.append(f"key:{key[0]}")
+        name = [f"shape:{_shape(word)}", f"len:{min(len(word).bit_length(), 8)}", f"turns:{_turns(word)}"]
+        if key := _KEYS.search(word):
+            name.append(f"key:{key[0].lower()}")
         if not word[0].isalnum():
-            name.append(f"sign:{word[0] if word[0] in chr(34) + ':=' + chr(39) else '?'}")
-        if re.fullmatch(r"[0-9.,+()-]+", word[:200]):
-            name.append("number")
+            name.append(f"sign:{'//' if word.startswith('//') else word[0] if word[0] in _SIGNS else '?'}")
+        if plain := _PLAIN.fullmatch(word):
+            name.append(plain.lastgroup if plain.lastgroup == "number" else f"number:{plain.lastgroup}")
         own.append(name)
     file = [f"file:{min(base, 2)}", f"file:{'=' in text}"]
     out = []
@@ -168,11 +178,40 @@ def secret_parts(text: str) -> list[tuple[int, int]]:
     return sorted(parts)
 
 
+def _prefix(draw: random.Random) -> str:
+    """What issuers put before their tokens: a short name, or two."""
+    names = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=draw.randint(2, 6))) for _ in range(draw.randint(1, 2))]
+    return "".join(name + draw.choice("-_") for name in names)
+
+
+def lookalike(draw: random.Random) -> str:
+    """Something with digits or mixed case that is no secret."""
+    def digits(n: int) -> str:
+        return "".join(draw.choices("0123456789", k=n))
+
+    date = f"20{digits(2)}-0{draw.randint(1, 9)}-{draw.randint(10, 28)}"
+    time = f"{draw.randint(10, 23)}:{draw.randint(10, 59)}:{draw.randint(10, 59)}"
+    word = "".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=draw.randint(3, 8)))
+    uuid = "-".join("".join(draw.choices("0123456789abcdef", k=k)) for k in (8, 4, 4, 4, 12))
+    return draw.choice((
+        digits(draw.randint(1, 16)), f"+1 ({digits(3)}) 555-0100", f"{draw.randrange(256)}.{draw.randrange(256)}.0.1",
+        f"{word}{digits(2)}@mail.example.com", date, time, f"{date}T{time}Z", f"{date}T{time}.{digits(3)}+0{draw.randint(0, 9)}:00",
+        f"{date} {time}", f"v{draw.randrange(9)}.{draw.randrange(30)}.{draw.randrange(9)}", f"{word}-{digits(1)}.{digits(2)}.{digits(1)}.tar.gz",
+        f"{word}_{date}.csv", f"get{word.title()}By{word.title()}Id{digits(1)}", f"https://{word}.example.com/{word}/{digits(5)}?page={digits(1)}",
+        f"/usr/lib/{word}/{word}{digits(1)}/{word}.so", uuid, f"ISBN 978-{digits(1)}-{digits(4)}-{digits(4)}-{digits(1)}", f"{digits(2)}/{digits(2)}/20{digits(2)}",
+    ))
+
+
+def random_token(draw: random.Random) -> str:
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    return "".join(draw.choices(letters + letters.upper() + "0123456789", k=draw.randint(16, 40)))
+
+
 def random_secret(draw: random.Random) -> str:
     """A secret of one of the usual forms."""
     letters = "abcdefghijklmnopqrstuvwxyz"
     mixed = letters + letters.upper() + "0123456789"
-    form = draw.randrange(6)
+    form = draw.randrange(7)
     if form == 0:
         return "".join(draw.choices("0123456789abcdef", k=draw.choice((16, 20, 32, 40, 64))))
     if form == 1:
@@ -180,13 +219,15 @@ def random_secret(draw: random.Random) -> str:
     if form == 2:
         return "".join(draw.choices(mixed + "+/", k=draw.randint(20, 60)))
     if form == 3:
-        return draw.choice(("ghp_", "sk_live_", "xoxb-", "pk_test_", "key-")) + "".join(draw.choices(mixed, k=draw.randint(16, 40)))
+        return _prefix(draw) + random_token(draw)
+    if form == 5:
+        return "".join(draw.choices(mixed, k=draw.randint(8, 18)))
     if form == 4:
         return "".join(draw.choices(letters, k=draw.randint(3, 8))) + "".join(draw.choices("0123456789", k=draw.randint(2, 5)))
     return "-".join("".join(draw.choices("0123456789abcdef", k=k)) for k in (8, 4, 4, 4, 12))
 
 
-def examples(text: str, limit: int = 8) -> list[tuple[list[list[str]], list[int]]]:
+def examples(text: str, limit: int = 4) -> list[tuple[list[list[str]], list[int]]]:
     """Training sequences of a text: its windows as they are, and with other secrets put in."""
     out, draw = [], random.Random(crc32(text.encode("utf-8", "replace")))
 
@@ -208,16 +249,24 @@ def examples(text: str, limit: int = 8) -> list[tuple[list[list[str]], list[int]
             head = f"{before} {draw.choice(OTHER_KEYS)} {quote}"
             secret = random_secret(draw)
             add(f"{head}{secret}{quote} {after}", [(len(head), len(head) + len(secret))])
-            number = draw.choice((str(draw.randrange(10**draw.randint(1, 16))), f"+1 ({draw.randrange(1000):03}) 555-0100",
-                                  f"{draw.randrange(256)}.{draw.randrange(256)}.0.1", f"name{draw.randrange(99)}@mail.example.com"))
-            add(f"{before} {number} {after}", [])
-    return out[:limit]
+            for _ in range(3):
+                add(f"{before} {lookalike(draw)} {after}", [])
+            user, host = (draw.choice(words[at : at + 10]) for _ in range(2))
+            head = f"{before} {draw.choice(('https', 'postgres', 'amqp', 'mongodb', 'ftp'))}://{user}:"
+            word = random_secret(draw)
+            add(f"{head}{word}@{host}.example.com/{user} {after}", [(len(head), len(head) + len(word))])
+            head = f"{before} Server={host};{draw.choice(('Pwd', 'Password', 'pwd', 'AccountKey', 'PASSWD'))}="
+            word = random_secret(draw)
+            add(f"{head}{word};Database={user} {after}", [(len(head), len(head) + len(word))])
+            token = _prefix(draw) + random_token(draw)
+            add(f"{before} {token} {after}", [(len(before) + 1, len(before) + 1 + len(token))])
+    return out
 
 
 def train(texts: list[str]) -> Crf:
     """The field, from texts labelled by the patterns."""
-    hit = [t for t in texts if base_spans(t)][:150]
-    plain = [t for t in texts if not base_spans(t)][:150]
+    hit = [t for t in texts if base_spans(t)][:TRAIN_TEXTS]
+    plain = [t for t in texts if not base_spans(t)][:TRAIN_TEXTS]
     return Crf(LABELS).fit([e for t in hit + plain for e in examples(t)])
 
 
@@ -234,8 +283,20 @@ def found_spans(text: str, model: Crf, base: list[tuple[int, int, str]]) -> list
                 spans[-1][1] = end
             elif label == 2:
                 spans.append([start, end])
-        out += [(a, b, "secret") for a, b in spans if not any(a < d and b > c for c, d, _ in base)]
-    return out
+        out += [(a, b, "secret") for a, b in spans]
+    return _apart(out, base)
+
+
+def _apart(found: list[tuple[int, int, str]], base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """Those of ``found`` that touch none of ``base``; both are in order, and no two of ``found`` overlap."""
+    kept, at, reached = [], 0, -1
+    for a, b, kind in found:
+        while at < len(base) and base[at][0] < b:
+            reached = max(reached, base[at][1])
+            at += 1
+        if reached <= a:
+            kept.append((a, b, kind))
+    return kept
 
 
 def fit_on(docs: DataFrame, n: int = TRAIN_DOCS) -> Crf:
@@ -249,13 +310,13 @@ def fit_on(docs: DataFrame, n: int = TRAIN_DOCS) -> Crf:
             kept = []
             for doc_id, text in zip(batch.doc_id, batch.text, strict=True):
                 spots = base_spans(text)[:2]
-                part = " ".join(text[max(0, a - 300) : b + 300] for a, b, _ in spots) or text[:2000]
+                part = " ".join(text[max(0, a - 300) : b + 300] for a, b, _ in spots) or text[:4000]
                 kept.append((doc_id, bool(spots), part))
             yield pd.DataFrame(kept, columns=["doc_id", "hit", "part"])
 
     cut = sample.mapInPandas(parts, "doc_id long, hit boolean, part string")
     order = [F.xxhash64("doc_id"), "doc_id", "part"]
-    rows = cut.where("hit").orderBy(*order).limit(150).collect() + cut.where("not hit").orderBy(*order).limit(150).collect()
+    rows = cut.where("hit").orderBy(*order).limit(TRAIN_TEXTS).collect() + cut.where("not hit").orderBy(*order).limit(TRAIN_TEXTS).collect()
     return train([row.part for row in rows])
 
 

@@ -280,6 +280,52 @@ def test_secret_field_on_held_out_windows(spark, sf_dir):
     assert found >= 180 and wrong <= 10
 
 
+MIXED = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+#: Forms that training never shows, with the secret in braces.
+PLANTED = ["glpat-{20}", "npm_{36}", "SG.{22}", "https://admin:{12}@db.example.com/x", "Server=db;Pwd={14};Database=x",
+           "private_key = {40}", "Bearer {32}", "amqps://svc:{24}@queue/vhost"]
+HARMLESS = ["2024-05-03T10:14:09Z", "2023-11-17 08:30:12.250", "{h8}-{h4}-{h4}-{h4}-{h12}", "v1.14.2-rc.3", "getUserByNumber", "/var/log/app/app.log.1",
+            "https://www.example.com/a/481516?q=word", "report_20240503_final.pdf", "23.09.2024", "ISBN 978-3-1614-8410-0", "1,234,567.89"]
+
+
+def test_planted_secrets_and_lookalikes(spark):
+    """Recall of at least 0.9 and false alarms below 0.05 for every form."""
+    model = secret_scan.fit_on(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    draw = random.Random(41)
+    words = "over the years many people found their way to this small town near water".split()
+
+    def around(middle):
+        return f"{' '.join(draw.choices(words, k=6))} ", middle, f" {' '.join(draw.choices(words, k=6))}"
+
+    for form in PLANTED:
+        found = 0
+        for _ in range(60):
+            secret = "".join(draw.choices(MIXED, k=int(re.search(r"\{(\d+)\}", form)[1])))
+            text = "".join(around(re.sub(r"\{\d+\}", secret, form)))
+            base, at = secret_scan.base_spans(text), text.index(secret)
+            found += any(a < at + len(secret) and b > at for a, b, _ in base + secret_scan.found_spans(text, model, base))
+        assert found >= 54, (form, found)
+    wrong = 0
+    for form in HARMLESS * 20:
+        shown = re.sub(r"\{h(\d+)\}", lambda m: "".join(draw.choices("0123456789abcdef", k=int(m[1]))), form)
+        wrong += bool(secret_scan.found_spans("".join(around(shown)), model, []))
+    assert wrong < 0.05 * 20 * len(HARMLESS)
+
+
+def test_key_words_anywhere_in_long_tokens():
+    token = "x" * 100_000 + "password"
+    assert "key:passw" in secret_scan.features(token, [(0, len(token))], 0)[0]
+
+
+def test_spans_apart_from_many_others():
+    draw = random.Random(2)
+    for _ in range(300):
+        base = sorted((a, a + draw.randint(1, 9), "hex") for a in draw.sample(range(200), 12))
+        places = sorted(draw.sample(range(200), 24))
+        found = [(a, b, "secret") for a, b in zip(places[::2], places[1::2], strict=True)]
+        assert secret_scan._apart(found, base) == [f for f in found if not any(f[0] < d and f[1] > c for c, d, _ in base)]
+
+
 def test_secrets_without_digits_get_windows():
     for text in ("Bearer abcdefgh", "İstanbul Bearer abcdefgh", "the passphrase = abcdefgh", "ACCESS_KEY=abcdefgh", "see QwErTyUiOpAsDfGhJk here"):
         assert any(text[a:b] in ("abcdefgh", "QwErTyUiOpAsDfGhJk") for tokens in secret_scan.windows(text) for a, b in tokens), text
