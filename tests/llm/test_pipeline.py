@@ -31,7 +31,7 @@ def steps(spark, sf_dir):
 def test_registered_with_every_operator():
     names = contract.queries()
     assert "pipeline" in names
-    assert {name.split("_")[0] for name in names if name.startswith("op")} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in names if name.startswith("op")} == {f"op{n}" for n in range(1, 14)}
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality_rules", "near_copies", "decontamination", "source_mixing", "vector_sharding",
     ]
