@@ -62,10 +62,12 @@ def exact_quantiles(
         for rank, (s, k) in places.items()
     }
 
-    def at_position(x: float) -> float:
-        low, high = math.floor(x), math.ceil(x)
-        if low == high or found[low] == found[high]:
-            return float(found[low])
-        return (high - x) * found[low] + (x - low) * found[high]
+    return [between_ranks(found, x) for x in positions]
 
-    return [at_position(x) for x in positions]
+
+def between_ranks(found: dict[int, float], position: float) -> float:
+    """The value at a position between two ranks, on the line between their values."""
+    low, high = math.floor(position), math.ceil(position)
+    if low == high or found[low] == found[high]:
+        return float(found[low])
+    return (high - position) * found[low] + (position - low) * found[high]

@@ -304,6 +304,21 @@ def all_oracles() -> dict[str, str]:
               round(regr_intercept(price_USD, gpu_clock_speed_MHz), 6) as intercept,
               round(regr_r2(price_USD, gpu_clock_speed_MHz), 6) as r2
             from du"""),
+        "extended_price_quantiles": " union all ".join(
+            f"select {p}::double as p, round(quantile_cont(l_extendedprice::double, {p}), 6) as value from lineitem"
+            for p in (0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0)),
+        "quartiles_radix": _with(_FUNNEL, """
+            select 'price' as name, quantile_cont(price_USD, 0.25) as q1, quantile_cont(price_USD, 0.75) as q3 from offers
+            union all select 'clock', quantile_cont(gpu_clock_speed_MHz, 0.25), quantile_cont(gpu_clock_speed_MHz, 0.75) from offers"""),
+        "top_brands_heavy": _with(_FUNNEL, """
+            select brand, count(*)::bigint as n from f2 where brand is not null group by brand order by n desc, brand limit 10"""),
+        "top_models_heavy": _with(_FUNNEL, """
+            select model, count(*)::bigint as n from f3 group by model order by n desc, model limit 15"""),
+        "top_parts_heavy": """
+            select l_partkey::bigint as l_partkey, count(*)::bigint as n from lineitem
+            group by all order by n desc, l_partkey limit 100""",
+        # Prices are whole dollars, so the second engine's sums are exact too and nothing is rounded.
+        "price_by_model_exact": _with(_FUNNEL, "select model, avg(price_USD) as price from du group by model"),
         "price_clock_band": _with(f"""{_FUNNEL},
             cells as materialized (
               select gpu_clock_speed_MHz as x, price_USD as y, count(*) as n from du group by all),
@@ -459,5 +474,7 @@ def all_oracles() -> dict[str, str]:
     }
     # The counts of loads add up to those of the table.
     found |= {f"summary_{name}": found[name] for name in ("brand_share", "price_box", "price_histogram")}
+    # Nor does the order of sums change means and fits, at six digits.
+    found |= {f"{name}_exact": found[name] for name in ("price_by_brand", "spec_means_by_model", "price_clock_fit")}
     # Tags of any length change nothing.
     return found | {f"{name}_long_tags": found[name] for name in ("grid_offer_links", "offer_extract")}

@@ -7,11 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerlens.functions import parse
-from offerlens.operators import bootstrap, crawl, distribution, extract, funnel, metrics
+from offerlens.operators import bootstrap, crawl, distribution, exact, extract, funnel, metrics
 from offerlens.operators.clean import batch_verdict, clean_offers, stamp_date
-from offerlens.operators.funnel import Funnel
+from offerlens.operators.funnel import TOP_BRANDS, TOP_MODELS, Funnel
+from offerlens.operators.heavy import heavy_keys
 from offerlens.operators.summary import SummaryFunnel
 from offerlens.operators.quantiles import exact_quantiles, value_counts
+from offerlens.operators.radix import radix_quantiles
 from offerlens.plans import etl
 from offerlens.schema import BRAND, CLOCK, DATE, MODEL, OFFER, OFFER_COLUMNS, PRICE, RAM, RAW_OFFER
 from offerlens.sources.ledger import LedgerTarget
@@ -249,6 +251,48 @@ def quartiles(spark, sf_dir):
     return spark.createDataFrame([(name, f.q1, f.q3) for name, f in fences], "name string, q1 double, q3 double")
 
 
+_PROBABILITIES = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
+
+
+@_query
+def extended_price_quantiles(spark, sf_dir):
+    """Radix selection over the rows of a table with many distinct values."""
+    lines = fixtures.table(spark, sf_dir, "lineitem").withColumn("value", F.col("l_extendedprice").cast("double"))
+    found = radix_quantiles(lines, "value", _PROBABILITIES)
+    return _rounded(spark.createDataFrame(list(zip(_PROBABILITIES, found, strict=True)), "p double, value double"), 6, "value")
+
+
+@_query
+def quartiles_radix(spark, sf_dir):
+    """Of clean prices and clocks before the funnel, by radix selection."""
+    offers = _stored_offers(spark, sf_dir)
+    rows = [(name, *radix_quantiles(offers, column, [0.25, 0.75])) for name, column in (("price", PRICE), ("clock", CLOCK))]
+    return spark.createDataFrame(rows, "name string, q1 double, q3 double")
+
+
+def _ranked(spark: SparkSession, found: list, key: str) -> DataFrame:
+    return spark.createDataFrame(found, f"{key}, n long")
+
+
+@_query
+def top_brands_heavy(spark, sf_dir):
+    """The top brands, and below those among their offers the top models, from bucket counts and candidates."""
+    return _ranked(spark, heavy_keys(_eligible(spark, sf_dir), BRAND, TOP_BRANDS), f"{BRAND} string")
+
+
+@_query
+def top_models_heavy(spark, sf_dir):
+    eligible = _eligible(spark, sf_dir)
+    brands = [brand for brand, _ in heavy_keys(eligible, BRAND, TOP_BRANDS)]
+    return _ranked(spark, heavy_keys(eligible.where(F.col(BRAND).isin(brands)), MODEL, TOP_MODELS), f"{MODEL} string")
+
+
+@_query
+def top_parts_heavy(spark, sf_dir):
+    """Keys of about equal frequency with many ties."""
+    return _ranked(spark, heavy_keys(fixtures.table(spark, sf_dir, "lineitem"), "l_partkey", 100), "l_partkey long")
+
+
 @_query
 def price_by_model(spark, sf_dir):
     return _rounded(metrics.mean_price_by_model(_funnel(spark, sf_dir).unique()), 6, "price")
@@ -280,6 +324,28 @@ def price_clock_fit(spark, sf_dir):
     return _rounded(fit, 6, "slope", "intercept", "r2")
 
 
+@_query
+def price_by_model_exact(spark, sf_dir):
+    """Sums that no order of rows changes: equal to the last bit."""
+    return exact.mean_price_by_model(_funnel(spark, sf_dir).unique())
+
+
+@_query
+def price_by_brand_exact(spark, sf_dir):
+    return _rounded(exact.mean_price_by_brand(_funnel(spark, sf_dir).unique()), 6, "price")
+
+
+@_query
+def spec_means_by_model_exact(spark, sf_dir):
+    return _rounded(exact.spec_means_by_model(_funnel(spark, sf_dir).unique()), 6, "price", "ram", "clock")
+
+
+@_query
+def price_clock_fit_exact(spark, sf_dir):
+    unique = stage(_funnel(spark, sf_dir).unique(), "unique")
+    return _rounded(exact.price_clock_fit(unique), 6, "slope", "intercept", "r2")
+
+
 @_query
 def price_clock_band(spark, sf_dir):
     band = bootstrap.price_clock_band(_funnel(spark, sf_dir).unique())
