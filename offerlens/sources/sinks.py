@@ -5,6 +5,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from offerlens.schema import DATE, OFFER_COLUMNS
+from offerlens.sources.layout import append_arranged
 from offerlens.sources.offers import CSV_TEXT, read_offers, read_offers_jdbc
 
 QUARANTINE_SUFFIX = "_uncleaned"
@@ -34,12 +35,18 @@ def append_csv(batch: DataFrame, folder: str) -> None:
 
 @dataclass(frozen=True)
 class ParquetTarget:
-    """Offer table, its quarantine beside it, and CSV folders for what neither takes."""
+    """Offer table, its quarantine beside it, and CSV folders for what neither takes.
+
+    ``arranged`` tables are written in an order that lets fences on price and clock skip.
+    """
 
     path: str
     csv: str = ""
+    arranged: bool = False
 
     def append(self, batch: DataFrame, clean: bool, one_date: bool) -> None:
+        if self.arranged and clean:
+            return append_arranged(batch, self.path)
         append_offers(batch, self.path if clean else f"{self.path}{QUARANTINE_SUFFIX}", one_date)
 
     def csv_folder(self, clean: bool) -> str:

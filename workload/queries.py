@@ -225,6 +225,14 @@ def iqr_clock(spark, sf_dir):
     return _funnel(spark, sf_dir).rows()
 
 
+@_query
+def iqr_clock_arranged(spark, sf_dir):
+    """The funnel over a table stored along the curve of price and clock."""
+    target = ParquetTarget(new_stage_path(spark, "arranged"), arranged=True)
+    target.append(_offers(spark, sf_dir), clean=True, one_date=False)
+    return Funnel(target.read(spark)).rows()
+
+
 @_query
 def iqr_events(spark, sf_dir):
     events = fixtures.table(spark, sf_dir, "events", "event_id", "value")
