@@ -4,7 +4,7 @@ Every double has a 64-bit key in the order of the values. A pass counts rows by
 of their keys, 2^16 counters at most, and finds the counters in which the wanted ranks lie. The next
 pass reads only rows between the least and the largest value of those, a filter that reaches the
 scan, and counts by the bits that follow. A counter that holds a single value ends its ranks, so a value with
-most of the rows costs no further pass. Ten passes are the most for seven ranks, whatever the data.
+most of the rows costs no further pass. Up to 16 ranks take five passes at most, whatever the data.
 
 Each pass scans the rows again; where the distinct values are few or staged already,
 ``quantiles.exact_quantiles`` is the cheaper way.
