@@ -20,6 +20,7 @@ from offerlens.operators.summary import CELLS, PAIRS, cell_counts, pair_counts
 from offerlens.schema import DATE, OFFER, RAW_OFFER
 from offerlens.sources.offers import read_offers
 from offerlens.sources.sinks import append_csv, append_offers
+from offerlens.staging import folder_names
 
 #: What an entry says of each run of its load. ``load`` is the name of the load's folders.
 ENTRY = "run_date date, n_rows long, is_clean boolean, target string, load string"
@@ -58,7 +59,7 @@ class LedgerTarget:
 
     def version(self, spark: SparkSession) -> int:
         """The number of the last entry; 0 for an empty ledger."""
-        return max((int(name) for name in _names(spark, self._entries) if name.isdigit()), default=0)
+        return max((int(name) for name in folder_names(spark, self._entries) if name.isdigit()), default=0)
 
     def published(self, spark: SparkSession, version: int | None = None) -> DataFrame:
         """The runs of all entries up to ``version``, as ``ENTRY``."""
@@ -106,10 +107,10 @@ class LedgerTarget:
         """Delete what broken loads left behind; not while another load runs."""
         known = {row["load"] for row in self.published(spark).select("load").distinct().collect()}
         for top in {self.folder(kind, "", clean) for kind in ("table", "quarantine", "pairs", "cells", "csv") for clean in (True, False)}:
-            for name in _names(spark, top.rstrip("/")):
+            for name in folder_names(spark, top.rstrip("/")):
                 if name not in known:
                     _file_system(spark, top).delete(_path(spark, f"{top}{name}"), True)
-        for name in _names(spark, self._entries):
+        for name in folder_names(spark, self._entries):
             if not name.isdigit():
                 _file_system(spark, self._entries).delete(_path(spark, f"{self._entries}/{name}"), True)
 
@@ -122,11 +123,6 @@ def _file_system(spark: SparkSession, path: str):
     return _path(spark, path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _names(spark: SparkSession, folder: str) -> list[str]:
-    files = _file_system(spark, folder)
-    return [s.getPath().getName() for s in files.listStatus(_path(spark, folder))] if files.exists(_path(spark, folder)) else []
-
-
 def _union(frames: list[DataFrame]) -> DataFrame:
     """By halves, so that the plan of many loads stays shallow."""
     while len(frames) > 1:

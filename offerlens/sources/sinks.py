@@ -7,19 +7,39 @@ from pyspark.sql import DataFrame, SparkSession
 from offerlens.schema import DATE, OFFER_COLUMNS
 from offerlens.sources.layout import append_arranged
 from offerlens.sources.offers import CSV_TEXT, read_offers, read_offers_jdbc
+from offerlens.staging import folder_names
 
 QUARANTINE_SUFFIX = "_uncleaned"
+#: Dates of one load that get folders of their own.
+MOST_FOLDERS = 100
 
 
 def append_offers(batch: DataFrame, table_path: str, one_date: bool = False) -> None:
-    """Append a batch, partitioned by date; the table is made when missing.
+    """Append a batch; the table is made when missing.
 
     The rows of a single run carry one date and are written where they are. A batch
     of many dates is rebalanced first, or every task would write a file per date:
     small dates then share a task and a large one is split over several.
+
+    A table has a folder for each date, unless the load that makes it has more than ``MOST_FOLDERS``
+    dates. Such a load would make as many tiny files, which each scan lists and opens; its table has
+    plain files, as many as its volume asks for, with the rows in the order of their dates, so that
+    pages of other dates are skipped. A table keeps the form that it was made in.
     """
     rows = batch.select(*OFFER_COLUMNS)
-    (rows if one_date else rows.hint("rebalance", DATE)).write.mode("append").partitionBy(DATE).parquet(table_path)
+    spread = rows if one_date else rows.hint("rebalance", DATE)
+    if _has_date_folders(rows, table_path, one_date):
+        return spread.write.mode("append").partitionBy(DATE).parquet(table_path)
+    spread.sortWithinPartitions(DATE).write.mode("append").parquet(table_path)
+
+
+def _has_date_folders(rows: DataFrame, table_path: str, one_date: bool) -> bool:
+    names = folder_names(rows.sparkSession, table_path)
+    if any(name.startswith(f"{DATE}=") for name in names):
+        return True
+    if any(not name.startswith(("_", ".")) for name in names):
+        return False
+    return one_date or rows.select(DATE).distinct().limit(MOST_FOLDERS + 1).count() <= MOST_FOLDERS
 
 
 def append_jdbc(batch: DataFrame, url: str, table: str, **options: str) -> None:

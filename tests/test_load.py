@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, timedelta
 from pathlib import Path
 
 import pytest
@@ -10,7 +10,7 @@ from offerlens.plans import etl
 from offerlens.plans.dashboard import dashboard, save_dashboard
 from offerlens.schema import BRAND, CLOCK, CRAWL_PAGE, DATE, FETCHED_OFFER, MODEL, OFFER_COLUMNS, RAM, RAW_OFFER
 from offerlens.sources.offers import read_offers
-from offerlens.sources.sinks import ParquetTarget, append_csv, append_offers
+from offerlens.sources.sinks import MOST_FOLDERS, ParquetTarget, append_csv, append_offers
 from offerlens.staging import drop_stages, stage, stage_root
 
 GOOD = [("A ", "1,299.", " b", "8 GB", "1.8 GHz"), ("unknown", "unknown", "unknown", "unknown", "unknown")]
@@ -220,3 +220,24 @@ def test_staged_frame_survives_and_can_be_dropped(spark):
     drop_stages(spark)
     with pytest.raises(Exception):
         frame.collect()
+
+
+def test_a_load_of_many_dates_makes_no_folder_for_each(spark, raw_offers, tmp_path):
+    days = [date(2023, 1, 1) + timedelta(n) for n in range(MOST_FOLDERS + 1)]
+    path = str(tmp_path / "offers")
+    etl.load_runs(raw_offers([*[(*GOOD[0], day) for day in days], (*GOOD[0], None)]), path)
+    assert not list(Path(path).glob("date=*"))
+    append_offers(stamp_date(clean_offers(raw_offers(GOOD)), "2022-05-01"), path, one_date=True)
+    assert sorted(str(r[DATE]) for r in read_offers(spark, path).collect()) == sorted(
+        [*map(str, days), "None", "2022-05-01", "2022-05-01"]
+    )
+    assert not list(Path(path).glob("date=*"))
+
+
+def test_a_table_keeps_its_folders(spark, raw_offers, tmp_path):
+    days = [date(2023, 1, 1) + timedelta(n) for n in range(MOST_FOLDERS + 1)]
+    path = str(tmp_path / "offers")
+    for batch in ([(*GOOD[0], days[0])], [(*GOOD[0], day) for day in days]):
+        etl.load_runs(raw_offers(batch), path)
+    assert len(list(Path(path).glob("date=*"))) == len(days)
+    assert read_offers(spark, path).count() == len(days) + 1
