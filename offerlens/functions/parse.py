@@ -61,10 +61,11 @@ def _price_digits(text: Column) -> Column:
 
 
 def _first_unit_removed(lowered: Column, units: list[str]) -> Column:
+    # Removing a unit that is not there changes nothing, so the last one needs no condition.
     return reduce(
         lambda rest, unit: F.when(lowered.contains(unit), _without(lowered, unit)).otherwise(rest),
-        reversed(units),
-        lowered,
+        reversed(units[:-1]),
+        _without(lowered, units[-1]),
     )
 
 

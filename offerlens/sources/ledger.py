@@ -50,8 +50,10 @@ class LedgerTarget:
         try:
             append_offers(batch, self.folder(kind, load))
             if is_clean:
-                pair_counts(batch).write.parquet(self.folder("pairs", load))
-                cell_counts(batch).write.parquet(self.folder("cells", load))
+                # Counted from what was written, where texts are numbers already.
+                stored = read_offers(batch.sparkSession, self.folder(kind, load))
+                pair_counts(stored).write.parquet(self.folder("pairs", load))
+                cell_counts(stored).write.parquet(self.folder("cells", load))
             return kind
         except Exception:  # whatever keeps the table from taking the rows; nothing of it is visible
             append_csv(batch, self.folder("csv", load, is_clean))

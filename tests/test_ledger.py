@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from offerlens.operators.funnel import Funnel
 from offerlens.operators.summary import SummaryFunnel
 from offerlens.plans import etl
-from offerlens.schema import DATE, RAW_OFFER
+from offerlens.schema import DATE, MODEL, RAW_OFFER
 from offerlens.sources.ledger import LedgerTarget
 from workload import fixtures
 
@@ -135,3 +135,19 @@ def test_old_months_are_not_read(spark, raw_offers, target, tmp_path):
     etl.publish_runs(raw_offers([(*GOOD, FEBRUARY)]), target)
     for frame in target.counts(spark):
         assert not [f for f in frame.inputFiles() if "/table/" in f]
+
+
+def test_counts_of_a_load_do_not_compute_its_rows_again(spark, offers, tmp_path):
+    computed = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(model):
+        computed.add(1)
+        return model
+
+    batch = offers([(f"m{k}", float(k), "b", 8.0, 1800.0) for k in range(20)]).withColumn(MODEL, counted(MODEL))
+    target = LedgerTarget(str(tmp_path / "ledger"))
+    assert target.write(batch, True, "load") == "table"
+    assert computed.value == 20
+    assert spark.read.parquet(target.folder("pairs", "load")).count() == 20
+    assert spark.read.parquet(target.folder("cells", "load")).count() == 20
