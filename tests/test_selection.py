@@ -100,3 +100,11 @@ def test_rare_keys_are_not_counted(spark, monkeypatch):
     keys = [f"hot{i}" for i in range(3) for _ in range(400)] + [f"rare{i}" for i in range(2000)]
     assert [k for k, _ in heavy_keys(keyed(spark, keys), "k", 3)] == ["hot0", "hot1", "hot2"]
     assert len(chosen) <= heavy.EAGER * 3 + 3
+
+
+def test_eligible_offers_are_filtered_by_stored_numbers(spark):
+    """A filter over texts would parse them in it, once for each scan, in a method too long to be compiled."""
+    from workload.queries import _eligible
+
+    plan = _eligible(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "regexp" not in plan and "relation" in plan

@@ -49,7 +49,8 @@ def _funnel(spark: SparkSession, sf_dir: str) -> Funnel:
 
 
 def _eligible(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return funnel.min_present(funnel.drop_null_model(funnel.null_missing(_offers(spark, sf_dir))))
+    """Of stored offers: the filter would else parse every text by itself, once for each scan."""
+    return funnel.min_present(funnel.drop_null_model(funnel.null_missing(_stored_offers(spark, sf_dir))))
 
 
 def _rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
