@@ -147,3 +147,25 @@ def test_components_of_a_long_path(spark):
     links = spark.range(n).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     rows = jaccard.components(links.union(spark.createDataFrame([(1000, 1001)], "a long, b long"))).collect()
     assert {r.node: r.component for r in rows} == {i: 0 for i in range(n + 1)} | {1000: 1000, 1001: 1000}
+
+
+def test_no_pair_is_compared_twice(spark, families, monkeypatch):
+    """Sets travel for a pair in one round only."""
+    pairs = []
+
+    def recorded(frame, label, stage=jaccard.stage):
+        made = stage(frame, label)
+        if label == "jaccard-pairs":
+            pairs.extend((r.a, r.b) for r in made.collect())
+        return made
+
+    monkeypatch.setattr(jaccard, "stage", recorded)
+    docs = spark.createDataFrame(families, "doc_id long, text string")
+    assert found(jaccard.near_copies(docs)) == classes(families)
+    assert pairs and len(pairs) == len(set(pairs))
+
+
+def test_chance_agreement_of_keys_loses_no_link(spark, families, monkeypatch):
+    monkeypatch.setattr(jaccard, "KEY_BITS", 12)
+    docs = spark.createDataFrame(families, "doc_id long, text string")
+    assert found(jaccard.near_copies(docs)) == classes(families)
