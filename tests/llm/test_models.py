@@ -1,11 +1,14 @@
 """Personal data, main text, token counts, secrets and language-model scores."""
 
 import base64
+import contextlib
 import hashlib
 import html
 import math
+import os
 import random
 import re
+import threading
 from collections import Counter
 from itertools import product
 from pathlib import Path
@@ -19,6 +22,7 @@ from pyspark.sql import functions as F
 from offerlens.llm import lm_score, main_text, pii, secret_scan, token_counts
 from offerlens.llm.crf import Crf
 from offerlens.llm.queries import LLM_QUERIES
+from offerlens.staging import stage_root
 
 from .conftest import LOWER, WORD
 
@@ -505,3 +509,36 @@ def test_lm_learns_from_every_training_token(spark):
     after = lm_score._summed(triples, (*mixer.weights.shape, 5), learnt.slopes)
     pull = after[:, :, 0] - lm_score.RIDGE * (learnt.weights - 0.3)
     assert np.abs(pull).max() < 1e-2 * np.abs(slopes[:, :, 0]).max()
+
+
+def test_lm_needs_few_bytes_of_disk_a_token(run, spark):
+    """Shuffle files and staged tables of any moment; rows for each triple and its counts took several times as much."""
+    draw = random.Random(4)
+    vocabulary, weights = [f"w{i}" for i in range(5000)], [1 / (i + 2) for i in range(5000)]
+    docs = spark.createDataFrame([(i, " ".join(draw.choices(vocabulary, weights, k=1000))) for i in range(500)], "doc_id long, text string")
+    local = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    folders = [*local, stage_root(spark).removeprefix("file:")]
+
+    def used():
+        total = 0
+        for folder in folders:
+            for path, _, names in os.walk(folder):
+                for name in names:
+                    with contextlib.suppress(OSError):  # a file may go meanwhile
+                        total += os.stat(f"{path}/{name}").st_size
+        return total
+
+    before, seen, done = used(), [0], threading.Event()
+
+    def watch():
+        while not done.wait(0.02):
+            seen.append(used())
+
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    try:
+        assert len(run("op8_context_mixing", documents=docs)) == 500
+    finally:
+        done.set()
+        watcher.join()
+    assert max(seen) - before < 25 * 500 * 1001
