@@ -45,19 +45,23 @@ class LedgerTarget:
         return f"{self.path}/{kind}/{load}"
 
     def write(self, batch: DataFrame, is_clean: bool, load: str) -> str:
-        """Write rows that no entry names yet; the kind of folder that took them."""
+        """Write rows that no entry names yet; the kind of folder that took them.
+
+        Only what keeps the table from taking the rows sends them to the fallback. A load that cannot be
+        counted breaks off instead: its rows would be missing from every analysis of the counts.
+        """
         kind = "table" if is_clean else "quarantine"
         try:
             append_offers(batch, self.folder(kind, load))
-            if is_clean:
-                # Counted from what was written, where texts are numbers already.
-                stored = read_offers(batch.sparkSession, self.folder(kind, load))
-                pair_counts(stored).write.parquet(self.folder("pairs", load))
-                cell_counts(stored).write.parquet(self.folder("cells", load))
-            return kind
         except Exception:  # whatever keeps the table from taking the rows; nothing of it is visible
             append_csv(batch, self.folder("csv", load, is_clean))
             return "csv"
+        if is_clean:
+            # Counted from what was written, where texts are numbers already.
+            stored = read_offers(batch.sparkSession, self.folder(kind, load))
+            pair_counts(stored).write.parquet(self.folder("pairs", load))
+            cell_counts(stored).write.parquet(self.folder("cells", load))
+        return kind
 
     def version(self, spark: SparkSession) -> int:
         """The number of the last entry; 0 for an empty ledger."""

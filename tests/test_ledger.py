@@ -10,8 +10,9 @@ from offerlens.operators.funnel import Funnel
 from offerlens.operators.summary import SummaryFunnel
 from offerlens.plans import etl
 from offerlens.schema import DATE, MODEL, RAW_OFFER
+from offerlens.sources import ledger
 from offerlens.sources.ledger import LedgerTarget
-from workload import fixtures
+from workload import fixtures, queries
 
 JANUARY, FEBRUARY = date(2023, 1, 1), date(2023, 2, 1)
 GOOD = ("A ", "1,299.", " b", "8 GB", "1.8 GHz")
@@ -151,3 +152,29 @@ def test_counts_of_a_load_do_not_compute_its_rows_again(spark, offers, tmp_path)
     assert computed.value == 20
     assert spark.read.parquet(target.folder("pairs", "load")).count() == 20
     assert spark.read.parquet(target.folder("cells", "load")).count() == 20
+
+
+def _broken(*_):
+    raise RuntimeError("broken")
+
+
+@pytest.mark.parametrize("step", ["pair_counts", "cell_counts"])
+def test_a_load_that_cannot_be_counted_breaks_off(spark, raw_offers, target, monkeypatch, step):
+    batches = raw_offers([(*GOOD, JANUARY), (*BAD, FEBRUARY)])
+    with monkeypatch.context() as patched:
+        patched.setattr(ledger, step, _broken)
+        with pytest.raises(RuntimeError, match="broken"):
+            etl.publish_runs(batches, target)
+    assert target.version(spark) == 0 and target.read(spark, "csv").count() == 0
+    etl.publish_runs(batches, target)
+    pairs, cells = target.counts(spark)
+    assert pairs.agg(F.sum("n_rows")).first()[0] == 1 and cells.agg(F.sum("n")).first()[0] == 1
+
+
+@pytest.mark.parametrize("step", ["pair_counts", "append_offers"])
+def test_no_summary_without_the_rows_of_a_failed_load(spark, raw_offers, monkeypatch, step):
+    raw = raw_offers([(*GOOD, JANUARY), (*GOOD, FEBRUARY)])
+    monkeypatch.setattr(queries.fixtures, "offers_raw", lambda *_: raw)
+    monkeypatch.setattr(ledger, step, _broken)
+    with pytest.raises(RuntimeError):
+        queries.summary_price_box(spark, "")

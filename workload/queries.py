@@ -540,7 +540,9 @@ def _summary_funnel(spark: SparkSession, sf_dir: str) -> SummaryFunnel:
     raw = stage(fixtures.monthly_offers(fixtures.offers_raw(spark, sf_dir)), "raw-offers")
     target = LedgerTarget(new_stage_path(spark, "ledger"))
     for part in (2, 0, 1):
-        etl.publish_runs(raw.where(F.month(DATE) % 3 == part), target)
+        fallen = etl.publish_runs(raw.where(F.month(DATE) % 3 == part), target).where("target = 'csv'").count()
+        if fallen:
+            raise RuntimeError(f"the table did not take {fallen} runs, so the counts lack them")
     return SummaryFunnel(*target.counts(spark))
 
 
