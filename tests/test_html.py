@@ -1,3 +1,4 @@
+import random
 from html.parser import HTMLParser
 from itertools import accumulate
 
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from offerlens.functions import elements as E
 from offerlens.functions import html as H
+from offerlens.operators import extract
 from offerlens.operators.extract import GRID, GRID_ITEM, LINK_HOST, offer_attributes, offer_links, read_offer_pages
 from offerlens.schema import BRAND, CLOCK, MODEL, PRICE, RAM
 from workload import fixtures
@@ -291,3 +293,52 @@ def test_running_sums(spark):
         frame = spark.createDataFrame([(values,)], "v array<int>")
         sums = frame.select(E.running(F.col("v"), F.lit(0), lambda a, b: a + b).alias("s")).first()["s"]
         assert sums == list(accumulate(values))
+
+
+_PARTS = [
+    "<", ">", "<", ">", "</", "/", '"', "'", "=", " ", "\n", "a", "x", "<div", "<a", "<td", "</td>", "<table", "class", "CLASS", "href",
+    ' class="x y"', " class='p'", " class=z", ' href="/q"', ' data-a="b>c"', " t='u'", " hidden", ' data-class="k"', " hx=1", "!--",
+    "<!--", "-->", "<script", "</script>", "<style>", "<!", "<?", "é", "< ", '="', " = ", "<!DOCTYPE", " q=a/b", "/>", '">', "'>",
+]
+
+
+def test_shortened_pages_have_the_same_tokens(spark, monkeypatch):
+    draw = random.Random(5)
+    pages = ["".join(draw.choices(_PARTS, k=draw.randint(1, 20))) for _ in range(20_000)]
+    frame = spark.createDataFrame([(page,) for page in pages], "html string").repartition(4)
+
+    def told(html):
+        def kind(token):
+            given = F.concat_ws("|", F.regexp_extract(token, r"^</?[^\s/>]+", 0), *[E.attribute(token, name) for name in E.ASKED])
+            return F.when(F.left(token, F.lit(3)).rlike(E._IS_TAG), given).otherwise(token)
+
+        return F.transform(E.tokens(html), kind)
+
+    monkeypatch.setattr(E, "_LONG", 0)
+    whole, short = F.col("html"), E.shortened(F.col("html"))
+    seen = frame.select("html", told(whole).alias("whole"), told(short).alias("short"), (F.length(short) < F.length(whole)).alias("cut"))
+    assert seen.where("not whole <=> short").collect() == []
+    assert seen.where("cut").count() > 2_000
+
+
+def test_long_tags_are_cut_short(spark):
+    attributes = " data-a='b>c' hidden" * 2000 + " title=" + "x" * 30_000
+    html = f"<!-- <i> --><table{attributes} class='y'><td{attributes}>7 <!-- > --></td{attributes}></table><a{attributes} href='/z'>"
+    cut = one(spark, html, lambda html: E.tokens(E.shortened(html)))
+    assert cut == ["<table  class='y'>", "<td >", "7 ", "</td >", "</table>", "<a  href='/z'>"]
+    # The page stays as it is from where a tag holds a ``<``.
+    odd = "<a title='<b>' id='1'>x</a>"
+    assert "".join(one(spark, f"<p{attributes}>{odd}", lambda html: E.tokens(E.shortened(html)))) == f"<p >{odd}"
+
+
+def test_only_attributes_that_are_kept_can_be_asked_for():
+    with pytest.raises(ValueError, match="title"):
+        E.attribute(F.lit("<a title=x>"), "title")
+
+
+def test_long_tags_end_before_a_page_is_cut(spark):
+    html = spec_page(spec_row("brand", "Brand", "A")).replace("<table", "<table" + " data-a='b>c' hidden" * 20_000)
+    frame = spark.createDataFrame([(1, html)], "k int, html string")
+    cut = extract._cut(frame, ["k"], F.col("html"), "table", "tr").select(F.length(F.to_json("marks")), F.length(F.to_json("tokens")))
+    assert max(cut.first()) < 2_000
+    assert attributes(spark, html) == ("unknown", "1,299.", "A", "unknown", "unknown")
